@@ -1,0 +1,28 @@
+"""Size checks before a side is broadcast or collected.
+
+A broadcast is only safe when the side has a proven bound.  The check runs a
+``limit(max_rows + 1)`` count, so it never scans more than ``max_rows + 1``
+rows of the side's output, and the side falls back to a shuffle join when the
+bound does not hold.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def collect_bounded(df: DataFrame, max_rows: int, what: str = "rows"):
+    """Collect a result whose size is bounded by a parameter (e.g. k centroids)."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} {what}; refusing to bring them to the driver")
+    return rows
