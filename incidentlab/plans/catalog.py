@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from incidentlab.operators import clean, columns, crosstab, join, summary
+from incidentlab.operators import clean, cluster, columns, crosstab, join, maplayer, series, summary
 from incidentlab.sources import standins as sv
 from incidentlab.sources.standins import with_views
 
@@ -390,3 +390,197 @@ WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND latitude <> 0 AND longi
 )
 def q_clean_geo(spark, sf):
     return clean.clean_geo(sv.street(spark, sf))
+
+
+# ------------------------------------------------------------ series (W, A13-14, F6-F7)
+
+
+@register(
+    "monthly_counts",
+    "A13 P5 W1",
+    with_views("SELECT CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS n FROM street GROUP BY 1", "street"),
+)
+def q_monthly_counts(spark, sf):
+    return series.monthly_counts(sv.street(spark, sf), "date")
+
+
+@register("monthly_counts_by_key", "A14", with_views("SELECT key, month, n FROM series", "series"))
+def q_monthly_counts_by_key(spark, sf):
+    return series.monthly_counts(sv.priority_orders(spark, sf), "date", "key")
+
+
+_CUSTOMER_SERIES = """c AS (
+  SELECT o_custkey AS key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n
+  FROM orders GROUP BY 1, 2)"""
+
+
+@register(
+    "month_gapfill",
+    "W2 D13",
+    f"""WITH {_CUSTOMER_SERIES},
+b AS (SELECT key, min(month) AS lo, max(month) AS hi FROM c GROUP BY key),
+g AS (SELECT key, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b)
+SELECT g.key, g.month, COALESCE(c.n, 0) AS n FROM g LEFT JOIN c ON g.key = c.key AND g.month = c.month""",
+)
+def q_month_gapfill(spark, sf):
+    return series.gapfill(series.monthly_counts(sv.customer_orders(spark, sf), "date", "key"), "key")
+
+
+@register(
+    "holdout_split",
+    "W3",
+    with_views(
+        "SELECT key, month, n, row_number() OVER (PARTITION BY key ORDER BY month DESC) <= 6 AS is_test FROM series",
+        "series",
+    ),
+)
+def q_holdout_split(spark, sf):
+    return series.holdout_split(series.monthly_counts(sv.priority_orders(spark, sf), "date", "key"), "key")
+
+
+@register(
+    "future_months",
+    "W4",
+    with_views(
+        """SELECT key, step, CAST(last + to_months(CAST(step AS INTEGER)) AS DATE) AS month
+FROM (SELECT key, max(month) AS last FROM series GROUP BY key)
+CROSS JOIN (SELECT CAST(range AS INTEGER) AS step FROM range(1, 7))""",
+        "series",
+    ),
+)
+def q_future_months(spark, sf):
+    return series.future_months(series.monthly_counts(sv.priority_orders(spark, sf), "date", "key"), "key")
+
+
+@register(
+    "forecast_metrics",
+    "F6",
+    with_views(
+        """SELECT key, round(sqrt(avg((n - p) * (n - p))), 6) AS rmse, round(avg(abs(n - p)), 6) AS mae
+FROM (SELECT key, n, lag(n, 12) OVER (PARTITION BY key ORDER BY month) AS p,
+             row_number() OVER (PARTITION BY key ORDER BY month DESC) AS back
+      FROM series)
+WHERE back <= 6 AND p IS NOT NULL GROUP BY key""",
+        "series",
+    ),
+)
+def q_forecast_metrics(spark, sf):
+    s = series.holdout_split(series.monthly_counts(sv.priority_orders(spark, sf), "date", "key"), "key")
+    # Scored pair: each test month against the same month a year earlier.
+    w = Window.partitionBy("key").orderBy("month")
+    s = s.withColumn("p", F.lag("n", 12).over(w)).filter("is_test")
+    return series.forecast_metrics(s, "key", "n", "p")
+
+
+@register(
+    "residual_acf",
+    "F7",
+    with_views(
+        """SELECT key, lag, round(CASE lag WHEN 1 THEN s1 WHEN 2 THEN s2 WHEN 3 THEN s3 WHEN 4 THEN s4 WHEN 5 THEN s5
+                   WHEN 6 THEN s6 WHEN 7 THEN s7 WHEN 8 THEN s8 WHEN 9 THEN s9 ELSE s10 END / den, 6) AS acf
+FROM s CROSS JOIN lags""",
+        "series",
+        ctes="""lags AS (SELECT CAST(range AS INTEGER) AS lag FROM range(1, 11)),
+c AS (SELECT key, month, n - avg(n) OVER (PARTITION BY key) AS c FROM series),
+l AS (SELECT key, month, c, lag(c, 1) OVER w AS l1, lag(c, 2) OVER w AS l2, lag(c, 3) OVER w AS l3,
+             lag(c, 4) OVER w AS l4, lag(c, 5) OVER w AS l5, lag(c, 6) OVER w AS l6, lag(c, 7) OVER w AS l7,
+             lag(c, 8) OVER w AS l8, lag(c, 9) OVER w AS l9, lag(c, 10) OVER w AS l10
+      FROM c WINDOW w AS (PARTITION BY key ORDER BY month)),
+s AS (SELECT key, sum(c * c) AS den, sum(c * l1) AS s1, sum(c * l2) AS s2, sum(c * l3) AS s3, sum(c * l4) AS s4,
+             sum(c * l5) AS s5, sum(c * l6) AS s6, sum(c * l7) AS s7, sum(c * l8) AS s8, sum(c * l9) AS s9,
+             sum(c * l10) AS s10 FROM l GROUP BY key)""",
+    ),
+)
+def q_residual_acf(spark, sf):
+    s = series.monthly_counts(sv.priority_orders(spark, sf), "date", "key")
+    return series.autocorrelation(s, "key", "month", "n", max_lag=10)
+
+
+# --------------------------------------------------------- clustering (C, A15-16, J2, P17)
+
+
+@register(
+    "assign_nearest",
+    "C3",
+    with_views(
+        """SELECT p.crime_type, p.lsoa_code, p.latitude, p.longitude, b.id AS prediction
+FROM pts p JOIN best b ON p.rid = b.rid""",
+        "street",
+        ctes="""cent AS (
+  SELECT CAST(dense_rank() OVER (ORDER BY crime_type) - 1 AS INTEGER) AS id,
+         round(avg(latitude), 6) AS clat, round(avg(longitude), 6) AS clon
+  FROM street GROUP BY crime_type),
+pts AS (SELECT row_number() OVER () AS rid, crime_type, lsoa_code, latitude, longitude FROM street),
+d AS (SELECT rid, id, (latitude - clat) * (latitude - clat) + (longitude - clon) * (longitude - clon) AS dist
+      FROM pts CROSS JOIN cent),
+best AS (SELECT rid, id FROM (SELECT rid, id, row_number() OVER (PARTITION BY rid ORDER BY dist, id) AS r FROM d)
+         WHERE r = 1)""",
+    ),
+)
+def q_assign_nearest(spark, sf):
+    s = sv.street(spark, sf)
+    cent = cluster.cluster_centroids(s, "crime_type", scale=6).withColumn(
+        "prediction", (F.dense_rank().over(Window.orderBy("crime_type")) - 1).cast("int")
+    )
+    pts = s.select("crime_type", "lsoa_code", "latitude", "longitude")
+    return cluster.assign_nearest(pts, cent, centre_cols=["centroid_lat", "centroid_lon"])
+
+
+@register("cluster_centroids", "A15 D11", with_views("SELECT * FROM centroids", "centroids"))
+def q_cluster_centroids(spark, sf):
+    return cluster.cluster_centroids(sv.points(spark, sf))
+
+
+@register(
+    "map_center",
+    "A16",
+    with_views(
+        "SELECT round(avg(latitude), 6) AS center_lat, round(avg(longitude), 6) AS center_lon FROM points", "points"
+    ),
+)
+def q_map_center(spark, sf):
+    return cluster.map_center(sv.points(spark, sf))
+
+
+@register(
+    "join_inner_centroids",
+    "J2",
+    with_views(
+        "SELECT h.prediction, h.date, h.forecast, c.centroid_lat, c.centroid_lon FROM hotspot_series h JOIN centroids c ON h.prediction = c.prediction",
+        "hotspot_series",
+        "centroids",
+    ),
+)
+def q_join_inner_centroids(spark, sf):
+    return join.join_centroids(sv.hotspot_series(spark, sf), cluster.cluster_centroids(sv.points(spark, sf)))
+
+
+@register(
+    "map_layer",
+    "P17 A18",
+    with_views(
+        """SELECT h.prediction, h.date, h.forecast, c.centroid_lat, c.centroid_lon,
+       round(5.0 + h.forecast * 0.1, 6) AS radius,
+       round(h.forecast / (SELECT max(forecast) FROM hotspot_series), 6) AS intensity,
+       CAST(h.prediction % 10 AS INTEGER) AS colour_slot,
+       printf('Cluster %d<br>%s: %d', h.prediction, CAST(h.date AS VARCHAR), CAST(trunc(h.forecast) AS INTEGER)) AS popup
+FROM hotspot_series h JOIN centroids c ON h.prediction = c.prediction""",
+        "hotspot_series",
+        "centroids",
+    ),
+)
+def q_map_layer(spark, sf):
+    return maplayer.map_layer(sv.hotspot_series(spark, sf), cluster.cluster_centroids(sv.points(spark, sf)))
+
+
+@register("kmeans_fit", "C1 C2")
+def q_kmeans_fit(spark, sf):
+    pts = clean.clean_geo(sv.street(spark, sf))
+    return cluster.kmeans_centres(spark, cluster.fit_kmeans(pts, k=8, seed=42))
+
+
+@register("kmeans_assign", "C3 D4")
+def q_kmeans_assign(spark, sf):
+    pts = clean.clean_geo(sv.street(spark, sf))
+    model = cluster.fit_kmeans(pts, k=8, seed=42)
+    return cluster.kmeans_assign(pts, model).drop("features")

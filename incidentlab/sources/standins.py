@@ -84,6 +84,25 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def priority_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as dated events keyed by priority (the multi-series panel)."""
+    o = read(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderpriority").alias("key"), F.col("o_orderdate").alias("date"))
+
+
+def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as dated events keyed by customer (sparse series with gaps)."""
+    o = read(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").alias("key"), F.col("o_orderdate").alias("date"))
+
+
+def hotspot_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-cluster monthly values: cluster id = leading digit of o_orderpriority - 1."""
+    o = read(spark, sf_dir, "orders")
+    cid = (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("prediction")
+    return o.groupBy(cid, month_start("o_orderdate").alias("date")).agg(F.count(F.lit(1)).cast("double").alias("forecast"))
+
+
 def street_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The street stand-in as raw feed text, with published header names."""
     li = read(spark, sf_dir, "lineitem")
@@ -138,13 +157,20 @@ SQL_VIEWS = {
   SELECT s.crime_type, o.outcome_type, COUNT(*) AS n
   FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id
   GROUP BY s.crime_type, o.outcome_type)""",
+    "hotspot_series": """hotspot_series AS (
+  SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS prediction,
+         CAST(date_trunc('month', o_orderdate) AS DATE) AS date, CAST(COUNT(*) AS DOUBLE) AS forecast
+  FROM orders GROUP BY 1, 2)""",
+    "centroids": """centroids AS (
+  SELECT prediction, round(avg(latitude), 6) AS centroid_lat, round(avg(longitude), 6) AS centroid_lon
+  FROM points GROUP BY prediction)""",
     "series": """series AS (
   SELECT o_orderpriority AS key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n
   FROM orders GROUP BY 1, 2)""",
 }
 
 # Views a view depends on (prepended first).
-_SQL_DEPS = {"pairs": ("street", "outcomes")}
+_SQL_DEPS = {"pairs": ("street", "outcomes"), "centroids": ("points",)}
 
 
 def with_views(body: str, *views: str, ctes: str | None = None) -> str:

@@ -15,6 +15,6 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from incidentlab.session import build_session
 
-    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.ui.enabled": "false"})
+    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     yield s
     s.stop()
