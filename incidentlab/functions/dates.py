@@ -21,12 +21,12 @@ def _col(c: Column | str) -> Column:
 
 def parse_year_month(c: Column | str) -> Column:
     """'2024-03' -> DATE 2024-03-01; malformed or null -> null."""
-    return F.try_to_date(_col(c), F.lit(YEAR_MONTH_FORMAT))
+    return F.try_to_date(_col(c), YEAR_MONTH_FORMAT)
 
 
 def parse_timestamp_date(c: Column | str) -> Column:
     """Date from the first ten characters of timestamp text ('yyyy-MM-dd...')."""
-    return F.try_to_date(F.substring(_col(c), 1, 10), F.lit(DAY_FORMAT))
+    return F.try_to_date(F.substring(_col(c), 1, 10), DAY_FORMAT)
 
 
 def parse_timestamp_text(c: Column | str) -> Column:

@@ -1,0 +1,350 @@
+"""Per-series ARIMA(p,d,q) x (0,D,0)_m: exact Gaussian likelihood and forecasts.
+
+This is the small numeric kernel that runs inside one grouped-map task per
+series (``operators.forecast``); Spark does the counting, the grouping and the
+spreading of series over executors.
+
+Model: w = (1-B)^d (1-B^m)^D y is a zero-mean ARMA(p, q)
+    w_t = phi_1 w_{t-1} + ... + eps_t + theta_1 eps_{t-1} + ...,  eps ~ N(0, sigma2)
+(plus a mean when d + D = 0).  The ARMA part is in state-space form with a
+stationary initial state; the Kalman filter gives the exact likelihood, with
+sigma2 concentrated out, and the filtered state at the end of the sample.
+Forecasts integrate back to y through a companion state that holds the last
+d + m*D observations; the end-state covariance is carried, so standard errors
+include the uncertainty about the last shock as well as future shocks.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass, field
+from statistics import NormalDist
+
+import numpy as np
+
+LOG_2PI = math.log(2.0 * math.pi)
+PACF_BOUND = 0.9999
+
+
+# ------------------------------------------------------------------ helpers
+
+
+def diff_poly(d: int, D: int, m: int) -> np.ndarray:
+    """Coefficients of (1-B)^d (1-B^m)^D, lowest power first."""
+    poly = np.array([1.0])
+    for _ in range(d):
+        poly = np.convolve(poly, [1.0, -1.0])
+    for _ in range(D):
+        seasonal = np.zeros(m + 1)
+        seasonal[0], seasonal[m] = 1.0, -1.0
+        poly = np.convolve(poly, seasonal)
+    return poly
+
+
+def difference(y: np.ndarray, poly: np.ndarray) -> np.ndarray:
+    k = len(poly) - 1
+    if k == 0:
+        return y.copy()
+    return np.array([poly @ y[t - np.arange(k + 1)] for t in range(k, len(y))])
+
+
+def pacf_to_coeffs(x: np.ndarray) -> np.ndarray:
+    """Unconstrained reals -> coefficients of a stationary AR polynomial
+    (partial autocorrelations tanh(x) through the Durbin-Levinson recursion)."""
+    coeffs: list[float] = []
+    # Partial autocorrelations kept strictly inside (-1, 1) so the stationary
+    # covariance exists even where tanh rounds to 1.
+    for k, r in enumerate(np.clip(np.tanh(x), -PACF_BOUND, PACF_BOUND)):
+        coeffs = [coeffs[j] - r * coeffs[k - 1 - j] for j in range(k)] + [float(r)]
+    return np.array(coeffs)
+
+
+def coeffs_to_pacf(c: np.ndarray) -> np.ndarray:
+    """Inverse of ``pacf_to_coeffs`` (for starting values)."""
+    c = list(map(float, c))
+    out = []
+    while c:
+        r = c[-1]
+        r = min(max(r, -0.999), 0.999)
+        out.append(math.atanh(r))
+        k = len(c) - 1
+        c = [(c[j] + r * c[k - 1 - j]) / (1.0 - r * r) for j in range(k)]
+    return np.array(out[::-1])
+
+
+def arma_matrices(phi: np.ndarray, theta: np.ndarray):
+    r = max(len(phi), len(theta) + 1, 1)
+    T = np.zeros((r, r))
+    T[: len(phi), 0] = phi
+    if r > 1:
+        T[np.arange(r - 1), np.arange(1, r)] = 1.0
+    R = np.zeros(r)
+    R[0] = 1.0
+    R[1 : len(theta) + 1] = theta
+    return T, R
+
+
+def stationary_cov(T: np.ndarray, R: np.ndarray) -> np.ndarray:
+    """P solving P = T P T' + R R' (unit shock variance)."""
+    r = T.shape[0]
+    rr = np.outer(R, R)
+    a = np.eye(r * r) - np.kron(T, T)
+    return np.linalg.solve(a, rr.reshape(-1)).reshape(r, r)
+
+
+@dataclass
+class FilterResult:
+    sigma2: float
+    loglik: float
+    nobs: int
+    state: np.ndarray  # filtered ARMA state at the last observation
+    cov: np.ndarray  # its covariance, in units of sigma2
+    resid: np.ndarray  # standardised one-step errors v_t / sqrt(F_t)
+
+
+def kalman(w: np.ndarray, phi: np.ndarray, theta: np.ndarray, burn: int = 0) -> FilterResult:
+    """Exact concentrated likelihood of a zero-mean ARMA; the first ``burn``
+    one-step errors are filtered but left out of the likelihood.
+
+    The state is tiny (r <= 3 for the orders used here), so the recursion runs
+    on Python floats; once the covariance reaches its steady state only the
+    state mean is updated."""
+    T, R = arma_matrices(phi, theta)
+    r = T.shape[0]
+    col = [float(T[i, 0]) for i in range(r)]
+    rr = np.outer(R, R).tolist()
+    P = stationary_cov(T, R).tolist()
+    a = [0.0] * r
+    att, ptt = a, P
+    ss, logdet, n = 0.0, 0.0, 0
+    resid = np.empty(len(w))
+    steady = False
+    F = P[0][0]
+    log_f = math.log(F) if F > 0 else 0.0
+    for t in range(len(w)):
+        v = float(w[t]) - a[0]
+        if not steady:
+            F = P[0][0] if P[0][0] > 1e-12 else 1e-12
+            log_f = math.log(F)
+            pz = [P[i][0] for i in range(r)]
+        g = v / F
+        att = [a[i] + pz[i] * g for i in range(r)]
+        resid[t] = v / math.sqrt(F)
+        if t >= burn:
+            ss += v * g
+            logdet += log_f
+            n += 1
+        a = [col[i] * att[0] + (att[i + 1] if i + 1 < r else 0.0) for i in range(r)]
+        if not steady:
+            ptt = [[P[i][j] - pz[i] * pz[j] / F for j in range(r)] for i in range(r)]
+            tm = [[col[i] * ptt[0][j] + (ptt[i + 1][j] if i + 1 < r else 0.0) for j in range(r)] for i in range(r)]
+            nxt = [
+                [col[j] * tm[i][0] + (tm[i][j + 1] if j + 1 < r else 0.0) + rr[i][j] for j in range(r)]
+                for i in range(r)
+            ]
+            change = max(abs(nxt[i][j] - P[i][j]) for i in range(r) for j in range(r))
+            P = nxt
+            steady = change < 1e-13
+    sigma2 = ss / n if n else float("nan")
+    if n and sigma2 > 0:
+        loglik = -0.5 * (n * (LOG_2PI + 1.0 + math.log(sigma2)) + logdet)
+    else:
+        loglik = float("nan")
+    return FilterResult(sigma2, loglik, n, np.array(att), np.array(ptt), resid)
+
+
+def nelder_mead(f, x0: np.ndarray, step: float = 0.5, tol: float = 1e-9, max_iter: int = 1000):
+    n = len(x0)
+    pts = [np.array(x0, dtype=float)]
+    for i in range(n):
+        x = np.array(x0, dtype=float)
+        x[i] += step
+        pts.append(x)
+    vals = [f(p) for p in pts]
+    for _ in range(max_iter):
+        order = np.argsort(vals)
+        pts = [pts[i] for i in order]
+        vals = [vals[i] for i in order]
+        if abs(vals[-1] - vals[0]) <= tol * (abs(vals[0]) + tol) and np.max(np.abs(np.array(pts[1:]) - pts[0])) < 1e-7:
+            break
+        centroid = np.mean(pts[:-1], axis=0)
+        xr = centroid + (centroid - pts[-1])
+        fr = f(xr)
+        if fr < vals[0]:
+            xe = centroid + 2.0 * (centroid - pts[-1])
+            fe = f(xe)
+            pts[-1], vals[-1] = (xe, fe) if fe < fr else (xr, fr)
+        elif fr < vals[-2]:
+            pts[-1], vals[-1] = xr, fr
+        else:
+            xc = centroid + 0.5 * (pts[-1] - centroid) if fr >= vals[-1] else centroid + 0.5 * (xr - centroid)
+            fc = f(xc)
+            if fc < min(fr, vals[-1]):
+                pts[-1], vals[-1] = xc, fc
+            else:
+                for i in range(1, len(pts)):
+                    pts[i] = pts[0] + 0.5 * (pts[i] - pts[0])
+                    vals[i] = f(pts[i])
+    best = int(np.argmin(vals))
+    return pts[best], vals[best]
+
+
+# ------------------------------------------------------------------ model
+
+
+@dataclass
+class Fit:
+    p: int
+    d: int
+    q: int
+    seasonal_d: int
+    m: int
+    phi: list = field(default_factory=list)
+    theta: list = field(default_factory=list)
+    mean: float = 0.0
+    sigma2: float = float("nan")
+    loglik: float = float("nan")
+    aic: float = float("nan")
+    nobs: int = 0
+    last_values: list = field(default_factory=list)  # last d + m*D observations, newest first
+    state: list = field(default_factory=list)
+    state_cov: list = field(default_factory=list)  # flattened, units of sigma2
+    resid: list = field(default_factory=list)
+    method: str = "mle"
+
+
+def _starts(p: int, q: int) -> list[np.ndarray]:
+    base = [np.zeros(p + q)]
+    for s in (0.5, -0.5):
+        base.append(np.full(p + q, s))
+    if p and q:
+        # Near-cancelling AR and MA roots give a flat likelihood ridge.
+        base.append(np.r_[np.full(p, -1.5), np.full(q, 2.5)])
+    return base
+
+
+def fit(
+    y,
+    order: tuple[int, int, int] = (1, 1, 1),
+    seasonal_d: int = 0,
+    m: int = 12,
+    burn_to: int | None = None,
+) -> Fit:
+    """Maximum-likelihood fit of one series.
+
+    ``burn_to``: leave the first observations out of the likelihood so that
+    fits with different differencing score the same observations (for AIC
+    comparison); default is every differenced point."""
+    y = np.asarray(y, dtype=float)
+    p, d, q = order
+    poly = diff_poly(d, seasonal_d, m)
+    k = len(poly) - 1
+    out = Fit(p, d, q, seasonal_d, m)
+    if len(y) <= k:
+        raise ValueError("series shorter than its differencing")
+    w = difference(y, poly)
+    with_mean = k == 0
+    mu = float(np.mean(w)) if with_mean else 0.0
+    wc = w - mu
+    burn = max(0, (burn_to - k) if burn_to is not None else 0)
+    n_params = p + q
+    constant = np.allclose(wc, 0.0)
+    if constant or len(wc) - burn < n_params + 2:
+        # Too short or constant: a random walk / mean forecast with no ARMA part.
+        p = q = 0
+        out.p, out.q, out.method = 0, 0, "degenerate"
+        n_params = 0
+
+    def split(x):
+        phi = pacf_to_coeffs(x[:p]) if p else np.zeros(0)
+        theta = -pacf_to_coeffs(x[p:]) if q else np.zeros(0)
+        return phi, theta
+
+    def objective(x):
+        phi, theta = split(x)
+        res = kalman(wc, phi, theta, burn)
+        if not np.isfinite(res.loglik):
+            return 1e300
+        return -res.loglik
+
+    if n_params:
+        best_x, best_v = None, math.inf
+        for x0 in _starts(p, q):
+            x, v = nelder_mead(objective, x0)
+            if v < best_v:
+                best_x, best_v = x, v
+        phi, theta = split(best_x)
+    else:
+        phi, theta = np.zeros(0), np.zeros(0)
+    res = kalman(wc, phi, theta, burn)
+    if not np.isfinite(res.sigma2) or res.sigma2 <= 0:
+        res.sigma2 = 0.0
+    out.phi, out.theta = [float(v) for v in phi], [float(v) for v in theta]
+    out.mean = mu
+    out.sigma2 = float(res.sigma2)
+    out.loglik = float(res.loglik) if np.isfinite(res.loglik) else float("nan")
+    k_params = p + q + 1 + (1 if with_mean else 0)
+    out.aic = -2.0 * out.loglik + 2.0 * k_params if np.isfinite(out.loglik) else float("inf")
+    out.nobs = res.nobs
+    out.last_values = [float(v) for v in y[::-1][:k]]
+    out.state = [float(v) for v in res.state]
+    out.state_cov = [float(v) for v in res.cov.reshape(-1)]
+    out.resid = [float(v) for v in res.resid * math.sqrt(out.sigma2)] if out.sigma2 > 0 else [0.0] * len(res.resid)
+    return out
+
+
+def forecast(
+    phi,
+    theta,
+    sigma2: float,
+    state,
+    state_cov,
+    last_values,
+    poly: np.ndarray,
+    horizon: int,
+    mean: float = 0.0,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard error of y_{n+1..n+h}.
+
+    ``state`` / ``state_cov`` (units of sigma2) describe the filtered ARMA state
+    at the last observation; ``last_values`` are the last len(poly)-1
+    observations of y, newest first."""
+    phi, theta = np.asarray(phi, dtype=float), np.asarray(theta, dtype=float)
+    T, R = arma_matrices(phi, theta)
+    r = T.shape[0]
+    k = len(poly) - 1
+    c = -np.asarray(poly[1:], dtype=float)  # y_t = sum c_j y_{t-j} + w_t
+    size = k + r
+    Tb = np.zeros((size, size))
+    Rb = np.zeros(size)
+    s = np.zeros(size)
+    P = np.zeros((size, size))
+    if k:
+        Tb[0, :k] = c
+        Tb[0, k:] = T[0, :]
+        Tb[np.arange(1, k), np.arange(0, k - 1)] = 1.0
+        Rb[0] = 1.0
+        s[:k] = last_values[:k]
+    Tb[k:, k:] = T
+    Rb[k:] = R
+    s[k:] = state
+    P[k:, k:] = np.asarray(state_cov, dtype=float).reshape(r, r) * sigma2
+    means, ses = np.empty(horizon), np.empty(horizon)
+    rr = np.outer(Rb, Rb) * sigma2
+    for h in range(horizon):
+        s = Tb @ s
+        P = Tb @ P @ Tb.T + rr
+        means[h] = s[0] + (mean if k == 0 else 0.0)
+        ses[h] = math.sqrt(max(P[0, 0], 0.0))
+    return means, ses
+
+
+def z_value(level: float = 0.95) -> float:
+    return NormalDist().inv_cdf(0.5 + level / 2.0)
+
+
+def forecast_fit(f: Fit, horizon: int, level: float = 0.95):
+    poly = diff_poly(f.d, f.seasonal_d, f.m)
+    means, ses = forecast(f.phi, f.theta, f.sigma2, f.state, f.state_cov, f.last_values, poly, horizon, f.mean)
+    z = z_value(level)
+    return means, ses, means - z * ses, means + z * ses

@@ -14,8 +14,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from incidentlab.operators import clean, cluster, columns, crosstab, join, maplayer, series, summary
+from incidentlab import sinks, sources
+from incidentlab.operators import clean, cluster, columns, crosstab, forecast, join, maplayer, series, summary
 from incidentlab.sources import standins as sv
+from incidentlab.functions import (
+    date_parts,
+    fill_unknown,
+    label_fallback,
+    make_month_date,
+    parse_timestamp_date,
+    parse_timestamp_text,
+    parse_year_month,
+    to_double,
+)
+from incidentlab.session import scratch_path
 from incidentlab.sources.standins import with_views
 
 
@@ -584,3 +596,348 @@ def q_kmeans_assign(spark, sf):
     pts = clean.clean_geo(sv.street(spark, sf))
     model = cluster.fit_kmeans(pts, k=8, seed=42)
     return cluster.kmeans_assign(pts, model).drop("features")
+
+
+# ------------------------------------------------------------ forecasting (F, K6, U1, W5)
+
+
+def _priority_series(spark, sf):
+    """Monthly order counts per priority, gaps filled with 0."""
+    return series.gapfill(series.monthly_counts(sv.priority_orders(spark, sf), "date", "key"), "key")
+
+
+def _train(spark, sf):
+    return series.holdout_split(_priority_series(spark, sf), "key").filter(~F.col("is_test")).drop("is_test")
+
+
+@register("arima_fit", "F1 K6")
+def q_arima_fit(spark, sf):
+    params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
+    return params.select("key", "p", "d", "q", "phi", "theta", "sigma2", "aic", "nobs", "last_month")
+
+
+@register("arima_forecast", "F2")
+def q_arima_forecast(spark, sf):
+    return forecast.arima_forecast(_train(spark, sf), "key", order=(1, 1, 1), horizon=6)
+
+
+@register("auto_arima_select", "F3")
+def q_auto_arima_select(spark, sf):
+    best = forecast.auto_arima(_priority_series(spark, sf), "key")
+    return best.select("key", "p", "d", "q", "seasonal_d", "m", "aic", "sigma2")
+
+
+@register("forecast_by_key", "F4")
+def q_forecast_by_key(spark, sf):
+    return forecast.forecast_by_key(_priority_series(spark, sf), "key", horizon=6)
+
+
+@register("model_params_roundtrip", "K6 F5")
+def q_model_params_roundtrip(spark, sf):
+    params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
+    saved = sinks.write_flat_parquet(params, scratch_path(spark, "arima-params"))
+    return forecast.forecast_from_params(sources.read_parquet_table(spark, saved), "key", horizon=6)
+
+
+@register("arima_holdout_metrics", "F6 W3")
+def q_arima_holdout_metrics(spark, sf):
+    s = series.holdout_split(_priority_series(spark, sf), "key")
+    fc = forecast.arima_forecast(s.filter(~F.col("is_test")), "key", horizon=6)
+    scored = s.filter("is_test").join(fc.select("key", "month", "mean"), ["key", "month"], "inner")
+    return series.forecast_metrics(scored, "key", "n", "mean")
+
+
+@register("actual_vs_forecast", "W5")
+def q_actual_vs_forecast(spark, sf):
+    s = _priority_series(spark, sf)
+    train = series.holdout_split(s, "key").filter(~F.col("is_test"))
+    fc = forecast.arima_forecast(train, "key", horizon=6)
+    return series.actual_vs_forecast(s, fc, "key")
+
+
+@register("residual_diagnostics", "F7")
+def q_residual_diagnostics(spark, sf):
+    params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
+    return series.standardized_residuals(forecast.residuals(params, "key"), "key", "month", "resid")
+
+
+@register(
+    "union_forecasts",
+    "U1",
+    with_views(
+        """SELECT 'street' AS source, CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS n FROM street GROUP BY 2
+UNION ALL
+SELECT 'outcomes' AS source, CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS n FROM outcomes GROUP BY 2""",
+        "street",
+        "outcomes",
+    ),
+)
+def q_union_forecasts(spark, sf):
+    a = series.monthly_counts(sv.street(spark, sf), "date").withColumn("source", F.lit("street"))
+    b = series.monthly_counts(sv.outcomes(spark, sf), "date").select(F.lit("outcomes").alias("source"), "n", "month")
+    return forecast.union_forecasts(a, b)
+
+
+# ------------------------------------------------------- text, dates, casts (P)
+
+
+@register(
+    "parse_year_month",
+    "P2 P5 D10",
+    with_views(
+        "SELECT crime_id, month_text, CAST(try_strptime(month_text, '%Y-%m') AS DATE) AS date FROM street_text",
+        "street_text",
+    ),
+)
+def q_parse_year_month(spark, sf):
+    t = sv.street_text(spark, sf)
+    return t.select("crime_id", "month_text", parse_year_month("month_text").alias("date"))
+
+
+@register(
+    "date_parts",
+    "P3",
+    "SELECT o_orderkey AS crime_id, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders",
+)
+def q_date_parts(spark, sf):
+    o = sv.read(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").alias("crime_id"), *date_parts(F.to_date("o_orderdate")))
+
+
+@register(
+    "parse_timestamp_date",
+    "P4 D2",
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS date_text, CAST(ts AS DATE) AS date,
+       date_trunc('second', ts) AS event_ts
+FROM events""",
+)
+def q_parse_timestamp_date(spark, sf):
+    e = sv.read(spark, sf, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("date_text")
+    )
+    return e.select(
+        "event_id",
+        "date_text",
+        parse_timestamp_date("date_text").alias("date"),
+        parse_timestamp_text("date_text").alias("event_ts"),
+    )
+
+
+@register(
+    "cast_coordinates",
+    "P6 D10",
+    with_views(
+        "SELECT crime_id, TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude FROM street_text",
+        "street_text",
+    ),
+)
+def q_cast_coordinates(spark, sf):
+    t = sv.street_text(spark, sf)
+    return t.select("crime_id", to_double("latitude").alias("latitude"), to_double("longitude").alias("longitude"))
+
+
+@register(
+    "filter_not_null",
+    "R2",
+    with_views(
+        """SELECT * FROM (SELECT crime_id, TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude
+               FROM street_text) WHERE latitude IS NOT NULL AND longitude IS NOT NULL""",
+        "street_text",
+    ),
+)
+def q_filter_not_null(spark, sf):
+    t = sv.street_text(spark, sf)
+    typed = t.select("crime_id", to_double("latitude").alias("latitude"), to_double("longitude").alias("longitude"))
+    return clean.filter_not_null(typed, "latitude", "longitude")
+
+
+@register(
+    "filter_nonzero_coords",
+    "R3 D1",
+    with_views(
+        """SELECT crime_id, latitude, longitude FROM street_text
+WHERE TRY_CAST(latitude AS DOUBLE) <> 0 AND TRY_CAST(longitude AS DOUBLE) <> 0""",
+        "street_text",
+    ),
+)
+def q_filter_nonzero_coords(spark, sf):
+    return clean.filter_nonzero_coords(sv.street_text(spark, sf).select("crime_id", "latitude", "longitude"))
+
+
+@register("project_columns", "P8", with_views("SELECT crime_id, crime_type FROM street", "street"))
+def q_project_columns(spark, sf):
+    return columns.project_columns(sv.street(spark, sf), "crime_id", "crime_type")
+
+
+@register(
+    "fill_unknown",
+    "P10",
+    with_views(
+        """SELECT COALESCE(o.outcome_type, 'Unknown') AS outcome_type, COUNT(*) AS "count"
+FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id GROUP BY 1""",
+        "street",
+        "outcomes",
+    ),
+)
+def q_fill_unknown(spark, sf):
+    counts = summary.rollup_counts(_pairs(spark, sf), "outcome_type")
+    return counts.select(fill_unknown("outcome_type").alias("outcome_type"), "count")
+
+
+@register(
+    "label_fallback",
+    "P12",
+    with_views(
+        """SELECT COALESCE(CASE WHEN lsoa_name = 'F' THEN NULL ELSE lsoa_name END, lsoa_code) AS area, COUNT(*) AS "count"
+FROM street GROUP BY 1""",
+        "street",
+    ),
+)
+def q_label_fallback(spark, sf):
+    s = sv.street(spark, sf).withColumn(
+        "lsoa_name", F.when(F.col("lsoa_name") == "F", F.lit(None)).otherwise(F.col("lsoa_name"))
+    )
+    return summary.count_by(s, label_fallback(s, "lsoa_name", "lsoa_code").alias("area"))
+
+
+@register(
+    "make_month_date",
+    "P13",
+    with_views('SELECT make_date(year, month, 1) AS month_date, COUNT(*) AS "count" FROM street GROUP BY year, month', "street"),
+)
+def q_make_month_date(spark, sf):
+    t = summary.year_month_trend(sv.street(spark, sf))
+    return t.select(make_month_date("year", "month").alias("month_date"), "count")
+
+
+# ------------------------------------------------------ nulls and samples
+
+
+@register(
+    "drop_any_null",
+    "R5",
+    with_views(
+        """SELECT * FROM (SELECT s.crime_id, s.crime_type, o.outcome_type
+               FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id)
+WHERE crime_id IS NOT NULL AND crime_type IS NOT NULL AND outcome_type IS NOT NULL""",
+        "street",
+        "outcomes",
+    ),
+)
+def q_drop_any_null(spark, sf):
+    s = sv.street(spark, sf).select("crime_id", "crime_type")
+    return clean.drop_any_null(join.join_outcomes(s, sv.outcomes(spark, sf)))
+
+
+@register(
+    "drop_null_subset",
+    "R6",
+    with_views(
+        """SELECT * FROM (SELECT s.crime_id, s.crime_type, o.outcome_type
+               FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id)
+WHERE outcome_type IS NOT NULL""",
+        "street",
+        "outcomes",
+    ),
+)
+def q_drop_null_subset(spark, sf):
+    s = sv.street(spark, sf).select("crime_id", "crime_type")
+    return clean.drop_null_subset(join.join_outcomes(s, sv.outcomes(spark, sf)), ["outcome_type"])
+
+
+@register("sample_bernoulli", "R7 D9")
+def q_sample_bernoulli(spark, sf):
+    return clean.sample_bernoulli(sv.points(spark, sf), fraction=0.1, seed=42)
+
+
+@register(
+    "sample_by_key",
+    "R7 D9",
+    with_views("SELECT * FROM street WHERE crime_id % 10 = 0", "street"),
+)
+def q_sample_by_key(spark, sf):
+    return clean.sample_by_key(sv.street(spark, sf), "crime_id", buckets=10, keep=1, hashed=False)
+
+
+# --------------------------------------------------------- sources and sinks (S, K)
+
+
+@register(
+    "scan_csv_glob",
+    "S1 S2 S3 P1 P2 P3 P6",
+    """SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS crime_id,
+       'Metropolitan Police Service' AS reported_by, 'Metropolitan Police Service' AS falls_within,
+       l_discount AS longitude, l_tax AS latitude, 'On or near ' || CAST(l_partkey AS VARCHAR) AS location,
+       CAST(l_suppkey AS VARCHAR) AS lsoa_code, l_linestatus AS lsoa_name, l_returnflag AS crime_type,
+       CAST(NULL AS VARCHAR) AS last_outcome_category, CAST(NULL AS VARCHAR) AS context,
+       CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
+       CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
+FROM lineitem""",
+)
+def q_scan_csv_glob(spark, sf):
+    raw = sv.street_raw(spark, sf)
+    base = scratch_path(spark, "raw-street")
+    # Month folders, as the feeds arrive: <base>/<folder>/part-*.csv
+    raw.withColumn("folder", F.col("Month")).write.mode("overwrite").partitionBy("folder").option(
+        "header", True
+    ).csv(base)
+    return sources.ingest_feed(spark, "street", f"{base}/*/*.csv")
+
+
+@register(
+    "scan_parquet_partitioned",
+    "S4 S5 K1",
+    with_views("SELECT * FROM street WHERE year * 100 + month BETWEEN 199601 AND 199712", "street"),
+)
+def q_scan_parquet_partitioned(spark, sf):
+    path = sinks.write_partitioned_parquet(sv.street(spark, sf), scratch_path(spark, "street-processed"))
+    return sources.read_parquet_table(spark, path, months=((1996, 1), (1997, 12)))
+
+
+@register(
+    "sink_parquet_partitioned",
+    "K1",
+    with_views("SELECT * FROM street", "street"),
+)
+def q_sink_parquet_partitioned(spark, sf):
+    path = sinks.write_partitioned_parquet(
+        sv.street(spark, sf), scratch_path(spark, "street-bucketed"), files_per_partition=2
+    )
+    return sources.read_parquet_table(spark, path)
+
+
+@register("scan_parquet_flat", "S6 K3", with_views("SELECT * FROM points", "points"))
+def q_scan_parquet_flat(spark, sf):
+    path = sinks.write_flat_parquet(sv.points(spark, sf), scratch_path(spark, "clusters"))
+    return sources.read_parquet_table(spark, path)
+
+
+_TYPE_COUNTS_SQL = """SELECT s.crime_type, COUNT(*) AS "count"
+FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id GROUP BY s.crime_type"""
+
+
+@register("sink_csv_single", "K2 K4 S9", with_views(_TYPE_COUNTS_SQL, "street", "outcomes"))
+def q_sink_csv_single(spark, sf):
+    counts = summary.rollup_counts(_pairs(spark, sf), "crime_type")
+    path = sinks.write_single_csv(counts, scratch_path(spark, "crime-type-counts"))
+    return sources.read_summary_csv(spark, path, "crime_type STRING, count BIGINT")
+
+
+@register(
+    "scan_csv_infer",
+    "S7",
+    with_views(
+        'SELECT CAST(hour(event_ts) AS INTEGER) AS hour, CAST(COUNT(*) AS INTEGER) AS "count" FROM stops GROUP BY 1',
+        "stops",
+    ),
+)
+def q_scan_csv_infer(spark, sf):
+    path = sinks.write_single_csv(summary.count_by_hour(sv.stops(spark, sf)), scratch_path(spark, "counts-by-hour"))
+    return sources.read_summary_csv(spark, path)
+
+
+@register("scan_csv_cast", "S8 P7", with_views(_TYPE_COUNTS_SQL, "street", "outcomes"))
+def q_scan_csv_cast(spark, sf):
+    counts = summary.rollup_counts(_pairs(spark, sf), "crime_type")
+    path = sinks.write_single_csv(counts, scratch_path(spark, "crime-type-counts-text"))
+    return sources.read_summary_text(spark, path, ("count",))

@@ -1 +1,5 @@
-"""sinks."""
+"""Sinks: partitioned / flat Parquet and single-file CSV summaries."""
+
+from incidentlab.sinks.writers import write_flat_parquet, write_partitioned_parquet, write_single_csv
+
+__all__ = ["write_flat_parquet", "write_partitioned_parquet", "write_single_csv"]

@@ -1 +1,11 @@
-"""sources."""
+"""Sources: raw CSV feeds, Parquet tables, summary CSVs, driver-table stand-ins."""
+
+from incidentlab.sources.feeds import (
+    ingest_feed,
+    read_feed,
+    read_parquet_table,
+    read_summary_csv,
+    read_summary_text,
+)
+
+__all__ = ["ingest_feed", "read_feed", "read_parquet_table", "read_summary_csv", "read_summary_text"]

@@ -84,6 +84,23 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def street_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Street with raw-text month and coordinates; line number 7 carries
+    malformed text ('yyyy-13' month, 'n/a' coordinates)."""
+    li = read(spark, sf_dir, "lineitem")
+    bad = F.col("l_linenumber") == 7
+    key = F.col("l_orderkey")
+    return li.select(
+        F.when(key % 7 == 0, F.lit(None).cast("bigint")).otherwise(key).alias("crime_id"),
+        F.when(bad, F.concat(F.year("l_shipdate").cast("string"), F.lit("-13")))
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM"))
+        .alias("month_text"),
+        F.when(bad, F.lit("n/a")).otherwise(F.col("l_tax").cast("string")).alias("latitude"),
+        F.when(bad, F.lit("n/a")).otherwise(F.col("l_discount").cast("string")).alias("longitude"),
+        F.col("l_returnflag").alias("crime_type"),
+    )
+
+
 def priority_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as dated events keyed by priority (the multi-series panel)."""
     o = read(spark, sf_dir, "orders")
@@ -157,6 +174,14 @@ SQL_VIEWS = {
   SELECT s.crime_type, o.outcome_type, COUNT(*) AS n
   FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id
   GROUP BY s.crime_type, o.outcome_type)""",
+    "street_text": """street_text AS (
+  SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_orderkey END AS crime_id,
+         CASE WHEN l_linenumber = 7 THEN CAST(year(l_shipdate) AS VARCHAR) || '-13'
+              ELSE strftime(l_shipdate, '%Y-%m') END AS month_text,
+         CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_tax AS VARCHAR) END AS latitude,
+         CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_discount AS VARCHAR) END AS longitude,
+         l_returnflag AS crime_type
+  FROM lineitem)""",
     "hotspot_series": """hotspot_series AS (
   SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) - 1 AS prediction,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS date, CAST(COUNT(*) AS DOUBLE) AS forecast
