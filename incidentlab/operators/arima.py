@@ -153,7 +153,7 @@ def kalman(w: np.ndarray, phi: np.ndarray, theta: np.ndarray, burn: int = 0) ->
     return FilterResult(sigma2, loglik, n, np.array(att), np.array(ptt), resid)
 
 
-def nelder_mead(f, x0: np.ndarray, step: float = 0.5, tol: float = 1e-9, max_iter: int = 1000):
+def nelder_mead(f, x0: np.ndarray, step: float = 0.5, tol: float = 1e-8, xtol: float = 1e-5, max_iter: int = 1000):
     n = len(x0)
     pts = [np.array(x0, dtype=float)]
     for i in range(n):
@@ -165,7 +165,7 @@ def nelder_mead(f, x0: np.ndarray, step: float = 0.5, tol: float = 1e-9, max_ite
         order = np.argsort(vals)
         pts = [pts[i] for i in order]
         vals = [vals[i] for i in order]
-        if abs(vals[-1] - vals[0]) <= tol * (abs(vals[0]) + tol) and np.max(np.abs(np.array(pts[1:]) - pts[0])) < 1e-7:
+        if abs(vals[-1] - vals[0]) <= tol * (abs(vals[0]) + tol) and np.max(np.abs(np.array(pts[1:]) - pts[0])) < xtol:
             break
         centroid = np.mean(pts[:-1], axis=0)
         xr = centroid + (centroid - pts[-1])
@@ -214,9 +214,7 @@ class Fit:
 
 
 def _starts(p: int, q: int) -> list[np.ndarray]:
-    base = [np.zeros(p + q)]
-    for s in (0.5, -0.5):
-        base.append(np.full(p + q, s))
+    base = [np.zeros(p + q), np.full(p + q, 0.5)]
     if p and q:
         # Near-cancelling AR and MA roots give a flat likelihood ridge.
         base.append(np.r_[np.full(p, -1.5), np.full(q, 2.5)])

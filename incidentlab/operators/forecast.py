@@ -68,6 +68,18 @@ AUTO_SEASONAL_D = (0, 1)
 SEASON = 12
 
 
+def _spread(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Hash-partition the groups of a CPU-heavy grouped map over the cluster.
+
+    A series is a few hundred rows, so AQE would coalesce all groups into one
+    partition and run every fit in one task.  An explicit partition count is
+    not coalesced; the grouped map then reuses this partitioning (no second
+    shuffle)."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *cols)
+
+
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -107,7 +119,7 @@ def fit_arima(
     def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([_fit_rows(pdf, ks, month, value, order, seasonal_d, m, None)], columns=cols)
 
-    return series.select(*ks, month, value).groupBy(*ks).applyInPandas(fit_group, schema)
+    return _spread(series.select(*ks, month, value), ks).groupBy(*ks).applyInPandas(fit_group, schema)
 
 
 def auto_arima(
@@ -146,7 +158,8 @@ def auto_arima(
         row = _fit_rows(pdf, ks, month, value, order, int(first["_sd"]), m, burn_to)
         return pd.DataFrame([row], columns=cols)
 
-    fits = fanned.groupBy(*ks, "_p", "_d", "_q", "_sd").applyInPandas(fit_group, schema)
+    group = [*ks, "_p", "_d", "_q", "_sd"]
+    fits = _spread(fanned, group).groupBy(*group).applyInPandas(fit_group, schema)
     rank = Window.partitionBy(*ks).orderBy(
         F.col("aic").asc_nulls_last(), F.col("p") + F.col("q"), "d", "seasonal_d", "p", "q"
     )
