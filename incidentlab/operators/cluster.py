@@ -83,4 +83,7 @@ def assign_nearest(
             dist = term if dist is None else dist + term
         cands.append(F.struct(dist.alias("d"), F.lit(cid).alias("id")))
     best = F.array_min(F.array(*cands))
-    return df.withColumn(key, best["id"])
+    present = F.lit(True)
+    for c in cols:
+        present = present & F.col(c).isNotNull()
+    return df.withColumn(key, F.when(present, best["id"]))
