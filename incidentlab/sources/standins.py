@@ -140,6 +140,48 @@ def street_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes stand-in as raw feed text."""
+    o = read(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("Crime ID"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("Month"),
+        F.lit("Metropolitan Police Service").alias("Reported by"),
+        F.lit("Metropolitan Police Service").alias("Falls within"),
+        (F.lit(-0.1) - F.col("o_totalprice") / 1e7).cast("string").alias("Longitude"),
+        (F.lit(51.0) + F.col("o_custkey") / 1e4).cast("string").alias("Latitude"),
+        F.lit(None).cast("string").alias("Location"),
+        F.lit(None).cast("string").alias("LSOA code"),
+        F.lit(None).cast("string").alias("LSOA name"),
+        F.col("o_orderstatus").alias("Outcome type"),
+    )
+
+
+def stops_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop-and-search stand-in as raw feed text (timestamp with offset)."""
+    e = read(spark, sf_dir, "events")
+    return e.select(
+        F.lit("Person search").alias("Type"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("Date"),
+        F.lit("False").alias("Part of a policing operation"),
+        F.lit(None).cast("string").alias("Policing operation"),
+        (F.lit(51.0) + F.col("value") / 1000).cast("string").alias("Latitude"),
+        (F.lit(-0.5) + F.col("user_id") / 1000).cast("string").alias("Longitude"),
+        F.lit(None).cast("string").alias("Gender"),
+        F.lit(None).cast("string").alias("Age range"),
+        F.lit(None).cast("string").alias("Self-defined ethnicity"),
+        F.lit(None).cast("string").alias("Officer-defined ethnicity"),
+        F.lit(None).cast("string").alias("Legislation"),
+        F.col("event_type").alias("Object of search"),
+        F.lit("A no further action disposal").alias("Outcome"),
+        F.when(F.col("value") > 50, "True").otherwise("False").alias("Outcome linked to object of search"),
+        F.lit(None).cast("string").alias("Removal of more than just outer clothing"),
+    )
+
+
+RAW_FEEDS = {"street": street_raw, "outcomes": outcomes_raw, "stop_and_search": stops_raw}
+
+
 # DuckDB forms of the same views, used by oracle_sql().
 SQL_VIEWS = {
     "street": """street AS (
