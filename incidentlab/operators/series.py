@@ -38,14 +38,25 @@ def gapfill(
     fill: int | float | None = 0,
 ) -> DataFrame:
     """Every month between each key's first and last month; an absent month
-    gets ``fill`` (``None`` keeps it null, as a plain regular-frequency view)."""
+    gets ``fill`` (``None`` keeps it null, as a plain regular-frequency view).
+
+    One window pass: each present month expands to itself plus the absent
+    months before the key's next present month.  No join, no second
+    aggregation; other columns are null on the added months."""
     ks = _keys(keys)
-    bounds = series.groupBy(*ks).agg(F.min(month).alias("_lo"), F.max(month).alias("_hi"))
-    grid = bounds.select(*ks, F.explode(F.sequence("_lo", "_hi", _one_month())).alias(month))
-    out = grid.join(series, on=[*ks, month], how="left")
-    if fill is not None:
-        out = out.withColumn(value, F.coalesce(F.col(value), F.lit(fill).cast(series.schema[value].dataType)))
-    return out
+    w = Window.partitionBy(*ks).orderBy(month)
+    others = [c for c in series.columns if c not in (*ks, month)]
+    with_next = series.withColumn("_last", F.coalesce(F.add_months(F.lead(month).over(w), -1), F.col(month)))
+    expanded = with_next.select(
+        *ks, *others, F.posexplode(F.sequence(F.col(month), F.col("_last"), _one_month())).alias("_pos", "_month")
+    )
+    dtype = series.schema[value].dataType
+    filler = F.lit(fill).cast(dtype) if fill is not None else F.lit(None).cast(dtype)
+    cols = [*ks, F.col("_month").alias(month)]
+    for c in others:
+        gap = filler if c == value else F.lit(None).cast(series.schema[c].dataType)
+        cols.append(F.when(F.col("_pos") == 0, F.col(c)).otherwise(gap).alias(c))
+    return expanded.select(*cols)
 
 
 def holdout_split(series: DataFrame, keys: str | Sequence[str] | None = None, month: str = "month", horizon: int = 6) -> DataFrame:
