@@ -19,21 +19,45 @@ from incidentlab.operators.sizing import collect_bounded
 MAX_CENTRES = 10_000
 
 
-def assemble(df: DataFrame, cols: Sequence[str] = ("latitude", "longitude"), out: str = "features") -> DataFrame:
-    """Dense feature vector; rows with a null input are dropped first."""
+def assemble(
+    df: DataFrame,
+    cols: Sequence[str] = ("latitude", "longitude"),
+    out: str = "features",
+    lat_weighted: bool = False,
+) -> DataFrame:
+    """Dense feature vector; rows with a null input are dropped first.
+
+    ``lat_weighted`` scales the longitude by cos(latitude) so a degree east
+    counts as the distance it is on the ground (equirectangular projection);
+    the default treats degrees as a plane."""
     clean = df.na.drop(subset=list(cols))
-    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(clean)
+    inputs = list(cols)
+    if lat_weighted:
+        lat, lon = cols[0], cols[1]
+        clean = clean.withColumn("_lon_scaled", F.col(lon) * F.cos(F.radians(F.col(lat))))
+        inputs = [lat, "_lon_scaled", *cols[2:]]
+    out_df = VectorAssembler(inputCols=inputs, outputCol=out).transform(clean)
+    return out_df.drop("_lon_scaled") if lat_weighted else out_df
 
 
-def fit_kmeans(df: DataFrame, k: int = 8, seed: int = 42, cols: Sequence[str] = ("latitude", "longitude"), max_iter: int = 20) -> KMeansModel:
+def fit_kmeans(
+    df: DataFrame,
+    k: int = 8,
+    seed: int = 42,
+    cols: Sequence[str] = ("latitude", "longitude"),
+    max_iter: int = 20,
+    lat_weighted: bool = False,
+) -> KMeansModel:
     """KMeans(k, seed), other settings at Spark's defaults."""
-    data = assemble(df, cols)
+    data = assemble(df, cols, lat_weighted=lat_weighted)
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="prediction").fit(data)
 
 
-def kmeans_assign(df: DataFrame, model: KMeansModel, cols: Sequence[str] = ("latitude", "longitude")) -> DataFrame:
+def kmeans_assign(
+    df: DataFrame, model: KMeansModel, cols: Sequence[str] = ("latitude", "longitude"), lat_weighted: bool = False
+) -> DataFrame:
     """Every input column kept, plus ``features`` and ``prediction``."""
-    return model.transform(assemble(df, cols))
+    return model.transform(assemble(df, cols, lat_weighted=lat_weighted))
 
 
 def kmeans_centres(spark: SparkSession, model: KMeansModel, cols: Sequence[str] = ("latitude", "longitude")) -> DataFrame:

@@ -941,3 +941,82 @@ def q_scan_csv_cast(spark, sf):
     counts = summary.rollup_counts(_pairs(spark, sf), "crime_type")
     path = sinks.write_single_csv(counts, scratch_path(spark, "crime-type-counts-text"))
     return sources.read_summary_text(spark, path, ("count",))
+
+
+# ------------------------------------------------- more feeds, policies
+
+
+def _roundtrip_feed(spark, sf, feed):
+    raw = sv.RAW_FEEDS[feed](spark, sf)
+    base = scratch_path(spark, f"raw-{feed}")
+    month_text = F.substring(F.col(raw.columns[1]), 1, 7)
+    raw.withColumn("folder", month_text).write.mode("overwrite").partitionBy("folder").option("header", True).csv(base)
+    return sources.ingest_feed(spark, feed, f"{base}/*/*.csv")
+
+
+@register(
+    "scan_csv_outcomes",
+    "S2 P1 P2 P6",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS crime_id,
+       'Metropolitan Police Service' AS reported_by, 'Metropolitan Police Service' AS falls_within,
+       -0.1 - o_totalprice / 1e7 AS longitude, 51.0 + o_custkey / 1e4 AS latitude,
+       CAST(NULL AS VARCHAR) AS location, CAST(NULL AS VARCHAR) AS lsoa_code, CAST(NULL AS VARCHAR) AS lsoa_name,
+       o_orderstatus AS outcome_type, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders""",
+)
+def q_scan_csv_outcomes(spark, sf):
+    return _roundtrip_feed(spark, sf, "outcomes")
+
+
+@register(
+    "scan_csv_stops",
+    "S3 P1 P4 P6 D2",
+    """SELECT 'Person search' AS type, 'False' AS part_of_a_policing_operation,
+       CAST(NULL AS VARCHAR) AS policing_operation,
+       51.0 + value / 1000 AS latitude, -0.5 + user_id / 1000 AS longitude,
+       CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS VARCHAR) AS age_range,
+       CAST(NULL AS VARCHAR) AS self_defined_ethnicity, CAST(NULL AS VARCHAR) AS officer_defined_ethnicity,
+       CAST(NULL AS VARCHAR) AS legislation, event_type AS object_of_search,
+       'A no further action disposal' AS outcome,
+       CASE WHEN value > 50 THEN 'True' ELSE 'False' END AS outcome_linked_to_object_of_search,
+       CAST(NULL AS VARCHAR) AS removal_of_more_than_just_outer_clothing,
+       CAST(ts AS DATE) AS date, date_trunc('second', ts) AS event_ts,
+       CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month
+FROM events""",
+)
+def q_scan_csv_stops(spark, sf):
+    return _roundtrip_feed(spark, sf, "stop_and_search")
+
+
+@register(
+    "chi_square_drop_null",
+    "X3 D8",
+    with_views(
+        """SELECT round(SUM((n - e) * (n - e) / e), 4) AS chi2,
+       CAST(((SELECT COUNT(DISTINCT crime_type) FROM kept) - 1)
+          * ((SELECT COUNT(DISTINCT outcome_type) FROM kept) - 1) AS BIGINT) AS dof
+FROM expected""",
+        "pairs",
+        ctes="""kept AS (SELECT * FROM pairs WHERE outcome_type IS NOT NULL),
+grid AS (
+  SELECT r.crime_type, c.outcome_type, COALESCE(p.n, 0) AS n
+  FROM (SELECT DISTINCT crime_type FROM kept) r
+  CROSS JOIN (SELECT DISTINCT outcome_type FROM kept) c
+  LEFT JOIN kept p ON p.crime_type IS NOT DISTINCT FROM r.crime_type AND p.outcome_type = c.outcome_type),
+expected AS (
+  SELECT crime_type, outcome_type, n,
+         SUM(n) OVER (PARTITION BY crime_type) * SUM(n) OVER (PARTITION BY outcome_type) / SUM(n) OVER () AS e
+  FROM grid)""",
+    ),
+)
+def q_chi_square_drop_null(spark, sf):
+    kept = _pairs(spark, sf).filter(F.col("outcome_type").isNotNull())
+    return crosstab.chi_square(kept, "crime_type", "outcome_type", "n")
+
+
+@register("kmeans_lat_weighted", "C2 C3 D12")
+def q_kmeans_lat_weighted(spark, sf):
+    pts = clean.clean_geo(sv.street(spark, sf))
+    model = cluster.fit_kmeans(pts, k=8, seed=42, lat_weighted=True)
+    return cluster.kmeans_assign(pts, model, lat_weighted=True).drop("features")
