@@ -28,22 +28,25 @@ def pair_counts(
     name: str = "n",
 ) -> DataFrame:
     """Row count of ``left ⟕ right`` on ``key`` grouped by (row, col) (A12), exact,
-    without materialising the join rows.
-
-    Each side is first reduced to one row per (key, category) with its count;
-    the join then multiplies counts.  A key held by a third of both feeds stays
-    one row per category pair instead of a product of rows.  Null keys never
-    match: their rows are counted per ``row`` without a join (outcome null).
+    without materialising the joined rows.
+
+    The right side is first reduced to one row per (key, category) with its
+    count, so a key held by a third of the outcomes is a handful of rows and
+    each left row meets at most one right row per category; the join output
+    is then summed (partial aggregation before its shuffle).  Skew of a left
+    key is split by AQE's skew join.  Left rows with a null key never match:
+    they are counted per ``row`` without entering the join, so they are never
+    shuffled to one reducer.
     """
-    left_keyed = (
-        left.filter(F.col(key).isNotNull()).groupBy(key, row).agg(F.count(F.lit(1)).alias("_n_left"))
-    )
     right_keyed = (
         right.filter(F.col(key).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n_right"))
     )
     col_type = right.schema[col].dataType
-    matched = left_keyed.join(right_keyed, on=key, how="left").select(
-        F.col(row), F.col(col), (F.col("_n_left") * F.coalesce(F.col("_n_right"), F.lit(1))).alias(name)
+    matched = (
+        left.filter(F.col(key).isNotNull())
+        .select(key, row)
+        .join(right_keyed, on=key, how="left")
+        .select(F.col(row), F.col(col), F.coalesce(F.col("_n_right"), F.lit(1)).alias(name))
     )
     unkeyed = (
         left.filter(F.col(key).isNull())
