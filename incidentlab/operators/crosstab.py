@@ -12,10 +12,21 @@ from pyspark.sql import functions as F
 
 from incidentlab.functions.stats import chi2_sf
 from incidentlab.operators.sizing import collect_bounded
+from incidentlab.session import ensure_checkpoint_dir
 
 MAX_CATEGORIES = 10_000
 
 
+def materialize(long: DataFrame) -> DataFrame:
+    """Write the category-sized long table once to the checkpoint folder.
+
+    The pivot needs its column values before the plan is built (one job), and
+    the plan then reads the table again; both read this copy instead of
+    recounting the feeds.  A reliable checkpoint also survives executor loss."""
+    ensure_checkpoint_dir(long.sparkSession)
+    return long.checkpoint(eager=True)
+
+
 def category_values(long: DataFrame, col: str, max_values: int = MAX_CATEGORIES) -> list:
     """Distinct values of the pivot column, nulls first, bounded in number."""
     rows = collect_bounded(
@@ -27,7 +38,9 @@ def category_values(long: DataFrame, col: str, max_values: int = MAX_CATEGORIES)
 def crosstab_wide(long: DataFrame, row: str, col: str, n: str = "n", values: list | None = None) -> DataFrame:
     """One row per ``row`` value, one column per ``col`` value, missing cell 0.
     A null ``col`` value becomes a column named 'null'."""
-    values = category_values(long, col) if values is None else values
+    if values is None:
+        long = materialize(long)
+        values = category_values(long, col)
     wide = long.groupBy(row).pivot(col, values).agg(F.sum(n))
     return wide.na.fill(0, subset=wide.columns[1:])
 
@@ -67,6 +80,7 @@ def _with_expected(grid: DataFrame, row: str, col: str, n: str) -> DataFrame:
 
 def chi_square_expected(long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6) -> DataFrame:
     """Observed and expected frequency of every cell of the complete grid."""
+    long = materialize(long)
     values = category_values(long, col)
     g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)
     e = F.round("expected", scale) if scale is not None else F.col("expected")
@@ -79,6 +93,7 @@ def chi_square(long: DataFrame, row: str, col: str, n: str = "n", correction: bo
     Zero cells are part of the grid, so each adds its expected count.  With
     one degree of freedom and ``correction`` the Yates continuity correction
     moves each observed count up to 0.5 towards its expected count."""
+    long = materialize(long)
     values = category_values(long, col)
     n_cols = len(values)
     g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)

@@ -76,7 +76,7 @@ def _spread(df: DataFrame, cols: list[str]) -> DataFrame:
     not coalesced; the grouped map then reuses this partitioning (no second
     shuffle)."""
     spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(spark.sparkContext.defaultParallelism * 8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(n, *cols)
 
 

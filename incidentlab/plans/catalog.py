@@ -265,10 +265,10 @@ def q_peek(spark, sf):
     "X1 P11",
     with_views(
         """SELECT crime_type,
-       SUM(CASE WHEN outcome_type = 'F' THEN n ELSE 0 END) AS "F",
-       SUM(CASE WHEN outcome_type = 'O' THEN n ELSE 0 END) AS "O",
-       SUM(CASE WHEN outcome_type = 'P' THEN n ELSE 0 END) AS "P",
-       SUM(CASE WHEN outcome_type IS NULL THEN n ELSE 0 END) AS "null"
+       CAST(SUM(CASE WHEN outcome_type = 'F' THEN n ELSE 0 END) AS BIGINT) AS "F",
+       CAST(SUM(CASE WHEN outcome_type = 'O' THEN n ELSE 0 END) AS BIGINT) AS "O",
+       CAST(SUM(CASE WHEN outcome_type = 'P' THEN n ELSE 0 END) AS BIGINT) AS "P",
+       CAST(SUM(CASE WHEN outcome_type IS NULL THEN n ELSE 0 END) AS BIGINT) AS "null"
 FROM pairs GROUP BY crime_type""",
         "pairs",
     ),
