@@ -50,15 +50,27 @@ def canon(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark type name -> DuckDB type name, for the schema part of the check.
+TYPE_NAMES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT",
+}
+
+
 def compare(spark, con, fn, sql: str, sf_dir: str) -> tuple[bool, str]:
     df = fn(spark, sf_dir)
     s_cols = df.columns
+    s_types = dict(df.dtypes)
     s_rows = [tuple(r) for r in df.collect()]
     rel = con.sql(sql)
     d_cols = list(rel.columns)
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duckdb={d_cols}"
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    bad = {c: (s_types[c], d_types[c]) for c in s_cols if TYPE_NAMES.get(s_types[c], s_types[c]) != d_types[c]}
+    if bad:
+        return False, f"types differ: {bad}"
     if len(s_rows) != len(d_rows):
         return False, f"row count differs: spark={len(s_rows)} duckdb={len(d_rows)}"
     a, b = canon(s_cols, s_rows), canon(d_cols, d_rows)

@@ -64,6 +64,11 @@ def test_stages_end_to_end(spark, lake):
     total = stages.total_forecast(spark, f"{lake}/clean")
     assert total["forecast"].count() == 6 and total["metrics"].count() == 1
 
+    per_cluster = stages.cluster_forecast(spark, clusters, horizon=2)
+    k = spark.read.parquet(clusters).select("prediction").distinct().count()
+    assert per_cluster["forecast"].count() == 2 * k
+    assert per_cluster["map_layer"].count() == 2 * k
+
 
 def test_streaming_ingest_picks_up_new_files(spark, lake):
     out, ckpt = f"{lake}/stream-out", f"{lake}/stream-ckpt"
