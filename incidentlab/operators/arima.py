@@ -213,8 +213,36 @@ class Fit:
     method: str = "mle"
 
 
-def _starts(p: int, q: int) -> list[np.ndarray]:
-    base = [np.zeros(p + q), np.full(p + q, 0.5)]
+def hannan_rissanen(w: np.ndarray, p: int, q: int) -> np.ndarray | None:
+    """Regression starting values for ARMA(p, q): a long autoregression gives
+    residuals, then w_t is regressed on its own lags and the residual lags.
+    Returned as unconstrained optimiser coordinates, or None when too short."""
+    n = len(w)
+    if p + q == 0:
+        return np.zeros(0)
+    e = np.zeros(n)
+    m = 0
+    if q:
+        m = min(max(p + q + 2, int(np.ceil(np.log(max(n, 2)) ** 2))), n // 3)
+        if m < 1:
+            return None
+        X = np.column_stack([w[m - j - 1 : n - j - 1] for j in range(m)])
+        coef, *_ = np.linalg.lstsq(X, w[m:], rcond=None)
+        e[m:] = w[m:] - X @ coef
+    start = max(p, q) + m
+    if n - start < p + q + 2:
+        return None
+    cols = [w[start - j - 1 : n - j - 1] for j in range(p)] + [e[start - j - 1 : n - j - 1] for j in range(q)]
+    coef, *_ = np.linalg.lstsq(np.column_stack(cols), w[start:], rcond=None)
+    x = np.r_[coeffs_to_pacf(coef[:p]) if p else [], coeffs_to_pacf(-coef[p:]) if q else []]
+    return np.clip(x, -3.0, 3.0) if np.all(np.isfinite(x)) else None
+
+
+def _starts(p: int, q: int, w: np.ndarray) -> list[np.ndarray]:
+    base = [np.zeros(p + q)]
+    hr = hannan_rissanen(w, p, q)
+    if hr is not None and len(hr):
+        base.append(hr)
     if p and q:
         # Near-cancelling AR and MA roots give a flat likelihood ridge.
         base.append(np.r_[np.full(p, -1.5), np.full(q, 2.5)])
@@ -267,7 +295,7 @@ def fit(
 
     if n_params:
         best_x, best_v = None, math.inf
-        for x0 in _starts(p, q):
+        for x0 in _starts(p, q, wc[burn:] if len(wc) - burn > p + q + 4 else wc):
             x, v = nelder_mead(objective, x0)
             if v < best_v:
                 best_x, best_v = x, v
