@@ -35,8 +35,8 @@ def pair_counts(
     each left row meets at most one right row per category; the join output
     is then summed (partial aggregation before its shuffle).  Skew of a left
     key is split by AQE's skew join.  Left rows with a null key never match:
-    they are counted per ``row`` without entering the join, so they are never
-    shuffled to one reducer.
+    they bypass the join and are counted in the same final aggregation, so
+    they never reach one join reducer.
     """
     right_keyed = (
         right.filter(F.col(key).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n_right"))
@@ -48,11 +48,10 @@ def pair_counts(
         .join(right_keyed, on=key, how="left")
         .select(F.col(row), F.col(col), F.coalesce(F.col("_n_right"), F.lit(1)).alias(name))
     )
-    unkeyed = (
-        left.filter(F.col(key).isNull())
-        .groupBy(row)
-        .agg(F.count(F.lit(1)).alias(name))
-        .select(F.col(row), F.lit(None).cast(col_type).alias(col), F.col(name))
+    # Null-key rows skip the join; the partial aggregate above the union
+    # combines them map-side, so they are never shuffled as rows.
+    unkeyed = left.filter(F.col(key).isNull()).select(
+        F.col(row), F.lit(None).cast(col_type).alias(col), F.lit(1).cast("bigint").alias(name)
     )
     return matched.unionByName(unkeyed).groupBy(row, col).agg(F.sum(name).alias(name))
 
