@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +49,15 @@ def fit_kmeans(
     max_iter: int = 20,
     lat_weighted: bool = False,
 ) -> KMeansModel:
-    """KMeans(k, seed), other settings at Spark's defaults."""
-    data = assemble(df, cols, lat_weighted=lat_weighted)
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="prediction").fit(data)
+    """KMeans(k, seed), other settings at Spark's defaults.
+
+    The iterations re-read the input once per pass, so only the feature column
+    is persisted (memory, spilling to disk) for the duration of the fit."""
+    data = assemble(df, cols, lat_weighted=lat_weighted).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="prediction").fit(data)
+    finally:
+        data.unpersist()
 
 
 def kmeans_assign(
