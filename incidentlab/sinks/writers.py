@@ -17,15 +17,18 @@ def write_partitioned_parquet(
 ) -> str:
     """K1: Parquet partitioned by ``by`` (overwrite).
 
-    By default no shuffle: each task sorts its rows by the partition columns
-    and writes one file per partition value it holds.  ``files_per_partition``
-    instead shuffles on (partition columns, a row-hash bucket), so a month
-    holding a third of the data is still written by that many tasks, never one."""
+    By default the rows go through a REBALANCE on the partition columns: AQE
+    shuffles them so each written file is near the advisory partition size,
+    splitting a month that holds a third of the data over many writers and
+    merging small ones.  Without it every task would write one file per month
+    it holds (tasks x months small files after any shuffle).
+    ``files_per_partition`` instead fixes the count: rows are hashed into that
+    many buckets per partition value."""
     if files_per_partition:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in by], bucket)
     else:
-        df = df.sortWithinPartitions(*by)
+        df = df.hint("rebalance", *by)
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
     return path
 
