@@ -878,9 +878,9 @@ def q_scan_csv_glob(spark, sf):
     raw = sv.street_raw(spark, sf)
     base = scratch_path(spark, "raw-street")
     # Month folders, as the feeds arrive: <base>/<folder>/part-*.csv
-    raw.withColumn("folder", F.col("Month")).write.mode("overwrite").partitionBy("folder").option(
-        "header", True
-    ).csv(base)
+    raw.withColumn("folder", F.col("Month")).hint("rebalance", "folder").write.mode("overwrite").partitionBy(
+        "folder"
+    ).option("header", True).csv(base)
     return sources.ingest_feed(spark, "street", f"{base}/*/*.csv")
 
 
@@ -950,7 +950,9 @@ def _roundtrip_feed(spark, sf, feed):
     raw = sv.RAW_FEEDS[feed](spark, sf)
     base = scratch_path(spark, f"raw-{feed}")
     month_text = F.substring(F.col(raw.columns[1]), 1, 7)
-    raw.withColumn("folder", month_text).write.mode("overwrite").partitionBy("folder").option("header", True).csv(base)
+    raw.withColumn("folder", month_text).hint("rebalance", "folder").write.mode("overwrite").partitionBy(
+        "folder"
+    ).option("header", True).csv(base)
     return sources.ingest_feed(spark, feed, f"{base}/*/*.csv")
 
 
