@@ -143,3 +143,41 @@ def load_report(tables: Mapping[str, DataFrame], reject_checks: Mapping[str, Col
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def grouping_set_counts(
+    df: DataFrame,
+    sets: Mapping[str, Sequence[str]],
+    extra_aggs: Sequence[Column] = (),
+    name: str = COUNT,
+) -> DataFrame:
+    """Several group-by counts from ONE scan of ``df``: a GROUPING SETS
+    aggregation (each row is expanded once per set and combined map-side
+    before the single shuffle).  Returns a long table with a ``grouping_set``
+    column naming the set of each row; the grouping columns of other sets are
+    null there.  Split it with ``from_grouping_set``.
+
+    The result has one row per group of each set, so it is summary-sized; a
+    caller that derives several tables from it can checkpoint it once."""
+    cols: list[str] = []
+    for s in sets.values():
+        for c in s:
+            if c not in cols:
+                cols.append(c)
+    n = len(cols)
+    gid_of = {}
+    for set_name, s in sets.items():
+        gid_of[set_name] = sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in s)
+    agg = df.groupingSets([tuple(s) for s in sets.values()], *cols).agg(
+        F.count(F.lit(1)).alias(name), *extra_aggs, F.grouping_id().alias("_gid")
+    )
+    label = None
+    for set_name, gid in gid_of.items():
+        label = (F.when(F.col("_gid") == gid, F.lit(set_name)) if label is None
+                 else label.when(F.col("_gid") == gid, F.lit(set_name)))
+    return agg.withColumn("grouping_set", label).drop("_gid")
+
+
+def from_grouping_set(counts: DataFrame, set_name: str, cols: Sequence[str], *other: str | Column) -> DataFrame:
+    """Rows of one set of ``grouping_set_counts``, with its grouping columns."""
+    return counts.filter(F.col("grouping_set") == set_name).select(*cols, *other)

@@ -1022,3 +1022,31 @@ def q_kmeans_lat_weighted(spark, sf):
     pts = clean.clean_geo(sv.street(spark, sf))
     model = cluster.fit_kmeans(pts, k=8, seed=42, lat_weighted=True)
     return cluster.kmeans_assign(pts, model, lat_weighted=True).drop("features")
+
+
+@register(
+    "summary_grouping_sets",
+    "A5 A6 A7 A8 A9",
+    with_views(
+        """SELECT month, year, crime_type, lsoa_code, lsoa_name, COUNT(*) AS "count",
+       min(latitude) AS min_latitude, max(latitude) AS max_latitude,
+       round(avg(latitude), 6) AS avg_latitude,
+       CASE GROUPING(month, year, crime_type, lsoa_code, lsoa_name)
+            WHEN 15 THEN 'counts_by_month' WHEN 7 THEN 'year_month_trend' WHEN 27 THEN 'crime_types'
+            WHEN 28 THEN 'lsoas' ELSE 'all' END AS grouping_set
+FROM street
+GROUP BY GROUPING SETS ((month), (year, month), (crime_type), (lsoa_code, lsoa_name), ())""",
+        "street",
+    ),
+)
+def q_summary_grouping_sets(spark, sf):
+    sets = {
+        "counts_by_month": ["month"],
+        "year_month_trend": ["year", "month"],
+        "crime_types": ["crime_type"],
+        "lsoas": ["lsoa_code", "lsoa_name"],
+        "all": [],
+    }
+    aggs = [F.min("latitude").alias("min_latitude"), F.max("latitude").alias("max_latitude"),
+            F.round(F.avg("latitude"), 6).alias("avg_latitude")]
+    return summary.grouping_set_counts(sv.street(spark, sf), sets, aggs)

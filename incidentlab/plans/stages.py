@@ -66,27 +66,63 @@ def clean_all(spark: SparkSession, processed_base: str, clean_base: str) -> dict
 # --------------------------------------------------------------- summaries
 
 
+# The count summaries of each feed, as grouping sets.
+STREET_SETS = {
+    "counts_by_month": ["month"],
+    "year_month_trend": ["year", "month"],
+    "crime_types": ["crime_type"],
+    "lsoas": ["lsoa_code", "lsoa_name"],
+    "all": [],
+}
+STOP_SETS = {
+    "counts_by_hour": ["hour"],
+    "counts_by_dow": ["dow"],
+    "stop_object_counts": ["object_of_search"],
+    "stop_outcome_linked_counts": ["outcome_linked_to_object_of_search"],
+}
+
+
 def summaries(spark: SparkSession, clean_base: str) -> dict[str, DataFrame]:
-    """The eleven summary tables.  Type and outcome counts roll up from one
-    (type, outcome) count of the joined feeds; hour and day-of-week use the
-    stop feed's event timestamp (street dates have month grain)."""
+    """The eleven summary tables from three scans in total.
+
+    Street counts (month, year-month, types, areas, coordinate stats) come
+    from one GROUPING SETS pass, stop counts from another, each checkpointed
+    once (they are summary-sized) and split.  Type and outcome counts roll up
+    from one (type, outcome) count of the joined feeds.  Hour and day of week
+    use the stop feed's event timestamp (street dates have month grain)."""
     street = sources.read_parquet_table(spark, _table(clean_base, "street"))
     outcomes = sources.read_parquet_table(spark, _table(clean_base, "outcomes"))
     stops = sources.read_parquet_table(spark, _table(clean_base, "stop_and_search"))
     pairs = summary.pair_counts(street, outcomes, "crime_id", "crime_type", "outcome_type")
-    return {
+
+    coord_aggs = [
+        F.min("latitude").alias("min_latitude"), F.max("latitude").alias("max_latitude"),
+        F.min("longitude").alias("min_longitude"), F.max("longitude").alias("max_longitude"),
+        F.avg("latitude").alias("avg_latitude"), F.avg("longitude").alias("avg_longitude"),
+    ]
+    s = summary.grouping_set_counts(street, STREET_SETS, coord_aggs).checkpoint(eager=True)
+    stop_cols = stops.select(
+        F.hour("event_ts").alias("hour"), F.dayofweek("event_ts").alias("dow"),
+        "object_of_search", "outcome_linked_to_object_of_search",
+    )
+    t = summary.grouping_set_counts(stop_cols, STOP_SETS).checkpoint(eager=True)
+    lsoas = summary.from_grouping_set(s, "lsoas", ["lsoa_code", "lsoa_name"], "count")
+    out = {
         "crime_type_counts": summary.rollup_counts(pairs, "crime_type"),
         "outcome_type_counts": summary.rollup_counts(pairs, "outcome_type"),
-        "counts_by_hour": summary.count_by_hour(stops, "event_ts"),
-        "counts_by_dow": summary.count_by_dow(stops, "event_ts"),
-        "counts_by_month": summary.count_by(street, "month"),
-        "year_month_trend": summary.year_month_trend(street),
-        "distinct_crime_types": summary.distinct_count(street, "crime_type", "distinct_crime_types"),
-        "top10_lsoas": summary.top_areas(street),
-        "coordinate_stats": summary.coord_stats(street),
-        "stop_object_counts": summary.count_by(stops, "object_of_search"),
-        "stop_outcome_linked_counts": summary.count_by(stops, "outcome_linked_to_object_of_search"),
+        "counts_by_month": summary.from_grouping_set(s, "counts_by_month", ["month"], "count"),
+        "year_month_trend": summary.from_grouping_set(s, "year_month_trend", ["year", "month"], "count").orderBy("year", "month"),
+        "distinct_crime_types": summary.from_grouping_set(s, "crime_types", ["crime_type"]).agg(
+            F.count(F.lit(1)).alias("distinct_crime_types")
+        ),
+        "top10_lsoas": summary.top_k(lsoas, 10, "count", ["lsoa_code", "lsoa_name"]),
+        "coordinate_stats": summary.from_grouping_set(
+            s, "all", [], "min_latitude", "max_latitude", "min_longitude", "max_longitude", "avg_latitude", "avg_longitude"
+        ),
     }
+    for name, cols in STOP_SETS.items():
+        out[name] = summary.from_grouping_set(t, name, cols, "count")
+    return out
 
 
 def write_summaries(tables: dict[str, DataFrame], out_base: str) -> dict[str, str]:

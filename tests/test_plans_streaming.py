@@ -50,6 +50,20 @@ def test_stages_end_to_end(spark, lake):
 
     tables = stages.summaries(spark, f"{lake}/clean")
     assert len(tables) == 11
+    # The one-scan grouping-sets summaries equal the direct operators.
+    from incidentlab.operators import summary
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    stops = spark.read.parquet(f"{lake}/clean/stop_and_search")
+    assert rows(tables["counts_by_month"]) == rows(summary.count_by(street, "month"))
+    assert rows(tables["year_month_trend"]) == rows(summary.year_month_trend(street))
+    assert [tuple(r) for r in tables["top10_lsoas"].collect()] == [tuple(r) for r in summary.top_areas(street).collect()]
+    assert rows(tables["coordinate_stats"]) == rows(summary.coord_stats(street))
+    assert rows(tables["distinct_crime_types"]) == rows(summary.distinct_count(street, "crime_type", "distinct_crime_types"))
+    assert rows(tables["counts_by_hour"]) == rows(summary.count_by_hour(stops))
+    assert rows(tables["stop_object_counts"]) == rows(summary.count_by(stops, "object_of_search"))
     paths = stages.write_summaries(tables, f"{lake}/eda")
     assert spark.read.option("header", True).csv(paths["crime_type_counts"]).count() == 3
     assert tables["counts_by_hour"].count() > 1  # the time of day survived ingest
