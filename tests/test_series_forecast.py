@@ -156,3 +156,18 @@ def test_residuals_align_with_months(spark):
     assert len(res) == 29 and res[0]["month"] == dt.date(2020, 2, 1)
     table = series.standardized_residuals(forecast.residuals(params, "key"), "key", "month", "resid")
     assert table.filter((F.col("bucket") < 0) | (F.col("bucket") > 9)).count() == 0
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=12, unique=True))
+def test_gapfill_row_count_property(spark, offsets):
+    # A gap-filled series has exactly months_between(first, last) + 1 rows.
+    rows = [("k", dt.date(2020 + o // 12, o % 12 + 1, 1), 1) for o in offsets]
+    df = spark.createDataFrame(rows, "key string, month date, n bigint")
+    out = series.gapfill(df, "key").collect()
+    assert len(out) == max(offsets) - min(offsets) + 1
+    assert sum(r["n"] for r in out) == len(offsets)
