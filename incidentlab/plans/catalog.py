@@ -342,17 +342,23 @@ def q_chi_square_test(spark, sf):
     "crosstab_top_rows",
     "X5 T5 D5",
     with_views(
-        """SELECT crime_type, outcome_type, n,
-       round(n * 100.0 / SUM(n) OVER (PARTITION BY crime_type), 6) AS pct
-FROM pairs WHERE crime_type IN (SELECT crime_type FROM top)""",
-        "pairs",
-        ctes="""top AS (
-  SELECT crime_type FROM (SELECT crime_type, SUM(n) AS t FROM pairs GROUP BY 1)
-  ORDER BY t DESC, crime_type NULLS FIRST LIMIT 2)""",
+        """SELECT lsoa_code, outcome_type, n,
+       round(n * 100.0 / SUM(n) OVER (PARTITION BY lsoa_code), 6) AS pct
+FROM area_pairs WHERE lsoa_code IN (SELECT lsoa_code FROM top)""",
+        "street",
+        "outcomes",
+        ctes="""area_pairs AS (
+  SELECT s.lsoa_code, o.outcome_type, COUNT(*) AS n
+  FROM street s LEFT JOIN outcomes o ON s.crime_id = o.crime_id GROUP BY 1, 2),
+top AS (
+  SELECT lsoa_code FROM (SELECT lsoa_code, SUM(n) AS t FROM area_pairs GROUP BY 1)
+  ORDER BY t DESC, lsoa_code NULLS FIRST LIMIT 5)""",
     ),
 )
 def q_crosstab_top_rows(spark, sf):
-    return crosstab.crosstab_top_rows(_pairs(spark, sf), "crime_type", "outcome_type", "n", top=2)
+    # Area x outcome rows: 100+ areas, so the top-5 cut is exercised.
+    pairs = summary.pair_counts(sv.street(spark, sf), sv.outcomes(spark, sf), "crime_id", "lsoa_code", "outcome_type")
+    return crosstab.crosstab_top_rows(pairs, "lsoa_code", "outcome_type", "n", top=5)
 
 
 # ------------------------------------------------------- cleaning (P, R)
