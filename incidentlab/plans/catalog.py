@@ -333,9 +333,26 @@ def q_chi_square_expected(spark, sf):
     return crosstab.chi_square_expected(_pairs(spark, sf), "crime_type", "outcome_type", "n")
 
 
-@register("chi_square_test", "X3 K5")
+@register(
+    "chi_square_test",
+    "X3 K5",
+    # Oracle p-value: for an even dof the chi-square tail is
+    # exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!  (the stand-in has dof = 6).
+    with_views(
+        """SELECT round(x, 4) AS chi2,
+       round((SELECT sum(exp(i * ln(x / 2) - lgamma(i + 1))) FROM range(CAST(dof / 2 AS BIGINT)) t(i)) * exp(-x / 2), 6) AS p,
+       dof
+FROM (SELECT SUM((n - e) * (n - e) / e) AS x,
+             CAST(((SELECT COUNT(DISTINCT crime_type) FROM pairs) - 1)
+                * ((SELECT COUNT(*) FROM (SELECT DISTINCT outcome_type FROM pairs)) - 1) AS BIGINT) AS dof
+      FROM expected)""",
+        "pairs",
+        ctes=_GRID_SQL,
+    ),
+)
 def q_chi_square_test(spark, sf):
-    return crosstab.chi_square_test(_pairs(spark, sf), "crime_type", "outcome_type", "n")
+    t = crosstab.chi_square_test(_pairs(spark, sf), "crime_type", "outcome_type", "n")
+    return t.select(F.round("chi2", 4).alias("chi2"), F.round("p", 6).alias("p"), "dof")
 
 
 @register(
