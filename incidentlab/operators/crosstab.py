@@ -66,16 +66,19 @@ def crosstab_percent(long: DataFrame, row: str, col: str, n: str = "n", scale: i
 
 
 def _with_expected(grid: DataFrame, row: str, col: str, n: str) -> DataFrame:
-    # Windows over the grid: it has (#rows x #cols) cells, a category-sized
-    # table, so the grand total over one partition is cheap.
-    everything = Window.partitionBy()
-    return (
-        grid.withColumn("_row_total", F.sum(n).over(Window.partitionBy(row)))
-        .withColumn("_col_total", F.sum(n).over(Window.partitionBy(col)))
-        .withColumn("_total", F.sum(n).over(everything))
-        .withColumn("_cells", F.count(F.lit(1)).over(everything))
-        .withColumn("expected", F.col("_row_total") * F.col("_col_total") / F.col("_total"))
-    )
+    """Cells with row total, column total, grand total and expected count.
+
+    Row totals are a window partitioned by row (distributed).  Column totals
+    form a table of at most ``MAX_CATEGORIES`` rows (the pivot values are
+    bounded); the grand total is summed over that small table and the result
+    is broadcast back by an equi-join on the column value (null-safe, since a
+    null outcome is a category).  No window spans the whole grid."""
+    col_totals = grid.groupBy(col).agg(F.sum(n).alias("_col_total"))
+    col_totals = col_totals.withColumn("_total", F.sum("_col_total").over(Window.partitionBy()))
+    col_totals = F.broadcast(col_totals.withColumnRenamed(col, "_col"))
+    g = grid.withColumn("_row_total", F.sum(n).over(Window.partitionBy(row)))
+    g = g.join(col_totals, g[col].eqNullSafe(col_totals["_col"]), "inner").drop("_col")
+    return g.withColumn("expected", F.col("_row_total") * F.col("_col_total") / F.col("_total"))
 
 
 def chi_square_expected(long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6) -> DataFrame:
@@ -97,15 +100,18 @@ def chi_square(long: DataFrame, row: str, col: str, n: str = "n", correction: bo
     values = category_values(long, col)
     n_cols = len(values)
     g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)
-    n_rows = F.col("_cells") / F.lit(n_cols)
-    dof = ((n_rows - 1) * (n_cols - 1)).cast("bigint")
     o = F.col(n).cast("double")
     diff = F.col("expected") - o
-    if correction:
-        o = F.when(dof == 1, o + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))).otherwise(o)
+    # One degree of freedom needs exactly two rows and two columns; the row
+    # check reads at most three distinct values.
+    yates = correction and n_cols == 2 and long.select(row).distinct().limit(3).count() == 2
+    if yates:
+        o = o + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
     term = (o - F.col("expected")) ** 2 / F.col("expected")
     stat = F.sum(term)
-    return g.agg((F.round(stat, scale) if scale is not None else stat).alias("chi2"), F.first(dof).alias("dof"))
+    # The grid has exactly (#rows x #cols) cells.
+    dof = ((F.count(F.lit(1)) / F.lit(n_cols) - 1) * (n_cols - 1)).cast("bigint")
+    return g.agg((F.round(stat, scale) if scale is not None else stat).alias("chi2"), dof.alias("dof"))
 
 
 def chi_square_test(long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True) -> DataFrame:
