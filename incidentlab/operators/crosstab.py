@@ -81,23 +81,37 @@ def _with_expected(grid: DataFrame, row: str, col: str, n: str) -> DataFrame:
     return g.withColumn("expected", F.col("_row_total") * F.col("_col_total") / F.col("_total"))
 
 
-def chi_square_expected(long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6) -> DataFrame:
-    """Observed and expected frequency of every cell of the complete grid."""
-    long = materialize(long)
-    values = category_values(long, col)
+def chi_square_expected(
+    long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6, values: list | None = None
+) -> DataFrame:
+    """Observed and expected frequency of every cell of the complete grid.
+    ``values``: the column categories when the caller already has them (the
+    long table is then used as given, e.g. already checkpointed)."""
+    if values is None:
+        long = materialize(long)
+        values = category_values(long, col)
     g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)
     e = F.round("expected", scale) if scale is not None else F.col("expected")
     return g.select(row, col, F.col(n).alias("observed"), e.alias("expected"))
 
 
-def chi_square(long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True, scale: int | None = 4) -> DataFrame:
+def chi_square(
+    long: DataFrame,
+    row: str,
+    col: str,
+    n: str = "n",
+    correction: bool = True,
+    scale: int | None = 4,
+    values: list | None = None,
+) -> DataFrame:
     """X3 statistic: one row ``(chi2, dof)``.
 
     Zero cells are part of the grid, so each adds its expected count.  With
     one degree of freedom and ``correction`` the Yates continuity correction
     moves each observed count up to 0.5 towards its expected count."""
-    long = materialize(long)
-    values = category_values(long, col)
+    if values is None:
+        long = materialize(long)
+        values = category_values(long, col)
     n_cols = len(values)
     g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)
     o = F.col(n).cast("double")
@@ -114,9 +128,11 @@ def chi_square(long: DataFrame, row: str, col: str, n: str = "n", correction: bo
     return g.agg((F.round(stat, scale) if scale is not None else stat).alias("chi2"), dof.alias("dof"))
 
 
-def chi_square_test(long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True) -> DataFrame:
+def chi_square_test(
+    long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True, values: list | None = None
+) -> DataFrame:
     """X3 + K5: ``(chi2, p, dof)``; p from the chi-square survival function."""
-    stats = chi_square(long, row, col, n, correction, scale=None)
+    stats = chi_square(long, row, col, n, correction, scale=None, values=values)
     return stats.select("chi2", chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p"), "dof")
 
 

@@ -151,14 +151,15 @@ def outcome_analysis(spark: SparkSession, clean_base: str, top: int = 5, null_po
     pairs = summary.pair_counts(street, outcomes, "crime_id", "crime_type", "outcome_type")
     if null_policy == "drop":
         pairs = pairs.filter(F.col("outcome_type").isNotNull())
-    # The long table is category-sized; keep it for the five consumers below.
-    pairs = pairs.checkpoint(eager=True)
+    # The long table is category-sized; write it once for the consumers below.
+    pairs = crosstab.materialize(pairs)
+    values = crosstab.category_values(pairs, "outcome_type")
     return {
-        "crosstab": crosstab.crosstab_wide(pairs, "crime_type", "outcome_type"),
+        "crosstab": crosstab.crosstab_wide(pairs, "crime_type", "outcome_type", values=values),
         "crosstab_long": pairs,
         "percent": crosstab.crosstab_percent(pairs, "crime_type", "outcome_type"),
-        "expected": crosstab.chi_square_expected(pairs, "crime_type", "outcome_type"),
-        "chi_square": crosstab.chi_square_test(pairs, "crime_type", "outcome_type"),
+        "expected": crosstab.chi_square_expected(pairs, "crime_type", "outcome_type", values=values),
+        "chi_square": crosstab.chi_square_test(pairs, "crime_type", "outcome_type", values=values),
         "top_profile": crosstab.crosstab_top_rows(pairs, "crime_type", "outcome_type", top=top),
     }
 
