@@ -6,3 +6,20 @@ with the same shape.
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions by value, so the Python code of the
+    grouped maps and UDFs travels with each task and executors need not have
+    the package installed (nor the driver's working directory)."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # older cloudpickle: executors then need the package installed
+        pass
+
+
+_ship_by_value()
