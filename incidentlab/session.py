@@ -28,16 +28,37 @@ SCALE_CONF = {
 }
 
 
+# Large-cluster profile (100 TB, ~1000 executors): 256 MB input splits and
+# shuffle partitions (about 400k scan tasks at 100 TB), coalescing that
+# respects the advisory size instead of maximising task count, and a skewed
+# partition is one over 5x the median and over 1 GB.  Size
+# spark.sql.shuffle.partitions to about total shuffle bytes / 256 MB; AQE
+# coalesces the surplus.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int = 8,
     app_name: str = "incidentlab",
     extra: dict | None = None,
+    profile: str = "local",
 ) -> SparkSession:
+    """``profile='cluster'`` adds CLUSTER_CONF; 'local' keeps Spark's
+    parallelism-first defaults, which suit small local data."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SCALE_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
