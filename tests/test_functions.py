@@ -94,3 +94,21 @@ def test_chi2_survival_known_values():
     x = 7.3
     closed = sum((x / 2) ** i / math.factorial(i) for i in range(3)) * math.exp(-x / 2)
     assert chi2_sf_scalar(x, 6) == pytest.approx(closed, rel=1e-12)
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=40)), min_size=1, max_size=20))
+def test_text_normalisation_property(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    once = df.select(ascii_lower_trim("t").alias("t"))
+    twice = once.select(ascii_lower_trim("t").alias("t"))
+    a, b = [r[0] for r in once.collect()], [r[0] for r in twice.collect()]
+    assert a == b  # idempotent
+    for src, out in zip(texts, a):
+        assert (src is None) == (out is None)
+        if out is not None:
+            assert out.isascii() and out == out.lower() and not out.startswith(" ") and not out.endswith(" ")
