@@ -22,10 +22,20 @@ def join_outcomes(
     right: DataFrame,
     key: str = "crime_id",
     cols: Sequence[str] = ("outcome_type",),
+    hot_fraction: float | None = None,
+    hot_sample: float = 0.01,
 ) -> DataFrame:
     """``left`` left-outer-join ``right.select(key, *cols)`` on ``key``.
 
-    Null keys keep null outcomes; a key with several outcomes fans out."""
+    Null keys keep null outcomes; a key with several outcomes fans out.
+    With ``hot_fraction`` the keys holding at least that share of the left
+    rows are found first (``skew.hot_keys``) and joined apart (broadcast or
+    salted, ``skew.split_left_join``); otherwise AQE's skew join splits them."""
+    if hot_fraction is not None:
+        from incidentlab.operators import skew
+
+        hot = skew.hot_keys(left, key, fraction=hot_fraction, sample=hot_sample)
+        return skew.split_left_join(left, right, key, cols, hot)
     r = right.select(key, *cols).filter(F.col(key).isNotNull())
     keyed = left.filter(F.col(key).isNotNull()).join(r, on=key, how="left")
     types = {f.name: f.dataType for f in right.schema.fields}

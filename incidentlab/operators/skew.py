@@ -1,0 +1,79 @@
+"""Hot-key split for the left outer join of incidents with outcomes.
+
+A key that holds a large share of the left rows would put all of them on one
+reducer of a sort-merge join.  ``hot_keys`` finds such keys from a sample
+(detection only: every row is still joined) and confirms them with exact
+counts.  Keys over ``fraction`` of the rows number at most 1 / fraction, so the
+list brought to the driver has a proven bound.  ``split_left_join`` then
+joins the hot keys separately:
+
+* their right-side rows are broadcast when a size check passes, so the hot
+  left rows are not shuffled at all;
+* otherwise the hot right rows are replicated over ``salt`` buckets and each
+  hot left row picks one bucket, so a hot key is spread over ``salt`` reducers.
+
+Cold keys take the ordinary shuffle join; null keys bypass the join.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from incidentlab.operators.sizing import collect_bounded, row_count_at_most
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float = 0.01, sample: float = 0.01, seed: int = 7) -> list:
+    """Keys holding at least ``fraction`` of the non-null-key rows.
+
+    Candidates are keys over half the threshold in a seeded sample (at most
+    2 / fraction of them); their exact counts then decide.  Only the sample and
+    the candidate rows are aggregated, never every key."""
+    keyed = df.filter(F.col(key).isNotNull())
+    bound = math.ceil(1.0 / fraction)
+    sampled = keyed.sample(withReplacement=False, fraction=sample, seed=seed)
+    sample_total = sampled.count()
+    if sample_total == 0:
+        return []
+    cand_df = sampled.groupBy(key).count().filter(F.col("count") >= fraction * sample_total / 2.0).select(key)
+    cands = [r[0] for r in collect_bounded(cand_df, 2 * bound, "hot-key candidates")]
+    if not cands:
+        return []
+    total = keyed.count()
+    exact = keyed.filter(F.col(key).isin(cands)).groupBy(key).count()
+    return [r[0] for r in collect_bounded(exact.filter(F.col("count") >= fraction * total).select(key), bound, "hot keys")]
+
+
+def split_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    cols: Sequence[str],
+    hot: list,
+    max_broadcast_rows: int = 1_000_000,
+    salt: int = 64,
+) -> DataFrame:
+    """``left ⟕ right.select(key, *cols)`` with the ``hot`` keys joined apart."""
+    r = right.select(key, *cols).filter(F.col(key).isNotNull())
+    types = {f.name: f.dataType for f in right.schema.fields}
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    cold = left.filter(F.col(key).isNotNull() & ~is_hot).join(r.filter(~is_hot), on=key, how="left")
+    unkeyed = left.filter(F.col(key).isNull()).select(
+        *[F.col(c) for c in left.columns], *[F.lit(None).cast(types[c]).alias(c) for c in cols]
+    )
+    out = cold.unionByName(unkeyed)
+    if not hot:
+        return out
+    hot_left = left.filter(is_hot)
+    hot_right = r.filter(is_hot)
+    if row_count_at_most(hot_right, max_broadcast_rows):
+        hot_joined = hot_left.join(F.broadcast(hot_right), on=key, how="left")
+    else:
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt))
+        salted_left = hot_left.withColumn("_salt", bucket)
+        salted_right = hot_right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        hot_joined = salted_left.join(salted_right, on=[key, "_salt"], how="left").drop("_salt")
+    return out.unionByName(hot_joined)

@@ -72,6 +72,21 @@ def q_join_left_outcomes(spark, sf):
     return join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"])
 
 
+_J1_SQL = with_views(
+    """SELECT s.crime_id, s.crime_type, s.date, o.outcome_type
+FROM street s LEFT JOIN (SELECT crime_id, outcome_type FROM outcomes) o ON s.crime_id = o.crime_id""",
+    "street",
+    "outcomes",
+)
+
+
+@register("join_left_outcomes_split", "J1", _J1_SQL)
+def q_join_left_outcomes_split(spark, sf):
+    # Hot-key split exercised on the stand-in: orders with the most lines count as hot.
+    s = sv.street(spark, sf).select("crime_id", "crime_type", "date")
+    return join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"], hot_fraction=1e-4, hot_sample=0.05)
+
+
 # ---------------------------------------------------------- aggregations (A)
 
 

@@ -140,3 +140,22 @@ def test_pair_counts_property(spark, rows):
     outcomes = spark.createDataFrame([(i, o) for i, o in rows], "crime_id bigint, outcome_type string")
     total = sum(r[2] for r in summary.pair_counts(street, outcomes).collect())
     assert total == join.join_outcomes(street, outcomes).count()
+
+
+def test_split_left_join_equals_plain_join(spark):
+    from incidentlab.operators import skew
+
+    # Key 5 holds most of the left rows; key 6 a few; nulls too.
+    left_rows = [(5, f"t{i % 3}") for i in range(3000)] + [(6, "a")] * 5 + [(None, "n")] * 7 + [(i, "c") for i in range(100, 400)]
+    left = spark.createDataFrame(left_rows, "crime_id bigint, crime_type string")
+    right = spark.createDataFrame(
+        [(5, "x"), (5, "y"), (6, "z"), (150, "w"), (None, "orphan")], "crime_id bigint, outcome_type string"
+    )
+    hot = skew.hot_keys(left, "crime_id", fraction=0.05, sample=0.5)
+    assert hot == [5]
+    plain = join.join_outcomes(left, right)
+    norm = lambda df: sorted((r[0] if r[0] is not None else -1, r[1], r[2] or "") for r in df.collect())
+    expected = norm(plain)
+    assert norm(skew.split_left_join(left, right, "crime_id", ["outcome_type"], hot)) == expected
+    # Force the salted path: the hot right side is over the broadcast bound.
+    assert norm(skew.split_left_join(left, right, "crime_id", ["outcome_type"], hot, max_broadcast_rows=1, salt=8)) == expected
