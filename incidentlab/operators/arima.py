@@ -330,11 +330,16 @@ def fit(
     comparison); default is every differenced point."""
     y = np.asarray(y, dtype=float)
     p, d, q = order
+    if len(y) == 0:
+        raise ValueError("empty series")
     poly = diff_poly(d, seasonal_d, m)
     k = len(poly) - 1
-    out = Fit(p, d, q, seasonal_d, m)
     if len(y) <= k:
-        raise ValueError("series shorter than its differencing")
+        # Shorter than its differencing: fall back to a mean model.
+        d = seasonal_d = 0
+        poly = diff_poly(0, 0, m)
+        k = 0
+    out = Fit(p, d, q, seasonal_d, m)
     w = difference(y, poly)
     with_mean = k == 0
     mu = float(np.mean(w)) if with_mean else 0.0
@@ -354,8 +359,11 @@ def fit(
         return phi, theta
 
     def objective(x):
-        phi, theta = split(x)
-        res = kalman3(wc, phi, theta, burn)
+        try:
+            phi, theta = split(x)
+            res = kalman3(wc, phi, theta, burn)
+        except (np.linalg.LinAlgError, ValueError, OverflowError, ZeroDivisionError, FloatingPointError):
+            return 1e300  # outside the usable region: treat as infinitely bad
         if not np.isfinite(res.loglik):
             return 1e300
         return -res.loglik

@@ -67,6 +67,8 @@ def test_fit_degenerate_series():
     assert f.method == "degenerate" and np.allclose(m, 7.0) and np.allclose(se, 0.0)
     f = arima.fit(np.array([3.0, 5.0, 4.0]), (1, 1, 1))  # three points only
     assert f.method == "degenerate" and len(arima.forecast_fit(f, 2)[0]) == 2
+    f = arima.fit(np.array([5.0]), (1, 1, 1), seasonal_d=1)  # shorter than its differencing
+    assert (f.d, f.seasonal_d) == (0, 0) and np.allclose(arima.forecast_fit(f, 2)[0], 5.0)
 
 
 def test_pacf_transform_round_trip():
