@@ -103,63 +103,15 @@ class FilterResult:
 
 
 def kalman(w: np.ndarray, phi: np.ndarray, theta: np.ndarray, burn: int = 0) -> FilterResult:
-    """Exact concentrated likelihood of a zero-mean ARMA; the first ``burn``
-    one-step errors are filtered but left out of the likelihood.
+    """Exact concentrated likelihood of a zero-mean ARMA with p <= 3, q <= 2
+    (state size <= 3); the first ``burn`` one-step errors are filtered but left
+    out of the likelihood.
 
-    The state is tiny (r <= 3 for the orders used here), so the recursion runs
-    on Python floats; once the covariance reaches its steady state only the
-    state mean is updated."""
-    T, R = arma_matrices(phi, theta)
-    r = T.shape[0]
-    col = [float(T[i, 0]) for i in range(r)]
-    rr = np.outer(R, R).tolist()
-    P = stationary_cov(T, R).tolist()
-    a = [0.0] * r
-    att, ptt = a, P
-    ss, logdet, n = 0.0, 0.0, 0
-    resid = np.empty(len(w))
-    steady = False
-    F = P[0][0]
-    log_f = math.log(F) if F > 0 else 0.0
-    for t in range(len(w)):
-        v = float(w[t]) - a[0]
-        if not steady:
-            F = P[0][0] if P[0][0] > 1e-12 else 1e-12
-            log_f = math.log(F)
-            pz = [P[i][0] for i in range(r)]
-        g = v / F
-        att = [a[i] + pz[i] * g for i in range(r)]
-        resid[t] = v / math.sqrt(F)
-        if t >= burn:
-            ss += v * g
-            logdet += log_f
-            n += 1
-        a = [col[i] * att[0] + (att[i + 1] if i + 1 < r else 0.0) for i in range(r)]
-        if not steady:
-            ptt = [[P[i][j] - pz[i] * pz[j] / F for j in range(r)] for i in range(r)]
-            tm = [[col[i] * ptt[0][j] + (ptt[i + 1][j] if i + 1 < r else 0.0) for j in range(r)] for i in range(r)]
-            nxt = [
-                [col[j] * tm[i][0] + (tm[i][j + 1] if j + 1 < r else 0.0) + rr[i][j] for j in range(r)]
-                for i in range(r)
-            ]
-            change = max(abs(nxt[i][j] - P[i][j]) for i in range(r) for j in range(r))
-            P = nxt
-            steady = change < 1e-13
-    sigma2 = ss / n if n else float("nan")
-    if n and sigma2 > 0:
-        loglik = -0.5 * (n * (LOG_2PI + 1.0 + math.log(sigma2)) + logdet)
-    else:
-        loglik = float("nan")
-    return FilterResult(sigma2, loglik, n, np.array(att), np.array(ptt), resid)
-
-
-def kalman3(w: np.ndarray, phi: np.ndarray, theta: np.ndarray, burn: int = 0) -> FilterResult:
-    """Same filter as ``kalman`` for states of size <= 3, written out on
-    scalars (the companion state is zero-padded to 3, which leaves the model
-    unchanged).  About twice as fast as the general loop."""
+    The recursion is written out on scalars for a state zero-padded to 3,
+    which leaves the model unchanged and avoids small-array overhead."""
     r = max(len(phi), len(theta) + 1, 1)
     if r > 3:
-        return kalman(w, phi, theta, burn)
+        raise ValueError("state size above 3 (p <= 3, q <= 2 supported)")
     T, R = arma_matrices(phi, theta)
     P0 = stationary_cov(T, R)
     c = [0.0, 0.0, 0.0]
@@ -332,6 +284,8 @@ def fit(
     p, d, q = order
     if len(y) == 0:
         raise ValueError("empty series")
+    if order[0] > 3 or order[2] > 2:
+        raise ValueError("orders up to p = 3, q = 2 are supported")
     poly = diff_poly(d, seasonal_d, m)
     k = len(poly) - 1
     if len(y) <= k:
@@ -361,7 +315,7 @@ def fit(
     def objective(x):
         try:
             phi, theta = split(x)
-            res = kalman3(wc, phi, theta, burn)
+            res = kalman(wc, phi, theta, burn)
         except (np.linalg.LinAlgError, ValueError, OverflowError, ZeroDivisionError, FloatingPointError):
             return 1e300  # outside the usable region: treat as infinitely bad
         if not np.isfinite(res.loglik):
@@ -377,7 +331,7 @@ def fit(
         phi, theta = split(best_x)
     else:
         phi, theta = np.zeros(0), np.zeros(0)
-    res = kalman3(wc, phi, theta, burn)
+    res = kalman(wc, phi, theta, burn)
     if not np.isfinite(res.sigma2) or res.sigma2 <= 0:
         res.sigma2 = 0.0
     out.phi, out.theta = [float(v) for v in phi], [float(v) for v in theta]
