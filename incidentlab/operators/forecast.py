@@ -139,6 +139,9 @@ def auto_arima(
     ks = _keys(keys)
     cands = [(p, d, q, sd) for p in p_values for d in d_values for q in q_values for sd in seasonal_d_values]
     burn_to = max(d + m * sd for _, d, _, sd in cands)
+    # A series too short for the seasonal candidates is fitted on the others,
+    # conditioned on their own largest differencing (same for all its candidates).
+    short_burn = max(d for _, d, _, sd in cands if sd == 0) if any(sd == 0 for *_, sd in cands) else burn_to
     cand_col = F.array(
         *[
             F.struct(F.lit(p).alias("_p"), F.lit(d).alias("_d"), F.lit(q).alias("_q"), F.lit(sd).alias("_sd"))
@@ -152,9 +155,13 @@ def auto_arima(
     def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
         order = (int(first["_p"]), int(first["_d"]), int(first["_q"]))
+        sd = int(first["_sd"])
+        burn = burn_to
         if len(pdf) <= burn_to + 2:
-            return pd.DataFrame([], columns=cols)
-        row = _fit_rows(pdf, ks, month, value, order, int(first["_sd"]), m, burn_to)
+            if sd or len(pdf) <= short_burn:
+                return pd.DataFrame([], columns=cols)
+            burn = short_burn
+        row = _fit_rows(pdf, ks, month, value, order, sd, m, burn)
         return pd.DataFrame([row], columns=cols)
 
     group = [*ks, "_p", "_d", "_q", "_sd"]

@@ -173,3 +173,12 @@ def test_gapfill_row_count_property(spark, offsets):
     out = series.gapfill(df, "key").collect()
     assert len(out) == max(offsets) - min(offsets) + 1
     assert sum(r["n"] for r in out) == len(offsets)
+
+
+def test_auto_arima_short_series_still_gets_a_model(spark):
+    long_s = _series_df(spark, _simulate(0.5, 0.2, 40, 6) * 10, "long")
+    short_s = _series_df(spark, [12, 15, 11, 14, 16, 13, 15, 17], "short")
+    best = {r["key"]: r for r in forecast.auto_arima(long_s.unionByName(short_s), "key",
+                                                      p_values=(0, 1), q_values=(0, 1)).collect()}
+    assert set(best) == {"long", "short"}
+    assert best["short"]["seasonal_d"] == 0
