@@ -103,3 +103,17 @@ def test_streaming_ingest_picks_up_new_files(spark, lake):
     both = spark.read.parquet(out)
     assert both.count() > first
     assert both.select("year", "month").distinct().count() == 2
+
+
+def test_cli_runs_stages(spark, lake):
+    from incidentlab.plans.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="cli-")
+    assert main(["ingest", "--raw", f"{lake}/raw", "--processed", f"{out}/processed"]) == 0
+    assert main(["clean", "--processed", f"{out}/processed", "--clean", f"{out}/clean"]) == 0
+    assert main(["summaries", "--clean", f"{out}/clean", "--out", f"{out}/eda"]) == 0
+    assert main(["outcomes", "--clean", f"{out}/clean", "--out", f"{out}/analysis"]) == 0
+    assert sorted(os.listdir(f"{out}/eda"))[:2] == ["coordinate_stats", "counts_by_dow"]
+    chi = spark.read.option("header", True).csv(f"{out}/analysis/chi_square").collect()[0]
+    assert int(chi["dof"]) > 0
+
