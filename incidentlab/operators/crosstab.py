@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from incidentlab.functions.stats import chi2_sf
 from incidentlab.operators.sizing import collect_bounded
-from incidentlab.session import ensure_checkpoint_dir
+from incidentlab.session import checkpoint
 
 MAX_CATEGORIES = 10_000
 
@@ -23,8 +23,7 @@ def materialize(long: DataFrame) -> DataFrame:
     The pivot needs its column values before the plan is built (one job), and
     the plan then reads the table again; both read this copy instead of
     recounting the feeds.  A reliable checkpoint also survives executor loss."""
-    ensure_checkpoint_dir(long.sparkSession)
-    return long.checkpoint(eager=True)
+    return checkpoint(long)
 
 
 def category_values(long: DataFrame, col: str, max_values: int = MAX_CATEGORIES) -> list:

@@ -27,7 +27,7 @@ from incidentlab.functions import (
     parse_year_month,
     to_double,
 )
-from incidentlab.session import scratch_path
+from incidentlab.session import checkpoint, scratch_path
 from incidentlab.sources.standins import with_views
 
 
@@ -623,15 +623,21 @@ def q_map_layer(spark, sf):
     return maplayer.map_layer(sv.hotspot_series(spark, sf), cluster.cluster_centroids(sv.points(spark, sf)))
 
 
+def _clean_points(spark, sf):
+    """Cleaned street points, written once: the KMeans fit and the assignment
+    both read them (as the clean table is read from storage in the stages)."""
+    return checkpoint(clean.clean_geo(sv.street(spark, sf)))
+
+
 @register("kmeans_fit", "C1 C2")
 def q_kmeans_fit(spark, sf):
-    pts = clean.clean_geo(sv.street(spark, sf))
+    pts = _clean_points(spark, sf)
     return cluster.kmeans_centres(spark, cluster.fit_kmeans(pts, k=8, seed=42))
 
 
 @register("kmeans_assign", "C3 D4")
 def q_kmeans_assign(spark, sf):
-    pts = clean.clean_geo(sv.street(spark, sf))
+    pts = _clean_points(spark, sf)
     model = cluster.fit_kmeans(pts, k=8, seed=42)
     return cluster.kmeans_assign(pts, model).drop("features")
 
@@ -1057,7 +1063,7 @@ def q_chi_square_drop_null(spark, sf):
 
 @register("kmeans_lat_weighted", "C2 C3 D12")
 def q_kmeans_lat_weighted(spark, sf):
-    pts = clean.clean_geo(sv.street(spark, sf))
+    pts = _clean_points(spark, sf)
     model = cluster.fit_kmeans(pts, k=8, seed=42, lat_weighted=True)
     return cluster.kmeans_assign(pts, model, lat_weighted=True).drop("features")
 

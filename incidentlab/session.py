@@ -86,6 +86,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def checkpoint(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder (reliable,
+    survives executor loss) and read it from there from now on."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
