@@ -182,3 +182,20 @@ def test_auto_arima_short_series_still_gets_a_model(spark):
                                                       p_values=(0, 1), q_values=(0, 1)).collect()}
     assert set(best) == {"long", "short"}
     assert best["short"]["seasonal_d"] == 0
+
+
+def test_actual_vs_forecast_full_join(spark):
+    actual = spark.createDataFrame(
+        [("k", dt.date(2024, 1, 1), 5), ("k", dt.date(2024, 2, 1), 7)], "key string, month date, n bigint"
+    )
+    fc = spark.createDataFrame(
+        [("k", dt.date(2024, 2, 1), 6.0, 4.0, 8.0), ("k", dt.date(2024, 3, 1), 6.5, 3.0, 10.0)],
+        "key string, month date, mean double, lower double, upper double",
+    )
+    rows = sorted(tuple(r) for r in series.actual_vs_forecast(actual, fc, "key").select(
+        "month", "actual", "mean", "is_forecast").collect())
+    assert rows == [
+        (dt.date(2024, 1, 1), 5, None, False),
+        (dt.date(2024, 2, 1), 7, 6.0, True),
+        (dt.date(2024, 3, 1), None, 6.5, True),
+    ]
