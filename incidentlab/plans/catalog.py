@@ -910,7 +910,7 @@ def q_sample_by_key(spark, sf):
     "scan_csv_glob",
     "S1 S2 S3 P1 P2 P3 P6",
     """SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS crime_id,
-       'Metropolitan Police Service' AS reported_by, 'Metropolitan Police Service' AS falls_within,
+       'Central Force' AS reported_by, 'Central Force' AS falls_within,
        l_discount AS longitude, l_tax AS latitude, 'On or near ' || CAST(l_partkey AS VARCHAR) AS location,
        CAST(l_suppkey AS VARCHAR) AS lsoa_code, l_linestatus AS lsoa_name, l_returnflag AS crime_type,
        CAST(NULL AS VARCHAR) AS last_outcome_category, CAST(NULL AS VARCHAR) AS context,
@@ -1004,7 +1004,7 @@ def _roundtrip_feed(spark, sf, feed):
     "scan_csv_outcomes",
     "S2 P1 P2 P6",
     """SELECT CAST(o_orderkey AS VARCHAR) AS crime_id,
-       'Metropolitan Police Service' AS reported_by, 'Metropolitan Police Service' AS falls_within,
+       'Central Force' AS reported_by, 'Central Force' AS falls_within,
        -0.1 - o_totalprice / 1e7 AS longitude, 51.0 + o_custkey / 1e4 AS latitude,
        CAST(NULL AS VARCHAR) AS location, CAST(NULL AS VARCHAR) AS lsoa_code, CAST(NULL AS VARCHAR) AS lsoa_name,
        o_orderstatus AS outcome_type, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,

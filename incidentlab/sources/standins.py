@@ -127,8 +127,8 @@ def street_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.when(key % 7 == 0, F.lit(None)).otherwise(key.cast("string")).alias("Crime ID"),
         F.date_format("l_shipdate", "yyyy-MM").alias("Month"),
-        F.lit("Metropolitan Police Service").alias("Reported by"),
-        F.lit("Metropolitan Police Service").alias("Falls within"),
+        F.lit("Central Force").alias("Reported by"),
+        F.lit("Central Force").alias("Falls within"),
         F.col("l_discount").cast("string").alias("Longitude"),
         F.col("l_tax").cast("string").alias("Latitude"),
         F.concat(F.lit("On or near "), F.col("l_partkey").cast("string")).alias("Location"),
@@ -146,8 +146,8 @@ def outcomes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").cast("string").alias("Crime ID"),
         F.date_format("o_orderdate", "yyyy-MM").alias("Month"),
-        F.lit("Metropolitan Police Service").alias("Reported by"),
-        F.lit("Metropolitan Police Service").alias("Falls within"),
+        F.lit("Central Force").alias("Reported by"),
+        F.lit("Central Force").alias("Falls within"),
         (F.lit(-0.1) - F.col("o_totalprice") / 1e7).cast("string").alias("Longitude"),
         (F.lit(51.0) + F.col("o_custkey") / 1e4).cast("string").alias("Latitude"),
         F.lit(None).cast("string").alias("Location"),
