@@ -72,7 +72,8 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder.  The cluster's setting is used
+    when present; a local temporary folder only in local mode (tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -81,6 +82,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        # Executors on other machines cannot share a driver-local folder.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for cluster runs")
     local = tempfile.mkdtemp(prefix="incidentlab-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
