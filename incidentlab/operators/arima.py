@@ -208,6 +208,38 @@ def nelder_mead(f, x0: np.ndarray, step: float = 0.5, tol: float = 1e-8, xtol: f
     return pts[best], vals[best]
 
 
+# KPSS level-stationarity test, 5 % critical value, and the
+# short lag rule trunc(4 * (n / 100) ** 0.25) for the long-run variance.
+KPSS_CRITICAL_5PCT = 0.463
+
+
+def kpss_level(x: np.ndarray) -> float:
+    """KPSS statistic for level stationarity (Bartlett-weighted long-run variance)."""
+    x = np.asarray(x, dtype=float)
+    n = len(x)
+    e = x - x.mean()
+    s = np.cumsum(e)
+    lags = int(4 * (n / 100.0) ** 0.25)
+    lrv = e @ e
+    for lag in range(1, min(lags, n - 1) + 1):
+        lrv += 2.0 * (1.0 - lag / (lags + 1.0)) * (e[lag:] @ e[:-lag])
+    lrv /= n
+    if lrv <= 0:
+        return 0.0
+    return float((s @ s) / (n * n * lrv))
+
+
+def ndiffs(y, max_d: int = 2) -> int:
+    """Number of differences until the KPSS test no longer rejects level
+    stationarity at 5 %."""
+    x = np.asarray(y, dtype=float)
+    d = 0
+    while d < max_d and len(x) > 3 and not np.allclose(x, x[0]) and kpss_level(x) > KPSS_CRITICAL_5PCT:
+        x = np.diff(x)
+        d += 1
+    return d
+
+
 # ------------------------------------------------------------------ model
 
 

@@ -131,11 +131,16 @@ def auto_arima(
     d_values: Sequence[int] = AUTO_D,
     seasonal_d_values: Sequence[int] = AUTO_SEASONAL_D,
     m: int = SEASON,
+    d_test: str | None = "kpss",
 ) -> DataFrame:
-    """fit every candidate order of the grid per key (one task per
+    """fit the candidate orders of the grid per key (one task per
     (key, order)) and keep the lowest AIC per key.  All candidates of a key
     score the same observations (the first max(d + m*D) are conditioned on),
-    so their AICs are comparable."""
+    so their AICs are comparable.
+
+    ``d_test='kpss'``: the number of regular differences is chosen per series
+    by the KPSS test (the value in ``d_values`` nearest to it) and only
+    candidates with that d are fitted; ``None`` lets AIC choose d too."""
     ks = _keys(keys)
     cands = [(p, d, q, sd) for p in p_values for d in d_values for q in q_values for sd in seasonal_d_values]
     burn_to = max(d + m * sd for _, d, _, sd in cands)
@@ -156,6 +161,10 @@ def auto_arima(
         first = pdf.iloc[0]
         order = (int(first["_p"]), int(first["_d"]), int(first["_q"]))
         sd = int(first["_sd"])
+        if d_test == "kpss":
+            chosen = arima.ndiffs(pdf.sort_values(month)[value].to_numpy(dtype=float), max_d=max(d_values))
+            if order[1] != min(d_values, key=lambda d: (abs(d - chosen), d)):
+                return pd.DataFrame([], columns=cols)
         burn = burn_to
         if len(pdf) <= burn_to + 2:
             if sd or len(pdf) <= short_burn:

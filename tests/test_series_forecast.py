@@ -199,3 +199,12 @@ def test_actual_vs_forecast_full_join(spark):
         (dt.date(2024, 2, 1), 7, 6.0, True),
         (dt.date(2024, 3, 1), None, 6.5, True),
     ]
+
+
+def test_kpss_differencing_choice():
+    rng = np.random.default_rng(1)
+    noise = rng.normal(size=120)
+    assert arima.ndiffs(noise) == 0
+    assert arima.ndiffs(np.cumsum(noise)) == 1
+    assert arima.ndiffs(np.cumsum(np.cumsum(noise))) == 2
+    assert arima.ndiffs(np.full(20, 3.0)) == 0
