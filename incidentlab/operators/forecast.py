@@ -153,7 +153,21 @@ def auto_arima(
             for p, d, q, sd in cands
         ]
     )
-    fanned = series.select(*ks, month, value, F.inline(cand_col))
+    base = series.select(*ks, month, value)
+    fanned = base.select(*ks, month, value, F.inline(cand_col))
+    if d_test == "kpss":
+        # One small pass per series picks d; only candidates with that d fan out.
+        d_schema = StructType(_key_fields(series, ks) + [StructField("_dsel", IntegerType())])
+
+        def choose_d(pdf: pd.DataFrame) -> pd.DataFrame:
+            y = pdf.sort_values(month)[value].to_numpy(dtype=float)
+            chosen = arima.ndiffs(y, max_d=max(d_values))
+            row = {k: pdf[k].iloc[0] for k in ks}
+            row["_dsel"] = min(d_values, key=lambda d: (abs(d - chosen), d))
+            return pd.DataFrame([row], columns=[f.name for f in d_schema.fields])
+
+        dsel = _spread(base, ks).groupBy(*ks).applyInPandas(choose_d, d_schema)
+        fanned = fanned.join(dsel, on=ks, how="inner").filter(F.col("_d") == F.col("_dsel")).drop("_dsel")
     schema = StructType(_key_fields(series, ks) + MODEL_FIELDS)
     cols = [f.name for f in schema.fields]
 
@@ -161,10 +175,6 @@ def auto_arima(
         first = pdf.iloc[0]
         order = (int(first["_p"]), int(first["_d"]), int(first["_q"]))
         sd = int(first["_sd"])
-        if d_test == "kpss":
-            chosen = arima.ndiffs(pdf.sort_values(month)[value].to_numpy(dtype=float), max_d=max(d_values))
-            if order[1] != min(d_values, key=lambda d: (abs(d - chosen), d)):
-                return pd.DataFrame([], columns=cols)
         burn = burn_to
         if len(pdf) <= burn_to + 2:
             if sd or len(pdf) <= short_burn:
