@@ -26,6 +26,7 @@ def pair_counts(
     row: str = "crime_type",
     col: str = "outcome_type",
     name: str = "n",
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     """Row count of ``left ⟕ right`` on ``key`` grouped by (row, col) (A12), exact,
     without materialising the joined rows.
@@ -34,7 +35,9 @@ def pair_counts(
     count, so a key held by a third of the outcomes is a handful of rows and
     each left row meets at most one right row per category; the join output
     is then summed (partial aggregation before its shuffle).  Skew of a left
-    key is split by AQE's skew join.  Left rows with a null key never match:
+    key is split by AQE's skew join, or explicitly with ``hot_fraction``
+    (hot keys found as in ``skew.hot_keys``; their right rows, at most one per
+    outcome category each, are broadcast).  Left rows with a null key never match:
     they bypass the join and are counted in the same final aggregation, so
     they never reach one join reducer.
     """
@@ -42,12 +45,21 @@ def pair_counts(
         right.filter(F.col(key).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n_right"))
     )
     col_type = right.schema[col].dataType
-    matched = (
-        left.filter(F.col(key).isNotNull())
-        .select(key, row)
-        .join(right_keyed, on=key, how="left")
-        .select(F.col(row), F.col(col), F.coalesce(F.col("_n_right"), F.lit(1)).alias(name))
-    )
+    keyed_left = left.filter(F.col(key).isNotNull()).select(key, row)
+    if hot_fraction is None:
+        joined = keyed_left.join(right_keyed, on=key, how="left")
+    else:
+        # Explicit split: hot left keys meet their (pre-aggregated, hence
+        # small) right rows through a broadcast; the rest shuffle as usual.
+        from incidentlab.operators.skew import hot_keys
+
+        hot = hot_keys(left, key, fraction=hot_fraction)
+        is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+        joined = keyed_left.filter(~is_hot).join(right_keyed.filter(~is_hot), on=key, how="left")
+        if hot:
+            hot_right = right_keyed.filter(is_hot)
+            joined = joined.unionByName(keyed_left.filter(is_hot).join(F.broadcast(hot_right), on=key, how="left"))
+    matched = joined.select(F.col(row), F.col(col), F.coalesce(F.col("_n_right"), F.lit(1)).alias(name))
     # Null-key rows skip the join; the partial aggregate above the union
     # combines them map-side, so they are never shuffled as rows.
     unkeyed = left.filter(F.col(key).isNull()).select(

@@ -95,6 +95,14 @@ def q_pair_counts(spark, sf):
     return _pairs(spark, sf)
 
 
+@register("pair_counts_split", "A12", with_views("SELECT crime_type, outcome_type, n FROM pairs", "pairs"))
+def q_pair_counts_split(spark, sf):
+    # Explicit hot-key split exercised on the stand-in (orders with the most lines count as hot).
+    return summary.pair_counts(
+        sv.street(spark, sf), sv.outcomes(spark, sf), "crime_id", "crime_type", "outcome_type", hot_fraction=1e-4
+    )
+
+
 @register(
     "count_by_type",
     "A1",

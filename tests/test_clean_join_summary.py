@@ -159,3 +159,12 @@ def test_split_left_join_equals_plain_join(spark):
     assert norm(skew.split_left_join(left, right, "crime_id", ["outcome_type"], hot)) == expected
     # Force the salted path: the hot right side is over the broadcast bound.
     assert norm(skew.split_left_join(left, right, "crime_id", ["outcome_type"], hot, max_broadcast_rows=1, salt=8)) == expected
+
+
+def test_pair_counts_hot_split_equals_plain(spark):
+    left_rows = [(5, f"t{i % 3}") for i in range(2000)] + [(None, "n")] * 9 + [(i, "c") for i in range(100, 300)]
+    left = spark.createDataFrame(left_rows, "crime_id bigint, crime_type string")
+    right = spark.createDataFrame([(5, "x"), (5, "y"), (5, "x"), (150, "w")], "crime_id bigint, outcome_type string")
+    norm = lambda df: sorted((a, b or "", int(c)) for a, b, c in df.collect())
+    plain = norm(summary.pair_counts(left, right))
+    assert norm(summary.pair_counts(left, right, hot_fraction=0.05)) == plain
