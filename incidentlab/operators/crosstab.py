@@ -44,6 +44,17 @@ def crosstab_wide(long: DataFrame, row: str, col: str, n: str = "n", values: lis
     return wide.na.fill(0, subset=wide.columns[1:])
 
 
+def category_totals(long: DataFrame, col: str, n: str = "n", max_values: int = MAX_CATEGORIES) -> list[tuple]:
+    """(value, total count) of each pivot-column category, nulls first, bounded
+    in number: one small aggregate brought to the driver."""
+    rows = collect_bounded(
+        long.groupBy(col).agg(F.sum(n).alias("_t")).orderBy(F.col(col).asc_nulls_first()),
+        max_values,
+        f"values of {col}",
+    )
+    return [(r[0], int(r[1])) for r in rows]
+
+
 def complete_grid(long: DataFrame, row: str, col: str, n: str = "n", values: list | None = None) -> DataFrame:
     """Long form with every (row, col) pair present; absent pairs have n = 0."""
     values = category_values(long, col) if values is None else values
@@ -64,32 +75,44 @@ def crosstab_percent(long: DataFrame, row: str, col: str, n: str = "n", scale: i
     return long.select(row, col, n, (F.round(pct, scale) if scale is not None else pct).alias("pct"))
 
 
-def _with_expected(grid: DataFrame, row: str, col: str, n: str) -> DataFrame:
-    """Cells with row total, column total, grand total and expected count.
+def _expected_grid(long: DataFrame, row: str, col: str, n: str, totals: list[tuple]) -> DataFrame:
+    """Every cell of the complete grid with its expected count.
 
-    Row totals are a window partitioned by row (distributed).  Column totals
-    form a table of at most ``MAX_CATEGORIES`` rows (the pivot values are
-    bounded); the grand total is summed over that small table and the result
-    is broadcast back by an equi-join on the column value (null-safe, since a
-    null outcome is a category).  No window spans the whole grid."""
-    col_totals = grid.groupBy(col).agg(F.sum(n).alias("_col_total"))
-    col_totals = col_totals.withColumn("_total", F.sum("_col_total").over(Window.partitionBy()))
-    col_totals = F.broadcast(col_totals.withColumnRenamed(col, "_col"))
-    g = grid.withColumn("_row_total", F.sum(n).over(Window.partitionBy(row)))
-    g = g.join(col_totals, g[col].eqNullSafe(col_totals["_col"]), "inner").drop("_col")
-    return g.withColumn("expected", F.col("_row_total") * F.col("_col_total") / F.col("_total"))
+    The column categories, their totals and the grand total are driver-side
+    literals (bounded by ``MAX_CATEGORIES``); a row's total is the sum of its
+    pivot columns.  So after the pivot's one shuffle everything is a
+    projection: no window, no join."""
+    values = [v for v, _ in totals]
+    grand = float(sum(t for _, t in totals))
+    wide = crosstab_wide(long, row, col, n, values)
+    pivot_cols = [F.col(f"`{c}`").cast("bigint") for c in wide.columns[1:]]
+    row_total = pivot_cols[0]
+    for c in pivot_cols[1:]:
+        row_total = row_total + c
+    col_type = long.schema[col].dataType
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(v).cast(col_type).alias(col),
+                pc.alias(n),
+                (F.col("_row_total") * F.lit(float(t)) / F.lit(grand)).alias("expected"),
+            )
+            for (v, t), pc in zip(totals, pivot_cols)
+        ]
+    )
+    return wide.withColumn("_row_total", row_total).select(row, F.inline(cells))
 
 
 def chi_square_expected(
-    long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6, values: list | None = None
+    long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6, totals: list | None = None
 ) -> DataFrame:
     """Observed and expected frequency of every cell of the complete grid.
-    ``values``: the column categories when the caller already has them (the
-    long table is then used as given, e.g. already checkpointed)."""
-    if values is None:
+    ``totals``: ``category_totals`` when the caller already has them (the long
+    table is then used as given, e.g. already checkpointed)."""
+    if totals is None:
         long = materialize(long)
-        values = category_values(long, col)
-    g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)
+        totals = category_totals(long, col, n)
+    g = _expected_grid(long, row, col, n, totals)
     e = F.round("expected", scale) if scale is not None else F.col("expected")
     return g.select(row, col, F.col(n).alias("observed"), e.alias("expected"))
 
@@ -101,18 +124,18 @@ def chi_square(
     n: str = "n",
     correction: bool = True,
     scale: int | None = 4,
-    values: list | None = None,
+    totals: list | None = None,
 ) -> DataFrame:
     """X3 statistic: one row ``(chi2, dof)``.
 
     Zero cells are part of the grid, so each adds its expected count.  With
     one degree of freedom and ``correction`` the Yates continuity correction
     moves each observed count up to 0.5 towards its expected count."""
-    if values is None:
+    if totals is None:
         long = materialize(long)
-        values = category_values(long, col)
-    n_cols = len(values)
-    g = _with_expected(complete_grid(long, row, col, n, values), row, col, n)
+        totals = category_totals(long, col, n)
+    n_cols = len(totals)
+    g = _expected_grid(long, row, col, n, totals)
     o = F.col(n).cast("double")
     diff = F.col("expected") - o
     # One degree of freedom needs exactly two rows and two columns; the row
@@ -128,10 +151,10 @@ def chi_square(
 
 
 def chi_square_test(
-    long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True, values: list | None = None
+    long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True, totals: list | None = None
 ) -> DataFrame:
     """X3 + K5: ``(chi2, p, dof)``; p from the chi-square survival function."""
-    stats = chi_square(long, row, col, n, correction, scale=None, values=values)
+    stats = chi_square(long, row, col, n, correction, scale=None, totals=totals)
     return stats.select("chi2", chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p"), "dof")
 
 

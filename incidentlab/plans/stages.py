@@ -153,13 +153,14 @@ def outcome_analysis(spark: SparkSession, clean_base: str, top: int = 5, null_po
         pairs = pairs.filter(F.col("outcome_type").isNotNull())
     # The long table is category-sized; write it once for the consumers below.
     pairs = crosstab.materialize(pairs)
-    values = crosstab.category_values(pairs, "outcome_type")
+    totals = crosstab.category_totals(pairs, "outcome_type")
+    values = [v for v, _ in totals]
     return {
         "crosstab": crosstab.crosstab_wide(pairs, "crime_type", "outcome_type", values=values),
         "crosstab_long": pairs,
         "percent": crosstab.crosstab_percent(pairs, "crime_type", "outcome_type"),
-        "expected": crosstab.chi_square_expected(pairs, "crime_type", "outcome_type", values=values),
-        "chi_square": crosstab.chi_square_test(pairs, "crime_type", "outcome_type", values=values),
+        "expected": crosstab.chi_square_expected(pairs, "crime_type", "outcome_type", totals=totals),
+        "chi_square": crosstab.chi_square_test(pairs, "crime_type", "outcome_type", totals=totals),
         "top_profile": crosstab.crosstab_top_rows(pairs, "crime_type", "outcome_type", top=top),
     }
 
