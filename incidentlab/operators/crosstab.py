@@ -55,20 +55,6 @@ def category_totals(long: DataFrame, col: str, n: str = "n", max_values: int = M
     return [(r[0], int(r[1])) for r in rows]
 
 
-def complete_grid(long: DataFrame, row: str, col: str, n: str = "n", values: list | None = None) -> DataFrame:
-    """Long form with every (row, col) pair present; absent pairs have n = 0."""
-    values = category_values(long, col) if values is None else values
-    wide = crosstab_wide(long, row, col, n, values)
-    col_type = long.schema[col].dataType
-    cells = F.array(
-        *[
-            F.struct(F.lit(v).cast(col_type).alias(col), F.col(f"`{c}`").cast("bigint").alias(n))
-            for v, c in zip(values, wide.columns[1:])
-        ]
-    )
-    return wide.select(row, F.inline(cells))
-
-
 def crosstab_percent(long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6) -> DataFrame:
     """Each cell as a percentage of its row total."""
     pct = F.col(n) * 100.0 / F.sum(n).over(Window.partitionBy(row))
