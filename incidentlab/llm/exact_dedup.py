@@ -78,14 +78,3 @@ def tree_merge_dedup(
         F.lower(F.hex("digest")).alias("text_sha256"),
         "row",
     )
-
-
-def keep_winners(docs: DataFrame, keep: str = "max", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns.  Rows are matched by their
-    row number, which is unique even where ids repeat or are null."""
-    verdict = tree_merge_dedup(docs, keep, id_col, text_col)
-    name = "__row"
-    while name in docs.columns:
-        name += "_"
-    gone = verdict.filter(~F.col("kept")).select(F.col("row").alias(name))
-    return docs.withColumn(name, F.monotonically_increasing_id()).join(gone, name, "left_anti").drop(name)

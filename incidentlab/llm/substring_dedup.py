@@ -35,7 +35,7 @@ from incidentlab.llm.sketch import (
 )
 from incidentlab.llm.textops import Words, in_chunks, mix64, window_hashes
 
-OUT_SCHEMA = "doc_id {id_type}, n_words long, n_removed long, kept_text string"
+OUT_SCHEMA = "doc_id string, n_words long, n_removed long, kept_text string"
 
 
 def _windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +60,10 @@ def cut_repeats(
 ) -> DataFrame:
     """Per input row: ``doc_id``, ``n_words``, ``n_removed`` and ``kept_text``
     (the remaining words, joined by one space)."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     chunks, n_bytes = in_chunks(rows, "text", chunk_bytes)
     chunks = chunks.select("gid", "doc_id", "text")
     shards = n_shards(n_bytes // 5)  # no more windows than words
-    out_schema = OUT_SCHEMA.format(id_type=rows.schema["doc_id"].dataType.simpleString())
 
     def sketch_chunk(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, h = _windows(Words(pdf["text"].tolist()), window)
@@ -111,4 +110,5 @@ def cut_repeats(
     )
     exact = unsettled.groupBy("shard").applyInPandas(merge_exact, ANSWER_SCHEMA)
     answers = merged.unionByName(exact)
-    return chunks.groupBy("gid").cogroup(answers.groupBy("gid")).applyInPandas(cut_chunk, out_schema)
+    cut = chunks.groupBy("gid").cogroup(answers.groupBy("gid")).applyInPandas(cut_chunk, OUT_SCHEMA)
+    return cut.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))

@@ -6,16 +6,24 @@ that byte set, so the byte form of a text gives the same words.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
+#: Everything but ASCII letters, digits and the bytes of non-ASCII characters.
+NOT_ALNUM_BYTES = bytes(i for i in range(128) if not chr(i).isalnum())
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _M3 = np.uint64(0x165667B19E3779F9)
 _BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
+_BLOCK = 1 << 18  # bytes hashed at once
 
 
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -26,6 +34,12 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    p = np.full(n, base, np.uint64)
+    p[0] = 1
+    return np.cumprod(p, out=p)
+
+
 def _join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Order-sensitive hash of two adjacent parts."""
     x = a * _M1 + ((b << np.uint64(23)) | (b >> np.uint64(41))) * _M2
@@ -55,16 +69,17 @@ def window_hashes(w: np.ndarray, k: int) -> np.ndarray:
 
 class Words:
     """Words of a list of texts as arrays: ``doc`` (text number) and ``hash``
-    (64-bit) per word, ``count`` per text; ``lower`` folds A-Z only."""
+    (64-bit) per word, ``count`` per text; ``lower`` folds A-Z only;
+    ``separators`` are the bytes between words (newline included)."""
 
-    def __init__(self, texts: list[str | None], lower: bool = False):
+    def __init__(self, texts: list[str | None], lower: bool = False, separators: bytes = SPACE_BYTES):
         parts = [(t or "").encode("utf-8", "replace") for t in texts]
         if lower:
             parts = [p.lower() for p in parts]  # bytes.lower folds ASCII only
         size = np.fromiter((len(p) + 1 for p in parts), np.int64, len(parts))
         self.buf = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
         table = np.zeros(256, bool)
-        table[list(SPACE_BYTES)] = True
+        table[list(separators)] = True
         space = table[self.buf]
         inner = np.flatnonzero(space[1:] != space[:-1]) + 1 if len(space) else np.empty(0, np.int64)
         edges = np.concatenate([[0], inner]) if len(space) and not space[0] else inner
@@ -75,20 +90,23 @@ class Words:
         self.hash = self._hash()
 
     def _hash(self) -> np.ndarray:
-        n = len(self.buf)
-        if not len(self.start):
-            return np.empty(0, np.uint64)
+        """Polynomial hash of each word's bytes, by prefix sums over blocks
+        that fit the processor's cache."""
+        out = np.empty(len(self.start), np.uint64)
         letters = mix64(np.arange(256, dtype=np.uint64), 11)
-        up = np.full(n, _BASE, np.uint64)
-        up[0] = 1
-        np.cumprod(up, out=up)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(letters[self.buf] * up, out=total[1:])
-        down = np.full(n, pow(_BASE, -1, 2**64), np.uint64)
-        down[0] = 1
-        np.cumprod(down, out=down)
-        raw = (total[self.end] - total[self.start]) * down[self.start]
-        return mix64(raw + (self.end - self.start).astype(np.uint64) * _M1, 3)
+        up = down = np.empty(0, np.uint64)
+        i = 0
+        while i < len(out):
+            j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + _BLOCK)))
+            a, b = int(self.start[i]), int(self.end[j - 1])
+            if b - a > len(up):
+                up, down = _powers(_BASE, b - a), _powers(pow(_BASE, -1, 2**64), b - a)
+            total = np.zeros(b - a + 1, np.uint64)
+            np.cumsum(letters[self.buf[a:b]] * up[: b - a], out=total[1:])
+            s, e = self.start[i:j] - a, self.end[i:j] - a
+            out[i:j] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * _M1, 3)
+            i = j
+        return out
 
 
 def in_chunks(docs: DataFrame, text_col: str, chunk_bytes: int) -> tuple[DataFrame, int]:
@@ -102,3 +120,41 @@ def in_chunks(docs: DataFrame, text_col: str, chunk_bytes: int) -> tuple[DataFra
     n = max(1, -(-total // chunk_bytes))
     rid = docs.withColumn("rid", F.monotonically_increasing_id())
     return rid.withColumn("gid", F.pmod(F.xxhash64("rid"), F.lit(n)).cast("int")), total
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, row_col: str) -> DataFrame:
+    """``docs`` without the rows whose row number is in ``gone``.  Rows are
+    matched by number, so equal rows and null ids are told apart; ``docs`` must
+    be a table or another source that gives the same rows in the same order."""
+    name = "__row"
+    while name in docs.columns:
+        name += "_"
+    numbered = docs.withColumn(name, F.monotonically_increasing_id())
+    return numbered.join(gone.select(F.col(row_col).alias(name)), name, "left_anti").drop(name)
+
+
+def add_text_columns(docs: DataFrame, text_col: str, schema: str, start: Callable, rows: int = 500) -> DataFrame:
+    """``docs`` with columns computed from whole texts, in Arrow batches; the
+    other columns pass through untouched.  Columns of ``docs`` that clash with
+    the new names are replaced.  ``start()`` runs once per task and returns the
+    function from a list of texts (None for null) to one list per new column."""
+    new = _parse_datatype_string(schema)
+    text = F.col(text_col).cast("string")
+    held = "__text"
+    while held in docs.columns:
+        held += "_"
+    kept = docs.select(*[c for c in docs.columns if c not in new.names], text.alias(held))
+    types = [to_arrow_type(f.dataType) for f in new]
+    fields = [StructField(f.name, f.dataType) for f in kept.schema if f.name != held]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = start()
+        for batch in batches:
+            for a in range(0, batch.num_rows, rows):
+                part = batch.slice(a, rows)
+                texts = part.column(held).to_pylist()
+                added = [pa.array(x, t) for x, t in zip(apply(texts), types)]
+                own = [n for n in part.schema.names if n != held]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in own), *added], [*own, *new.names])
+
+    return kept.mapInArrow(run, StructType([*fields, *new.fields]))
