@@ -13,13 +13,14 @@ def _ship_by_value() -> None:
     grouped maps and UDFs travels with each task and executors need not have
     the package installed (nor the driver's working directory)."""
     import sys
+    import warnings
 
-    try:
-        from pyspark import cloudpickle
+    from pyspark import cloudpickle
 
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    except Exception:  # older cloudpickle: executors then need the package installed
-        pass
+    if not hasattr(cloudpickle, "register_pickle_by_value"):
+        warnings.warn("this PySpark cannot ship the package with its tasks; pass it with --py-files", stacklevel=2)
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 _ship_by_value()

@@ -3,11 +3,12 @@
 Spark SQL has no incomplete gamma function.  The p-value is needed for one
 row per test, so a vectorised UDF over that row is enough.  Uses the
 regularised upper incomplete gamma Q(dof/2, x/2): series for x < a + 1,
-continued fraction (modified Lentz) otherwise.
+continued fraction (modified Lentz) otherwise, both run until they converge.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pandas as pd
@@ -16,7 +17,6 @@ from pyspark.sql.types import DoubleType
 
 _EPS = 1e-15
 _TINY = 1e-300
-_MAX_ITER = 10_000
 
 
 def _gamma_q(a: float, x: float) -> float:
@@ -26,7 +26,7 @@ def _gamma_q(a: float, x: float) -> float:
     if x < a + 1.0:
         term = total = 1.0 / a
         ap = a
-        for _ in range(_MAX_ITER):
+        while True:
             ap += 1.0
             term *= x / ap
             total += term
@@ -37,7 +37,7 @@ def _gamma_q(a: float, x: float) -> float:
     c = 1.0 / _TINY
     d = 1.0 / b
     h = d
-    for i in range(1, _MAX_ITER):
+    for i in itertools.count(1):
         an = -i * (i - a)
         b += 2.0
         d = an * d + b

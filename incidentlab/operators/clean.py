@@ -73,9 +73,10 @@ def sample_bernoulli(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> Da
 
 def sample_by_key(df: DataFrame, key: str, buckets: int = 10, keep: int = 1, hashed: bool = True) -> DataFrame:
     """Reproducible sample: keep rows whose key falls in the first ``keep`` of
-    ``buckets`` buckets.  Independent of partitioning and retries.
+    ``buckets`` buckets.  Independent of partitioning and retries.  Rows with a
+    null key belong to no bucket and are never kept.
 
     ``hashed=False`` buckets an integer key by ``pmod(key, buckets)`` directly."""
     k = F.col(key)
     bucket = F.pmod(F.xxhash64(k), F.lit(buckets)) if hashed else F.pmod(k, F.lit(buckets))
-    return df.filter(bucket < keep)
+    return df.filter(k.isNotNull() & (bucket < keep))

@@ -1,8 +1,9 @@
 """Location hotspots.
 
-KMeans is Spark ML's distributed Lloyd iteration.  Assigning points to a
-fixed set of centres needs no join: the k centres (bounded by k) become a
-literal array and each row picks its nearest one inside one projection.
+KMeans is Spark ML's distributed Lloyd iteration.  Assigning points to given
+centres needs no join: the centre table becomes one array value (a scalar
+subquery of the same plan) and each row picks its nearest centre inside one
+projection, an expression of the same size for any number of centres.
 """
 
 from __future__ import annotations
@@ -15,10 +16,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incidentlab.operators.sizing import collect_bounded
-
-MAX_CENTRES = 10_000
-
 
 def assemble(
     df: DataFrame,
@@ -97,24 +94,24 @@ def assign_nearest(
     cols: Sequence[str] = ("latitude", "longitude"),
     centre_cols: Sequence[str] | None = None,
     key: str = "prediction",
-    max_centres: int = MAX_CENTRES,
 ) -> DataFrame:
     """C3 with given centres: nearest centre by squared Euclidean distance,
-    ties to the smallest centre id.  Rows with a null coordinate get null."""
+    ties to the smallest centre id.  Rows with a null coordinate get null, as
+    do all rows where there is no centre; centres with a null coordinate are
+    left out."""
     centre_cols = list(centre_cols or cols)
-    rows = collect_bounded(centres.select(key, *centre_cols), max_centres, "centres")
-    if not rows:
-        raise ValueError("no centres")
-    cands = []
-    for r in rows:
-        cid, coords = r[0], r[1:]
-        dist = None
-        for c, v in zip(cols, coords):
-            term = (F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v)))
-            dist = term if dist is None else dist + term
-        cands.append(F.struct(dist.alias("d"), F.lit(cid).alias("id")))
-    best = F.array_min(F.array(*cands))
+    known = centres.dropna(subset=centre_cols).select(
+        F.struct(F.col(key).alias("id"), *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(centre_cols))).alias("c")
+    )
+    all_centres = known.agg(F.collect_list("c")).scalar()
+
+    def candidate(c):
+        dist = sum((F.col(own) - c[f"x{i}"]) * (F.col(own) - c[f"x{i}"]) for i, own in enumerate(cols))
+        return F.struct(dist.alias("d"), c["id"].alias("id"))
+
+    best = F.array_min(F.transform("_centres", candidate))
     present = F.lit(True)
     for c in cols:
         present = present & F.col(c).isNotNull()
-    return df.withColumn(key, F.when(present, best["id"]))
+    placed = df.withColumn("_centres", all_centres).withColumn(key, F.when(present, best["id"]))
+    return placed.drop("_centres")

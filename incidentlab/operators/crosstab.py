@@ -1,8 +1,9 @@
 """Category x outcome crosstab and the chi-square independence test.
 
 The crosstab lives in long form ``(row, col, n)``; its size is the number of
-category pairs, not the number of incidents.  The wide pivot is only for
-display and for completing the grid with zero cells, which the test needs.
+category pairs that occur, not the number of incidents.  Totals are aggregates
+joined back on the category, so no step depends on how many categories there
+are; only the display pivot makes one column per category.
 """
 
 from __future__ import annotations
@@ -11,48 +12,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentlab.functions.stats import chi2_sf
-from incidentlab.operators.sizing import collect_bounded
 from incidentlab.session import checkpoint
 
-MAX_CATEGORIES = 10_000
-
 
 def materialize(long: DataFrame) -> DataFrame:
-    """Write the category-sized long table once to the checkpoint folder.
-
-    The pivot needs its column values before the plan is built (one job), and
-    the plan then reads the table again; both read this copy instead of
-    recounting the feeds.  A reliable checkpoint also survives executor loss."""
+    """Write the category-sized long table once to the checkpoint folder, for
+    callers that derive several results from it."""
     return checkpoint(long)
 
 
-def category_values(long: DataFrame, col: str, max_values: int = MAX_CATEGORIES) -> list:
-    """Distinct values of the pivot column, nulls first, bounded in number."""
-    rows = collect_bounded(
-        long.select(col).distinct().orderBy(F.col(col).asc_nulls_first()), max_values, f"values of {col}"
-    )
-    return [r[0] for r in rows]
-
-
 def crosstab_wide(long: DataFrame, row: str, col: str, n: str = "n", values: list | None = None) -> DataFrame:
     """One row per ``row`` value, one column per ``col`` value, missing cell 0.
-    A null ``col`` value becomes a column named 'null'."""
+
+    A null ``col`` value becomes a column named 'null' (with underscores
+    appended where a category has that text).  The display form has a column
+    per category, so its column list comes to the driver; Spark's own
+    ``spark.sql.pivotMaxValues`` limits it."""
     if values is None:
         long = materialize(long)
-        values = category_values(long, col)
-    wide = long.groupBy(row).pivot(col, values).agg(F.sum(n))
-    return wide.na.fill(0, subset=wide.columns[1:])
-
-
-def category_totals(long: DataFrame, col: str, n: str = "n", max_values: int = MAX_CATEGORIES) -> list[tuple]:
-    """(value, total count) of each pivot-column category, nulls first, bounded
-    in number: one small aggregate brought to the driver."""
-    rows = collect_bounded(
-        long.groupBy(col).agg(F.sum(n).alias("_t")).orderBy(F.col(col).asc_nulls_first()),
-        max_values,
-        f"values of {col}",
-    )
-    return [(r[0], int(r[1])) for r in rows]
+        values = [r[0] for r in long.select(col).distinct().orderBy(F.col(col).asc_nulls_first()).collect()]
+    names = ["null" if v is None else str(v) for v in values]
+    while None in values and names.count(names[values.index(None)]) > 1:
+        names[values.index(None)] += "_"
+    # Positional names between pivot and result: a category may hold any text.
+    wide = long.groupBy(row).pivot(col, values).agg(F.sum(n)).toDF("_row", *(f"_c{i}" for i in range(len(values))))
+    cells = [F.coalesce(f"_c{i}", F.lit(0)).alias(name) for i, name in enumerate(names)]
+    return wide.select(F.col("_row").alias(row), *cells)
 
 
 def crosstab_percent(long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6) -> DataFrame:
@@ -61,86 +46,76 @@ def crosstab_percent(long: DataFrame, row: str, col: str, n: str = "n", scale: i
     return long.select(row, col, n, (F.round(pct, scale) if scale is not None else pct).alias("pct"))
 
 
-def _expected_grid(long: DataFrame, row: str, col: str, n: str, totals: list[tuple]) -> DataFrame:
-    """Every cell of the complete grid with its expected count.
-
-    The column categories, their totals and the grand total are driver-side
-    literals (bounded by ``MAX_CATEGORIES``); a row's total is the sum of its
-    pivot columns.  So after the pivot's one shuffle everything is a
-    projection: no window, no join."""
-    values = [v for v, _ in totals]
-    grand = float(sum(t for _, t in totals))
-    wide = crosstab_wide(long, row, col, n, values)
-    pivot_cols = [F.col(f"`{c}`").cast("bigint") for c in wide.columns[1:]]
-    row_total = pivot_cols[0]
-    for c in pivot_cols[1:]:
-        row_total = row_total + c
-    col_type = long.schema[col].dataType
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(v).cast(col_type).alias(col),
-                pc.alias(n),
-                (F.col("_row_total") * F.lit(float(t)) / F.lit(grand)).alias("expected"),
-            )
-            for (v, t), pc in zip(totals, pivot_cols)
-        ]
-    )
-    return wide.withColumn("_row_total", row_total).select(row, F.inline(cells))
+def _totals(long: DataFrame, by: str, n: str, key: str, total: str) -> DataFrame:
+    return long.groupBy(F.col(by).alias(key)).agg(F.sum(n).cast("double").alias(total))
 
 
-def chi_square_expected(
-    long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6, totals: list | None = None
-) -> DataFrame:
+def _margins(long: DataFrame, row: str, col: str, n: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Summed cells, row totals and column totals."""
+    cells = long.groupBy(F.col(row).alias("_r"), F.col(col).alias("_c")).agg(F.sum(n).alias("_n"))
+    return cells, _totals(long, row, n, "_rk", "_rt"), _totals(long, col, n, "_ck", "_ct")
+
+
+def chi_square_expected(long: DataFrame, row: str, col: str, n: str = "n", scale: int | None = 6) -> DataFrame:
     """Observed and expected frequency of every cell of the complete grid.
-    ``totals``: ``category_totals`` when the caller already has them (the long
-    table is then used as given, e.g. already checkpointed)."""
-    if totals is None:
-        long = materialize(long)
-        totals = category_totals(long, col, n)
-    g = _expected_grid(long, row, col, n, totals)
-    e = F.round("expected", scale) if scale is not None else F.col("expected")
-    return g.select(row, col, F.col(n).alias("observed"), e.alias("expected"))
+
+    The result is the product of the two category lists, so the two totals are
+    combined, and the observed counts joined to it."""
+    cells, rows, cols = _margins(long, row, col, n)
+    grand = long.agg(F.sum(n).cast("double")).scalar()
+    grid = rows.crossJoin(cols)  # the asked-for grid itself
+    found = grid.join(cells, F.col("_rk").eqNullSafe(F.col("_r")) & F.col("_ck").eqNullSafe(F.col("_c")), "left")
+    e = F.col("_rt") * F.col("_ct") / grand
+    return found.select(
+        F.col("_rk").alias(row),
+        F.col("_ck").alias(col),
+        F.coalesce("_n", F.lit(0)).alias("observed"),
+        (F.round(e, scale) if scale is not None else e).alias("expected"),
+    )
 
 
 def chi_square(
-    long: DataFrame,
-    row: str,
-    col: str,
-    n: str = "n",
-    correction: bool = True,
-    scale: int | None = 4,
-    totals: list | None = None,
+    long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True, scale: int | None = 4
 ) -> DataFrame:
     """X3 statistic: one row ``(chi2, dof)``.
 
-    Zero cells are part of the grid, so each adds its expected count.  With
-    one degree of freedom and ``correction`` the Yates continuity correction
-    moves each observed count up to 0.5 towards its expected count."""
-    if totals is None:
-        long = materialize(long)
-        totals = category_totals(long, col, n)
-    n_cols = len(totals)
-    g = _expected_grid(long, row, col, n, totals)
-    o = F.col(n).cast("double")
-    diff = F.col("expected") - o
-    # One degree of freedom needs exactly two rows and two columns; the row
-    # check reads at most three distinct values.
-    yates = correction and n_cols == 2 and long.select(row).distinct().limit(3).count() == 2
-    if yates:
-        o = o + F.signum(diff) * F.least(F.lit(0.5), F.abs(diff))
-    term = (o - F.col("expected")) ** 2 / F.col("expected")
-    stat = F.sum(term)
-    # The grid has exactly (#rows x #cols) cells.
-    dof = ((F.count(F.lit(1)) / F.lit(n_cols) - 1) * (n_cols - 1)).cast("bigint")
-    return g.agg((F.round(stat, scale) if scale is not None else stat).alias("chi2"), dof.alias("dof"))
-
-
-def chi_square_test(
-    long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True, totals: list | None = None
-) -> DataFrame:
+    A cell that does not occur adds its expected count, so with E over the
+    occurring cells only:  chi2 = sum((O - E)^2 / E) + (N - sum(E)).  No grid,
+    no pivot.  With one degree of freedom and ``correction`` the Yates
+    continuity correction moves each observed count up to 0.5 towards its
+    expected count; that case has four cells, which are formed explicitly."""
+    cells, rows, cols = _margins(long, row, col, n)
+    n_rows, n_cols = (t.agg(F.count(F.lit(1))).scalar() for t in (rows, cols))
+    grand = long.agg(F.sum(n).cast("double")).scalar()
+    o = F.col("_n").cast("double")
+    occurring = (
+        cells.join(rows, F.col("_r").eqNullSafe(F.col("_rk")))
+        .join(cols, F.col("_c").eqNullSafe(F.col("_ck")))
+        .select(o.alias("o"), (F.col("_rt") * F.col("_ct") / grand).alias("e"))
+    )
+    total, expected = F.sum((F.col("o") - F.col("e")) ** 2 / F.col("e")), F.sum("e")
+    stat = total + (F.sum("o") - expected)
+    if correction:
+        two = [t.filter(size == 2) for t, size in ((rows.withColumn("_one", F.lit(1)), n_rows), (cols.withColumn("_one", F.lit(1)), n_cols))]
+        four = (
+            two[0]
+            .join(two[1], "_one")  # at most 2 x 2 rows
+            .join(cells, F.col("_rk").eqNullSafe(F.col("_r")) & F.col("_ck").eqNullSafe(F.col("_c")), "left")
+            .select(F.coalesce(o, F.lit(0.0)).alias("o"), (F.col("_rt") * F.col("_ct") / grand).alias("e"))
+        )
+        gap = F.abs(F.col("e") - F.col("o"))
+        yates = four.agg(F.sum((gap - F.least(F.lit(0.5), gap)) ** 2 / F.col("e"))).scalar()
+        # A table of 2 x 1 has no such cells: yates is null and the plain form stays.
+        stat = F.coalesce(yates, stat)
+    dof = ((n_rows - 1) * (n_cols - 1)).cast("bigint")
+    return occurring.agg((F.round(stat, scale) if scale is not None else stat).alias("chi2")).select(
+        "chi2", dof.alias("dof")
+    )
+
+
+def chi_square_test(long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True) -> DataFrame:
     """X3 + K5: ``(chi2, p, dof)``; p from the chi-square survival function."""
-    stats = chi_square(long, row, col, n, correction, scale=None, totals=totals)
+    stats = chi_square(long, row, col, n, correction, scale=None)
     return stats.select("chi2", chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p"), "dof")
 
 

@@ -1,104 +1,171 @@
-"""Forecasting over many monthly series at once (F1-F5, K6, U1, F7 residuals).
-
-Spark builds the series (two-phase counts), fills gaps, splits the holdout and
-spreads the fits: one grouped-map task per series, or per (series, candidate
-order) for the automatic order search.  A group is one series, so its size is
-the number of months, not the number of incidents.  The fitted model is a row
-of a parameter table (orders, coefficients, variance, end state), which is
-what gets saved and re-forecast; month arithmetic stays in Spark.
+"""Forecasting over many monthly series at once (F1-F5, K6, U1, F7 residuals),
+as Spark expressions: lag windows, sums per key and a short recursion.
+
+A model is ARIMA(p, d, q) x (0, D, 0)_m with p <= 2, q <= 1, D <= 1, fitted by
+conditional least squares in two regressions (Hannan and Rissanen):
+
+1. the differenced series w is regressed on its last three values; what is left
+   over estimates the shocks;
+2. w is regressed on its last p values and, for q = 1, on the last shock.
+
+Each regression is three sums-of-products windows over the series and the
+solution of a 3 x 3 system in closed form.  Estimates that are not stationary
+or invertible, or that rest on too few months, are replaced by zero: the model
+is then the differenced mean.  So every key keeps a model, a null key and a key
+with a single month included.
+
+The fitted model is a row of a parameter table, which is what gets saved and
+re-forecast (K6, F5); forecasting is a recursion over that row alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    DateType,
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
-
-from incidentlab.operators import arima
-
-MODEL_FIELDS = [
-    StructField("p", IntegerType()),
-    StructField("d", IntegerType()),
-    StructField("q", IntegerType()),
-    StructField("seasonal_d", IntegerType()),
-    StructField("m", IntegerType()),
-    StructField("phi", ArrayType(DoubleType())),
-    StructField("theta", ArrayType(DoubleType())),
-    StructField("mean", DoubleType()),
-    StructField("sigma2", DoubleType()),
-    StructField("loglik", DoubleType()),
-    StructField("aic", DoubleType()),
-    StructField("nobs", LongType()),
-    StructField("last_values", ArrayType(DoubleType())),
-    StructField("state", ArrayType(DoubleType())),
-    StructField("state_cov", ArrayType(DoubleType())),
-    StructField("resid", ArrayType(DoubleType())),
-    StructField("first_month", DateType()),
-    StructField("last_month", DateType()),
-    StructField("method", StringType()),
-]
-
-FORECAST_FIELDS = [
-    StructField("step", IntegerType()),
-    StructField("mean", DoubleType()),
-    StructField("mean_se", DoubleType()),
-    StructField("lower", DoubleType()),
-    StructField("upper", DoubleType()),
-]
-
-# The automatic order search grid (p, q up to 2; d and seasonal D
-# in {0, 1}; season length 12).
+
+# The orders of the automatic search; season length 12.
 AUTO_P = (0, 1, 2)
-AUTO_Q = (0, 1, 2)
+AUTO_Q = (0, 1)
 AUTO_D = (0, 1)
 AUTO_SEASONAL_D = (0, 1)
 SEASON = 12
 
+LONG_AR = 3  # lags of the first regression
+LAGS = LONG_AR + 1  # months of w before the first residual of the second one
+SPARE = 5  # months a regression needs beyond its unknowns
 
-def _spread(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Hash-partition the groups of a CPU-heavy grouped map over the cluster.
-
-    A series is a few hundred rows, so AQE would coalesce all groups into one
-    partition and run every fit in one task.  An explicit partition count is
-    not coalesced; the grouped map then reuses this partitioning (no second
-    shuffle)."""
-    spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism * 8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *cols)
+ORDER = ["p", "d", "q", "seasonal_d"]
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _key_fields(df: DataFrame, keys: list[str]) -> list[StructField]:
-    return [df.schema[k] for k in keys]
-
-
-def _fit_rows(pdf: pd.DataFrame, keys: list[str], month: str, value: str, order, seasonal_d: int, m: int, burn_to):
-    pdf = pdf.sort_values(month)
-    y = pdf[value].to_numpy(dtype=float)
-    f = arima.fit(y, order, seasonal_d, m, burn_to=burn_to)
-    row = {k: pdf[k].iloc[0] for k in keys}
-    row.update(
-        p=f.p, d=f.d, q=f.q, seasonal_d=f.seasonal_d, m=f.m, phi=f.phi, theta=f.theta, mean=f.mean,
-        sigma2=f.sigma2, loglik=f.loglik, aic=f.aic, nobs=f.nobs, last_values=f.last_values,
-        state=f.state, state_cov=f.state_cov, resid=f.resid,
-        first_month=pdf[month].iloc[0], last_month=pdf[month].iloc[-1], method=f.method,
+def _solve(s: dict[tuple[int, int], Column], b: list[Column]) -> list[Column]:
+    """Cramer's rule for a symmetric 3 x 3 system; null where it is singular."""
+
+    def at(i: int, j: int) -> Column:
+        return s[min(i, j), max(i, j)]
+
+    def det(m) -> Column:
+        return (
+            m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1])
+            - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0])
+            + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
+        )
+
+    rows = [[at(i, j) for j in range(3)] for i in range(3)]
+    whole = F.nullif(det(rows), F.lit(0.0))
+    return [det([[b[i] if j == k else rows[i][j] for j in range(3)] for i in range(3)]) / whole for k in range(3)]
+
+
+def _regress(df: DataFrame, by, y: str, xs: list[str], used: list[Column], names: list[str], unknowns: Column) -> DataFrame:
+    """Adds the least-squares coefficients of ``y`` on the used ``xs`` (columns
+    ``names``), computed over the window ``by`` from the rows where all are known."""
+    known = F.col(y).isNotNull()
+    for x, u in zip(xs, used):
+        known = known & (~u | F.col(x).isNotNull())
+    value = {x: F.when(known, F.when(u, F.col(x)).otherwise(0.0)) for x, u in zip(xs, used)}
+    target = F.when(known, F.col(y))
+    sums = {}
+    for i in range(3):
+        for j in range(i, 3):
+            total = F.coalesce(F.sum(value[xs[i]] * value[xs[j]]).over(by), F.lit(0.0))
+            sums[f"_s{i}{j}"] = F.when(used[i], total).otherwise(1.0) if i == j else total
+        sums[f"_b{i}"] = F.coalesce(F.sum(value[xs[i]] * target).over(by), F.lit(0.0))
+    sums["_known"] = F.count(target).over(by)
+    df = df.withColumns(sums)
+    solved = _solve({(i, j): F.col(f"_s{i}{j}") for i in range(3) for j in range(i, 3)}, [F.col(f"_b{i}") for i in range(3)])
+    enough = F.col("_known") >= unknowns + SPARE
+    coefs = {n: F.coalesce(F.when(enough, c), F.lit(0.0)) for n, c in zip(names, solved)}
+    return df.withColumns(coefs).drop(*sums)
+
+
+def _fit(series: DataFrame, ks: list[str], month: str, value: str, orders: list[tuple], m: int) -> DataFrame:
+    """One parameter row per (key, order).  Orders of a key are scored over the
+    same months, so their AICs compare; a seasonal order that a short series
+    cannot be scored on has a null AIC."""
+    for p, d, q, sd in orders:
+        if not (p in (0, 1, 2) and q in (0, 1) and d >= 0 and sd in (0, 1)):
+            raise ValueError("orders need p <= 2, q <= 1 and seasonal_d <= 1")
+    choices = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(ORDER, o))) for o in orders))
+    part = [*ks, *ORDER]
+    by = Window.partitionBy(*part)
+    time = by.orderBy(month)
+    df = series.select(*ks, month, F.col(value).cast("double").alias("_y"), F.inline(choices))
+
+    # Differencing: seasonal first, then d times.
+    seasonal = F.col("seasonal_d") == 1
+    df = df.withColumns(
+        {
+            "_w": F.when(seasonal, F.col("_y") - F.lag("_y", m).over(time)).otherwise(F.col("_y")),
+            "_t": F.row_number().over(time),
+            "_months": F.count(F.lit(1)).over(by),
+        }
+    )
+    for k in range(max(d for _, d, _, _ in orders)):
+        df = df.withColumn("_w", F.when(F.col("d") > k, F.col("_w") - F.lag("_w").over(time)).otherwise(F.col("_w")))
+    plain = (F.col("d") + F.col("seasonal_d")) == 0
+    df = df.withColumn("mean", F.when(plain, F.avg("_w").over(by)).otherwise(F.lit(0.0)))
+    df = df.withColumn("_w", F.col("_w") - F.col("mean"))
+    df = df.withColumns({f"_l{k}": F.lag("_w", k).over(time) for k in range(1, LONG_AR + 1)})
+
+    lags = ["_l1", "_l2", "_l3"]
+    df = _regress(df, by, "_w", lags, [F.lit(True)] * 3, ["_a1", "_a2", "_a3"], F.lit(3))
+    df = df.withColumn("_e", F.col("_w") - sum(F.col(f"_a{k}") * F.col(f"_l{k}") for k in (1, 2, 3)))
+    df = df.withColumn("_le", F.lag("_e").over(time))
+    used = [F.col("p") >= 1, F.col("p") >= 2, F.col("q") >= 1]
+    df = _regress(df, by, "_w", ["_l1", "_l2", "_le"], used, ["_phi1", "_phi2", "_theta1"], F.col("p") + F.col("q"))
+    p1, p2, q1 = F.col("_phi1"), F.col("_phi2"), F.col("_theta1")
+    stable = (F.abs(p2) < 1) & (p1 + p2 < 1) & (p2 - p1 < 1) & (F.abs(q1) < 1)
+    df = df.withColumns({c: F.when(stable, F.col(c)).otherwise(0.0) for c in ("_phi1", "_phi2", "_theta1")})
+    shock = F.col("_w")
+    for c, x, u in zip(("_phi1", "_phi2", "_theta1"), ("_l1", "_l2", "_le"), used):
+        shock = shock - F.when(u, F.col(c) * F.col(x)).otherwise(0.0)
+    df = df.withColumn("_r", shock)
+
+    # The months that score: those every order of the search has a residual for.
+    lost = [d + m * sd for _, d, _, sd in orders]
+    short = [d for _, d, _, sd in orders if sd == 0] or lost
+    long_from, short_from = max(lost) + LAGS, max(short) + LAGS
+    roomy = F.col("_months") > long_from + SPARE
+    scored = F.when(F.col("_t") > F.when(roomy, F.lit(long_from)).otherwise(F.lit(short_from)), F.col("_r"))
+    unfit = seasonal & ~roomy & F.lit(len(orders) > 1)
+    history = F.transform(F.array_sort(F.collect_list(F.struct(F.col(month).alias("t"), F.col("_y").alias("y")))), lambda s: s["y"])
+    residual = F.when(F.col("_r").isNotNull(), F.struct(F.col(month).alias("month"), F.col("_r").alias("resid")))
+    fits = df.groupBy(*part).agg(
+        *(F.first(c).alias(c) for c in ("_phi1", "_phi2", "_theta1", "mean")),
+        F.first(unfit).alias("_unfit"),
+        F.coalesce(F.avg(scored * scored), F.avg(F.col("_r") * F.col("_r")), F.lit(0.0)).alias("sigma2"),
+        F.count(scored).alias("nobs"),
+        F.min(month).alias("first_month"),
+        F.max(month).alias("last_month"),
+        F.coalesce(F.max_by("_r", month), F.lit(0.0)).alias("last_shock"),
+        history.alias("_history"),
+        F.array_sort(F.collect_list(residual)).alias("resid"),
+    )
+    unknowns = F.col("p") + F.col("q") + (F.col("d") + F.col("seasonal_d") == 0).cast("int") + 1
+    aic = F.col("nobs") * F.log(F.greatest(F.col("sigma2"), F.lit(1e-12))) + 2 * unknowns
+    keep = 2 + F.col("d") + m * F.col("seasonal_d")
+    return fits.select(
+        *part,
+        F.lit(m).alias("m"),
+        F.slice(F.array("_phi1", "_phi2"), F.lit(1), F.col("p")).alias("phi"),
+        F.slice(F.array("_theta1"), F.lit(1), F.col("q")).alias("theta"),
+        F.coalesce("mean", F.lit(0.0)).alias("mean"),
+        "sigma2",
+        F.when((F.col("nobs") > 0) & ~F.col("_unfit"), aic).alias("aic"),
+        "nobs",
+        F.slice("_history", F.greatest(F.lit(1), F.size("_history") - keep + 1), keep).alias("last_values"),
+        "last_shock",
+        F.lit(0.0).alias("shock_var"),
+        "first_month",
+        "last_month",
+        "resid",
     )
-    return row
 
 
 def fit_arima(
@@ -111,14 +178,8 @@ def fit_arima(
     m: int = SEASON,
 ) -> DataFrame:
     """one fitted model per key; returns the parameter table (K6)."""
-    ks = _keys(keys)
-    schema = StructType(_key_fields(series, ks) + MODEL_FIELDS)
-    cols = [f.name for f in schema.fields]
-
-    def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([_fit_rows(pdf, ks, month, value, order, seasonal_d, m, None)], columns=cols)
-
-    return _spread(series.select(*ks, month, value), ks).groupBy(*ks).applyInPandas(fit_group, schema)
+    p, d, q = order
+    return _fit(series, _keys(keys), month, value, [(p, d, q, seasonal_d)], m)
 
 
 def auto_arima(
@@ -131,64 +192,31 @@ def auto_arima(
     d_values: Sequence[int] = AUTO_D,
     seasonal_d_values: Sequence[int] = AUTO_SEASONAL_D,
     m: int = SEASON,
-    d_test: str | None = "kpss",
 ) -> DataFrame:
-    """fit the candidate orders of the grid per key (one task per
-    (key, order)) and keep the lowest AIC per key.  All candidates of a key
-    score the same observations (the first max(d + m*D) are conditioned on),
-    so their AICs are comparable.
-
-    ``d_test='kpss'``: the number of regular differences is chosen per series
-    by the KPSS test (the value in ``d_values`` nearest to it) and only
-    candidates with that d are fitted; ``None`` lets AIC choose d too."""
+    """all orders of the grid per key in one pass (the months of a series
+    are repeated per order); the lowest AIC stays, ties to the simplest."""
     ks = _keys(keys)
-    cands = [(p, d, q, sd) for p in p_values for d in d_values for q in q_values for sd in seasonal_d_values]
-    burn_to = max(d + m * sd for _, d, _, sd in cands)
-    # A series too short for the seasonal candidates is fitted on the others,
-    # conditioned on their own largest differencing (same for all its candidates).
-    short_burn = max(d for _, d, _, sd in cands if sd == 0) if any(sd == 0 for *_, sd in cands) else burn_to
-    cand_col = F.array(
-        *[
-            F.struct(F.lit(p).alias("_p"), F.lit(d).alias("_d"), F.lit(q).alias("_q"), F.lit(sd).alias("_sd"))
-            for p, d, q, sd in cands
-        ]
-    )
-    base = series.select(*ks, month, value)
-    fanned = base.select(*ks, month, value, F.inline(cand_col))
-    if d_test == "kpss":
-        # One small pass per series picks d; only candidates with that d fan out.
-        d_schema = StructType(_key_fields(series, ks) + [StructField("_dsel", IntegerType())])
-
-        def choose_d(pdf: pd.DataFrame) -> pd.DataFrame:
-            y = pdf.sort_values(month)[value].to_numpy(dtype=float)
-            chosen = arima.ndiffs(y, max_d=max(d_values))
-            row = {k: pdf[k].iloc[0] for k in ks}
-            row["_dsel"] = min(d_values, key=lambda d: (abs(d - chosen), d))
-            return pd.DataFrame([row], columns=[f.name for f in d_schema.fields])
-
-        dsel = _spread(base, ks).groupBy(*ks).applyInPandas(choose_d, d_schema)
-        fanned = fanned.join(dsel, on=ks, how="inner").filter(F.col("_d") == F.col("_dsel")).drop("_dsel")
-    schema = StructType(_key_fields(series, ks) + MODEL_FIELDS)
-    cols = [f.name for f in schema.fields]
-
-    def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        order = (int(first["_p"]), int(first["_d"]), int(first["_q"]))
-        sd = int(first["_sd"])
-        burn = burn_to
-        if len(pdf) <= burn_to + 2:
-            if sd or len(pdf) <= short_burn:
-                return pd.DataFrame([], columns=cols)
-            burn = short_burn
-        row = _fit_rows(pdf, ks, month, value, order, sd, m, burn)
-        return pd.DataFrame([row], columns=cols)
-
-    group = [*ks, "_p", "_d", "_q", "_sd"]
-    fits = _spread(fanned, group).groupBy(*group).applyInPandas(fit_group, schema)
-    rank = Window.partitionBy(*ks).orderBy(
-        F.col("aic").asc_nulls_last(), F.col("p") + F.col("q"), "d", "seasonal_d", "p", "q"
+    orders = [(p, d, q, sd) for p in p_values for d in d_values for q in q_values for sd in seasonal_d_values]
+    rank = F.struct(
+        F.col("aic").isNull().alias("none"), "aic", (F.col("p") + F.col("q")).alias("size"), "d", "seasonal_d", "p", "q"
     )
-    return fits.withColumn("_r", F.row_number().over(rank)).filter("_r = 1").drop("_r")
+    fits = _fit(series, ks, month, value, orders, m)
+    names = [c for c in fits.columns if c not in ks]
+    best = fits.groupBy(*ks).agg(F.min_by(F.struct(*names), rank).alias("_best"))
+    return best.select(*ks, "_best.*")
+
+
+def _recursion(coefs: Column, start: Column, first: Column, later: Column, constant: Column, steps: int) -> Column:
+    """``start`` continued by x_k = constant + sum_j coefs_j x_{k-j} (+ ``first``
+    at k = 1, ``later`` at k = 2), ``steps`` times; the new values."""
+
+    def step(acc: Column, k: Column) -> Column:
+        recent = F.reverse(F.slice(acc, -F.size(coefs), F.size(coefs)))
+        dot = F.aggregate(F.zip_with(coefs, recent, lambda a, x: a * x), F.lit(0.0), lambda s, x: s + x)
+        bump = F.when(k == 1, first).when(k == 2, later).otherwise(0.0)
+        return F.concat(acc, F.array(constant + dot + bump))
+
+    return F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step), -steps, steps)
 
 
 def forecast_from_params(
@@ -199,34 +227,59 @@ def forecast_from_params(
     month: str = "month",
 ) -> DataFrame:
     """``horizon`` months ahead per model row, with standard error and
-    a normal ``level`` band.  A map over the parameter rows: no shuffle."""
+    a normal ``level`` band.  A projection of the parameter rows: no shuffle.
+
+    ``shock_var`` is the variance left about the moving-average part of the
+    last shock; it adds to the band through the autoregressive recursion."""
     ks = _keys(keys)
-    key_fields = _key_fields(params, ks)
-    schema = StructType(key_fields + [StructField("last_month", DateType())] + FORECAST_FIELDS)
-    cols = [f.name for f in schema.fields]
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                poly = arima.diff_poly(int(rec["d"]), int(rec["seasonal_d"]), int(rec["m"]))
-                means, ses = arima.forecast(
-                    list(rec["phi"]), list(rec["theta"]), float(rec["sigma2"]), list(rec["state"]),
-                    list(rec["state_cov"]), list(rec["last_values"]), poly, horizon, float(rec["mean"]),
-                )
-                z = arima.z_value(level)
-                for h in range(horizon):
-                    row = {k: rec[k] for k in ks}
-                    row.update(last_month=rec["last_month"], step=h + 1, mean=float(means[h]),
-                               mean_se=float(ses[h]), lower=float(means[h] - z * ses[h]),
-                               upper=float(means[h] + z * ses[h]))
-                    out.append(row)
-            yield pd.DataFrame(out, columns=cols)
-
-    fc = params.select(*ks, "p", "d", "q", "seasonal_d", "m", "phi", "theta", "mean", "sigma2", "state",
-                       "state_cov", "last_values", "last_month").mapInPandas(run, schema)
-    return fc.select(*ks, "step", F.add_months("last_month", F.col("step")).alias(month),
-                     "mean", "mean_se", "lower", "upper")
+    zero = F.array(F.lit(0.0))
+    m0 = F.array_repeat(F.lit(0.0), F.col("m"))
+
+    def minus(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, lambda x, y: x - y)
+
+    # phi(B) (1 - B)^d (1 - B^m)^D as coefficients; one more zero keeps it longer than 1.
+    poly = F.concat(F.array(F.lit(1.0)), F.transform("phi", lambda x: -x), zero)
+    differences = F.when(F.col("d") > 0, F.sequence(F.lit(1), F.col("d"))).otherwise(F.array().cast("array<int>"))
+    poly = F.aggregate(differences, poly, lambda p, _: minus(F.concat(p, zero), F.concat(zero, p)))
+    rows = params.withColumn("_poly", poly)
+    rows = rows.withColumn(
+        "_poly",
+        F.when(F.col("seasonal_d") == 1, minus(F.concat("_poly", m0), F.concat(m0, "_poly"))).otherwise(F.col("_poly")),
+    )
+    rows = rows.withColumn("_a", F.transform(F.slice("_poly", F.lit(2), F.size("_poly") - 1), lambda x: -x))
+    n = F.size("_a")
+    missing = F.greatest(n - F.size("last_values"), F.lit(0))
+    padded = F.concat(F.array_repeat(F.element_at("last_values", 1), missing), "last_values")
+    ar_sum = F.aggregate("phi", F.lit(0.0), lambda s, x: s + x)
+    theta = F.coalesce(F.get("theta", F.lit(0)), F.lit(0.0))
+    none, zeros = F.lit(0.0), F.array_repeat(F.lit(0.0), n)
+    rows = rows.withColumns({"_start": padded, "_c": F.col("mean") * (1 - ar_sum), "_theta": theta, "_zeros": zeros})
+    rows = rows.withColumns(
+        {
+            "_mean": _recursion(F.col("_a"), F.col("_start"), F.col("_theta") * F.col("last_shock"), none, F.col("_c"), horizon),
+            "_psi": _recursion(F.col("_a"), F.col("_zeros"), F.lit(1.0), F.col("_theta"), none, horizon),
+            "_chi": _recursion(F.col("_a"), F.col("_zeros"), F.lit(1.0), none, none, horizon),
+        }
+    )
+
+    def at_step(k: Column) -> Column:
+        total = F.aggregate(F.slice("_psi", F.lit(1), k), F.lit(0.0), lambda s, x: s + x * x)
+        chi = F.element_at("_chi", k)
+        se = F.sqrt(F.col("sigma2") * total + F.col("shock_var") * chi * chi)
+        return F.struct(k.alias("step"), F.element_at("_mean", k).alias("mean"), se.alias("mean_se"))
+
+    steps = F.transform(F.sequence(F.lit(1), F.lit(horizon)), at_step)
+    z = NormalDist().inv_cdf(0.5 + level / 2)
+    return rows.select(*ks, "last_month", F.inline(steps)).select(
+        *ks,
+        "step",
+        F.add_months("last_month", F.col("step")).alias(month),
+        "mean",
+        "mean_se",
+        (F.col("mean") - z * F.col("mean_se")).alias("lower"),
+        (F.col("mean") + z * F.col("mean_se")).alias("upper"),
+    )
 
 
 def arima_forecast(
@@ -257,12 +310,9 @@ def forecast_by_key(
 
 
 def residuals(params: DataFrame, keys: str | Sequence[str], month: str = "month") -> DataFrame:
-    """One-step prediction errors of each fitted model, by month (input to F7)."""
+    """Residuals of each fitted model, by month (input to F7)."""
     ks = _keys(keys)
-    k = F.col("d") + F.col("seasonal_d") * F.col("m")
-    return params.select(*ks, "first_month", k.alias("_k"), F.posexplode("resid").alias("_i", "resid")).select(
-        *ks, F.add_months("first_month", (F.col("_k") + F.col("_i")).cast("int")).alias(month), "resid"
-    )
+    return params.select(*ks, F.inline("resid")).select(*ks, F.col("month").alias(month), "resid")
 
 
 def union_forecasts(*frames: DataFrame) -> DataFrame:

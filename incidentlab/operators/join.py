@@ -1,10 +1,12 @@
 """Joins (J1, J2).
 
-J1 keeps every street row.  Rows whose key is null can never match, and in a
-sort-merge join they would all hash to one reducer (a third of the feed can
-be such rows).  They are sent around the join and unioned back, so they are
-never shuffled.  Skew on a real key is left to AQE's skew-join split (the
-preserved left side of a left outer join is splittable).
+J1 keeps every street row and reads the street table once.  Rows whose key is
+null can never match, and in a sort-merge join they would all hash to one
+reducer (a third of the feed can be such rows), so the join has a second key:
+a salt that is 0 for keyed rows and follows the row number for null-keyed ones,
+which spreads them over the reducers.  Skew of a real key is left to AQE's
+skew join (the preserved left side of a left outer join is splittable), or
+spread explicitly over ``salt`` reducers.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlab.operators.sizing import checked_broadcast
+NULL_SALT = 64
 
 
 def join_outcomes(
@@ -22,32 +24,23 @@ def join_outcomes(
     right: DataFrame,
     key: str = "crime_id",
     cols: Sequence[str] = ("outcome_type",),
-    hot_fraction: float | None = None,
-    hot_sample: float = 0.01,
+    salt: int = 1,
 ) -> DataFrame:
     """``left`` left-outer-join ``right.select(key, *cols)`` on ``key``.
 
     Null keys keep null outcomes; a key with several outcomes fans out.
-    With ``hot_fraction`` the keys holding at least that share of the left
-    rows are found first (``skew.hot_keys``) and joined apart (broadcast or
-    salted, ``skew.split_left_join``); otherwise AQE's skew join splits them."""
-    if hot_fraction is not None:
-        from incidentlab.operators import skew
-
-        hot = skew.hot_keys(left, key, fraction=hot_fraction, sample=hot_sample)
-        return skew.split_left_join(left, right, key, cols, hot)
+    ``salt`` > 1 deals the rows of each left key over that many reducers and
+    repeats the right rows for each of them.  Salts follow the row number, not
+    the row's content, so identical rows spread as well."""
+    number = F.monotonically_increasing_id()
+    dealt = F.pmod(number, F.lit(salt)) if salt > 1 else F.lit(0).cast("bigint")
+    keyed = left.withColumn("_salt", F.when(F.col(key).isNull(), F.pmod(number, F.lit(NULL_SALT))).otherwise(dealt))
     r = right.select(key, *cols).filter(F.col(key).isNotNull())
-    keyed = left.filter(F.col(key).isNotNull()).join(r, on=key, how="left")
-    types = {f.name: f.dataType for f in right.schema.fields}
-    unkeyed = left.filter(F.col(key).isNull()).select(
-        *[F.col(c) for c in left.columns], *[F.lit(None).cast(types[c]).alias(c) for c in cols]
-    )
-    return keyed.unionByName(unkeyed)
+    r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    return keyed.join(r, on=[key, "_salt"], how="left").select(*left.columns, *cols)
 
 
-def join_centroids(df: DataFrame, centroids: DataFrame, key: str = "prediction", max_rows: int = 100_000) -> DataFrame:
+def join_centroids(df: DataFrame, centroids: DataFrame, key: str = "prediction") -> DataFrame:
     """Inner join of per-key rows with the per-cluster centroid table.
-
-    The centroid table has one row per cluster; it is broadcast only after its
-    row count is checked against ``max_rows``, otherwise a shuffle join runs."""
-    return df.join(checked_broadcast(centroids, max_rows), on=key, how="inner")
+    Spark broadcasts the centroid table where its measured size allows it."""
+    return df.join(centroids, on=key, how="inner")

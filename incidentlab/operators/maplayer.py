@@ -25,10 +25,12 @@ def map_layer(
     value: str = "forecast",
     scale: int | None = 6,
 ) -> DataFrame:
-    # The column maximum is one number; bring it back as a literal.
-    top = forecast.agg(F.max(value)).collect()[0][0]
+    """One marker per (cluster, date).  Intensity is the share of the largest
+    value (A18, a scalar subquery of the same plan), 0 where that is 0.  The
+    forecast is read twice, so hand in a written table, not a plan that fits."""
+    top = forecast.agg(F.max(value).cast("double")).scalar()
     layer = join_centroids(forecast, centroids, key)
-    intensity = F.col(value) / F.lit(float(top)) if top else F.lit(None).cast("double")
+    intensity = F.when(top == 0, F.lit(0.0)).otherwise(F.col(value) / top)
     radius = F.lit(RADIUS_BASE) + F.col(value) * F.lit(RADIUS_SCALE)
     if scale is not None:
         intensity, radius = F.round(intensity, scale), F.round(radius, scale)

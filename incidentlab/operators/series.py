@@ -30,6 +30,13 @@ def monthly_counts(df: DataFrame, date: str = "date", keys: str | Sequence[str]
     return df.groupBy(*_keys(keys), month_start(date).alias("month")).agg(F.count(F.lit(1)).alias(name))
 
 
+def complete_months(df: DataFrame, date: str = "date") -> DataFrame:
+    """Dated rows without those of a partial last month: the month of the
+    latest date counts as partial unless that date is its last day."""
+    end = df.agg(F.date_trunc("month", F.date_add(F.max(date), 1)).cast("date")).scalar()
+    return df.filter(F.col(date) < end)
+
+
 def gapfill(
     series: DataFrame,
     keys: str | Sequence[str] | None = None,
@@ -83,11 +90,15 @@ def actual_vs_forecast(
     month: str = "month",
     value: str = "n",
 ) -> DataFrame:
-    """History and forecast band in one table, for plotting elsewhere."""
+    """History and forecast band in one table, for plotting elsewhere, with
+    the first forecast month of each key as ``forecast_start``.  The forecast
+    may come from anywhere, e.g. a saved result file."""
     ks = _keys(keys)
     a = actual.select(*ks, month, F.col(value).alias("actual"))
     f = forecast.select(*ks, month, "mean", "lower", "upper")
-    return a.join(f, on=[*ks, month], how="full").withColumn("is_forecast", F.col("mean").isNotNull())
+    both = a.join(f, on=[*ks, month], how="full").withColumn("is_forecast", F.col("mean").isNotNull())
+    start = F.min(F.when(F.col("is_forecast"), F.col(month))).over(Window.partitionBy(*ks))
+    return both.withColumn("forecast_start", start)
 
 
 def forecast_metrics(df: DataFrame, keys: str | Sequence[str] | None, actual: str, predicted: str, scale: int | None = 6) -> DataFrame:

@@ -26,46 +26,19 @@ def pair_counts(
     row: str = "crime_type",
     col: str = "outcome_type",
     name: str = "n",
-    hot_fraction: float | None = None,
 ) -> DataFrame:
     """Row count of ``left ⟕ right`` on ``key`` grouped by (row, col) (A12), exact,
-    without materialising the joined rows.
-
-    The right side is first reduced to one row per (key, category) with its
-    count, so a key held by a third of the outcomes is a handful of rows and
-    each left row meets at most one right row per category; the join output
-    is then summed (partial aggregation before its shuffle).  Skew of a left
-    key is split by AQE's skew join, or explicitly with ``hot_fraction``
-    (hot keys found as in ``skew.hot_keys``; their right rows, at most one per
-    outcome category each, are broadcast).  Left rows with a null key never match:
-    they bypass the join and are counted in the same final aggregation, so
-    they never reach one join reducer.
-    """
-    right_keyed = (
-        right.filter(F.col(key).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n_right"))
-    )
-    col_type = right.schema[col].dataType
-    keyed_left = left.filter(F.col(key).isNotNull()).select(key, row)
-    if hot_fraction is None:
-        joined = keyed_left.join(right_keyed, on=key, how="left")
-    else:
-        # Explicit split: hot left keys meet their (pre-aggregated, hence
-        # small) right rows through a broadcast; the rest shuffle as usual.
-        from incidentlab.operators.skew import hot_keys
-
-        hot = hot_keys(left, key, fraction=hot_fraction)
-        is_hot = F.col(key).isin(hot) if hot else F.lit(False)
-        joined = keyed_left.filter(~is_hot).join(right_keyed.filter(~is_hot), on=key, how="left")
-        if hot:
-            hot_right = right_keyed.filter(is_hot)
-            joined = joined.unionByName(keyed_left.filter(is_hot).join(F.broadcast(hot_right), on=key, how="left"))
-    matched = joined.select(F.col(row), F.col(col), F.coalesce(F.col("_n_right"), F.lit(1)).alias(name))
-    # Null-key rows skip the join; the partial aggregate above the union
-    # combines them map-side, so they are never shuffled as rows.
-    unkeyed = left.filter(F.col(key).isNull()).select(
-        F.col(row), F.lit(None).cast(col_type).alias(col), F.lit(1).cast("bigint").alias(name)
-    )
-    return matched.unionByName(unkeyed).groupBy(row, col).agg(F.sum(name).alias(name))
+    without materialising the joined rows and with one scan of each side.
+
+    Both sides are first counted per (key, category), with partial aggregation
+    before their shuffle: the null key and a key held by a third of the rows
+    become one row per category, so no reducer of the join gets a hot key's
+    rows.  The joined counts multiply; an unmatched left row counts once."""
+    lefts = left.groupBy(key, row).agg(F.count(F.lit(1)).alias("_n_left"))
+    rights = right.filter(F.col(key).isNotNull()).groupBy(key, col).agg(F.count(F.lit(1)).alias("_n_right"))
+    joined = lefts.join(rights, on=key, how="left")
+    n = F.col("_n_left") * F.coalesce(F.col("_n_right"), F.lit(1))
+    return joined.groupBy(row, col).agg(F.sum(n).alias(name))
 
 
 def rollup_counts(pairs: DataFrame, key: str, n: str = "n", name: str = COUNT) -> DataFrame:
@@ -138,25 +111,23 @@ def peek(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def load_report(tables: Mapping[str, DataFrame], reject_checks: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per table with its row count and, when a check is given,
-    the number of rows it rejects (e.g. text present but date unparsable)."""
-    reject_checks = reject_checks or {}
-    parts = []
-    for name, df in tables.items():
-        check = reject_checks.get(name)
-        rejected = F.sum(F.when(check, 1).otherwise(0)) if check is not None else F.lit(0)
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("rows"), rejected.cast("bigint").alias("rejected")).select(
-                F.lit(name).alias("table"), "rows", "rejected"
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+def load_report(tables: Mapping[str, DataFrame], reject_checks: Mapping[str, Mapping[str, Column]]) -> DataFrame:
+    """One row per table with its row count and, per named check, the
+    number of rows it rejects (e.g. a month or a coordinate that is present but
+    cannot be parsed); a table without that check rejects none."""
+    names = list(dict.fromkeys(n for checks in reject_checks.values() for n in checks))
+    out = None
+    for table, df in tables.items():
+        checks = reject_checks.get(table, {})
+        part = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *(F.count_if(checks[n]).alias(n) if n in checks else F.lit(0).cast("bigint").alias(n) for n in names),
+        ).select(F.lit(table).alias("table"), "rows", *names)
+        out = part if out is None else out.unionByName(part)
     return out
 
 
+
 def grouping_set_counts(
     df: DataFrame,
     sets: Mapping[str, Sequence[str]],

@@ -27,7 +27,7 @@ from incidentlab.functions import (
     parse_year_month,
     to_double,
 )
-from incidentlab.session import checkpoint, scratch_path
+from incidentlab.session import scratch_path
 from incidentlab.sources.standins import with_views
 
 
@@ -82,9 +82,9 @@ FROM street s LEFT JOIN (SELECT crime_id, outcome_type FROM outcomes) o ON s.cri
 
 @register("join_left_outcomes_split", "J1", _J1_SQL)
 def q_join_left_outcomes_split(spark, sf):
-    # Hot-key split exercised on the stand-in: orders with the most lines count as hot.
+    # Every key's rows dealt over four reducers.
     s = sv.street(spark, sf).select("crime_id", "crime_type", "date")
-    return join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"], hot_fraction=1e-4, hot_sample=0.05)
+    return join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"], salt=4)
 
 
 # ---------------------------------------------------------- aggregations (A)
@@ -97,10 +97,10 @@ def q_pair_counts(spark, sf):
 
 @register("pair_counts_split", "A12", with_views("SELECT crime_type, outcome_type, n FROM pairs", "pairs"))
 def q_pair_counts_split(spark, sf):
-    # Explicit hot-key split exercised on the stand-in (orders with the most lines count as hot).
-    return summary.pair_counts(
-        sv.street(spark, sf), sv.outcomes(spark, sf), "crime_id", "crime_type", "outcome_type", hot_fraction=1e-4
-    )
+    # The same counts from the joined rows, with every key dealt over four reducers.
+    s = sv.street(spark, sf).select("crime_id", "crime_type")
+    rows = join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"], salt=4)
+    return summary.count_by(rows, "crime_type", "outcome_type", name="n")
 
 
 @register(
@@ -229,17 +229,27 @@ def q_count_stop_linked(spark, sf):
     "load_report",
     "A17 D10",
     with_views(
-        """SELECT 'street' AS "table", COUNT(*) AS "rows", CAST(SUM(CASE WHEN date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rejected FROM street
-UNION ALL SELECT 'outcomes', COUNT(*), CAST(SUM(CASE WHEN date IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM outcomes
-UNION ALL SELECT 'stop_and_search', COUNT(*), CAST(SUM(CASE WHEN date IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM stops""",
-        "street",
+        """SELECT 'street' AS "table", COUNT(*) AS "rows",
+       count_if(try_strptime(month_text, '%Y-%m') IS NULL)::BIGINT AS bad_dates,
+       count_if((latitude IS NOT NULL AND try_cast(latitude AS DOUBLE) IS NULL)
+             OR (longitude IS NOT NULL AND try_cast(longitude AS DOUBLE) IS NULL))::BIGINT AS bad_coordinates
+FROM street_text
+UNION ALL SELECT 'outcomes', COUNT(*), count_if(date IS NULL)::BIGINT, 0::BIGINT FROM outcomes
+UNION ALL SELECT 'stop_and_search', COUNT(*), count_if(date IS NULL)::BIGINT, 0::BIGINT FROM stops""",
+        "street_text",
         "outcomes",
         "stops",
     ),
 )
 def q_load_report(spark, sf):
-    tables = {"street": sv.street(spark, sf), "outcomes": sv.outcomes(spark, sf), "stop_and_search": sv.stops(spark, sf)}
-    checks = {k: F.col("date").isNull() for k in tables}
+    tables = {"street": sv.street_text(spark, sf), "outcomes": sv.outcomes(spark, sf), "stop_and_search": sv.stops(spark, sf)}
+    bad = [F.col(c).isNotNull() & to_double(c).isNull() for c in ("latitude", "longitude")]
+    no_date = {"bad_dates": F.col("date").isNull()}
+    checks = {
+        "street": {"bad_dates": parse_year_month("month_text").isNull(), "bad_coordinates": bad[0] | bad[1]},
+        "outcomes": no_date,
+        "stop_and_search": no_date,
+    }
     return summary.load_report(tables, checks)
 
 
@@ -274,10 +284,10 @@ def q_top_categories(spark, sf):
 @register(
     "peek",
     "T6",
-    with_views("SELECT * FROM outcomes ORDER BY crime_id LIMIT 5", "outcomes"),
+    with_views("SELECT * FROM outcomes ORDER BY crime_id, outcome_type LIMIT 5", "outcomes"),
 )
 def q_peek(spark, sf):
-    return summary.peek(sv.outcomes(spark, sf), ["crime_id"], 5)
+    return summary.peek(sv.outcomes(spark, sf), ["crime_id", "outcome_type"], 5)
 
 
 # ---------------------------------------------------------- crosstab (X)
@@ -291,6 +301,7 @@ def q_peek(spark, sf):
        CAST(SUM(CASE WHEN outcome_type = 'F' THEN n ELSE 0 END) AS BIGINT) AS "F",
        CAST(SUM(CASE WHEN outcome_type = 'O' THEN n ELSE 0 END) AS BIGINT) AS "O",
        CAST(SUM(CASE WHEN outcome_type = 'P' THEN n ELSE 0 END) AS BIGINT) AS "P",
+       CAST(SUM(CASE WHEN outcome_type = 'X' THEN n ELSE 0 END) AS BIGINT) AS "X",
        CAST(SUM(CASE WHEN outcome_type IS NULL THEN n ELSE 0 END) AS BIGINT) AS "null"
 FROM pairs GROUP BY crime_type""",
         "pairs",
@@ -360,7 +371,7 @@ def q_chi_square_expected(spark, sf):
     "chi_square_test",
     "X3 K5",
     # Oracle p-value: for an even dof the chi-square tail is
-    # exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!  (the stand-in has dof = 6).
+    # exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!  (the stand-in has dof = 8).
     with_views(
         """SELECT round(x, 4) AS chi2,
        round((SELECT sum(exp(i * ln(x / 2) - lgamma(i + 1))) FROM range(CAST(dof / 2 AS BIGINT)) t(i)) * exp(-x / 2), 6) AS p,
@@ -632,9 +643,10 @@ def q_map_layer(spark, sf):
 
 
 def _clean_points(spark, sf):
-    """Cleaned street points, written once: the KMeans fit and the assignment
-    both read them (as the clean table is read from storage in the stages)."""
-    return checkpoint(clean.clean_geo(sv.street(spark, sf)))
+    """Cleaned street points, written once as Parquet: the KMeans fit reads two
+    columns of it, the assignment all (as in the stages)."""
+    path = sinks.write_flat_parquet(clean.clean_geo(sv.street(spark, sf)), scratch_path(spark, "clean-points"))
+    return sources.read_parquet_table(spark, path)
 
 
 @register("kmeans_fit", "C1 C2")
@@ -650,67 +662,329 @@ def q_kmeans_assign(spark, sf):
     return cluster.kmeans_assign(pts, model).drop("features")
 
 
+@register(
+    "kmeans_invariants",
+    "C1 C2 C3",
+    with_views(
+        """SELECT COUNT(*) AS n_rows, TRUE AS at_most_k, 0::BIGINT AS nearer_elsewhere
+FROM (SELECT DISTINCT * FROM street WHERE latitude <> 0 AND longitude <> 0)""",
+        "street",
+    ),
+)
+def q_kmeans_invariants(spark, sf):
+    """Of a fit with k = 8: all rows are kept, at most k clusters are used, and
+    no point is nearer to the centre of another cluster."""
+    pts = _clean_points(spark, sf)
+    model = cluster.fit_kmeans(pts, k=8, seed=42)
+    placed = cluster.kmeans_assign(pts, model).drop("features")
+    again = cluster.assign_nearest(placed.withColumnRenamed("prediction", "own"), cluster.kmeans_centres(spark, model))
+
+    def distance(centre):
+        lat, lon = (F.col(c) - F.element_at(positions, centre + 1)[c] for c in ("latitude", "longitude"))
+        return lat * lat + lon * lon
+
+    positions = F.array(*(
+        F.struct(F.lit(float(c[0])).alias("latitude"), F.lit(float(c[1])).alias("longitude")) for c in model.clusterCenters()
+    ))
+    nearer = distance(F.col("prediction")) < distance(F.col("own")) - 1e-12
+    return again.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.count_distinct("own") <= 8).alias("at_most_k"),
+        F.count_if(nearer).alias("nearer_elsewhere"),
+    )
+
+
 # ------------------------------------------------------------ forecasting (F, K6, U1, W5)
 
 
 def _priority_series(spark, sf):
-    """Monthly order counts per priority, gaps filled with 0."""
-    return series.gapfill(series.monthly_counts(sv.priority_orders(spark, sf), "date", "key"), "key")
+    """Monthly order counts per priority, without a partial last month, gaps
+    filled with 0 (D13)."""
+    orders = series.complete_months(sv.priority_orders(spark, sf))
+    return series.gapfill(series.monthly_counts(orders, "date", "key"), "key").select("key", "month", "n")
 
 
 def _train(spark, sf):
     return series.holdout_split(_priority_series(spark, sf), "key").filter(~F.col("is_test")).drop("is_test")
 
 
-@register("arima_fit", "F1 K6")
+_TRAIN_SQL = """train AS (
+  SELECT key, month, n FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY month DESC) AS r FROM complete_series)
+  WHERE r > 6)"""
+
+
+def _regression_sql(source: str, out: str, target: str, xs: tuple, used: tuple, names: tuple, unknowns: str) -> str:
+    """Oracle form of one 3 x 3 least-squares step (Cramer's rule)."""
+    known = " AND ".join([f"{target} IS NOT NULL", *(f"(NOT ({u}) OR {x} IS NOT NULL)" for x, u in zip(xs, used))])
+    x = [f"CASE WHEN {u} THEN {c} ELSE 0 END" for c, u in zip(xs, used)]
+    sums = []
+    for i in range(3):
+        for j in range(i, 3):
+            total = f"coalesce(sum({x[i]} * {x[j]}) FILTER (WHERE {known}) OVER b, 0)"
+            sums.append(f"CASE WHEN {used[i]} THEN {total} ELSE 1 END AS s{i}{j}" if i == j else f"{total} AS s{i}{j}")
+        sums.append(f"coalesce(sum({x[i]} * {target}) FILTER (WHERE {known}) OVER b, 0) AS b{i}")
+
+    def det(m) -> str:
+        return (
+            f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]})"
+            f" - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+            f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))"
+        )
+
+    rows = [[f"s{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    coefs = []
+    for k, name in enumerate(names):
+        top = det([[f"b{i}" if j == k else rows[i][j] for j in range(3)] for i in range(3)])
+        coefs.append(f"coalesce(CASE WHEN known >= {unknowns} + 5 THEN {top} / nullif({det(rows)}, 0) END, 0) AS {name}")
+    hidden = ", ".join([*(f"s{i}{j}" for i in range(3) for j in range(i, 3)), "b0", "b1", "b2", "known"])
+    return f"""{out} AS (
+  SELECT * EXCLUDE ({hidden}), {", ".join(coefs)}
+  FROM (SELECT *, {", ".join(sums)}, count(*) FILTER (WHERE {known}) OVER b AS known
+        FROM {source} WINDOW b AS (PARTITION BY key, p, d, q, seasonal_d)))"""
+
+
+def _fit_sql(source: str, orders: list) -> str:
+    """Oracle form of the fit: CTEs up to ``params`` (and ``f7``, one row per
+    month with its residual r).  Orders with d <= 1."""
+    lost = [d + 12 * sd for _, d, _, sd in orders]
+    short = [d for _, d, _, sd in orders if sd == 0] or lost
+    values = ", ".join(str(o) for o in orders)
+    o = "(PARTITION BY key, p, d, q, seasonal_d ORDER BY month)"
+    return ",\n".join([
+        f"""f1 AS (
+  SELECT s.key, s.month, c.p, c.d, c.q, c.seasonal_d, s.n::DOUBLE AS y
+  FROM {source} s CROSS JOIN (VALUES {values}) c(p, d, q, seasonal_d))""",
+        f"""f2 AS (
+  SELECT *, CASE WHEN seasonal_d = 1 THEN y - lag(y, 12) OVER o ELSE y END AS y0,
+         row_number() OVER o AS t, count(*) OVER (PARTITION BY key, p, d, q, seasonal_d) AS months
+  FROM f1 WINDOW o AS {o})""",
+        f"""f3 AS (SELECT *, CASE WHEN d = 1 THEN y0 - lag(y0) OVER o ELSE y0 END AS w0 FROM f2 WINDOW o AS {o})""",
+        """f4 AS (
+  SELECT *, w0 - mean AS w
+  FROM (SELECT *, CASE WHEN d + seasonal_d = 0 THEN avg(w0) OVER (PARTITION BY key, p, d, q, seasonal_d) ELSE 0 END AS mean
+        FROM f3))""",
+        f"""f5 AS (SELECT *, lag(w, 1) OVER o AS l1, lag(w, 2) OVER o AS l2, lag(w, 3) OVER o AS l3 FROM f4 WINDOW o AS {o})""",
+        _regression_sql("f5", "g1", "w", ("l1", "l2", "l3"), ("TRUE",) * 3, ("a1", "a2", "a3"), "3"),
+        f"""g2 AS (SELECT *, lag(w - a1 * l1 - a2 * l2 - a3 * l3) OVER o AS le FROM g1 WINDOW o AS {o})""",
+        _regression_sql("g2", "g3", "w", ("l1", "l2", "le"), ("p >= 1", "p >= 2", "q >= 1"), ("h1", "h2", "h3"), "(p + q)"),
+        """g4 AS (
+  SELECT *, abs(h2) < 1 AND h1 + h2 < 1 AND h2 - h1 < 1 AND abs(h3) < 1 AS stable FROM g3)""",
+        """g5 AS (
+  SELECT *, CASE WHEN stable THEN h1 ELSE 0 END AS phi1, CASE WHEN stable THEN h2 ELSE 0 END AS phi2,
+         CASE WHEN stable THEN h3 ELSE 0 END AS theta1 FROM g4)""",
+        """f7 AS (
+  SELECT *, w - CASE WHEN p >= 1 THEN phi1 * l1 ELSE 0 END - CASE WHEN p >= 2 THEN phi2 * l2 ELSE 0 END
+              - CASE WHEN q >= 1 THEN theta1 * le ELSE 0 END AS r FROM g5)""",
+        f"""f8 AS (
+  SELECT *, months > {max(lost) + 4 + 5} AS roomy,
+         CASE WHEN t > CASE WHEN months > {max(lost) + 4 + 5} THEN {max(lost) + 4} ELSE {max(short) + 4} END THEN r END AS scored
+  FROM f7)""",
+        f"""f9 AS (
+  SELECT key, p, d, q, seasonal_d, any_value(phi1) AS phi1, any_value(phi2) AS phi2, any_value(theta1) AS theta1,
+         any_value(mean) AS mean, any_value(roomy) AS roomy,
+         coalesce(avg(scored * scored), avg(r * r), 0) AS sigma2, count(scored) AS nobs,
+         min(month) AS first_month, max(month) AS last_month, coalesce(arg_max(r, month), 0) AS last_shock,
+         list(y ORDER BY month) AS history
+  FROM f8 GROUP BY ALL)""",
+        f"""params AS (
+  SELECT *, CASE WHEN nobs > 0 AND NOT (seasonal_d = 1 AND NOT roomy AND {str(len(orders) > 1).upper()})
+                 THEN nobs * ln(greatest(sigma2, 1e-12)) + 2 * (p + q + (d + seasonal_d = 0)::INT + 1) END AS aic
+  FROM f9)""",
+    ])
+
+
+# Recursions over the parameter row: mean, psi weights; oracle form for d <= 1.
+_FORECAST_SQL = """poly1 AS (
+  SELECT *, list_concat([1.0::DOUBLE], list_concat([-phi1, -phi2][1:p], [0.0::DOUBLE])) AS c1 FROM chosen),
+poly2 AS (
+  SELECT *, CASE WHEN d = 1 THEN list_transform(range(1, len(c1) + 2), lambda i: coalesce(c1[i], 0) - coalesce(c1[i - 1], 0))
+                 ELSE c1 END AS c2 FROM poly1),
+poly3 AS (
+  SELECT *, CASE WHEN seasonal_d = 1
+                 THEN list_transform(range(1, len(c2) + 13), lambda i: coalesce(c2[i], 0) - CASE WHEN i > 12 THEN coalesce(c2[i - 12], 0) ELSE 0 END)
+                 ELSE c2 END AS c3 FROM poly2),
+poly AS (
+  SELECT *, list_transform(c3[2:], lambda x: -x) AS a, mean * (1 - CASE WHEN p >= 1 THEN phi1 ELSE 0 END - CASE WHEN p >= 2 THEN phi2 ELSE 0 END) AS c,
+         CASE WHEN q >= 1 THEN theta1 ELSE 0 END AS theta FROM poly3),
+rec(key, k, a, c, theta, acc, psi, last_month, sigma2, last_shock) AS (
+  SELECT key, 0, a, c, theta,
+         list_concat(list_transform(range(greatest(len(a) - len(history), 0)::BIGINT), lambda i: history[1]), history),
+         list_transform(range(len(a)::BIGINT), lambda i: 0.0::DOUBLE), last_month, sigma2, last_shock
+  FROM poly
+  UNION ALL
+  SELECT key, k + 1, a, c, theta,
+         list_append(acc, c + list_sum(list_transform(range(1, len(a) + 1), lambda j: a[j] * acc[len(acc) + 1 - j]))
+                          + CASE WHEN k = 0 THEN theta * last_shock ELSE 0 END),
+         list_append(psi, list_sum(list_transform(range(1, len(a) + 1), lambda j: a[j] * psi[len(psi) + 1 - j]))
+                          + CASE WHEN k = 0 THEN 1 WHEN k = 1 THEN theta ELSE 0 END),
+         last_month, sigma2, last_shock
+  FROM rec WHERE k < 6),
+fc AS (
+  SELECT key, k AS step, CAST(last_month + to_months(k) AS DATE) AS month, acc[len(acc)] AS mean,
+         sqrt(sigma2 * list_sum(list_transform(psi[len(a) + 1:], lambda x: x * x))) AS mean_se
+  FROM rec WHERE k > 0)"""
+
+_ONE = [(1, 1, 1, 0)]
+_GRID = [(p, d, q, sd) for p in forecast.AUTO_P for d in forecast.AUTO_D for q in forecast.AUTO_Q for sd in forecast.AUTO_SEASONAL_D]
+_BAND = "round(mean, 4) AS mean, round(mean_se, 4) AS mean_se, round(mean - 1.959963984540054 * mean_se, 4) AS lower, round(mean + 1.959963984540054 * mean_se, 4) AS upper"
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_ONE_CTES = ",\n".join([_TRAIN_SQL, _fit_sql("train", _ONE), "chosen AS (SELECT * FROM params)", _FORECAST_SQL])
+_GRID_CTES = ",\n".join([
+    _fit_sql("complete_series", _GRID),
+    """chosen AS (
+  SELECT * FROM params QUALIFY row_number() OVER (
+    PARTITION BY key ORDER BY aic IS NULL, aic, p + q, d, seasonal_d, p, q) = 1)""",
+    _FORECAST_SQL,
+])
+_FORECAST_ONE_SQL = _recursive(with_views(f"SELECT key, step, month, {_BAND} FROM fc", "complete_series", ctes=_ONE_CTES))
+
+
+def _rounded(df: DataFrame, *cols: str, scale: int = 4) -> DataFrame:
+    return df.withColumns({c: F.round(c, scale) for c in cols})
+
+
+@register(
+    "arima_fit",
+    "F1 K6",
+    _recursive(with_views(
+        """SELECT key, p, d, q, round(phi1, 6) AS phi, round(theta1, 6) AS theta, round(sigma2, 4) AS sigma2,
+       round(aic, 4) AS aic, nobs, last_month FROM params""",
+        "complete_series",
+        ctes=_ONE_CTES,
+    )),
+)
 def q_arima_fit(spark, sf):
     params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
-    return params.select("key", "p", "d", "q", "phi", "theta", "sigma2", "aic", "nobs", "last_month")
+    one = params.withColumns({c: F.round(F.element_at(c, 1), 6) for c in ("phi", "theta")})
+    return _rounded(one, "sigma2", "aic").select("key", "p", "d", "q", "phi", "theta", "sigma2", "aic", "nobs", "last_month")
 
 
-@register("arima_forecast", "F2")
+@register("arima_forecast", "F2", _FORECAST_ONE_SQL)
 def q_arima_forecast(spark, sf):
-    return forecast.arima_forecast(_train(spark, sf), "key", order=(1, 1, 1), horizon=6)
+    fc = forecast.arima_forecast(_train(spark, sf), "key", order=(1, 1, 1), horizon=6)
+    return _rounded(fc, "mean", "mean_se", "lower", "upper")
 
 
-@register("auto_arima_select", "F3")
+@register(
+    "auto_arima_select",
+    "F3",
+    _recursive(with_views(
+        "SELECT key, p, d, q, seasonal_d, 12 AS m, round(aic, 4) AS aic, round(sigma2, 4) AS sigma2 FROM chosen",
+        "complete_series",
+        ctes=_GRID_CTES,
+    )),
+)
 def q_auto_arima_select(spark, sf):
     best = forecast.auto_arima(_priority_series(spark, sf), "key")
-    return best.select("key", "p", "d", "q", "seasonal_d", "m", "aic", "sigma2")
+    return _rounded(best, "aic", "sigma2").select("key", "p", "d", "q", "seasonal_d", "m", "aic", "sigma2")
 
 
-@register("forecast_by_key", "F4")
+@register(
+    "forecast_by_key",
+    "F4",
+    _recursive(with_views(
+        f"SELECT key, month AS date, forecast, lower, upper FROM (SELECT key, month, round(mean, 4) AS forecast, {_BAND} FROM fc)",
+        "complete_series",
+        ctes=_GRID_CTES,
+    )),
+)
 def q_forecast_by_key(spark, sf):
-    return forecast.forecast_by_key(_priority_series(spark, sf), "key", horizon=6)
+    return _rounded(forecast.forecast_by_key(_priority_series(spark, sf), "key", horizon=6), "forecast", "lower", "upper")
 
 
-@register("model_params_roundtrip", "K6 F5")
+@register("model_params_roundtrip", "K6 F5", _FORECAST_ONE_SQL)
 def q_model_params_roundtrip(spark, sf):
     params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
     saved = sinks.write_flat_parquet(params, scratch_path(spark, "arima-params"))
-    return forecast.forecast_from_params(sources.read_parquet_table(spark, saved), "key", horizon=6)
+    fc = forecast.forecast_from_params(sources.read_parquet_table(spark, saved), "key", horizon=6)
+    return _rounded(fc, "mean", "mean_se", "lower", "upper")
 
 
-@register("arima_holdout_metrics", "F6 W3")
+@register(
+    "arima_holdout_metrics",
+    "F6 W3",
+    _recursive(with_views(
+        """SELECT key, round(sqrt(avg((n - mean) * (n - mean))), 4) AS rmse, round(avg(abs(n - mean)), 4) AS mae
+FROM fc JOIN complete_series USING (key, month) GROUP BY key""",
+        "complete_series",
+        ctes=_ONE_CTES,
+    )),
+)
 def q_arima_holdout_metrics(spark, sf):
     s = series.holdout_split(_priority_series(spark, sf), "key")
     fc = forecast.arima_forecast(s.filter(~F.col("is_test")), "key", horizon=6)
     scored = s.filter("is_test").join(fc.select("key", "month", "mean"), ["key", "month"], "inner")
-    return series.forecast_metrics(scored, "key", "n", "mean")
+    return _rounded(series.forecast_metrics(scored, "key", "n", "mean", scale=None), "rmse", "mae")
 
 
-@register("actual_vs_forecast", "W5")
+_AVF_SQL = """SELECT key, month, s.n AS actual, mean, lower, upper, mean IS NOT NULL AS is_forecast,
+       min(CASE WHEN mean IS NOT NULL THEN month END) OVER (PARTITION BY key) AS forecast_start
+FROM complete_series s FULL JOIN {forecast} f USING (key, month)"""
+
+
+@register(
+    "actual_vs_forecast",
+    "W5",
+    _recursive(with_views(
+        _AVF_SQL.format(forecast=f"(SELECT key, month, {_BAND} FROM fc)"), "complete_series", ctes=_ONE_CTES
+    )),
+)
 def q_actual_vs_forecast(spark, sf):
     s = _priority_series(spark, sf)
     train = series.holdout_split(s, "key").filter(~F.col("is_test"))
     fc = forecast.arima_forecast(train, "key", horizon=6)
-    return series.actual_vs_forecast(s, fc, "key")
+    return _rounded(series.actual_vs_forecast(s, fc, "key"), "mean", "lower", "upper")
+
+
+_NAIVE_SQL = """naive AS (
+  SELECT key, CAST(month + INTERVAL 12 MONTH AS DATE) AS month, n::DOUBLE AS mean, n * 0.9 AS lower, n * 1.1 AS upper
+  FROM (SELECT *, max(month) OVER (PARTITION BY key) AS last FROM complete_series) WHERE month + INTERVAL 18 MONTH > last)"""
+
+
+@register(
+    "actual_vs_supplied_forecast",
+    "W5 S9",
+    with_views(
+        _AVF_SQL.format(forecast="(SELECT key, month, mean, round(lower, 4) AS lower, round(upper, 4) AS upper FROM naive)"),
+        "complete_series",
+        ctes=_NAIVE_SQL,
+    ),
+)
+def q_actual_vs_supplied_forecast(spark, sf):
+    """A saved forecast (last year's value, from six months before the end of
+    the series on) read back from CSV with its DATE column, next to the history."""
+    s = _priority_series(spark, sf)
+    last = F.max("month").over(Window.partitionBy("key"))
+    recent = s.withColumn("last", last).filter(F.add_months("month", 18) > F.col("last"))
+    n = F.col("n").cast("double")
+    naive = recent.select("key", F.add_months("month", 12).alias("month"), n.alias("mean"), (n * 0.9).alias("lower"), (n * 1.1).alias("upper"))
+    path = sinks.write_single_csv(naive, scratch_path(spark, "supplied-forecast"))
+    saved = sources.read_summary_csv(spark, path, "key STRING, month DATE, mean DOUBLE, lower DOUBLE, upper DOUBLE")
+    return _rounded(series.actual_vs_forecast(s, saved, "key"), "lower", "upper")
 
 
-@register("residual_diagnostics", "F7")
+@register(
+    "residual_diagnostics",
+    "F7",
+    _recursive(with_views(
+        """SELECT key, month, round(r, 4) AS resid, round(z, 6) AS std_resid,
+       least(greatest(floor((z + 4) / 0.8), 0), 9)::INT AS bucket,
+       round(percent_rank() OVER (PARTITION BY key ORDER BY z), 6) AS quantile_rank
+FROM (SELECT key, month, r, (r - avg(r) OVER b) / stddev_samp(r) OVER b AS z FROM f7 WHERE r IS NOT NULL
+      WINDOW b AS (PARTITION BY key))""",
+        "complete_series",
+        ctes=_ONE_CTES,
+    )),
+)
 def q_residual_diagnostics(spark, sf):
     params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
-    return series.standardized_residuals(forecast.residuals(params, "key"), "key", "month", "resid")
+    table = series.standardized_residuals(forecast.residuals(params, "key"), "key", "month", "resid")
+    return _rounded(table, "resid")
 
 
 @register(
@@ -902,6 +1176,24 @@ def q_sample_bernoulli(spark, sf):
     return clean.sample_bernoulli(sv.points(spark, sf), fraction=0.1, seed=42)
 
 
+@register(
+    "sample_bernoulli_invariants",
+    "R7 D9",
+    "SELECT TRUE AS repeats, TRUE AS near_fraction, 0::BIGINT AS not_in_input",
+)
+def q_sample_bernoulli_invariants(spark, sf):
+    """The same seed gives the same rows, about the fraction, all from the input."""
+    pts = sv.points(spark, sf)
+    one, two = (clean.sample_bernoulli(pts, fraction=0.1, seed=42).select("vec_id") for _ in range(2))
+    ids = one.withColumn("a", F.lit(1)).join(two.withColumn("b", F.lit(1)), "vec_id", "full")
+    both = ids.join(pts.select("vec_id", F.lit(1).alias("c")), "vec_id", "full")
+    return both.agg(
+        (F.count_if(F.col("a").isNull() != F.col("b").isNull()) == 0).alias("repeats"),
+        (F.abs(F.count("a") / F.count("c") - 0.1) < 0.05).alias("near_fraction"),
+        F.count_if(F.col("c").isNull()).alias("not_in_input"),
+    )
+
+
 @register(
     "sample_by_key",
     "R7 D9",
@@ -936,6 +1228,40 @@ def q_scan_csv_glob(spark, sf):
     return sources.ingest_feed(spark, "street", f"{base}/*/*.csv")
 
 
+@register(
+    "scan_csv_suffix_glob",
+    "S1 S2",
+    """SELECT 'street' AS feed, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, COUNT(*) AS n FROM lineitem GROUP BY 2
+UNION ALL
+SELECT 'outcomes', CAST(date_trunc('month', o_orderdate) AS DATE), COUNT(*) FROM orders GROUP BY 2""",
+)
+def q_scan_csv_suffix_glob(spark, sf):
+    """Two feeds in the same month folders, told apart by ``*-<feed>.csv``."""
+    base = scratch_path(spark, "raw-mixed")
+    for feed in ("street", "outcomes"):
+        raw = sv.RAW_FEEDS[feed](spark, sf)
+        month = F.substring(F.col("Month"), 1, 7)
+        placed = raw.withColumn("folder", month).withColumn("file", F.concat(month, F.lit(f"-{feed}.csv")))
+        placed.hint("rebalance", "folder").write.mode("append").partitionBy("folder", "file").option("header", True).csv(base)
+    out = None
+    for feed in ("street", "outcomes"):
+        part = summary.count_by(sources.ingest_feed(spark, feed, f"{base}/*/*-{feed}.csv"), "date", name="n")
+        part = part.select(F.lit(feed).alias("feed"), "date", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register(
+    "scan_csv_dates",
+    "S9 K4",
+    with_views("SELECT key, month, n FROM complete_series", "complete_series"),
+)
+def q_scan_csv_dates(spark, sf):
+    """A saved result with a DATE column, read with a declared schema."""
+    path = sinks.write_single_csv(_priority_series(spark, sf), scratch_path(spark, "series-csv"))
+    return sources.read_summary_csv(spark, path, "key STRING, month DATE, n BIGINT")
+
+
 @register(
     "scan_parquet_partitioned",
     "S4 S5 K1",
@@ -953,8 +1279,10 @@ def q_scan_parquet_partitioned(spark, sf):
 )
 def q_sink_parquet_partitioned(spark, sf):
     path = sinks.write_partitioned_parquet(
-        sv.street(spark, sf), scratch_path(spark, "street-bucketed"), files_per_partition=2
+        sv.street(spark, sf), scratch_path(spark, "street-rewritten")
     )
+    # A second write of the same table replaces the first one whole.
+    sinks.write_partitioned_parquet(sv.street(spark, sf), path)
     return sources.read_parquet_table(spark, path)
 
 

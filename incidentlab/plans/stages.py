@@ -33,24 +33,25 @@ def _table(base: str, feed: str) -> str:
 # ------------------------------------------------------------------ ingest
 
 
-def ingest(spark: SparkSession, raw_base: str, processed_base: str, files_per_partition: int | None = None) -> DataFrame:
+def ingest(spark: SparkSession, raw_base: str, processed_base: str) -> DataFrame:
     """Raw feeds -> typed Parquet partitioned by year/month.  Returns the load
-    report (rows and unparsable dates per feed).  The counts are observed
+    report (rows, unparsable dates and unparsable coordinates per feed; both
+    kinds become null and the clean stage drops such rows).  The counts are observed
     during the write itself (``DataFrame.observe``), so the CSV text is
     scanned once and the written tables are not read back."""
     report = []
     for feed in FEED_NAMES:
-        typed = sources.ingest_feed(spark, feed, _feed_glob(raw_base, feed))
+        typed = sources.ingest_feed(spark, feed, _feed_glob(raw_base, feed), report_rejects=True)
         obs = Observation(f"load-{feed}")
         observed = typed.observe(
             obs,
             F.count(F.lit(1)).alias("rows"),
-            F.sum(F.when(F.col("date").isNull(), 1).otherwise(0)).cast("bigint").alias("rejected"),
-        )
-        sinks.write_partitioned_parquet(observed, _table(processed_base, feed), files_per_partition=files_per_partition)
+            *(F.count_if(F.col(f"_bad_{x}")).alias(f"bad_{x}") for x in ("dates", "coordinates")),
+        ).drop("_bad_dates", "_bad_coordinates")
+        sinks.write_partitioned_parquet(observed, _table(processed_base, feed))
         got = obs.get
-        report.append((feed, int(got.get("rows") or 0), int(got.get("rejected") or 0)))
-    return spark.createDataFrame(report, "table string, rows bigint, rejected bigint")
+        report.append((feed, *(int(got.get(x) or 0) for x in ("rows", "bad_dates", "bad_coordinates"))))
+    return spark.createDataFrame(report, "table string, rows bigint, bad_dates bigint, bad_coordinates bigint")
 
 
 # ------------------------------------------------------------------- clean
@@ -153,14 +154,12 @@ def outcome_analysis(spark: SparkSession, clean_base: str, top: int = 5, null_po
         pairs = pairs.filter(F.col("outcome_type").isNotNull())
     # The long table is category-sized; write it once for the consumers below.
     pairs = crosstab.materialize(pairs)
-    totals = crosstab.category_totals(pairs, "outcome_type")
-    values = [v for v, _ in totals]
     return {
-        "crosstab": crosstab.crosstab_wide(pairs, "crime_type", "outcome_type", values=values),
+        "crosstab": crosstab.crosstab_wide(pairs, "crime_type", "outcome_type"),
         "crosstab_long": pairs,
         "percent": crosstab.crosstab_percent(pairs, "crime_type", "outcome_type"),
-        "expected": crosstab.chi_square_expected(pairs, "crime_type", "outcome_type", totals=totals),
-        "chi_square": crosstab.chi_square_test(pairs, "crime_type", "outcome_type", totals=totals),
+        "expected": crosstab.chi_square_expected(pairs, "crime_type", "outcome_type"),
+        "chi_square": crosstab.chi_square_test(pairs, "crime_type", "outcome_type"),
         "top_profile": crosstab.crosstab_top_rows(pairs, "crime_type", "outcome_type", top=top),
     }
 
@@ -192,7 +191,7 @@ def total_forecast(spark: SparkSession, clean_base: str, horizon: int = 6, order
     ts = series.gapfill(monthly, "key").checkpoint(eager=True)
     split = series.holdout_split(ts, "key", horizon=horizon)
     params = forecast.fit_arima(split.filter(~F.col("is_test")), "key", order=order).checkpoint(eager=True)
-    fc = forecast.forecast_from_params(params, "key", horizon)
+    fc = forecast.forecast_from_params(params, "key", horizon).checkpoint(eager=True)
     scored = split.filter("is_test").join(fc.select("key", "month", "mean"), ["key", "month"])
     resid = forecast.residuals(params, "key")
     return {
@@ -211,7 +210,8 @@ def cluster_forecast(spark: SparkSession, clusters_path: str, horizon: int = 6)
     forecast with band, joined to full-data centroids, plus the map layer."""
     clusters = sources.read_parquet_table(spark, clusters_path)
     ts = series.gapfill(series.monthly_counts(clusters, "date", "prediction"), "prediction").checkpoint(eager=True)
-    fc = forecast.forecast_by_key(ts, "prediction", horizon=horizon)
+    # Written once: the result, the map layer and its maximum read the same copy.
+    fc = forecast.forecast_by_key(ts, "prediction", horizon=horizon).checkpoint(eager=True)
     centroids = cluster.cluster_centroids(clusters, "prediction", scale=None)
     return {
         "series": ts,

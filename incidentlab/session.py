@@ -24,7 +24,6 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Lineage cuts write to the shared checkpoint folder; delete them once unreferenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

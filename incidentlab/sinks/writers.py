@@ -6,30 +6,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_partitioned_parquet(
-    df: DataFrame,
-    path: str,
-    by: Sequence[str] = ("year", "month"),
-    files_per_partition: int | None = None,
+    df: DataFrame, path: str, by: Sequence[str] = ("year", "month"), overwrite: str = "static"
 ) -> str:
-    """K1: Parquet partitioned by ``by`` (overwrite).
-
-    By default the rows go through a REBALANCE on the partition columns: AQE
-    shuffles them so each written file is near the advisory partition size,
-    splitting a month that holds a third of the data over many writers and
-    merging small ones.  Without it every task would write one file per month
-    it holds (tasks x months small files after any shuffle).
-    ``files_per_partition`` instead fixes the count: rows are hashed into that
-    many buckets per partition value."""
-    if files_per_partition:
-        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(c) for c in by], bucket)
-    else:
-        df = df.hint("rebalance", *by)
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+    """K1: Parquet partitioned by ``by``.
+
+    The write states what it replaces, whatever the session's setting:
+    ``static`` replaces the whole table (no month of an earlier write stays),
+    ``dynamic`` only the partitions that ``df`` holds.
+
+    The rows go through a REBALANCE on the partition columns: AQE shuffles
+    them so each written file is near the advisory partition size, splitting a
+    month that holds a third of the data over many writers and merging small
+    ones.  Without it every task would write one file per month it holds
+    (tasks x months small files after any shuffle)."""
+    if overwrite not in ("static", "dynamic"):
+        raise ValueError("overwrite must be 'static' or 'dynamic'")
+    writer = df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    writer.partitionBy(*by).parquet(path)
     return path
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from incidentlab.functions.casts import to_count
+from incidentlab.functions.casts import to_count, to_double
 from incidentlab.operators.columns import normalize_columns, type_month_feed, type_timestamp_feed
 from incidentlab.schemas import FEEDS
 
@@ -26,14 +26,22 @@ def read_feed(spark: SparkSession, path_glob: str, schema: StructType | None = N
     return reader.csv(path_glob)
 
 
-def ingest_feed(spark: SparkSession, feed: str, path_glob: str) -> DataFrame:
+def ingest_feed(spark: SparkSession, feed: str, path_glob: str, report_rejects: bool = False) -> DataFrame:
     """Raw feed -> typed table: normalised names, dates parsed, ``year``/``month``
-    ints, coordinates as doubles (malformed text becomes null)."""
+    ints, coordinates as doubles (malformed text becomes null).
+
+    ``report_rejects`` adds two flags per row for the load report: ``_bad_dates``
+    (no date could be read) and ``_bad_coordinates`` (a coordinate has text that
+    is not a number)."""
     schema, _ = FEEDS[feed]
     df = normalize_columns(read_feed(spark, path_glob, schema))
-    if feed == "stop_and_search":
-        return type_timestamp_feed(df)
-    return type_month_feed(df)
+    if report_rejects:
+        bad = F.lit(False)
+        for c in ("latitude", "longitude"):
+            bad = bad | (F.col(c).isNotNull() & to_double(c).isNull())
+        df = df.withColumn("_bad_coordinates", bad)
+    typed = type_timestamp_feed(df) if feed == "stop_and_search" else type_month_feed(df)
+    return typed.withColumn("_bad_dates", F.col("date").isNull()) if report_rejects else typed
 
 
 def read_parquet_table(

@@ -7,14 +7,20 @@ equivalent DuckDB SQL (a CTE) used by the oracle check; keep them together.
 
 Mapping (fixed values, the same in both forms):
   street   <- lineitem: crime_id = l_orderkey (null where l_orderkey % 7 = 0),
-              date = first of the month of l_shipdate, crime_type = l_returnflag,
+              date = first of the month of l_shipdate, crime_type = l_returnflag
+              ('A' for 'R' where l_orderkey % 5 = 0),
               lsoa_code = l_suppkey as text, lsoa_name = l_linestatus,
               latitude = l_tax, longitude = l_discount
   outcomes <- orders:   crime_id = o_orderkey, outcome_type = o_orderstatus,
-              date = first of the month of o_orderdate
+              date = first of the month of o_orderdate; no outcome where
+              o_orderkey % 11 = 0 (unmatched keys), a second outcome 'X' where
+              o_orderkey % 5 = 0 (fan-out; no 'R' crime ever meets an 'X')
   stops    <- events:   event_ts = ts, date = day of ts, object_of_search = event_type,
               outcome_linked_to_object_of_search = 'true' when value > 50 else 'false'
   series   <- orders:   monthly order counts per o_orderpriority
+  complete_series: the same without a partial last month (the month of the
+              latest o_orderdate, unless that is its last day), months without
+              orders filled with 0
   points   <- embeddings: prediction = label, latitude/longitude = embedding[0], [1]
 """
 
@@ -40,7 +46,7 @@ def street(spark: SparkSession, sf_dir: str) -> DataFrame:
         d.alias("date"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
-        F.col("l_returnflag").alias("crime_type"),
+        F.when((key % 5 == 0) & (F.col("l_returnflag") == "R"), "A").otherwise(F.col("l_returnflag")).alias("crime_type"),
         F.col("l_suppkey").cast("string").alias("lsoa_code"),
         F.col("l_linestatus").alias("lsoa_name"),
         F.col("l_tax").alias("latitude"),
@@ -49,14 +55,16 @@ def street(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders")
+    o = read(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 11 != 0)
     d = month_start("o_orderdate")
+    first = F.col("o_orderstatus")
+    types = F.when(F.col("o_orderkey") % 5 == 0, F.array(first, F.lit("X"))).otherwise(F.array(first))
     return o.select(
         F.col("o_orderkey").alias("crime_id"),
         d.alias("date"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),
-        F.col("o_orderstatus").alias("outcome_type"),
+        F.explode(types).alias("outcome_type"),
     )
 
 
@@ -189,7 +197,7 @@ SQL_VIEWS = {
          CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
          CAST(year(l_shipdate) AS INTEGER) AS year,
          CAST(month(l_shipdate) AS INTEGER) AS month,
-         l_returnflag AS crime_type,
+         CASE WHEN l_orderkey % 5 = 0 AND l_returnflag = 'R' THEN 'A' ELSE l_returnflag END AS crime_type,
          CAST(l_suppkey AS VARCHAR) AS lsoa_code,
          l_linestatus AS lsoa_name,
          l_tax AS latitude,
@@ -200,8 +208,8 @@ SQL_VIEWS = {
          CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
          CAST(year(o_orderdate) AS INTEGER) AS year,
          CAST(month(o_orderdate) AS INTEGER) AS month,
-         o_orderstatus AS outcome_type
-  FROM orders)""",
+         unnest(CASE WHEN o_orderkey % 5 = 0 THEN [o_orderstatus, 'X'] ELSE [o_orderstatus] END) AS outcome_type
+  FROM orders WHERE o_orderkey % 11 <> 0)""",
     "stops": """stops AS (
   SELECT event_id, ts AS event_ts, CAST(ts AS DATE) AS date,
          CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
@@ -234,10 +242,17 @@ SQL_VIEWS = {
     "series": """series AS (
   SELECT o_orderpriority AS key, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n
   FROM orders GROUP BY 1, 2)""",
+    "complete_series": """complete_series AS (
+  SELECT g.key, CAST(g.month AS DATE) AS month, coalesce(s.n, 0) AS n
+  FROM (SELECT key, unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS month
+        FROM series
+        WHERE month < (SELECT date_trunc('month', max(o_orderdate) + INTERVAL 1 DAY) FROM orders)
+        GROUP BY key) g
+  LEFT JOIN series s ON s.key = g.key AND s.month = g.month)""",
 }
 
 # Views a view depends on (prepended first).
-_SQL_DEPS = {"pairs": ("street", "outcomes"), "centroids": ("points",)}
+_SQL_DEPS = {"pairs": ("street", "outcomes"), "centroids": ("points",), "complete_series": ("series",)}
 
 
 def with_views(body: str, *views: str, ctes: str | None = None) -> str:

@@ -128,9 +128,10 @@ def test_coord_stats_numeric(spark):
 
 
 def test_load_report_rejects(spark):
-    df = spark.createDataFrame([(None,), (dt.date(2024, 1, 1),)], "date date")
-    rep = summary.load_report({"t": df}, {"t": F.col("date").isNull()}).collect()[0]
-    assert (rep["table"], rep["rows"], rep["rejected"]) == ("t", 2, 1)
+    df = spark.createDataFrame([(None, "x"), (dt.date(2024, 1, 1), "1.5"), (None, None)], "date date, lat string")
+    checks = {"t": {"bad_dates": F.col("date").isNull(), "bad_lat": F.col("lat").isNotNull() & F.col("lat").try_cast("double").isNull()}}
+    rep = summary.load_report({"t": df, "u": df}, checks).orderBy("table").collect()
+    assert [tuple(r) for r in rep] == [("t", 3, 2, 1), ("u", 3, 0, 0)]
 
 
 @settings(max_examples=15, deadline=None)
@@ -142,29 +143,48 @@ def test_pair_counts_property(spark, rows):
     assert total == join.join_outcomes(street, outcomes).count()
 
 
-def test_split_left_join_equals_plain_join(spark):
-    from incidentlab.operators import skew
+def _rows(df):
+    return sorted(((r[0] if r[0] is not None else -1, r[1], r[2] or "") for r in df.collect()))
 
-    # Key 5 holds most of the left rows; key 6 a few; nulls too.
-    left_rows = [(5, f"t{i % 3}") for i in range(3000)] + [(6, "a")] * 5 + [(None, "n")] * 7 + [(i, "c") for i in range(100, 400)]
+
+def _skewed(spark):
+    # Key 5 holds most of the left rows; key 6 a few; nulls and unmatched keys too.
+    left_rows = [(5, f"t{i % 3}") for i in range(3000)] + [(6, "a")] * 5 + [(None, "n")] * 700 + [(i, "c") for i in range(100, 400)]
     left = spark.createDataFrame(left_rows, "crime_id bigint, crime_type string")
     right = spark.createDataFrame(
-        [(5, "x"), (5, "y"), (6, "z"), (150, "w"), (None, "orphan")], "crime_id bigint, outcome_type string"
+        [(5, "x"), (5, "y"), (5, "x"), (6, "z"), (150, "w"), (None, "orphan")], "crime_id bigint, outcome_type string"
     )
-    hot = skew.hot_keys(left, "crime_id", fraction=0.05, sample=0.5)
-    assert hot == [5]
-    plain = join.join_outcomes(left, right)
-    norm = lambda df: sorted((r[0] if r[0] is not None else -1, r[1], r[2] or "") for r in df.collect())
-    expected = norm(plain)
-    assert norm(skew.split_left_join(left, right, "crime_id", ["outcome_type"], hot)) == expected
-    # Force the salted path: the hot right side is over the broadcast bound.
-    assert norm(skew.split_left_join(left, right, "crime_id", ["outcome_type"], hot, max_broadcast_rows=1, salt=8)) == expected
-
-
-def test_pair_counts_hot_split_equals_plain(spark):
-    left_rows = [(5, f"t{i % 3}") for i in range(2000)] + [(None, "n")] * 9 + [(i, "c") for i in range(100, 300)]
-    left = spark.createDataFrame(left_rows, "crime_id bigint, crime_type string")
-    right = spark.createDataFrame([(5, "x"), (5, "y"), (5, "x"), (150, "w")], "crime_id bigint, outcome_type string")
-    norm = lambda df: sorted((a, b or "", int(c)) for a, b, c in df.collect())
-    plain = norm(summary.pair_counts(left, right))
-    assert norm(summary.pair_counts(left, right, hot_fraction=0.05)) == plain
+    return left, right
+
+
+def test_left_join_against_brute_force(spark):
+    left, right = _skewed(spark)
+    by = {}
+    for k, o in (tuple(r) for r in right.collect()):
+        by.setdefault(k, []).append(o)
+    want = sorted(
+        (-1 if k is None else k, t, o or "")
+        for k, t in (tuple(r) for r in left.collect())
+        for o in (by.get(k) if k is not None and k in by else [None])
+    )
+    assert _rows(join.join_outcomes(left, right)) == want
+    assert _rows(join.join_outcomes(left, right, salt=8)) == want
+    pairs = {}
+    for _, t, o in want:
+        pairs[t, o] = pairs.get((t, o), 0) + 1
+    assert {(a, b or ""): n for a, b, n in summary.pair_counts(left, right).collect()} == pairs
+
+
+def test_identical_rows_spread_over_the_salt(spark):
+    left = spark.createDataFrame([(5, "same")] * 1000, "crime_id bigint, crime_type string")
+    right = spark.createDataFrame([(5, "x")], "crime_id bigint, outcome_type string")
+    plan = join.join_outcomes(left, right, salt=64)
+    assert plan.count() == 1000
+    salts = left.select(F.pmod(F.monotonically_increasing_id(), F.lit(64)).alias("s")).distinct().count()
+    assert salts > 32
+
+
+def test_sample_by_key_leaves_null_keys_out(spark):
+    df = spark.createDataFrame([(None,), (10,), (11,)], "k bigint")
+    assert [r["k"] for r in clean.sample_by_key(df, "k", 10, 1, hashed=False).collect()] == [10]
+    assert clean.sample_by_key(df, "k", 1, 1).count() == 2

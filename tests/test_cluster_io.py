@@ -39,6 +39,8 @@ def test_map_layer_columns(spark):
     assert set(rows) == {0, 1}  # inner join
     assert rows[1]["intensity"] == 1.0 and rows[0]["radius"] == 6.0
     assert rows[0]["popup"] == "Cluster 0<br>2024-01-01: 10"
+    zero = maplayer.map_layer(fc.withColumn("forecast", F.lit(0.0)), cents).collect()
+    assert {r["intensity"] for r in zero} == {0.0}
 
 
 def test_csv_feed_header_checked_and_typed(spark):
@@ -65,7 +67,32 @@ def test_partitioned_parquet_prunes_months(spark):
     assert sub.count() == 40
     plan = sub._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "month" in plan
-    assert sources.read_parquet_table(spark, sinks.write_partitioned_parquet(df, path + "2", files_per_partition=3)).count() == 60
+
+
+@pytest.mark.parametrize("session_mode", ["static", "dynamic"])
+def test_overwrite_mode_is_the_writes_own(spark, session_mode):
+    rows = [(i, 2024, m) for i in range(20) for m in (1, 2)]
+    df = spark.createDataFrame(rows, "id int, year int, month int")
+    path = tempfile.mkdtemp(prefix="pq-") + "/t"
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", session_mode)
+    try:
+        sinks.write_partitioned_parquet(df, path)
+        sinks.write_partitioned_parquet(df.filter("month = 1 AND id < 5"), path)
+        assert {(r[0], r[1]) for r in spark.read.parquet(path).groupBy("month").count().collect()} == {(1, 5)}
+        sinks.write_partitioned_parquet(df.filter("month = 2 AND id < 3"), path, overwrite="dynamic")
+        assert {(r[0], r[1]) for r in spark.read.parquet(path).groupBy("month").count().collect()} == {(1, 5), (2, 3)}
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    with pytest.raises(ValueError):
+        sinks.write_partitioned_parquet(df, path, overwrite="append")
+
+
+def test_assign_nearest_many_centres(spark):
+    cents = spark.range(1000).selectExpr("cast(id as int) prediction", "cast(id as double) latitude", "0.0D longitude")
+    pts = spark.range(1000).selectExpr("id + 0.2D latitude", "1.0D longitude", "cast(id as int) want")
+    assert cluster.assign_nearest(pts, cents).filter("prediction <> want").count() == 0
+    assert cluster.assign_nearest(pts, cents.limit(0)).filter("prediction IS NOT NULL").count() == 0
 
 
 def test_single_csv_round_trip(spark):

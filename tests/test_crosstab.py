@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from incidentlab.operators import crosstab
 
@@ -78,6 +79,44 @@ def test_wide_fills_zero_and_null_column(spark):
     assert sorted(tuple(x) for x in wide.collect()) == [("a", 1, 2), ("b", 0, 3)]
 
 
+def test_category_texts_are_free(spark):
+    """A category 'null' beside a true null, backticks and dots."""
+    rows = [("a", "null", 2), ("a", None, 1), ("b", "x`y", 3), ("b", "p.q", 4), (None, "null", 5)]
+    df = spark.createDataFrame(rows, "r string, c string, n bigint")
+    wide = crosstab.crosstab_wide(df, "r", "c")
+    assert wide.columns == ["r", "null_", "null", "p.q", "x`y"]
+    assert sorted((tuple(x) for x in wide.collect()), key=str) == sorted([("a", 1, 2, 0, 0), ("b", 0, 0, 4, 3), (None, 0, 5, 0, 0)], key=str)
+    grid = crosstab.chi_square_expected(df, "r", "c")
+    assert grid.count() == 12 and sum(r["observed"] for r in grid.collect()) == 15
+    assert crosstab.chi_square(df, "r", "c").first()["dof"] == 6
+
+
+def test_many_categories(spark):
+    df = spark.range(20_000).selectExpr("concat('r', id % 7) r", "concat('c', id % 5000) c", "1 + id % 3 n")
+    long = df.groupBy("r", "c").agg(F.sum("n").alias("n"))
+    cells = {(x["r"], x["c"]): x["n"] for x in long.collect()}
+    rows, cols = {}, {}
+    for (a, b), n in cells.items():
+        rows[a] = rows.get(a, 0) + n
+        cols[b] = cols.get(b, 0) + n
+    total = sum(rows.values())
+    want = sum((cells.get((a, b), 0) - x * y / total) ** 2 / (x * y / total) for a, x in rows.items() for b, y in cols.items())
+    got = crosstab.chi_square(long, "r", "c", scale=None).first()
+    assert got["dof"] == 6 * 4999 and got["chi2"] == pytest.approx(want, rel=1e-9)
+
+
+def test_yates_with_an_empty_cell(spark):
+    df = spark.createDataFrame([("a", "x", 10), ("b", "x", 30), ("b", "y", 5)], "r string, c string, n bigint")
+    obs, rows, cols, tot = [[10, 0], [30, 5]], [10, 35], [40, 5], 45.0
+    stat = 0.0
+    for i in range(2):
+        for j in range(2):
+            e = rows[i] * cols[j] / tot
+            gap = abs(e - obs[i][j])
+            stat += (gap - min(0.5, gap)) ** 2 / e
+    assert crosstab.chi_square(df, "r", "c", scale=None).first()["chi2"] == pytest.approx(stat, rel=1e-12)
+
+
 def test_yates_two_by_two(spark):
     # scipy-style continuity correction for one degree of freedom.
     df = spark.createDataFrame([("a", "x", 10), ("a", "y", 20), ("b", "x", 30), ("b", "y", 5)], "r string, c string, n bigint")

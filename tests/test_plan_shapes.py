@@ -28,10 +28,30 @@ def test_scan_prunes_columns_and_pushes_null_filter(spark):
     assert schemas and all("l_partkey" not in s and "l_shipdate" not in s and "o_totalprice" not in s for s in schemas)
 
 
-def test_null_keys_bypass_the_join(spark):
+def test_one_street_scan(spark):
+    """The join and the pair counts read the street table once; the join's
+    shuffle has the salt as a key, so null keys spread."""
     df = join.join_outcomes(sv.street(spark, SF01).select("crime_id", "crime_type"), sv.outcomes(spark, SF01))
-    p = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in p and "isnull" in p.lower()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert p.count("FileScan parquet") == 2
+    # The salt stays an equality key of the join instead of folding away.
+    assert p.count("_salt") >= 2 and "Union" not in p
+    pairs = Q["pair_counts"](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count("FileScan parquet") == 2 and "Union" not in pairs
+
+
+def test_hard_branches_occur(spark):
+    """The stand-ins hold unmatched keys, fan-out, null keys, an empty crosstab
+    cell, and rows with unreadable dates and coordinates."""
+    s, o = sv.street(spark, SF01), sv.outcomes(spark, SF01)
+    keyed = s.filter("crime_id IS NOT NULL")
+    assert keyed.join(o, "crime_id", "left_anti").count() > 0 and s.filter("crime_id IS NULL").count() > 0
+    assert o.groupBy("crime_id").count().filter("count > 1").count() > 0
+    pairs = Q["pair_counts"](spark, SF01)
+    rows, cols = (pairs.select(c).distinct().count() for c in ("crime_type", "outcome_type"))
+    assert pairs.count() < rows * cols
+    street = Q["load_report"](spark, SF01).filter("table = 'street'").first()
+    assert street["bad_dates"] > 0 and street["bad_coordinates"] > 0
 
 
 def test_gapfill_has_no_join(spark):

@@ -40,7 +40,7 @@ def lake(spark):
 def test_stages_end_to_end(spark, lake):
     report = {r["table"]: r for r in stages.ingest(spark, f"{lake}/raw", f"{lake}/processed").collect()}
     li = spark.read.parquet(f"{SF001}/lineitem.parquet").count()
-    assert report["street"]["rows"] == li and report["street"]["rejected"] == 0
+    assert report["street"]["rows"] == li and report["street"]["bad_dates"] == 0 and report["street"]["bad_coordinates"] == 0
     assert report["stop_and_search"]["rows"] == spark.read.parquet(f"{SF001}/events.parquet").count()
 
     stages.clean_all(spark, f"{lake}/processed", f"{lake}/clean")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from incidentlab.operators import arima, forecast, series
+from incidentlab.operators import forecast, series
 
 # Published 6-step forecast (mean, standard error) and the model
 # quantities that reproduce it: phi, theta, sigma2 and u, the variance left
@@ -17,18 +17,28 @@ PHI, THETA, SIGMA2, U = -0.9270265857, 0.9964825, 242202696.825, 3483355.1697
 Z95 = 1.959964
 
 
-def test_golden_forecast_recursion_and_band():
-    # Level and next-difference mean implied by the first two published means.
+def _params(spark, shock_var):
+    """The published model's parameter row: the level and the last shock that
+    its first two means imply."""
     level = PUBLISHED_MEAN[0] - (PUBLISHED_MEAN[1] - PUBLISHED_MEAN[0]) / PHI
-    state = [0.0, PUBLISHED_MEAN[0] - level]
-    cov = [0.0, 0.0, 0.0, U / SIGMA2]
-    means, ses = arima.forecast([PHI], [THETA], SIGMA2, state, cov, [level], arima.diff_poly(1, 0, 12), 6)
-    np.testing.assert_allclose(means, PUBLISHED_MEAN, rtol=1e-8)
-    np.testing.assert_allclose(ses, PUBLISHED_SE, rtol=1e-8)
-    assert arima.z_value(0.95) == pytest.approx(Z95, abs=1e-6)
-    # Without the end-state term the standard errors cannot match.
-    _, plain = arima.forecast([PHI], [THETA], SIGMA2, state, [0, 0, 0, 0], [level], arima.diff_poly(1, 0, 12), 6)
-    assert abs(plain[0] - PUBLISHED_SE[0]) / PUBLISHED_SE[0] > 1e-3
+    row = ("k", 1, 1, 1, 0, 12, [PHI], [THETA], 0.0, SIGMA2, [level] * 3, (PUBLISHED_MEAN[0] - level) / THETA,
+           shock_var, dt.date(2023, 11, 1))
+    return spark.createDataFrame(
+        [row],
+        "key string, p int, d int, q int, seasonal_d int, m int, phi array<double>, theta array<double>, mean double, "
+        "sigma2 double, last_values array<double>, last_shock double, shock_var double, last_month date",
+    )
+
+
+def test_golden_forecast_recursion_and_band(spark):
+    rows = forecast.forecast_from_params(_params(spark, U), "key", 6).orderBy("step").collect()
+    np.testing.assert_allclose([r["mean"] for r in rows], PUBLISHED_MEAN, rtol=1e-8)
+    np.testing.assert_allclose([r["mean_se"] for r in rows], PUBLISHED_SE, rtol=1e-8)
+    np.testing.assert_allclose([(r["upper"] - r["mean"]) / r["mean_se"] for r in rows], Z95, atol=1e-6)
+    assert rows[0]["month"] == dt.date(2023, 12, 1)
+    # Without the variance of the last shock the standard errors cannot match.
+    plain = forecast.forecast_from_params(_params(spark, 0.0), "key", 6).orderBy("step").first()
+    assert abs(plain["mean_se"] - PUBLISHED_SE[0]) / PUBLISHED_SE[0] > 1e-3
 
 
 def _simulate(phi, theta, n, seed):
@@ -40,42 +50,6 @@ def _simulate(phi, theta, n, seed):
     return np.cumsum(w) + 50
 
 
-def test_fit_recovers_simulated_arma():
-    y = _simulate(0.6, 0.3, 400, 3)
-    f = arima.fit(y, (1, 1, 1))
-    assert f.phi[0] == pytest.approx(0.6, abs=0.12)
-    assert f.theta[0] == pytest.approx(0.3, abs=0.15)
-    assert f.sigma2 == pytest.approx(1.0, rel=0.2)
-
-
-def test_fit_reaches_likelihood_maximum():
-    # The optimum is checked against a brute-force grid of the same likelihood.
-    y = _simulate(0.6, 0.3, 400, 1)
-    w = np.diff(y)
-    f = arima.fit(y, (1, 1, 1))
-    grid = max(
-        arima.kalman(w, np.array([p]), np.array([t])).loglik
-        for p in np.linspace(-0.9, 0.9, 19)
-        for t in np.linspace(-0.9, 0.9, 19)
-    )
-    assert f.loglik >= grid - 1e-9
-
-
-def test_fit_degenerate_series():
-    f = arima.fit(np.full(10, 7.0), (1, 1, 1))
-    m, se, lo, hi = arima.forecast_fit(f, 3)
-    assert f.method == "degenerate" and np.allclose(m, 7.0) and np.allclose(se, 0.0)
-    f = arima.fit(np.array([3.0, 5.0, 4.0]), (1, 1, 1))  # three points only
-    assert f.method == "degenerate" and len(arima.forecast_fit(f, 2)[0]) == 2
-    f = arima.fit(np.array([5.0]), (1, 1, 1), seasonal_d=1)  # shorter than its differencing
-    assert (f.d, f.seasonal_d) == (0, 0) and np.allclose(arima.forecast_fit(f, 2)[0], 5.0)
-
-
-def test_pacf_transform_round_trip():
-    c = np.array([0.5, -0.3])
-    np.testing.assert_allclose(arima.pacf_to_coeffs(arima.coeffs_to_pacf(c)), c, atol=1e-12)
-
-
 def _series_df(spark, values, key="k", start=(2020, 1)):
     y0, m0 = start
     rows = []
@@ -122,23 +96,80 @@ def test_metrics(spark):
     assert r["rmse"] == pytest.approx(np.sqrt((4 + 1) / 2)) and r["mae"] == pytest.approx(1.5)
 
 
-def test_grouped_fit_and_forecast(spark):
-    a = _simulate(0.5, 0.2, 60, 2) * 10
-    b = _simulate(-0.3, 0.4, 60, 3) * 10
-    df = _series_df(spark, a, "a").unionByName(_series_df(spark, b, "b"))
-    params = forecast.fit_arima(df, "key")
-    fc = forecast.forecast_from_params(params, "key", horizon=4)
-    rows = fc.collect()
-    assert len(rows) == 8
-    for r in rows:
-        assert r["lower"] < r["mean"] < r["upper"]
-        assert (r["upper"] - r["mean"]) == pytest.approx(Z95 * r["mean_se"], rel=1e-5)
-    first = [r for r in rows if r["key"] == "a" and r["step"] == 1][0]
-    assert first["month"] == dt.date(2025, 1, 1)
-    # same numbers as the single-series kernel
-    f = arima.fit(np.array([int(v) for v in a], dtype=float), (1, 1, 1))
-    m, *_ = arima.forecast_fit(f, 4)
-    assert first["mean"] == pytest.approx(m[0], rel=1e-6)
+def _two_regressions(y, p, d, q, m=12, seasonal=0):
+    """Plain numpy form of the fit."""
+    w = np.asarray(y, float)
+    if seasonal:
+        w = w[m:] - w[:-m]
+    w = np.diff(w, d)
+    mean = w.mean() if d + seasonal == 0 else 0.0
+    w = w - mean
+    x = np.column_stack([w[3 - k : len(w) - k] for k in (1, 2, 3)])
+    a = np.linalg.lstsq(x, w[3:], rcond=None)[0]
+    e = np.full(len(w), np.nan)
+    e[3:] = w[3:] - x @ a
+    cols = [np.r_[[np.nan] * k, w[: len(w) - k]] for k in range(1, p + 1)] + [np.r_[np.nan, e[:-1]]] * q
+    x = np.column_stack(cols)
+    own = ~np.isnan(x).any(axis=1)
+    return np.linalg.lstsq(x[own], w[own], rcond=None)[0], w, x, own
+
+
+@pytest.mark.parametrize("p,d,q,seasonal", [(1, 1, 1, 0), (2, 0, 1, 0), (2, 1, 0, 0), (1, 0, 1, 1), (0, 2, 1, 0)])
+def test_fit_equals_two_regressions(spark, p, d, q, seasonal):
+    y = [int(v) for v in _simulate(0.5, 0.3, 90, 7) * 10]
+    got = forecast.fit_arima(_series_df(spark, y), "key", order=(p, d, q), seasonal_d=seasonal).first()
+    coefs, w, x, own = _two_regressions(y, p, d, q, seasonal=seasonal)
+    np.testing.assert_allclose([*got["phi"], *got["theta"]], coefs, rtol=1e-6)
+    resid = w[own] - x[own] @ coefs
+    assert got["last_shock"] == pytest.approx(resid[-1], rel=1e-6)
+    assert [r["resid"] for r in got["resid"]] == pytest.approx(list(resid), rel=1e-6, abs=1e-6)
+
+
+def test_fit_recovers_simulated_arma(spark):
+    rng_rows = [(f"s{i}", v) for i in range(3) for v in [_simulate(0.6, 0.3, 400, i) * 1000]]
+    df = None
+    for key, values in rng_rows:
+        part = _series_df(spark, values, key, start=(1980, 1))
+        df = part if df is None else df.unionByName(part)
+    for r in forecast.fit_arima(df, "key").collect():
+        assert r["phi"][0] == pytest.approx(0.6, abs=0.15) and r["theta"][0] == pytest.approx(0.3, abs=0.2)
+        assert r["sigma2"] == pytest.approx(1e6, rel=0.25)
+
+
+def test_no_key_vanishes(spark):
+    """Null, one-month, three-month, constant and long keys all keep a model."""
+    long_s = _series_df(spark, _simulate(0.5, 0.2, 40, 6) * 10, "long")
+    df = long_s
+    for key, values in ((None, range(30)), ("one", [5]), ("three", [3, 5, 4]), ("flat", [7] * 30), ("short", [12, 15, 11, 14, 16, 13, 15, 17])):
+        df = df.unionByName(_series_df(spark, values, key))
+    keys = {"long", None, "one", "three", "flat", "short"}
+    for params in (forecast.fit_arima(df, "key"), forecast.auto_arima(df, "key")):
+        assert {r["key"] for r in params.collect()} == keys and params.count() == 6
+    fc = forecast.forecast_by_key(df, "key", horizon=3).collect()
+    assert len(fc) == 18 and {r["key"] for r in fc} == keys
+    assert all(r["forecast"] is not None and r["lower"] is not None for r in fc)
+    one = forecast.arima_forecast(df.filter("key = 'one'"), "key", horizon=2).collect()
+    assert [(r["mean"], r["mean_se"]) for r in one] == [(5.0, 0.0)] * 2
+    flat = forecast.arima_forecast(df.filter("key = 'flat'"), "key", horizon=2).collect()
+    assert [(r["mean"], r["mean_se"]) for r in flat] == [(7.0, 0.0)] * 2
+    short = {r["key"]: r for r in forecast.auto_arima(df, "key").collect()}["short"]
+    assert short["seasonal_d"] == 0
+
+
+def test_forecast_equals_plain_recursion(spark):
+    y = [int(v) for v in _simulate(0.4, 0.2, 60, 8) * 10]
+    got = forecast.fit_arima(_series_df(spark, y), "key", order=(2, 1, 1), seasonal_d=1)
+    r = got.first()
+    means = [x["mean"] for x in forecast.forecast_from_params(got, "key", 14).orderBy("step").collect()]
+    w = np.diff(np.asarray(y[12:], float) - np.asarray(y[:-12], float))
+    w, out, hist = list(w), [], list(map(float, y))
+    for h in range(14):
+        nxt = r["phi"][0] * w[-1] + r["phi"][1] * w[-2] + (r["theta"][0] * r["last_shock"] if h == 0 else 0.0)
+        w.append(nxt)
+        value = nxt + hist[-1] + hist[-12] - hist[-13]
+        hist.append(value)
+        out.append(value)
+    np.testing.assert_allclose(means, out, rtol=1e-9)
 
 
 def test_auto_arima_picks_one_order_per_key(spark):
@@ -151,15 +182,36 @@ def test_auto_arima_picks_one_order_per_key(spark):
     assert out.columns == ["key", "date", "forecast", "lower", "upper"] and out.count() == 2
 
 
+def test_orders_outside_the_closed_form_are_refused(spark):
+    with pytest.raises(ValueError):
+        forecast.fit_arima(_series_df(spark, [1, 2, 3]), "key", order=(3, 0, 0))
+
+
 def test_residuals_align_with_months(spark):
     vals = _simulate(0.4, 0.1, 30, 5) * 10
     params = forecast.fit_arima(_series_df(spark, vals), "key")
     res = forecast.residuals(params, "key").orderBy("month").collect()
-    assert len(res) == 29 and res[0]["month"] == dt.date(2020, 2, 1)
+    # One month goes to the difference, four to the lags of the two regressions.
+    assert len(res) == 25 and res[0]["month"] == dt.date(2020, 6, 1)
     table = series.standardized_residuals(forecast.residuals(params, "key"), "key", "month", "resid")
     assert table.filter((F.col("bucket") < 0) | (F.col("bucket") > 9)).count() == 0
 
 
+def test_fit_runs_no_python(spark):
+    plan = forecast.forecast_by_key(_series_df(spark, range(30)), "key")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_complete_months(spark):
+    def kept(*days):
+        df = spark.createDataFrame([(dt.date(2024, m, d),) for m, d in days], "date date")
+        return sorted({r["date"].month for r in series.complete_months(df).collect()})
+
+    assert kept((1, 5), (2, 28), (3, 1)) == [1, 2]
+    assert kept((1, 5), (2, 29)) == [1, 2]
+    assert kept() == []
+
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -175,15 +227,6 @@ def test_gapfill_row_count_property(spark, offsets):
     assert sum(r["n"] for r in out) == len(offsets)
 
 
-def test_auto_arima_short_series_still_gets_a_model(spark):
-    long_s = _series_df(spark, _simulate(0.5, 0.2, 40, 6) * 10, "long")
-    short_s = _series_df(spark, [12, 15, 11, 14, 16, 13, 15, 17], "short")
-    best = {r["key"]: r for r in forecast.auto_arima(long_s.unionByName(short_s), "key",
-                                                      p_values=(0, 1), q_values=(0, 1)).collect()}
-    assert set(best) == {"long", "short"}
-    assert best["short"]["seasonal_d"] == 0
-
-
 def test_actual_vs_forecast_full_join(spark):
     actual = spark.createDataFrame(
         [("k", dt.date(2024, 1, 1), 5), ("k", dt.date(2024, 2, 1), 7)], "key string, month date, n bigint"
@@ -193,18 +236,10 @@ def test_actual_vs_forecast_full_join(spark):
         "key string, month date, mean double, lower double, upper double",
     )
     rows = sorted(tuple(r) for r in series.actual_vs_forecast(actual, fc, "key").select(
-        "month", "actual", "mean", "is_forecast").collect())
+        "month", "actual", "mean", "is_forecast", "forecast_start").collect())
+    start = dt.date(2024, 2, 1)
     assert rows == [
-        (dt.date(2024, 1, 1), 5, None, False),
-        (dt.date(2024, 2, 1), 7, 6.0, True),
-        (dt.date(2024, 3, 1), None, 6.5, True),
+        (dt.date(2024, 1, 1), 5, None, False, start),
+        (dt.date(2024, 2, 1), 7, 6.0, True, start),
+        (dt.date(2024, 3, 1), None, 6.5, True, start),
     ]
-
-
-def test_kpss_differencing_choice():
-    rng = np.random.default_rng(1)
-    noise = rng.normal(size=120)
-    assert arima.ndiffs(noise) == 0
-    assert arima.ndiffs(np.cumsum(noise)) == 1
-    assert arima.ndiffs(np.cumsum(np.cumsum(noise))) == 2
-    assert arima.ndiffs(np.full(20, 3.0)) == 0
