@@ -680,7 +680,7 @@ def q_kmeans_invariants(spark, sf):
     again = cluster.assign_nearest(placed.withColumnRenamed("prediction", "own"), cluster.kmeans_centres(spark, model))
 
     def distance(centre):
-        lat, lon = (F.col(c) - F.element_at(positions, centre + 1)[c] for c in ("latitude", "longitude"))
+        lat, lon = (F.col(c) - F.element_at(positions, (centre + 1).cast("int"))[c] for c in ("latitude", "longitude"))
         return lat * lat + lon * lon
 
     positions = F.array(*(
@@ -942,7 +942,7 @@ def q_actual_vs_forecast(spark, sf):
 
 
 _NAIVE_SQL = """naive AS (
-  SELECT key, CAST(month + INTERVAL 12 MONTH AS DATE) AS month, n::DOUBLE AS mean, n * 0.9 AS lower, n * 1.1 AS upper
+  SELECT key, CAST(month + INTERVAL 12 MONTH AS DATE) AS month, n::DOUBLE AS mean, n * 0.9::DOUBLE AS lower, n * 1.1::DOUBLE AS upper
   FROM (SELECT *, max(month) OVER (PARTITION BY key) AS last FROM complete_series) WHERE month + INTERVAL 18 MONTH > last)"""
 
 
