@@ -4,10 +4,12 @@ Test items are cut into segments of at most ``SEGMENT`` words; the segments form
 an inverted index whose posting lists carry a maximum per block.  Every passage
 of every document (``PASSAGE`` words, every ``STRIDE`` words) is a query and
 retrieves all segments that reach ``share`` of their own best score.  Postings
-are stored divided by that score, so one threshold of 1 holds for all segments:
-passages whose summed term maxima stay below 1 have no pivot and end there; the
-others run WAND, which skips blocks whose maxima cannot reach 1.  No passage and
-no retrieved item is dropped or capped.
+are stored divided by that score, so one threshold of 1 holds for all segments.
+The bounds are applied from coarse to fine, the first ones for all passages of a
+batch at once: block maxima of the terms that occur in few blocks plus the list
+maxima of the others; then block maxima of all terms; then WAND with its pivots
+inside the blocks that can reach 1.  No passage and no retrieved item is dropped
+or capped.
 
 A retrieved item is verified against the whole document: its question part
 (all but the last sentence) by word 5-gram containment, its answer part by the
@@ -25,6 +27,7 @@ one.  Words are runs of letters and digits, A-Z folded.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,8 +40,8 @@ SEGMENT = 32
 PASSAGE = 64
 STRIDE = 32
 GRAM = 5
-POSTING_BLOCK = 16
-BLOCK_ITEMS = 20_000
+POSTING_BLOCK = 4
+BLOCK_ITEMS = 1_000
 K1, B = 1.2, 0.75
 LIMIT = 1 - 1e-9  # the threshold of 1, less rounding
 
@@ -93,6 +96,11 @@ class Index:
             for part in np.array_split(h, n):
                 segments.append(part)
                 self.segment_item.append(len(self.items) - 1)
+        # Segments of like length share blocks: their common words weigh alike,
+        # which keeps the block maxima close to the scores.
+        order = sorted(range(len(segments)), key=lambda k: len(segments[k]))
+        segments = [segments[k] for k in order]
+        self.segment_item = [self.segment_item[k] for k in order]
         self.vocabulary = np.unique(np.concatenate(segments)) if segments else np.empty(0, np.uint64)
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         mean = np.mean([len(s) for s in segments]) if segments else 1.0
@@ -103,57 +111,57 @@ class Index:
             score = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segments[s]) / mean))
             for t, c in zip(terms.tolist(), score / (share * score.sum())):
                 postings[t].append((s, float(c)))
-        self.segment = [np.array([s for s, _ in p]) for p in postings]
-        self.score = [np.array([c for _, c in p]) for p in postings]
-        self.block_max = [
-            [max(c for _, c in p[i : i + POSTING_BLOCK]) for i in range(0, len(p), POSTING_BLOCK)] for p in postings
-        ]
-        self.block_end = [[int(p[min(i + POSTING_BLOCK, len(p)) - 1][0]) for i in range(0, len(p), POSTING_BLOCK)] for p in postings]
-        self.top = np.array([max(b) for b in self.block_max], np.float64)
-
-    def wand(self, terms: list[int]) -> list[tuple[int, float]]:
-        """All (segment, score) with a score of at least 1, by block-max WAND."""
-        end = len(self.segment_item)
-        lists = [[int(self.segment[t][0]), t, 0] for t in terms]  # current segment, term, place
+        self.segment = [[s for s, _ in p] for p in postings]
+        self.score = [[c for _, c in p] for p in postings]
+        # Blocks are ranges of POSTING_BLOCK segments, the same for all lists.
+        n_blocks = -(-len(segments) // POSTING_BLOCK)
+        self.block_max = np.zeros((len(postings), n_blocks), np.float32)
+        for t, p in enumerate(postings):
+            for s, c in p:
+                block = s // POSTING_BLOCK
+                self.block_max[t, block] = max(self.block_max[t, block], c)
+        self.top = self.block_max.max(axis=1).astype(np.float64) if len(postings) else np.empty(0)
+        # Block maxima of the terms of few blocks, as sparse rows.
+        occurs = self.block_max > 0
+        self.common = occurs.sum(axis=1) * 4 > n_blocks
+        rare = np.flatnonzero(occurs & ~self.common[:, None])
+        self.rare_block, self.rare_max = rare % max(n_blocks, 1), self.block_max.ravel()[rare]
+        self.rare_at = np.searchsorted(rare // max(n_blocks, 1), np.arange(len(postings) + 1))
+
+    def wand(self, terms: list[int], block: int) -> list[tuple[int, float]]:
+        """All (segment, score) of a block with a score of at least 1, by WAND
+        with the block's maxima."""
+        end = (block + 1) * POSTING_BLOCK
+        bound = {t: float(self.block_max[t, block]) + 1e-7 for t in terms}
+        lists = []  # current segment, term, place in its list
+        for t in terms:
+            place = bisect_left(self.segment[t], block * POSTING_BLOCK)
+            if place < len(self.segment[t]) and self.segment[t][place] < end:
+                lists.append([self.segment[t][place], t, place])
         out = []
 
         def seek(cursor: list, segment: int) -> None:
             own = self.segment[cursor[1]]
-            cursor[2] = int(np.searchsorted(own, segment))
-            cursor[0] = int(own[cursor[2]]) if cursor[2] < len(own) else end
+            cursor[2] = bisect_left(own, segment, cursor[2])
+            cursor[0] = own[cursor[2]] if cursor[2] < len(own) else end
 
         while True:
             lists = sorted(c for c in lists if c[0] < end)
-            bound, pivot = 0.0, -1
+            total, pivot = 0.0, -1
             for i, c in enumerate(lists):
-                bound += self.top[c[1]]
-                if bound >= LIMIT:
+                total += bound[c[1]]
+                if total >= LIMIT:
                     pivot = i
                     break
             if pivot < 0:
                 return out
             segment = lists[pivot][0]
-            while pivot + 1 < len(lists) and lists[pivot + 1][0] == segment:
-                pivot += 1
-            block_bound, following = 0.0, end
-            for c in lists[: pivot + 1]:
-                ends = self.block_end[c[1]]
-                k = int(np.searchsorted(ends, segment))
-                if k < len(ends):
-                    block_bound += self.block_max[c[1]][k]
-                    following = min(following, ends[k] + 1)
-            if block_bound < LIMIT:  # no segment up to the nearest block end can reach 1
-                if pivot + 1 < len(lists):
-                    following = min(following, lists[pivot + 1][0])
-                following = max(following, segment + 1)
-                for c in lists[: pivot + 1]:
-                    if c[0] < following:
-                        seek(c, following)
-            elif lists[0][0] == segment:
+            if lists[0][0] == segment:
                 score = 0.0
-                for c in lists[: pivot + 1]:
-                    score += float(self.score[c[1]][c[2]])
-                    seek(c, segment + 1)
+                for c in lists:
+                    if c[0] == segment:
+                        score += self.score[c[1]][c[2]]
+                        seek(c, segment + 1)
                 if score >= LIMIT:
                     out.append((segment, score))
             else:
@@ -161,6 +169,31 @@ class Index:
                     if c[0] < segment:
                         seek(c, segment)
 
+    def retrieve(self, term: np.ndarray, known: np.ndarray, start: np.ndarray, stop: np.ndarray):
+        """(passage, segment, score) of all passages: ``term`` and ``known``
+        per word, word ranges per passage."""
+        size = stop - start
+        word = np.repeat((start - (np.cumsum(size) - size)).astype(np.int32), size) + np.arange(size.sum(), dtype=np.int32)
+        own = known[word]
+        vocabulary, n = len(self.vocabulary), len(start)
+        key = np.repeat(np.arange(n, dtype=np.int64), size)[own] * vocabulary + term[word[own]]
+        key = np.sort(key.astype(np.int32) if n * vocabulary < 2**31 else key)
+        key = key[np.diff(key, prepend=-1) > 0]  # distinct terms of each passage
+        passage, terms = np.divmod(key, vocabulary)
+        common = np.bincount(passage, np.where(self.common[terms], self.top[terms], 0.0), n)
+        many = self.rare_at[terms + 1] - self.rare_at[terms]
+        place = np.repeat(self.rare_at[terms] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        n_blocks = self.block_max.shape[1]
+        cell = np.repeat(passage.astype(np.int64) * n_blocks, many) + self.rare_block[place]
+        rare = np.bincount(cell, self.rare_max[place], n * n_blocks).reshape(n, n_blocks).max(axis=1, initial=0.0)
+        found = []
+        at = np.searchsorted(passage, np.arange(n + 1))
+        for i in np.flatnonzero(common + rare >= 1 - 1e-4).tolist():
+            own_terms = terms[at[i] : at[i + 1]]
+            for block in np.flatnonzero(self.block_max[own_terms].sum(axis=0) >= 1 - 1e-4).tolist():
+                found.extend((i, segment, score) for segment, score in self.wand(own_terms.tolist(), block))
+        return found
+
     def match(self, texts: list[str | None], share: float, overlap: float) -> list[list[dict]]:
         words = _words(texts)
         out: list[list[dict]] = [[] for _ in texts]
@@ -168,8 +201,6 @@ class Index:
             return out
         term = np.minimum(np.searchsorted(self.vocabulary, words.hash), len(self.vocabulary) - 1)
         known = self.vocabulary[term] == words.hash
-        top = np.zeros(len(known) + 1)
-        np.cumsum(np.where(known, self.top[term], 0), out=top[1:])
         ends = np.cumsum(words.count)
         first = ends - words.count
         # Passage starts of all texts: 0, STRIDE, ... until one reaches the end.
@@ -177,15 +208,11 @@ class Index:
         doc = np.repeat(np.arange(len(texts)), n)
         start = first[doc] + STRIDE * (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n))
         stop = np.minimum(start + PASSAGE, ends[doc])
-        open_ = np.flatnonzero(top[stop] - top[start] >= LIMIT)
         found: dict[tuple[int, int], tuple[float, list]] = {}
-        for d, a, b in zip(doc[open_].tolist(), start[open_].tolist(), stop[open_].tolist()):
-            terms = np.unique(term[a:b][known[a:b]])
-            if self.top[terms].sum() < LIMIT:
-                continue
-            for segment, score in self.wand(terms.tolist()):
-                best, places = found.get((d, self.segment_item[segment]), (0.0, []))
-                found[d, self.segment_item[segment]] = (max(best, score), [*places, (a, b)])
+        for k, segment, score in self.retrieve(term, known, start, stop):
+            d, i = int(doc[k]), self.segment_item[segment]
+            best, places = found.get((d, i), (0.0, []))
+            found[d, i] = (max(best, score), [*places, (int(start[k]), int(stop[k]))])
         for (d, i), (score, places) in sorted(found.items()):
             item, own = self.items[i], words.hash[first[d] : ends[d]]
             near = np.concatenate(
@@ -210,7 +237,7 @@ class Index:
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,
-    share: float = 0.5,
+    share: float = 0.6,
     overlap: float = 0.8,
     item_id_col: str = "item_id",
     item_text_col: str = "text",

@@ -36,7 +36,7 @@ def test_stages_against_brute_force(spark, tmp_path):
             want, groups = brute([(k, r.text) for k, r in before.items()], 5, 80)
             assert set(after) == {c for _, _, c in want} and len(after) == groups < len(before)
         elif i == 3:
-            found = Index(items, 0.5).match([r.text for r in before.values()], 0.5, 0.8)
+            found = Index(items, 0.6).match([r.text for r in before.values()], 0.6, 0.8)
             assert set(after) == {k for k, m in zip(before, found) if not m}
             assert len(after) < len(before)
         else:
