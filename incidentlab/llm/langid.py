@@ -101,8 +101,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def train(labels: list[str], data: np.ndarray, epochs: int = 4, batch: int = 128, seed: int = 0) -> ByteCNN | None:
-    """Fits the network; None without labelled windows."""
+def train(labels: list[str], data: np.ndarray, steps: int = 1200, batch: int = 128, seed: int = 0) -> ByteCNN | None:
+    """Fits the network in ``steps`` batches (passes over a shuffled sample, as
+    many as that takes); None without labelled windows."""
     if not labels:
         return None
     rng = np.random.default_rng(seed)
@@ -120,7 +121,7 @@ def train(labels: list[str], data: np.ndarray, epochs: int = 4, batch: int = 128
     )
     params = [net.embed, *net.filters, net.bias, net.dense, net.dense_bias]
     m, v, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(y))
         for a in range(0, len(y), batch):
             own = order[a : a + batch]

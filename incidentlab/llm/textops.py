@@ -70,9 +70,13 @@ def window_hashes(w: np.ndarray, k: int) -> np.ndarray:
 class Words:
     """Words of a list of texts as arrays: ``doc`` (text number) and ``hash``
     (64-bit) per word, ``count`` per text; ``lower`` folds A-Z only;
-    ``separators`` are the bytes between words (newline included)."""
+    ``separators`` are the bytes between words (newline included);
+    ``prefix[k]`` is the hash of the first k bytes of each word (of the whole
+    word where it is shorter)."""
 
-    def __init__(self, texts: list[str | None], lower: bool = False, separators: bytes = SPACE_BYTES):
+    def __init__(
+        self, texts: list[str | None], lower: bool = False, separators: bytes = SPACE_BYTES, prefixes: tuple = ()
+    ):
         parts = [(t or "").encode("utf-8", "replace") for t in texts]
         if lower:
             parts = [p.lower() for p in parts]  # bytes.lower folds ASCII only
@@ -87,24 +91,28 @@ class Words:
         offsets = np.cumsum(size)
         self.doc = np.searchsorted(offsets, self.start, "right")
         self.count = np.bincount(self.doc, minlength=len(parts)).astype(np.int64)
-        self.hash = self._hash()
-
-    def _hash(self) -> np.ndarray:
-        """Polynomial hash of each word's bytes, by prefix sums over blocks
-        that fit the processor's cache."""
-        out = np.empty(len(self.start), np.uint64)
+        self.hash, *first = self._hash(prefixes)
+        self.prefix = dict(zip(prefixes, first))
+
+    def _hash(self, prefixes: tuple) -> list[np.ndarray]:
+        """Polynomial hash of each word's bytes and of each asked-for prefix,
+        by prefix sums over blocks that fit the processor's cache."""
+        ends = [self.end, *(np.minimum(self.start + k, self.end) for k in prefixes)]
+        out = [np.empty(len(self.start), np.uint64) for _ in ends]
         letters = mix64(np.arange(256, dtype=np.uint64), 11)
         up = down = np.empty(0, np.uint64)
         i = 0
-        while i < len(out):
+        while i < len(self.start):
             j = max(i + 1, int(np.searchsorted(self.start, self.start[i] + _BLOCK)))
             a, b = int(self.start[i]), int(self.end[j - 1])
             if b - a > len(up):
                 up, down = _powers(_BASE, b - a), _powers(pow(_BASE, -1, 2**64), b - a)
             total = np.zeros(b - a + 1, np.uint64)
             np.cumsum(letters[self.buf[a:b]] * up[: b - a], out=total[1:])
-            s, e = self.start[i:j] - a, self.end[i:j] - a
-            out[i:j] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * _M1, 3)
+            s = self.start[i:j] - a
+            for own, end in zip(out, ends):
+                e = end[i:j] - a
+                own[i:j] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * _M1, 3)
             i = j
         return out
 

@@ -1,15 +1,18 @@
 """Toxicity scoring with a counterfactually regularised linear classifier.
 
-Logistic regression on the presence of words (letters and digits, A-Z folded),
-with an L1 penalty that leaves only telling words, and a counterfactual
-penalty: in every labelled sentence that names an identity group, the identity
-term is swapped for each other term of its set and the squared change of the
-score (on the logit scale) is penalised.  The model therefore cannot use which
-group is mentioned, and neutral mentions are not flagged.
-
-It is fitted on a bounded sample of labelled rows (``max_rows``, by hash of the
-id); the driver receives word hashes of that sample only.  Scoring runs over
-whole texts inside the tasks.
+Logistic regression on the presence of words (letters and digits, A-Z folded)
+and of word beginnings of 3 to 9 bytes, the latter also by whether two or three
+different words share them: they catch families of derived words.  Features
+that do not go with label 1 in the sample (``SCREEN`` standard deviations) are
+left out.  A counterfactual penalty is added to the loss: in every labelled
+sentence that names an identity group, the identity term is swapped for each
+other term of its set and the squared change of the score (on the logit scale)
+is penalised.  The model therefore cannot use which group is mentioned, and
+neutral mentions are not flagged.
+
+It is fitted on a bounded sample of labelled rows (``max_rows``, half of each
+label as far as there are so many, by hash of the id); the driver receives the
+feature hashes of that sample only.  Scoring runs over whole texts in the tasks.
 
 Defined results: null and empty texts get the score of a text without known
 words; labels without a document, documents without a label and null labels are
@@ -28,10 +31,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlab.llm.textops import NOT_ALNUM_BYTES, Words, add_text_columns
+from incidentlab.llm.textops import NOT_ALNUM_BYTES, Words, add_text_columns, mix64
 
-MAX_ROWS = 16_000  # bound of the fitting sample
-MIN_DOCS = 3  # a word must occur in so many sampled documents
+MAX_ROWS = 8_000  # bound of the fitting sample
+MIN_DOCS = 3  # a feature must occur in so many sampled documents
+SCREEN = 4.0
+PREFIXES = tuple(range(3, 10))
+SHARED = (1, 2, 3)  # numbers of different words that share a beginning
 
 #: Sets of interchangeable identity terms (single words, lower case).
 IDENTITY_TERMS = (
@@ -54,22 +60,50 @@ class ToxicityModel:
     bias: float
 
 
-def word_hash(words: list[str]) -> np.ndarray:
-    return Words(words, lower=True, separators=NOT_ALNUM_BYTES).hash
-
-
-def _presence(texts: list[str | None], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, word hash) pairs, of known words only if given."""
-    words = Words(texts, lower=True, separators=NOT_ALNUM_BYTES)
-    doc, h = words.doc, words.hash
-    if known is not None:
-        own = np.isin(h, known)
-        doc, h = doc[own], h[own]
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+def _distinct(doc: np.ndarray, *h: np.ndarray) -> list[np.ndarray]:
+    """Distinct rows, sorted by text number first."""
+    order = np.lexsort((*h[::-1], doc))
+    rows = [x[order] for x in (doc, *h)]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-    return doc[new], h[new]
+    if len(doc):
+        new[1:] = np.any([x[1:] != x[:-1] for x in rows], axis=0)
+    return [x[new] for x in rows]
+
+
+def _features(texts: list[str | None], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text number, feature) pairs, of known features only if given."""
+    words = Words(texts, lower=True, separators=NOT_ALNUM_BYTES, prefixes=PREFIXES)
+    length = words.end - words.start
+
+    def is_known(h: np.ndarray) -> np.ndarray:
+        if known is None or not len(known):
+            return np.full(len(h), known is None)
+        return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+
+    own = is_known(words.hash)
+    parts = [(words.doc[own], words.hash[own])]
+    for k in PREFIXES:
+        longer = np.flatnonzero(length > k)
+        doc, word, start = words.doc[longer], words.hash[longer], mix64(words.prefix[k][longer], 100 + k)
+        if known is not None:  # any of the features of this beginning
+            own = np.any([is_known(mix64(start, 200 + n)) for n in SHARED], axis=0)
+            doc, word, start = doc[own], word[own], start[own]
+        doc, start, _ = _distinct(doc, start, word)
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+        first = np.flatnonzero(new)
+        many = np.diff(np.append(first, len(doc)))
+        for n in SHARED:
+            at = first[many >= n]
+            h = mix64(start[at], 200 + n)
+            own = is_known(h)
+            parts.append((doc[at][own], h[own]))
+    doc, h = (np.concatenate(x) for x in zip(*parts))
+    return tuple(_distinct(doc, h))
+
+
+def term_list(terms: tuple) -> list[str]:
+    return sorted({t for g in terms for t in g})
 
 
 def swaps(text: str, terms: tuple = IDENTITY_TERMS) -> list[tuple[str, str]]:
@@ -86,31 +120,34 @@ def swaps(text: str, terms: tuple = IDENTITY_TERMS) -> list[tuple[str, str]]:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, terms: tuple, max_rows: int
 ) -> pd.DataFrame:
-    """Label, word hashes and swapped hashes of at most ``max_rows`` rows.
+    """Label, features and swaps (term numbers) of at most ``max_rows`` rows.
 
     The labels are cut to the bound before the join, so the broadcast side
     holds at most ``max_rows`` ids."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter("id IS NOT NULL AND label IN (0, 1)")
-    total = known.count()
+    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    rate = F.when(F.col("label") == 1, max_rows / 2 / total.get(1, 1)).otherwise(max_rows / 2 / total.get(0, 1))
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.filter(draw < max_rows / max(total, 1)).limit(max_rows)
+    sample = known.filter(draw < rate).limit(max_rows)
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(sample), "id"
     )
 
+    number = {t: i for i, t in enumerate(term_list(terms))}
+
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
-            doc, h = _presence(texts)
+            doc, h = _features(texts)
             ends = np.cumsum(np.bincount(doc, minlength=len(texts)))[:-1]
             pairs = [swaps(t, terms) for t in texts]
             yield pd.DataFrame(
                 {
                     "label": pdf["label"],
                     "words": [x.tobytes() for x in np.split(h, ends)],
-                    "a": [word_hash([x for x, _ in p]).tobytes() for p in pairs],
-                    "b": [word_hash([x for _, x in p]).tobytes() for p in pairs],
+                    "a": [np.array([number[x] for x, _ in p], np.int32).tobytes() for p in pairs],
+                    "b": [np.array([number[x] for _, x in p], np.int32).tobytes() for p in pairs],
                 }
             )
 
@@ -119,35 +156,50 @@ def labelled_sample(
 
 
 def fit(
-    sample: pd.DataFrame, l1: float = 5e-4, fairness: float = 1.0, steps: int = 300, min_docs: int = MIN_DOCS
+    sample: pd.DataFrame,
+    terms: tuple = IDENTITY_TERMS,
+    l1: float = 1e-5,
+    fairness: float = 1.0,
+    steps: int = 1500,
+    min_docs: int = MIN_DOCS,
 ) -> ToxicityModel:
     """Accelerated proximal gradient on the logistic loss (classes weigh the
     same), ``fairness`` times the mean squared counterfactual score change and
-    ``l1`` times the weights' absolute sum."""
+    ``l1`` times the weights' absolute sum.  A swap changes the score by the
+    difference of the two terms' features, the word and its beginnings."""
     y = sample["label"].to_numpy(np.float64)
     if not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
         bias = np.log((share + 1e-9) / (1 - share + 1e-9))
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(bias))
     rows = [np.frombuffer(b, np.uint64) for b in sample["words"]]
-    a, b = (np.frombuffer(b"".join(sample[c]), np.uint64) for c in ("a", "b"))
+    a, b = (np.frombuffer(b"".join(sample[c]), np.int32) for c in ("a", "b"))
+    named = np.unique(np.concatenate([a, b]))
+    term, term_feature = _features([term_list(terms)[i] for i in named])
+    a, b = np.searchsorted(named, a), np.searchsorted(named, b)
     flat = np.concatenate(rows)
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    words, counts = np.unique(flat, return_counts=True)
-    words = np.union1d(words[counts >= min_docs], np.concatenate([a, b]))
+    words, where, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    share = y.mean()
+    hits = np.bincount(where, y[doc], len(words))
+    spread = np.sqrt(np.maximum(counts * share * (1 - share), 1e-9))
+    words = words[(counts >= min_docs) & (hits - counts * share >= SCREEN * spread)]
+    words = np.union1d(words, term_feature)  # the terms' features stay, for the penalty
     col = np.searchsorted(words, flat)
     own = (col < len(words)) & (words[np.minimum(col, len(words) - 1)] == flat)
     doc, col = doc[own], col[own]
-    a, b = np.searchsorted(words, a), np.searchsorted(words, b)
-    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    term_col = np.searchsorted(words, term_feature)
+    weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
 
     def gradient(w: np.ndarray, bias: float):
         z = bias + np.bincount(doc, w[col], len(y))
-        r = share * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
+        r = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
         g = np.bincount(col, r[doc], len(words))
         if len(a):
-            d = 2 * fairness * (w[a] - w[b]) / len(a)
-            g += np.bincount(a, d, len(words)) - np.bincount(b, d, len(words))
+            score = np.bincount(term, w[term_col], len(named))
+            d = 2 * fairness * (score[a] - score[b]) / len(a)
+            d = np.bincount(a, d, len(named)) - np.bincount(b, d, len(named))
+            g += np.bincount(term_col, d[term], len(words))
         return g, r.sum()
 
     # Step size: the loss's curvature is at most a quarter of the largest
@@ -155,11 +207,11 @@ def fit(
     v = np.ones(len(words))
     top = 1.0
     for _ in range(20):
-        u = share * np.bincount(doc, v[col], len(y))
+        u = weight * np.bincount(doc, v[col], len(y))
         v = np.bincount(col, u[doc], len(words))
         top = np.linalg.norm(v)
         v /= max(top, 1e-12)
-    step = 1 / (0.3 * top + 4 * fairness * bool(len(a)) + 0.5)
+    step = 1 / (0.3 * top + 4 * fairness * (1 + len(PREFIXES)) * bool(len(a)) + 0.5)
     w, x, bias, xb, t = np.zeros(len(words)), np.zeros(len(words)), 0.0, 0.0, 1.0
     for _ in range(steps):
         g, gb = gradient(x, xb)
@@ -174,7 +226,7 @@ def fit(
 
 
 def score_texts(model: ToxicityModel, texts: list[str | None]) -> np.ndarray:
-    doc, h = _presence(texts, model.words)
+    doc, h = _features(texts, model.words)
     z = np.full(len(texts), model.bias)
     if len(doc):
         z += np.bincount(doc, model.weights[np.searchsorted(model.words, h)], len(texts))
@@ -190,7 +242,7 @@ def train_toxicity(
     terms: tuple = IDENTITY_TERMS,
     max_rows: int = MAX_ROWS,
 ) -> ToxicityModel:
-    return fit(labelled_sample(docs, labels, id_col, text_col, label_col, terms, max_rows))
+    return fit(labelled_sample(docs, labels, id_col, text_col, label_col, terms, max_rows), terms)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

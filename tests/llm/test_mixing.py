@@ -76,6 +76,8 @@ def test_shuffled_and_complete(spark):
 def test_edges(spark):
     docs = table(spark, odd_rows()).withColumn("source", F.when(F.col("doc_id") > 2, F.col("source")))
     got = Counter((r.doc_id, r.text) for r in replicate(docs, source_rates(docs, epochs=30.0)).collect())
-    assert (1, "") not in got  # size 0, rate 0 only where the whole source has size 0
+    assert got[1, ""] > 0  # its source has other, longer texts
+    blank = table(spark, [(0, None), (3, ""), (1, "abc")])
+    assert {r.source for r in replicate(blank, source_rates(blank, epochs=50.0)).collect()} == {"src1"}
     assert got[5, odd_rows()[8][1]] % 2 == 0  # equal rows get equal draws
     assert replicate(table(spark, []), source_rates(table(spark, []))).count() == 0

@@ -1,10 +1,11 @@
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF01
 from helpers import odd_rows, table
 from incidentlab.llm.queries import op2_toxicity
-from incidentlab.llm.toxicity import fit, labelled_sample, score_texts, score_toxicity, swaps, train_toxicity, word_hash
+from incidentlab.llm.toxicity import _features, fit, labelled_sample, score_texts, score_toxicity, swaps, train_toxicity
 
 BAD, GOOD = ["idiot", "scum", "moron"], ["tea", "garden", "river", "music"]
 
@@ -69,8 +70,22 @@ def test_degenerate_labels(spark):
     assert score_toxicity(table(spark, []), one).count() == 0
 
 
-def test_word_hash_folds_and_splits():
-    assert word_hash(["Idiot"])[0] == word_hash(["idiot"])[0]
+def test_features_are_folded_presence_and_shared_beginnings():
+    def of(*texts):
+        doc, h = _features(list(texts))
+        return [set(h[doc == i].tolist()) for i in range(len(texts))]
+
+    a, b, c, d = of("Idiot idiot", "IDIOT!!", "idiots idiotic", None)
+    assert a == b and not d
+    # A word of five letters has itself and two beginnings.  The two longer
+    # words have four different beginnings and share those of three to five letters.
+    assert len(a) == 3 and len(c) == 2 + 4 + 3
+    known = np.sort(np.array(sorted(a & c), np.uint64))
+    doc, h = _features(["idiots idiotic", "x"], known)
+    assert set(h.tolist()) == (a & c) and set(doc.tolist()) == {0}
+
+
+def test_no_labels_at_all():
     assert score_texts(fit(pd.DataFrame({"label": [], "words": [], "a": [], "b": []})), ["a"])[0] < 1e-6
 
 
