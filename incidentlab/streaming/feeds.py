@@ -35,7 +35,10 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Append newly arrived files of ``feed`` to ``out_path`` (Parquet by
     year/month).  ``checkpoint_path`` must be on shared storage; a restarted
-    query resumes from it after an executor or driver loss."""
+    query resumes from it after an executor or driver loss.
+
+    Give the stream a folder of its own: the file sink keeps a log of its files
+    there, and readers ignore files that a batch job adds beside them."""
     writer = (
         feed_stream(spark, feed, path_glob)
         .writeStream.format("parquet")
