@@ -114,7 +114,6 @@ class PrefixTree:
         self.pos = np.zeros(vocabulary, np.int32)
         self.root = None
         self.parent = list(range(len(sizes)))
-        self.links: list[tuple[int, int]] = []
 
     def find(self, x: int) -> int:
         p = self.parent
@@ -185,7 +184,6 @@ class PrefixTree:
                     a, b = self.find(i), self.find(s)
                     if a != b:
                         self.parent[max(a, b)] = min(a, b)
-                        self.links.append((i, s))
             if node.kids:
                 stack.append((node, 0, 0, True))
                 stack.extend((k, overlap, last, False) for k in node.kids.values())
@@ -193,7 +191,8 @@ class PrefixTree:
 
 
 def _join_family(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Spanning links of one family, or of a pair of its blocks."""
+    """Members and the smallest member of their component, of one family or of
+    a pair of its blocks (there only members that a link joins to others)."""
     grams = [np.asarray(g, np.int64)[::-1] for g in pdf["grams"]]
     flat, where = np.unique(np.concatenate(grams), return_inverse=True)
     ends = np.cumsum([len(g) for g in grams])
@@ -211,7 +210,7 @@ def _join_family(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         for i in np.flatnonzero(~low):
             tree.probe(int(i))
     rid = pdf["rid"].tolist()
-    return [(rid[a], rid[b]) for a, b in tree.links]
+    return [(rid[i], rid[root]) for i in range(len(rid)) if (root := tree.find(i)) != i]
 
 
 def _set_table(docs: DataFrame, id_type, n: int, percent: int, chunk_bytes: int) -> DataFrame:
@@ -292,7 +291,6 @@ def _family_edges(sets: DataFrame, percent: int) -> DataFrame:
         posting.join(least.filter("least < most"), ["gram", "band"])
         .filter("rid <> least")
         .select("rid", "least")
-        .distinct()
     )
 
 
