@@ -97,14 +97,18 @@ def scan_unseen(
 def findings_by_path(
     versions: DataFrame, ledger: DataFrame, rule_version: str = RULE_VERSION, text_col: str = "text"
 ) -> DataFrame:
-    """Every version (without its text) with ``blob`` and ``findings``.
+    """Every version (without its text) with ``blob`` and ``findings``, which
+    replace columns of those names.
 
     Only blobs with findings are joined; a blob shared by very many versions
     meets its findings once per (blob, partition)."""
-    rows = address(versions, text_col).drop(text_col).withColumn("__part", F.spark_partition_id())
+    part = "__part"
+    while part in versions.columns:
+        part += "_"
+    rows = address(versions.drop("findings"), text_col).drop(text_col).withColumn(part, F.spark_partition_id())
     hits = ledger.filter((F.col("rule_version") == rule_version) & (F.size("findings") > 0)).select("blob", "findings")
-    here = rows.select("blob", "__part").distinct().join(hits, "blob")
-    out = rows.join(here, ["blob", "__part"], "left").drop("__part")
+    here = rows.select("blob", part).distinct().join(hits, "blob")
+    out = rows.join(here, ["blob", part], "left").drop(part)
     return out.withColumn("findings", F.coalesce("findings", F.array().cast(FINDINGS)))
 
 

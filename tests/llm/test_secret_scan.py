@@ -58,6 +58,9 @@ def test_edges(spark):
     docs = table(spark, rows)
     got = findings_by_path(docs, scan_unseen(docs)).select("doc_id", spans_text("findings").alias("s")).collect()
     assert len(got) == len(rows) and {r.s for r in got} == {""}
+    clash = docs.selectExpr("*", "'x' blob", "1 findings", "2 __part", "'r' rule_version")
+    again = findings_by_path(clash, scan_unseen(clash))
+    assert again.count() == len(rows) and again.columns.count("blob") == again.columns.count("findings") == 1
     empty = table(spark, [])
     assert scan_unseen(empty).count() == 0 and findings_by_path(empty, scan_unseen(empty)).count() == 0
     assert address(docs).filter("doc_id = 3").select("blob").distinct().first()[0] == hashlib.sha256(b"").hexdigest()
