@@ -20,7 +20,7 @@ from incidentlab.llm.ngram_join import ngram_jaccard_join
 from incidentlab.llm.textops import without_rows
 from incidentlab.session import scratch_path, table_path
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
