@@ -11,8 +11,9 @@ is penalised.  The model therefore cannot use which group is mentioned, and
 neutral mentions are not flagged.
 
 It is fitted on a bounded sample of labelled rows (``max_rows``, half of each
-label as far as there are so many, by hash of the id); the driver receives the
-feature hashes of that sample only.  Scoring runs over whole texts in the tasks.
+label as far as there are so many, by hash of the id).  Features are counted and
+screened in Spark; the driver receives the sample's screened features only.
+Scoring runs over whole texts in the tasks.
 
 Defined results: null and empty texts get the score of a text without known
 words; labels without a document, documents without a label and null labels are
@@ -32,10 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentlab.llm.textops import NOT_ALNUM_BYTES, Words, add_text_columns, mix64
+from incidentlab.session import checkpoint
 
 MAX_ROWS = 8_000  # bound of the fitting sample
 MIN_DOCS = 3  # a feature must occur in so many sampled documents
 SCREEN = 4.0
+MAX_FEATURES = 20_000  # of those that pass, the most telling ones
 PREFIXES = tuple(range(3, 10))
 SHARED = (1, 2, 3)  # numbers of different words that share a beginning
 
@@ -118,28 +121,55 @@ def swaps(text: str, terms: tuple = IDENTITY_TERMS) -> list[tuple[str, str]]:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, terms: tuple, max_rows: int
-) -> pd.DataFrame:
-    """Label, features and swaps (term numbers) of at most ``max_rows`` rows.
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    terms: tuple = IDENTITY_TERMS,
+    max_rows: int = MAX_ROWS,
+    min_docs: int = MIN_DOCS,
+) -> tuple[pd.DataFrame, np.ndarray]:
+    """Label, features and swaps (term numbers) of at most ``max_rows`` rows, and
+    the features that pass the screen.
 
     The labels are cut to the bound before the join, so the broadcast side
     holds at most ``max_rows`` ids."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    known = known.filter("id IS NOT NULL AND label IN (0, 1)")
-    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    labelled = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    labelled = labelled.filter("id IS NOT NULL AND label IN (0, 1)")
+    total = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     rate = F.when(F.col("label") == 1, max_rows / 2 / total.get(1, 1)).otherwise(max_rows / 2 / total.get(0, 1))
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.filter(draw < rate).limit(max_rows)
+    sample = labelled.filter(draw < rate).limit(max_rows)
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(sample), "id"
     )
 
     number = {t: i for i, t in enumerate(term_list(terms))}
 
+    rows = checkpoint(joined.select("label", F.coalesce("text", F.lit("")).alias("text")))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            doc, h = _features(pdf["text"].tolist())
+            feature, where, total = np.unique(h, return_inverse=True, return_counts=True)
+            hits = np.bincount(where, pdf["label"].to_numpy()[doc], len(feature)).astype(np.int64)
+            yield pd.DataFrame({"feature": feature.view(np.int64), "hits": hits, "total": total})
+
+    share = rows.agg(F.avg("label")).first()[0] or 0.0
+    counted = rows.mapInPandas(count, "feature long, hits long, total long")
+    counted = counted.groupBy("feature").agg(F.sum("hits").alias("hits"), F.sum("total").alias("total"))
+    gain = F.col("hits") - F.col("total") * share
+    spread = F.sqrt(F.greatest(F.col("total") * share * (1 - share), F.lit(1e-9)))
+    telling = counted.filter((F.col("total") >= min_docs) & (gain >= SCREEN * spread))
+    telling = telling.orderBy((gain / spread).desc(), "feature").limit(MAX_FEATURES).select("feature").toPandas()
+    screened = np.sort(telling["feature"].to_numpy(np.int64).view(np.uint64))
+    known = np.union1d(screened, _features(term_list(terms))[1])
+
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
-            doc, h = _features(texts)
+            texts = pdf["text"].tolist()
+            doc, h = _features(texts, known)
             ends = np.cumsum(np.bincount(doc, minlength=len(texts)))[:-1]
             pairs = [swaps(t, terms) for t in texts]
             yield pd.DataFrame(
@@ -151,17 +181,17 @@ def labelled_sample(
                 }
             )
 
-    rows = joined.select("label", "text").mapInPandas(features, "label int, words binary, a binary, b binary")
-    return rows.toPandas().sort_values(["label", "words"], ignore_index=True)
+    found = rows.mapInPandas(features, "label int, words binary, a binary, b binary").toPandas()
+    return found.sort_values(["label", "words", "a", "b"], ignore_index=True), screened
 
 
 def fit(
     sample: pd.DataFrame,
+    screened: np.ndarray,
     terms: tuple = IDENTITY_TERMS,
     l1: float = 1e-5,
     fairness: float = 1.0,
     steps: int = 1500,
-    min_docs: int = MIN_DOCS,
 ) -> ToxicityModel:
     """Accelerated proximal gradient on the logistic loss (classes weigh the
     same), ``fairness`` times the mean squared counterfactual score change and
@@ -174,17 +204,14 @@ def fit(
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(bias))
     rows = [np.frombuffer(b, np.uint64) for b in sample["words"]]
     a, b = (np.frombuffer(b"".join(sample[c]), np.int32) for c in ("a", "b"))
-    named = np.unique(np.concatenate([a, b]))
+    named = np.unique(np.concatenate([a, b]))  # a swap names a term and the rest of its set
     term, term_feature = _features([term_list(terms)[i] for i in named])
     a, b = np.searchsorted(named, a), np.searchsorted(named, b)
     flat = np.concatenate(rows)
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    words, where, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    share = y.mean()
-    hits = np.bincount(where, y[doc], len(words))
-    spread = np.sqrt(np.maximum(counts * share * (1 - share), 1e-9))
-    words = words[(counts >= min_docs) & (hits - counts * share >= SCREEN * spread)]
-    words = np.union1d(words, term_feature)  # the terms' features stay, for the penalty
+    words = np.union1d(screened, term_feature)
+    if not len(words):
+        return ToxicityModel(words, np.empty(0), float(np.log(y.mean() / (1 - y.mean()))))
     col = np.searchsorted(words, flat)
     own = (col < len(words)) & (words[np.minimum(col, len(words) - 1)] == flat)
     doc, col = doc[own], col[own]
@@ -242,7 +269,7 @@ def train_toxicity(
     terms: tuple = IDENTITY_TERMS,
     max_rows: int = MAX_ROWS,
 ) -> ToxicityModel:
-    return fit(labelled_sample(docs, labels, id_col, text_col, label_col, terms, max_rows), terms)
+    return fit(*labelled_sample(docs, labels, id_col, text_col, label_col, terms, max_rows), terms)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
