@@ -351,7 +351,7 @@ FROM expected""",
     ),
 )
 def q_chi_square(spark, sf):
-    return crosstab.chi_square(_pairs(spark, sf), "crime_type", "outcome_type", "n")
+    return crosstab.chi_square(crosstab.materialize(_pairs(spark, sf)), "crime_type", "outcome_type", "n")
 
 
 @register(
@@ -364,7 +364,7 @@ def q_chi_square(spark, sf):
     ),
 )
 def q_chi_square_expected(spark, sf):
-    return crosstab.chi_square_expected(_pairs(spark, sf), "crime_type", "outcome_type", "n")
+    return crosstab.chi_square_expected(crosstab.materialize(_pairs(spark, sf)), "crime_type", "outcome_type", "n")
 
 
 @register(
@@ -385,7 +385,7 @@ FROM (SELECT SUM((n - e) * (n - e) / e) AS x,
     ),
 )
 def q_chi_square_test(spark, sf):
-    t = crosstab.chi_square_test(_pairs(spark, sf), "crime_type", "outcome_type", "n")
+    t = crosstab.chi_square_test(crosstab.materialize(_pairs(spark, sf)), "crime_type", "outcome_type", "n")
     return t.select(F.round("chi2", 4).alias("chi2"), F.round("p", 6).alias("p"), "dof")
 
 
@@ -1393,7 +1393,7 @@ expected AS (
     ),
 )
 def q_chi_square_drop_null(spark, sf):
-    kept = _pairs(spark, sf).filter(F.col("outcome_type").isNotNull())
+    kept = crosstab.materialize(_pairs(spark, sf).filter(F.col("outcome_type").isNotNull()))
     return crosstab.chi_square(kept, "crime_type", "outcome_type", "n")
 
 
