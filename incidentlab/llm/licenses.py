@@ -1,12 +1,15 @@
 """License scan by sentence rules.
 
-A document is cut into sentences (line breaks, and ``. ! ? ;`` followed by
-white space).  A sentence is normalised (lower case, letters and digits only,
-single spaces) and looked up in a table of known licence sentences.  The
-sequence of identifiers found in a document is then matched against ordered
-rules: at each place the first rule of the list whose identifiers follow one
-another, with at most ``gap`` other sentences between two of them, names the
-licence, and matching goes on behind it.
+A document is cut into pieces (line breaks, and ``. ! ? ;`` followed by white
+space).  A piece is normalised (lower case, letters and digits only, single
+spaces).  A known licence sentence is one piece or several in a row whose words
+together are its words, so hard-wrapped text is found, also behind comment
+marks; the longest one wins.  The sequence of identifiers found in a document is
+then matched against ordered rules: at each place the first rule of the list
+whose identifiers follow one another, with at most ``gap`` other sentences
+between two of them, names the licence, and matching goes on behind it.  Between
+known sentences, lines count as one sentence up to ``. ! ? ;`` or a blank line;
+pieces without letters and digits count as nothing.
 
 Defined results: null and empty texts have no match; a repeated notice is
 matched once per occurrence; rows are judged one by one, so repeated rows and
@@ -78,31 +81,56 @@ GAP = 2
 MATCHES = "array<struct<license:string,start:int,end:int>>"
 
 _CUT = re.compile(r"[^\n\r]+?(?:[.!?;](?=\s)|(?=[\n\r])|\Z)")
-_OTHER = re.compile(r"[^a-z0-9]+")
-
-
-def normalise(sentence: str) -> str:
-    return _OTHER.sub(" ", sentence.lower()).strip()
+_BREAK = re.compile(r"\r\n|\n|\r")
+_ALNUM = re.compile(r"[^\W_]")
+_WORD = re.compile(r"[a-z0-9]+")
 
 
 class Recogniser:
     def __init__(self, sentences: dict = SENTENCES, rules: tuple = RULES, gap: int = GAP):
-        self.known = {normalise(s): k for k, s in sentences.items()}
-        lengths = [len(s) for s in self.known]
-        self.least, self.most = min(lengths, default=1), max(lengths, default=0)
+        # Tree of words; the key None holds the identifier of the sentence that ends there.
+        self.known: dict = {}
+        for key, sentence in sentences.items():
+            node = self.known
+            for word in _WORD.findall(sentence.lower()):
+                node = node.setdefault(word, {})
+            node[None] = key
         self.starts: dict[str, list] = {}
         for name, ids in rules:
             self.starts.setdefault(ids[0], []).append((name, ids))
         self.gap = gap
 
+    def _longest(self, pieces: list, first: int):
+        """(identifier, last piece) of the longest known sentence whose first
+        piece is given, or None."""
+        node, best = self.known, None
+        for last in range(first, len(pieces)):
+            words = 0
+            for words, m in enumerate(_WORD.finditer(pieces[last][2]), 1):
+                if (node := node.get(m.group())) is None:
+                    return best
+            if not words:
+                return best
+            if None in node:
+                best = node[None], last
+        return best
+
     def identify(self, text: str) -> list[tuple[int, str, int, int]]:
         """(sentence number, identifier, start, end) of the known sentences."""
-        found = []
-        for number, m in enumerate(_CUT.finditer(text)):
-            if m.end() - m.start() >= self.least:
-                norm = normalise(m.group())
-                if self.least <= len(norm) <= self.most and (known := self.known.get(norm)):
-                    found.append((number, known, m.start(), m.end()))
+        pieces = [
+            (m.start(), m.end(), m.group().lower()) for m in _CUT.finditer(text) if _ALNUM.search(m.group())
+        ]
+        found, number, i, ended = [], -1, 0, True
+        while i < len(pieces):
+            start, end, _ = pieces[i]
+            if hit := self._longest(pieces, i):
+                number, i, ended = number + 1, hit[1], True
+                found.append((number, hit[0], start, pieces[i][1]))
+            else:
+                if ended or len(_BREAK.findall(text, pieces[i - 1][1], start)) > 1:
+                    number += 1
+                ended = text[end - 1] in ".!?;"
+            i += 1
         return found
 
     def match(self, text: str) -> list[tuple[str, int, int]]:

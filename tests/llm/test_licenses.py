@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from helpers import odd_rows, table
 from incidentlab.llm.licenses import GAP, RULES, SENTENCES, Recogniser, scan_licenses
@@ -27,6 +28,24 @@ def test_order_gaps_and_longest_first():
     assert names("Released under the MIT License agreement.") == []
 
 
+def test_wrapped_and_behind_comment_marks():
+    filler = "This sentence is not in the table and is long enough to be wrapped as well, at 70 columns. "
+    for eol in ("\n", "\r\n"):
+        for mark in ("", "    ", " * ", "# ", "// ", ";; "):
+            for name, ids in RULES:
+                for between in ("\n", "\n\n", f"\n{filler * GAP}\n"):
+                    parts = [x for s in ("Intro.", *(SENTENCES[i] for i in ids), "End.") for x in (s, between)]
+                    lines = [y for x in "".join(parts).split("\n") for y in textwrap.wrap(x, 70) or [""]]
+                    assert names(eol.join(mark + x for x in lines)) == [name]
+    far = f"{SENTENCES['mit-grant']}\n{filler * (GAP + 1)}\n{SENTENCES['mit-notice']}"
+    assert names("\n".join(textwrap.wrap(far, 70))) == []
+    apache = [SENTENCES[f"apache-{x}"] for x in ("under", "comply", "copy")]
+    text = "# " + " ".join(apache[:2]) + "\n# " + apache[2].replace(" at ", " at\n#\n#     ") + "\n#\n# Unless"
+    ((name, a, b),) = Recogniser().match(text)
+    assert name == "Apache-2.0" and text[a:b].endswith("LICENSE-2.0")
+    assert names("Released under\nthe BSD or\nthe MIT License.") == []
+
+
 def test_spans():
     text = "é Intro. Released under the MIT License. Tail"
     ((name, a, b),) = Recogniser().match(text)
