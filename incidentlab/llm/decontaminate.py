@@ -16,8 +16,13 @@ A retrieved item is verified against the whole document: its question part
 words of the passage and its neighbours; a match needs both at ``overlap`` or
 more, or the 5-grams of the whole item at ``overlap`` or more.
 
-The index is broadcast in blocks of at most ``BLOCK_ITEMS`` items, so its size
-is bounded; a larger benchmark makes more passes over the documents.
+The items are cut into blocks of about ``BLOCK_WORDS`` words and ``BLOCK_ITEMS``
+items at most (a longer item is a block of its own), so that an index has a
+bounded size, linear in its words.  Document frequencies and the mean length are
+those of all items, so blocks do not change the scores.  A larger benchmark makes
+more passes over the documents, one after another, with one index in memory at a
+time; ``docs`` must then be a table or another source that gives the same rows in
+the same order when it is read again.
 
 Defined results: null and empty texts and items match nothing; items that have
 the same text are all reported; rows with equal or null ids are judged one by
@@ -28,13 +33,16 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incidentlab.llm.textops import NOT_ALNUM_BYTES, Words, add_text_columns, window_hashes
+from incidentlab.session import checkpoint, scratch_path
 
 SEGMENT = 32
 PASSAGE = 64
@@ -42,6 +50,8 @@ STRIDE = 32
 GRAM = 5
 POSTING_BLOCK = 4
 BLOCK_ITEMS = 1_000
+BLOCK_WORDS = 200_000
+CELLS = 1 << 24  # (passage, block) sums held at once
 K1, B = 1.2, 0.75
 LIMIT = 1 - 1e-9  # the threshold of 1, less rounding
 
@@ -69,6 +79,33 @@ def _grams(h: np.ndarray) -> np.ndarray:
     return np.unique(window_hashes(h, min(GRAM, len(h)))) if len(h) else np.empty(0, np.uint64)
 
 
+def _segments(h: np.ndarray) -> list[np.ndarray]:
+    return np.array_split(h, -(-len(h) // SEGMENT)) if len(h) else []
+
+
+@dataclass
+class Statistics:
+    """Document frequencies (of segments) and lengths over all items."""
+
+    vocabulary: np.ndarray  # sorted
+    df: np.ndarray
+    segments: int
+    words: int
+
+    @staticmethod
+    def of(segments: list[np.ndarray]) -> Statistics:
+        own = [np.unique(s) for s in segments]
+        vocabulary, df = np.unique(np.concatenate(own) if own else np.empty(0, np.uint64), return_counts=True)
+        return Statistics(vocabulary, df, len(segments), sum(len(s) for s in segments))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, length: int) -> np.ndarray:
+        """BM25 parts of the terms of a segment."""
+        place = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
+        df = np.where(self.vocabulary[place] == terms, self.df[place], 0)
+        idf = np.log1p((self.segments - df + 0.5) / (df + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / (self.words / self.segments)))
+
+
 @dataclass
 class Item:
     item_id: int
@@ -79,9 +116,10 @@ class Item:
 
 
 class Index:
-    """Segments of a block of items as block-max posting lists."""
+    """Segments of a block of items as block-max posting lists; ``stats`` are
+    those of all items (of the given ones if left out)."""
 
-    def __init__(self, items: list[tuple[int, str | None]], share: float):
+    def __init__(self, items: list[tuple[int, str | None]], share: float, stats: Statistics | None = None):
         self.items: list[Item] = []
         segments, self.segment_item = [], []
         for item_id, text in items:
@@ -92,8 +130,7 @@ class Index:
             self.items.append(
                 Item(item_id, _grams(q), np.unique(a), _grams(h), (min(GRAM, max(len(q), 1)), min(GRAM, len(h))))
             )
-            n = -(-len(h) // SEGMENT)
-            for part in np.array_split(h, n):
+            for part in _segments(h):
                 segments.append(part)
                 self.segment_item.append(len(self.items) - 1)
         # Segments of like length share blocks: their common words weigh alike,
@@ -103,36 +140,45 @@ class Index:
         self.segment_item = [self.segment_item[k] for k in order]
         self.vocabulary = np.unique(np.concatenate(segments)) if segments else np.empty(0, np.uint64)
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        mean = np.mean([len(s) for s in segments]) if segments else 1.0
-        counted = [np.unique(np.searchsorted(self.vocabulary, s), return_counts=True) for s in segments]
-        df = np.bincount(np.concatenate([t for t, _ in counted]), minlength=len(postings)) if segments else np.empty(0)
-        idf = np.log1p((len(segments) - df + 0.5) / (df + 0.5))
-        for s, (terms, tf) in enumerate(counted):
-            score = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(segments[s]) / mean))
-            for t, c in zip(terms.tolist(), score / (share * score.sum())):
+        stats = stats or Statistics.of(segments)
+        for s, part in enumerate(segments):
+            terms, tf = np.unique(part, return_counts=True)
+            score = stats.weights(terms, tf, len(part))
+            for t, c in zip(np.searchsorted(self.vocabulary, terms).tolist(), score / (share * score.sum())):
                 postings[t].append((s, float(c)))
         self.segment = [[s for s, _ in p] for p in postings]
         self.score = [[c for _, c in p] for p in postings]
-        # Blocks are ranges of POSTING_BLOCK segments, the same for all lists.
-        n_blocks = -(-len(segments) // POSTING_BLOCK)
-        self.block_max = np.zeros((len(postings), n_blocks), np.float32)
-        for t, p in enumerate(postings):
+        # Blocks are ranges of POSTING_BLOCK segments, the same for all lists;
+        # a row per term holds the blocks it occurs in and its maxima there.
+        self.n_blocks = n_blocks = -(-len(segments) // POSTING_BLOCK)
+        self.block_max: list[dict[int, float]] = []
+        for p in postings:
+            row: dict[int, float] = {}
             for s, c in p:
-                block = s // POSTING_BLOCK
-                self.block_max[t, block] = max(self.block_max[t, block], c)
-        self.top = self.block_max.max(axis=1).astype(np.float64) if len(postings) else np.empty(0)
-        # Block maxima of the terms of few blocks, as sparse rows.
-        occurs = self.block_max > 0
-        self.common = occurs.sum(axis=1) * 4 > n_blocks
-        rare = np.flatnonzero(occurs & ~self.common[:, None])
-        self.rare_block, self.rare_max = rare % max(n_blocks, 1), self.block_max.ravel()[rare]
-        self.rare_at = np.searchsorted(rare // max(n_blocks, 1), np.arange(len(postings) + 1))
+                row[s // POSTING_BLOCK] = max(row.get(s // POSTING_BLOCK, 0.0), c)
+            self.block_max.append(row)
+        many = np.array([len(row) for row in self.block_max], np.int64)
+        self.top = np.array([max(row.values()) for row in self.block_max], np.float64)
+        self.block_of = np.array([b for row in self.block_max for b in row], np.int64)
+        self.max_of = np.array([m for row in self.block_max for m in row.values()], np.float64)
+        self.row_at = np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+        # Terms of few blocks, as sparse rows of their own.
+        self.common = many * 4 > n_blocks
+        rare = np.repeat(~self.common, many)
+        self.rare_block, self.rare_max = self.block_of[rare], self.max_of[rare]
+        self.rare_at = np.concatenate([[0], np.cumsum(np.where(self.common, 0, many))]).astype(np.int64)
+
+    def bounds(self, terms: np.ndarray) -> np.ndarray:
+        """Sum of the terms' maxima in every block."""
+        many = self.row_at[terms + 1] - self.row_at[terms]
+        place = np.repeat(self.row_at[terms] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return np.bincount(self.block_of[place], self.max_of[place], self.n_blocks)
 
     def wand(self, terms: list[int], block: int) -> list[tuple[int, float]]:
         """All (segment, score) of a block with a score of at least 1, by WAND
         with the block's maxima."""
         end = (block + 1) * POSTING_BLOCK
-        bound = {t: float(self.block_max[t, block]) + 1e-7 for t in terms}
+        bound = {t: self.block_max[t].get(block, 0.0) + 1e-7 for t in terms}
         lists = []  # current segment, term, place in its list
         for t in terms:
             place = bisect_left(self.segment[t], block * POSTING_BLOCK)
@@ -172,6 +218,14 @@ class Index:
     def retrieve(self, term: np.ndarray, known: np.ndarray, start: np.ndarray, stop: np.ndarray):
         """(passage, segment, score) of all passages: ``term`` and ``known``
         per word, word ranges per passage."""
+        step = max(1, CELLS // max(self.n_blocks, 1))
+        return [
+            (a + i, segment, score)
+            for a in range(0, len(start), step)
+            for i, segment, score in self._retrieve(term, known, start[a : a + step], stop[a : a + step])
+        ]
+
+    def _retrieve(self, term: np.ndarray, known: np.ndarray, start: np.ndarray, stop: np.ndarray):
         size = stop - start
         word = np.repeat((start - (np.cumsum(size) - size)).astype(np.int32), size) + np.arange(size.sum(), dtype=np.int32)
         own = known[word]
@@ -183,14 +237,14 @@ class Index:
         common = np.bincount(passage, np.where(self.common[terms], self.top[terms], 0.0), n)
         many = self.rare_at[terms + 1] - self.rare_at[terms]
         place = np.repeat(self.rare_at[terms] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        n_blocks = self.block_max.shape[1]
+        n_blocks = self.n_blocks
         cell = np.repeat(passage.astype(np.int64) * n_blocks, many) + self.rare_block[place]
         rare = np.bincount(cell, self.rare_max[place], n * n_blocks).reshape(n, n_blocks).max(axis=1, initial=0.0)
         found = []
         at = np.searchsorted(passage, np.arange(n + 1))
         for i in np.flatnonzero(common + rare >= 1 - 1e-4).tolist():
             own_terms = terms[at[i] : at[i + 1]]
-            for block in np.flatnonzero(self.block_max[own_terms].sum(axis=0) >= 1 - 1e-4).tolist():
+            for block in np.flatnonzero(self.bounds(own_terms) >= 1 - 1e-4).tolist():
                 found.extend((i, segment, score) for segment, score in self.wand(own_terms.tolist(), block))
         return found
 
@@ -234,6 +288,60 @@ class Index:
         return out
 
 
+def _blocks(items: DataFrame, block_items: int, block_words: int) -> tuple[DataFrame, list[int]]:
+    """``items`` (checkpointed) with their ``block``, and the block numbers.
+    Blocks are runs of items in the order of the partitions."""
+
+    def size(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(words=_words(pdf["text"].tolist()).count)
+
+    sized = items.mapInPandas(size, "item_id long, text string, words long").filter("words > 0")
+    sized = checkpoint(sized.withColumn("part", F.spark_partition_id()))
+    sums = sized.groupBy("part").agg(F.count("*").alias("n"), F.sum("words").alias("words")).orderBy("part").collect()
+    before, n, words = {}, 0, 0
+    for r in sums:
+        before[r["part"]] = n, words
+        n, words = n + r["n"], words + r["words"]
+    # A block is a pair of (items // block_items, words // block_words), as one number.
+    scale = words // block_words + 1
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[int, tuple[int, int]] = {}
+        for pdf in batches:
+            out = []
+            for part, own in zip(pdf["part"], pdf["words"]):
+                a, b = seen.get(part) or before[part]
+                out.append(a // block_items * scale + b // block_words)
+                seen[part] = a + 1, b + own
+            yield pdf[["item_id", "text"]].assign(block=out)
+
+    dealt = checkpoint(sized.mapInPandas(deal, "item_id long, text string, block long"))
+    return dealt, [r["block"] for r in dealt.select("block").distinct().orderBy("block").collect()]
+
+
+def _statistics(dealt: DataFrame) -> tuple[DataFrame, int, int]:
+    """(block, term, df) with the document frequencies over all items, the
+    number of segments and their words."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for block, text in zip(pdf["block"], pdf["text"]):
+                parts = _segments(_words([text]).hash)
+                terms, df = np.unique(np.concatenate([np.unique(p) for p in parts]), return_counts=True)
+                yield pd.DataFrame({"block": block, "term": terms.view(np.int64), "df": df})
+                # Under block -1: the number of segments and of words.
+                total = [len(parts), sum(len(p) for p in parts)]
+                yield pd.DataFrame({"block": -1, "term": [0, 1], "df": total})
+
+    counted = dealt.mapInPandas(count, "block long, term long, df long").groupBy("block", "term").agg(F.sum("df").alias("df"))
+    counted = checkpoint(counted)
+    total = {r["term"]: r["df"] for r in counted.filter("block = -1").collect()}
+    own = counted.filter("block >= 0")
+    df = own.groupBy("term").agg(F.sum("df").alias("df"))
+    return checkpoint(own.select("block", "term").join(df, "term")), total[0], total[1]
+
+
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -243,24 +351,41 @@ def find_contamination(
     item_text_col: str = "text",
     text_col: str = "text",
     block_items: int = BLOCK_ITEMS,
+    block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``docs`` with ``matches`` added: the items that a document holds, with
     the best BM25 share and the overlaps of question, answer and whole item."""
     own = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    blocks = max(1, -(-own.count() // block_items))
-    out = docs
-    names = []
-    for i in range(blocks):
-        block = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i) if blocks > 1 else own
-        rows = [tuple(r) for r in block.orderBy("item_id", "text").collect()]
-        name = "matches" if i == 0 else f"__matches_{i}"
-
-        def start(rows=rows):
-            index = Index(rows, share)
+    dealt, blocks = _blocks(own, block_items, block_words)
+
+    def searched(frame: DataFrame, block: int | None, terms: DataFrame | None = None, n: int = 0, words: int = 0):
+        rows = dealt if block is None else dealt.filter(F.col("block") == block)
+        rows = [tuple(r) for r in rows.select("item_id", "text").orderBy("item_id", "text").collect()]
+        stats = None
+        if terms is not None:
+            found = terms.filter(F.col("block") == block).select("term", "df").toPandas()
+            vocabulary = found["term"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(vocabulary)
+            stats = Statistics(vocabulary[order], found["df"].to_numpy(np.int64)[order], n, words)
+
+        def start():
+            index = Index(rows, share, stats)
             return lambda texts: [index.match(texts, share, overlap)]
 
-        out = add_text_columns(out, text_col, f"{name} {MATCHES}", start)
-        names.append(name)
-    if blocks > 1:
-        out = out.withColumn("matches", F.concat(*names)).drop(*names[1:])
-    return out
+        return add_text_columns(frame, text_col, f"matches {MATCHES}", start)
+
+    if len(blocks) < 2:
+        return searched(docs, None)
+    terms, n, words = _statistics(dealt)
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    path = scratch_path(docs.sparkSession, "contamination")
+    for block in blocks:
+        hits = searched(numbered.select(row, text_col), block, terms, n, words).filter(F.size("matches") > 0)
+        hits.select(row, "matches").write.parquet(f"{path}/block={block}")
+    hits = docs.sparkSession.read.parquet(*[f"{path}/block={b}" for b in blocks])
+    hits = hits.groupBy(row).agg(F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"))
+    out = numbered.drop("matches").join(hits, row, "left").drop(row)
+    return out.withColumn("matches", F.coalesce("matches", F.array().cast(MATCHES)))

@@ -73,6 +73,22 @@ def test_planted_items_are_found(spark, block_items):
     assert found == planted
 
 
+def test_blocks_do_not_change_scores(spark):
+    items, docs, _ = make()
+    items.append((99, " ".join(w for _, t in items[:40] for w in t.split())))  # one very long item
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs.append((99, items[-1][1]))
+
+    def found(**bounds):
+        got = find_contamination(table(spark, docs), bench, **bounds).collect()
+        assert len(got) == len(docs)
+        return {(r.doc_id, m.item_id): tuple(m)[1:] for r in got for m in r.matches}
+
+    whole = found()
+    assert (99, 99) in whole
+    assert found(block_items=13) == found(block_words=700) == found(block_items=20, block_words=900) == whole
+
+
 def test_partial_overlaps_do_not_match(spark):
     item = " ".join(vocabulary(60, 8)) + ". " + " ".join(vocabulary(20, 9)) + "."
     words = item.split()
