@@ -78,6 +78,7 @@ def test_blocks_do_not_change_scores(spark):
     items.append((99, " ".join(w for _, t in items[:40] for w in t.split())))  # one very long item
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs.append((99, items[-1][1]))
+    docs += [(100 + i, " ".join(t.split()[2:])) for i, t in items if 15 <= len(t.split()) <= 32]  # partial scores
 
     def found(**bounds):
         got = find_contamination(table(spark, docs), bench, **bounds).collect()
@@ -85,10 +86,25 @@ def test_blocks_do_not_change_scores(spark):
         return {(r.doc_id, m.item_id): tuple(m)[1:] for r in got for m in r.matches}
 
     whole = found()
-    assert (99, 99) in whole
+    assert (99, 99) in whole and sum(m[0] < 0.99 for m in whole.values()) > 2
     assert found(block_items=13) == found(block_words=700) == found(block_items=20, block_words=900) == whole
 
 
+def test_words_between_question_and_answer(spark):
+    words, filler = vocabulary(400, 21), vocabulary(4000, 22)
+    items = [(i, " ".join(words[28 * i : 28 * i + 14]) + "? " + " ".join(words[28 * i + 14 : 28 * i + 28]) + ".") for i in range(10)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = []
+    for i, (_, text) in enumerate(items):
+        q, a = text.split("? ")
+        for n in (0, 45, 90, 500):
+            docs.append((10 * n + i, " ".join([*filler[:i], q, *filler[:n], a, *filler[n : n + 70]])))
+        docs.append((9000 + i, " ".join([*filler[:50], q, *filler[50:90]])))  # no answer
+        docs.append((9100 + i, " ".join([*filler[:50], a, *filler[50:90]])))  # no question
+    got = find_contamination(table(spark, docs), bench).collect()
+    assert {r.doc_id: [m.item_id for m in r.matches] for r in got} == {d: [d % 10] if d < 9000 else [] for d, _ in docs}
+
+
 def test_partial_overlaps_do_not_match(spark):
     item = " ".join(vocabulary(60, 8)) + ". " + " ".join(vocabulary(20, 9)) + "."
     words = item.split()
