@@ -92,11 +92,17 @@ def actual_vs_forecast(
 ) -> DataFrame:
     """History and forecast band in one table, for plotting elsewhere, with
     the first forecast month of each key as ``forecast_start``.  The forecast
-    may come from anywhere, e.g. a saved result file."""
+    may come from anywhere, e.g. a saved result file.  A null key is a series
+    like any other."""
     ks = _keys(keys)
     a = actual.select(*ks, month, F.col(value).alias("actual"))
-    f = forecast.select(*ks, month, "mean", "lower", "upper")
-    both = a.join(f, on=[*ks, month], how="full").withColumn("is_forecast", F.col("mean").isNotNull())
+    own = {k: f"_f_{k}" for k in [*ks, month]}
+    f = forecast.select(*[F.col(k).alias(o) for k, o in own.items()], "mean", "lower", "upper")
+    on = [F.col(k).eqNullSafe(F.col(own[k])) for k in ks] + [F.col(month) == F.col(own[month])]
+    both = a.join(f, on=on, how="full").select(
+        *[F.coalesce(k, o).alias(k) for k, o in own.items()], "actual", "mean", "lower", "upper"
+    )
+    both = both.withColumn("is_forecast", F.col("mean").isNotNull())
     start = F.min(F.when(F.col("is_forecast"), F.col(month))).over(Window.partitionBy(*ks))
     return both.withColumn("forecast_start", start)
 

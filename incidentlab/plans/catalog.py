@@ -918,7 +918,9 @@ FROM fc JOIN complete_series USING (key, month) GROUP BY key""",
 def q_arima_holdout_metrics(spark, sf):
     s = series.holdout_split(_priority_series(spark, sf), "key")
     fc = forecast.arima_forecast(s.filter(~F.col("is_test")), "key", horizon=6)
-    scored = s.filter("is_test").join(fc.select("key", "month", "mean"), ["key", "month"], "inner")
+    fc = fc.select(F.col("key").alias("fc_key"), F.col("month").alias("fc_month"), "mean")
+    on = F.col("key").eqNullSafe(F.col("fc_key")) & (F.col("month") == F.col("fc_month"))
+    scored = s.filter("is_test").join(fc, on, "inner")
     return _rounded(series.forecast_metrics(scored, "key", "n", "mean", scale=None), "rmse", "mae")
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from incidentlab.operators import forecast, series
+from incidentlab.plans import catalog
 
 # Published 6-step forecast (mean, standard error) and the model
 # quantities that reproduce it: phi, theta, sigma2 and u, the variance left
@@ -243,3 +244,25 @@ def test_actual_vs_forecast_full_join(spark):
         (dt.date(2024, 2, 1), 7, 6.0, True, start),
         (dt.date(2024, 3, 1), None, 6.5, True, start),
     ]
+
+
+def test_null_key_series_meets_its_forecast(spark, monkeypatch):
+    actual = spark.createDataFrame(
+        [(None, dt.date(2024, 1, 1), 5), (None, dt.date(2024, 2, 1), 7), ("k", dt.date(2024, 2, 1), 8)],
+        "key string, month date, n bigint",
+    )
+    fc = spark.createDataFrame(
+        [(None, dt.date(2024, 2, 1), 6.0, 4.0, 8.0), ("k", dt.date(2024, 2, 1), 9.0, 8.0, 10.0)],
+        "key string, month date, mean double, lower double, upper double",
+    )
+    both = series.actual_vs_forecast(actual, fc, "key")
+    assert both.columns == ["key", "month", "actual", "mean", "lower", "upper", "is_forecast", "forecast_start"]
+    assert {tuple(r)[:4] for r in both.collect()} == {
+        (None, dt.date(2024, 1, 1), 5, None), (None, dt.date(2024, 2, 1), 7, 6.0), ("k", dt.date(2024, 2, 1), 8, 9.0)
+    }
+    months = [dt.date(2020 + m // 12, m % 12 + 1, 1) for m in range(36)]
+    rows = [(k, m, 50 + 7 * (i % 5) + i) for k in (None, "k") for i, m in enumerate(months)]
+    panel = spark.createDataFrame(rows, "key string, month date, n bigint")
+    monkeypatch.setattr(catalog, "_priority_series", lambda *_: panel)
+    got = {r["key"]: (r["rmse"], r["mae"]) for r in catalog.q_arima_holdout_metrics(spark, "").collect()}
+    assert got.keys() == {None, "k"} and got[None] == got["k"]
