@@ -10,8 +10,9 @@ other term of its set and the squared change of the score (on the logit scale)
 is penalised.  The model therefore cannot use which group is mentioned, and
 neutral mentions are not flagged.
 
-It is fitted on a bounded sample of labelled rows (``max_rows``, half of each
-label as far as there are so many, by hash of the id).  Features are counted and
+It is fitted on a bounded sample of labelled ids (``max_rows``, half of each
+label as far as there are so many, the smallest hashes of the id).  An id counts
+once per label, with one of its texts.  Features are counted and
 screened in Spark; the driver receives the sample's screened features only.
 Scoring runs over whole texts in the tasks.
 
@@ -133,20 +134,22 @@ def labelled_sample(
     """Label, features and swaps (term numbers) of at most ``max_rows`` rows, and
     the features that pass the screen.
 
-    The labels are cut to the bound before the join, so the broadcast side
-    holds at most ``max_rows`` ids."""
+    Labels are made distinct and cut to the bound before the join, so the
+    broadcast side holds at most ``max_rows`` ids; of the documents of an id the
+    one with the smallest text stays, so the joined rows keep the bound."""
     labelled = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    labelled = labelled.filter("id IS NOT NULL AND label IN (0, 1)")
+    labelled = labelled.filter("id IS NOT NULL AND label IN (0, 1)").distinct()
     total = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     rate = F.when(F.col("label") == 1, max_rows / 2 / total.get(1, 1)).otherwise(max_rows / 2 / total.get(0, 1))
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(draw < rate).limit(max_rows)
+    sample = labelled.filter(draw < rate).orderBy(draw / rate, "id", "label").limit(max_rows)
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
         F.broadcast(sample), "id"
     )
 
     number = {t: i for i, t in enumerate(term_list(terms))}
 
+    joined = joined.groupBy("id", "label").agg(F.min("text").alias("text"))
     rows = checkpoint(joined.select("label", F.coalesce("text", F.lit("")).alias("text")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -57,6 +57,17 @@ def test_edges(spark):
     assert all(0 <= s <= 1 for s in by.values()) and by[1] == by[3] == by[2]
 
 
+def test_sample_keeps_its_bound(spark):
+    """Hot ids on both sides, and the same sample in any layout."""
+    docs, labels = labelled(spark)
+    docs = docs.unionByName(table(spark, [(i, f"hot copy {n}") for i in range(40) for n in range(30)]))
+    labels = labels.unionByName(spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)] * 20, "doc_id long, toxic int"))
+    found = [labelled_sample(docs.repartition(n), labels.repartition(n + 2), max_rows=60) for n in (1, 5)]
+    assert 30 < len(found[0][0]) <= 60 and set(found[0][0]["label"]) == {0, 1}
+    pd.testing.assert_frame_equal(found[0][0], found[1][0])
+    assert (found[0][1] == found[1][1]).all()
+
+
 def test_degenerate_labels(spark):
     docs, labels = labelled(spark)
     none = train_toxicity(docs, labels.filter("toxic > 1"))
