@@ -54,11 +54,12 @@ def cut_windows(text: bytes) -> np.ndarray:
 
 def labelled_windows(docs: DataFrame, lang_col: str, text_col: str, max_docs: int = MAX_TRAIN_DOCS):
     """Labels and windows of the fitting sample: of each language an equal
-    share of ``max_docs`` rows by hash of the text, and of each row at most
-    WINDOWS_PER_DOC windows spread over the whole text."""
+    share of ``max_docs`` different texts by hash of the text, and of each text
+    at most WINDOWS_PER_DOC windows spread over the whole text."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy("lang").collect()}
+    different = rows.select("lang", F.xxhash64(F.lit("langid"), "text")).distinct()
+    counts = {r["lang"]: r["count"] for r in different.groupBy("lang").count().orderBy("lang").collect()}
     if not counts:
         return [], np.empty((0, WINDOW), np.uint8)
     share = max(1, max_docs // len(counts))
@@ -68,15 +69,17 @@ def labelled_windows(docs: DataFrame, lang_col: str, text_col: str, max_docs: in
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for lang, text in zip(pdf["lang"], pdf["text"]):
+            for lang, text, place in zip(pdf["lang"], pdf["text"], pdf["place"]):
                 if _LETTER.search(text):
                     own = cut_windows(text.encode("utf-8", "replace"))
                     at = np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS_PER_DOC)).astype(int))
-                    out.extend((lang, own[i].tobytes()) for i in at)
-            yield pd.DataFrame(out, columns=["lang", "window"])
+                    out.extend((lang, own[i].tobytes(), place) for i in at)
+            yield pd.DataFrame(out, columns=["lang", "window", "place"])
 
-    sample = rows.filter(draw < rate).mapInPandas(windows, "lang string, window binary")
-    found = sample.limit(2 * max_docs * WINDOWS_PER_DOC).toPandas().sort_values(["lang", "window"])
+    drawn = rows.filter(draw < rate).distinct().withColumn("place", draw / rate)
+    sample = drawn.mapInPandas(windows, "lang string, window binary, place double")
+    sample = sample.orderBy("place", "lang", "window").limit(2 * max_docs * WINDOWS_PER_DOC)
+    found = sample.toPandas().sort_values(["lang", "window"])
     data = np.frombuffer(b"".join(found["window"]), np.uint8).reshape(-1, WINDOW)
     return found["lang"].tolist(), data
 

@@ -46,6 +46,17 @@ def test_edges(spark):
             assert r.lang_pred == "aa"
 
 
+def test_copies_are_drawn_once(spark):
+    rows = [(n, f"hot text {n % 40} of very many copies") for n in range(8000)]
+    docs = table(spark, rows, "aa").unionByName(table(spark, [(n, f"other {n}") for n in range(40)], "bb"))
+    found = [labelled_windows(docs.repartition(n), "lang", "text", max_docs=20) for n in (1, 6)]
+    labels, data = found[0]
+    for lang in ("aa", "bb"):
+        own = [w.tobytes() for x, w in zip(labels, data) if x == lang]
+        assert 2 < len(own) < 25 and len(set(own)) == len(own)
+    assert labels == found[1][0] and (data == found[1][1]).all()
+
+
 def test_empty_tables(spark):
     empty = table(spark, [])
     assert train(*labelled_windows(empty, "lang", "text")) is None
