@@ -12,8 +12,8 @@ A match is verified: rows merge only if the SHA-256 digest, the byte length and
 a second 64-bit hash of the text all agree.
 
 Defined results: a null text counts as empty; null ids lose to any id; among
-rows with the winning id the first read stays, so exactly one row of a group
-stays; an empty table gives an empty result.
+rows with the winning id the one with the smallest row number stays, so exactly
+one row of a group stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from incidentlab.llm.textops import fresh, numbered
 from incidentlab.session import checkpoint
 
 _KEY = ["digest", "n_bytes", "check"]
@@ -41,10 +42,15 @@ def tree_merge_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     fan_in: int = 8,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept,
-    text_sha256`` and ``row`` (the input row number, for joining back)."""
+    text_sha256`` and ``row``, the row number: the column ``row_col`` of ``docs``
+    if given, else that of ``textops.numbered``."""
     pick, order = _winner(keep)
+    if row_col is None:
+        row_col = fresh("__row", docs.columns)
+        docs = numbered(docs, row_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = checkpoint(
         docs.select(
@@ -53,7 +59,7 @@ def tree_merge_dedup(
             F.octet_length(text).alias("n_bytes"),
             F.xxhash64(text).alias("check"),
             F.spark_partition_id().alias("run"),
-            F.monotonically_increasing_id().alias("row"),
+            F.col(row_col).alias("row"),
         )
     )
     runs = (rows.agg(F.max("run")).first()[0] or 0) + 1

@@ -48,7 +48,7 @@ from incidentlab.llm.sketch import (
     n_shards,
     partial_sketches,
 )
-from incidentlab.llm.textops import Words, in_chunks, mix64, window_hashes
+from incidentlab.llm.textops import Words, fresh, in_chunks, mix64, numbered, window_hashes
 from incidentlab.session import scratch_path
 
 REP_LEVEL = -1
@@ -327,12 +327,19 @@ def ngram_jaccard_join(
     text_col: str = "text",
     chunk_bytes: int = 4 << 20,
     block_ngrams: int = 1 << 20,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id`` (smallest
     id reachable by links), ``kept`` (true for one row of each component, that
-    with the smallest id) and ``rid`` (the input row number)."""
+    with the smallest id) and ``rid``, the row number: the column ``row_col`` of
+    ``docs`` if given, else that of ``textops.numbered``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if row_col is None:
+        row_col = fresh("__row", docs.columns)
+        docs = numbered(docs, row_col)
+    rows = docs.select(
+        F.col(row_col).alias("rid"), F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    )
     path = scratch_path(spark, "ngram-sets")
     id_type = docs.schema[id_col].dataType
     table = _set_table(rows, id_type, n, percent, chunk_bytes)

@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incidentlab.llm.decontaminate import find_contamination
+from incidentlab.llm.dual_tree import rank_documents
 from incidentlab.llm.exact_dedup import tree_merge_dedup
+from incidentlab.llm.hard_negatives import mine_hard_negatives
 from incidentlab.llm.langid import labelled_windows, predict_language, train
 from incidentlab.llm.licenses import scan_licenses
 from incidentlab.llm.mixing import replicate, source_rates
 from incidentlab.llm.ngram_join import ngram_jaccard_join
 from incidentlab.llm.secret_scan import BASE_KINDS, count_kind, findings_by_path, scan_unseen, spans_text
+from incidentlab.llm.sharding import write_shards
 from incidentlab.llm.substring_dedup import cut_repeats
 from incidentlab.llm.toxicity import score_toxicity, train_toxicity
 from incidentlab.llm.url_filter import judge_urls, train_url_model
-from incidentlab.session import table_path
+from incidentlab.session import scratch_path, table_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -185,6 +188,80 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written shards, read back; the law is ``rows``."""
+    path = scratch_path(spark, "shards")
+    write_shards(_table(spark, sf_dir, "documents"), path, shards=8)
+    text = F.coalesce("text", F.lit(""))
+    return spark.read.parquet(path).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_dual_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+t AS (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL),
+df AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM tf, s GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term), s GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(
+        _table(spark, sf_dir, "embeddings"), label=label, is_anchor=F.col("vec_id") % 100 == 0, scale=256
+    )
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
@@ -196,4 +273,7 @@ QUERIES = {
     "op8_tree_merge_dedup": (op8_tree_merge_dedup, OP8_SQL),
     "op9_ngram_join": (op9_ngram_join, OP9_SQL),
     "op10_license_scan": (op10_license_scan, None),
+    "op11_two_pass_shuffle": (op11_two_pass_shuffle, None),
+    "op12_dual_tree_search": (op12_dual_tree_search, OP12_SQL),
+    "op13_hard_negatives": (op13_hard_negatives, OP13_SQL),
 }

@@ -61,7 +61,8 @@ def cut_repeats(
     """Per input row: ``doc_id``, ``n_words``, ``n_removed`` and ``kept_text``
     (the remaining words, joined by one space)."""
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chunks, n_bytes = in_chunks(rows, "text", chunk_bytes)
+    # One plan reads the chunks, so their numbers need not outlive it.
+    chunks, n_bytes = in_chunks(rows.withColumn("rid", F.monotonically_increasing_id()), "text", chunk_bytes)
     chunks = chunks.select("gid", "doc_id", "text")
     shards = n_shards(n_bytes // 5)  # no more windows than words
 

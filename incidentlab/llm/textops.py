@@ -6,15 +6,20 @@ that byte set, so the byte form of a text gives the same words.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from incidentlab.session import checkpoint, scratch_path
+
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 #: Everything but ASCII letters, digits and the bytes of non-ASCII characters.
 NOT_ALNUM_BYTES = bytes(i for i in range(128) if not chr(i).isalnum())
@@ -117,40 +122,94 @@ class Words:
         return out
 
 
-def in_chunks(docs: DataFrame, text_col: str, chunk_bytes: int) -> tuple[DataFrame, int]:
-    """Adds ``gid``, a chunk number that spreads rows evenly (it hashes the row
-    number, so equal rows and null ids spread as well), and ``rid``, the row
-    number.  The number of chunks follows the total text size.  Row numbers
-    come from the input's partitions, so the input must be a table or another
-    source that gives the same rows in the same order when it is read again.
-    Returns the frame and the total number of bytes."""
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    n = max(1, -(-total // chunk_bytes))
-    rid = docs.withColumn("rid", F.monotonically_increasing_id())
-    return rid.withColumn("gid", F.pmod(F.xxhash64("rid"), F.lit(n)).cast("int")), total
+#: Files whose numbers ``numbered`` looks up by a broadcast join (a long and an int each).
+MAX_FILES = 1 << 18
 
+_PLAIN = re.compile(r"^[\s:|+-]*(Relation|Project|Filter|SubqueryAlias|LogicalRelation)\b")
 
-def without_rows(docs: DataFrame, gone: DataFrame, row_col: str) -> DataFrame:
-    """``docs`` without the rows whose row number is in ``gone``.  Rows are
-    matched by number, so equal rows and null ids are told apart; ``docs`` must
-    be a table or another source that gives the same rows in the same order."""
-    name = "__row"
-    while name in docs.columns:
+
+def fresh(name: str, columns) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in columns:
         name += "_"
-    numbered = docs.withColumn(name, F.monotonically_increasing_id())
-    return numbered.join(gone.select(F.col(row_col).alias(name)), name, "left_anti").drop(name)
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a row number ``name`` (long) that is the same at every
+    reading, however the files are packed into tasks.
+
+    For a Parquet table, with columns selected or rows filtered, it is the file's
+    place in the sorted list of files and the row's place in its file.  Anything
+    else (and a table of more than MAX_FILES files) is numbered while it is
+    written once to the shared scratch folder, and read from there."""
+    plan = docs._jdf.queryExecution().analyzed().toString().strip().splitlines()
+    if all(_PLAIN.match(line) for line in plan):
+        try:
+            meta = docs.metadataColumn("_metadata")
+            path, at = fresh("__path", docs.columns), fresh("__at", docs.columns)
+            own = docs.select("*", meta["file_path"].alias(path), meta["row_index"].alias(at))
+        except AnalysisException:  # not Parquet files
+            own = None
+        if own is not None:
+            files = own.select(F.col(path).alias("path")).distinct()
+            order = Window.orderBy("path")
+            files = checkpoint(
+                files.select(F.xxhash64("path").alias("f"), (F.row_number().over(order) - 1).cast("long").alias("k"))
+            )
+            n, hashes = files.agg(F.count("f"), F.count_distinct("f")).first()
+            if n <= 1:
+                return own.select(*docs.columns, F.col(at).alias(name))
+            if n == hashes and n <= MAX_FILES:
+                places = files.select(F.col("f").alias(path), F.col("k").alias(name))
+                own = own.withColumn(path, F.xxhash64(path)).join(F.broadcast(places), path)
+                return own.select(*docs.columns, (F.col(name) * F.lit(1 << 40) + F.col(at)).alias(name))
+    target = scratch_path(docs.sparkSession, "numbered")
+    docs.withColumn(name, F.monotonically_increasing_id()).write.parquet(target)
+    return docs.sparkSession.read.parquet(target)
 
 
-def add_text_columns(docs: DataFrame, text_col: str, schema: str, start: Callable, rows: int = 500) -> DataFrame:
-    """``docs`` with columns computed from whole texts, in Arrow batches; the
-    other columns pass through untouched.  Columns of ``docs`` that clash with
-    the new names are replaced.  ``start()`` runs once per task and returns the
-    function from a list of texts (None for null) to one list per new column."""
+def in_chunks(docs: DataFrame, text_col: str, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """``docs``, which must have a row number ``rid``, with ``gid``, a chunk
+    number that spreads rows evenly (it hashes the row number, so equal rows and
+    null ids spread as well).  The number of chunks follows the total text size.
+    Returns the frame and the total number of bytes."""
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = max(1, -(-total // chunk_bytes))
+    return docs.withColumn("gid", F.pmod(F.xxhash64("rid"), F.lit(n)).cast("int")), total
+
+
+def without_rows(rows: DataFrame, gone: DataFrame, row_col: str) -> DataFrame:
+    """``rows`` (from ``numbered``, with the number in ``row_col``) without those
+    whose number is in ``gone``, and without the number.  Rows are matched by
+    number, so equal rows and null ids are told apart."""
+    return rows.join(gone.select(row_col), row_col, "left_anti").drop(row_col)
+
+
+def slices(batch: pa.RecordBatch, column: str, rows: int, n_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and about ``n_bytes`` of the
+    text column (a longer text is a slice of its own)."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size, dtype=np.int64)
+    a = 0
+    while a < batch.num_rows:
+        before = int(ends[a - 1]) if a else 0
+        b = min(a + rows, max(a + 1, int(np.searchsorted(ends, before + n_bytes, "right"))))
+        yield batch.slice(a, b - a)
+        a = b
+
+
+def add_text_columns(
+    docs: DataFrame, text_col: str, schema: str, start: Callable, rows: int = 500, n_bytes: int = 4 << 20
+) -> DataFrame:
+    """``docs`` with columns computed from whole texts, in Arrow batches of at
+    most ``rows`` texts and about ``n_bytes``; the other columns pass through
+    untouched.  Columns of ``docs`` that clash with the new names are replaced.
+    ``start()`` runs once per task and returns the function from a list of texts
+    (None for null) to one list per new column."""
     new = _parse_datatype_string(schema)
     text = F.col(text_col).cast("string")
-    held = "__text"
-    while held in docs.columns:
-        held += "_"
+    held = fresh("__text", docs.columns)
     kept = docs.select(*[c for c in docs.columns if c not in new.names], text.alias(held))
     types = [to_arrow_type(f.dataType) for f in new]
     fields = [StructField(f.name, f.dataType) for f in kept.schema if f.name != held]
@@ -158,8 +217,7 @@ def add_text_columns(docs: DataFrame, text_col: str, schema: str, start: Callabl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = start()
         for batch in batches:
-            for a in range(0, batch.num_rows, rows):
-                part = batch.slice(a, rows)
+            for part in slices(batch, held, rows, n_bytes):
                 texts = part.column(held).to_pylist()
                 added = [pa.array(x, t) for x, t in zip(apply(texts), types)]
                 own = [n for n in part.schema.names if n != held]

@@ -5,7 +5,7 @@ import pytest
 
 from helpers import odd_rows, table
 from incidentlab.llm.exact_dedup import tree_merge_dedup
-from incidentlab.llm.textops import without_rows
+from incidentlab.llm.textops import numbered, without_rows
 
 
 def check(rows, got, keep):
@@ -47,7 +47,7 @@ def test_rows_that_stay(spark, tmp_path):
     rows = odd_rows()
     table(spark, rows).repartition(3).write.parquet(str(tmp_path / "d"))
     docs = spark.read.parquet(str(tmp_path / "d"))
-    out = without_rows(docs, tree_merge_dedup(docs).filter("not kept"), "row")
+    out = without_rows(numbered(docs, "row"), tree_merge_dedup(docs).filter("not kept"), "row")
     assert out.columns == docs.columns
     assert out.count() == len({t or "" for _, t in rows})
 
