@@ -3,8 +3,8 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame that is written as Parquet and read again as the next
 stage's ``docs``.  All stages but the last return the columns of ``documents``.
-Rows are matched by their number in the table just read, so null and repeated
-ids are told apart.  Empty tables pass through as empty tables.
+Rows are matched by a number that is the same at every reading of that table, so
+null and repeated ids are told apart.  Empty tables pass through as empty tables.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from incidentlab.llm.exact_dedup import tree_merge_dedup
 from incidentlab.llm.langid import UNDETERMINED, labelled_windows, predict_language, train
 from incidentlab.llm.mixing import replicate, source_rates
 from incidentlab.llm.ngram_join import ngram_jaccard_join
-from incidentlab.llm.textops import without_rows
+from incidentlab.llm.textops import fresh, numbered, without_rows
 from incidentlab.session import scratch_path, table_path
 
 MIN_LANGUAGE_SCORE = 0.4
@@ -38,14 +38,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest doc_id stays."""
-    return without_rows(docs, tree_merge_dedup(docs, keep="max").filter(~F.col("kept")), "row")
+    row = fresh("row", docs.columns)
+    rows = numbered(docs, row)
+    found = tree_merge_dedup(rows, keep="max", row_col=row)
+    return without_rows(rows, found.filter(~F.col("kept")).select(F.col("row").alias(row)), row)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, Jaccard 0.8 or more; of each group of linked
     documents the row with the smallest doc_id stays."""
-    joined = ngram_jaccard_join(docs, n=5, percent=80)
-    return without_rows(docs, joined.filter(~F.col("kept")), "rid")
+    row = fresh("row", docs.columns)
+    rows = numbered(docs, row)
+    found = ngram_jaccard_join(rows, n=5, percent=80, row_col=row)
+    return without_rows(rows, found.filter(~F.col("kept")).select(F.col("rid").alias(row)), row)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
