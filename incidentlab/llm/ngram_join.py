@@ -191,31 +191,35 @@ class PrefixTree:
 
 
 def _join_family(pdf: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Members and the smallest member of their component, of one family or of
-    a pair of its blocks (there only members that a link joins to others)."""
+    """Members and the smallest member of their component, of one family, one of
+    its blocks, or a block (``probes`` false) and sets that probe it.  Members
+    that share a ``settled`` component are not compared."""
     grams = [np.asarray(g, np.int64)[::-1] for g in pdf["grams"]]
     flat, where = np.unique(np.concatenate(grams), return_inverse=True)
     ends = np.cumsum([len(g) for g in grams])
     grams = [where[e - len(g) : e] for g, e in zip(grams, ends)]
     tree = PrefixTree(pdf["n"].tolist(), grams, percent)
-    block = pdf["block"].to_numpy()
-    if (block == block[0]).all():
+    if "probes" not in pdf:
         for i in range(len(grams)):
             tree.probe(i)
             tree.insert(i)
     else:
-        low = block == block.min()
-        for i in np.flatnonzero(low):
+        first: dict[int, int] = {}
+        for i, c in enumerate(pdf["settled"].tolist()):
+            tree.parent[i] = first.setdefault(c, i)
+        probes = pdf["probes"].to_numpy()
+        for i in np.flatnonzero(~probes):
             tree.insert(int(i))
-        for i in np.flatnonzero(~low):
+        for i in np.flatnonzero(probes):
             tree.probe(int(i))
     rid = pdf["rid"].tolist()
     return [(rid[i], rid[root]) for i in range(len(rid)) if (root := tree.find(i)) != i]
 
 
 def _set_table(docs: DataFrame, id_type, n: int, percent: int, chunk_bytes: int) -> DataFrame:
-    """One row per document: ``gid, rid, doc_id, n, d1, d2``, and ``grams``
-    (shared n-grams, rarest first) for the representatives that may link."""
+    """One row per document: ``gid, rid, doc_id, n, d1, d2``, ``rep`` (it is the
+    representative of its set), and ``grams`` (shared n-grams, rarest first) for
+    the representatives that may link."""
     chunks, n_bytes = in_chunks(docs, "text", chunk_bytes)
     chunks = chunks.select("gid", "rid", "doc_id", "text")
     shards = n_shards(n_bytes // 5)
@@ -258,7 +262,7 @@ def _set_table(docs: DataFrame, id_type, n: int, percent: int, chunk_bytes: int)
             ends = np.cumsum(np.where(may, n_shared, 0))
             for i in np.flatnonzero(may):
                 grams[i] = gram[ends[i] - n_shared[i] : ends[i]]
-        return out.assign(grams=grams)
+        return out.assign(rep=rep, grams=grams)
 
     described = chunks.groupBy("gid").applyInPandas(digest_chunk, base)
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast(id_type), "rid", "gid")).alias("m")
@@ -270,7 +274,7 @@ def _set_table(docs: DataFrame, id_type, n: int, percent: int, chunk_bytes: int)
     merged = parts.groupBy("shard", "level").applyInPandas(merge_sketches, ANSWER_SCHEMA)
     others = reps.unionByName(merged.withColumn("rid", F.lit(None).cast("long")))
     return (
-        chunks.groupBy("gid").cogroup(others.groupBy("gid")).applyInPandas(share_chunk, base + ", grams array<long>")
+        chunks.groupBy("gid").cogroup(others.groupBy("gid")).applyInPandas(share_chunk, base + ", rep boolean, grams array<long>")
     )
 
 
@@ -294,29 +298,74 @@ def _family_edges(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links(sets: DataFrame, families: DataFrame, percent: int, block_ngrams: int) -> DataFrame:
-    members = sets.join(families.select(F.col("node").alias("rid"), F.col("component").alias("family")), "rid")
-    sizes = members.groupBy("family").agg(F.sum(F.size("grams")).alias("total"))
-    bins = -(-(sizes.agg(F.sum("total")).first()[0] or 1) // block_ngrams)
-    blocks = F.ceil(F.col("total") / block_ngrams).cast("int")
-    placed = members.join(sizes.withColumn("blocks", blocks), "family").withColumn(
-        "block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    )
-    # Families of one block share bins; larger ones get a group per pair of blocks.
-    pair = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    groups = placed.select("family", "blocks", "block", "rid", "n", "grams", pair).select(
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(bins))).otherwise(F.col("family")).alias("bin"),
-        (F.col("blocks") > 1).alias("large"),
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "family", "block", "rid", "n", "grams",
-    )
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _join(groups: DataFrame, by: list[str], percent: int) -> DataFrame:
+    """Links (a, b) of every group, family by family."""
 
     def join_bin(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [x for _, own in pdf.sort_values("rid").groupby("family") for x in _join_family(own, percent)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return groups.groupBy("bin", "large", "i", "j").applyInPandas(join_bin, "a long, b long")
+    return groups.groupBy(*by).applyInPandas(join_bin, "a long, b long")
+
+
+def _large_family_links(members: DataFrame, sizes: DataFrame, percent: int, block_ngrams: int, path: str) -> DataFrame:
+    """Links of families that are cut into blocks (step 5)."""
+    blocks = F.ceil(F.col("total") / block_ngrams).cast("int")
+    sizes = sizes.select("family", blocks.alias("blocks"))
+    block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
+    placed = _write(members.join(sizes, "family").withColumn("block", block), f"{path}-placed")
+    inside = _write(_join(placed, ["family", "block"], percent), f"{path}-inside")
+
+    # Components of the blocks, and the largest of each with its smallest set.
+    label = F.coalesce("component", F.col("rid")).alias("component")
+    found = connected_components(inside, "a", "b").withColumnRenamed("node", "rid")
+    own = _write(placed.select("rid", "family", "block").join(found, "rid", "left").select("rid", "family", "block", label), f"{path}-own")
+    counts = own.groupBy("family", "block", "component").agg(F.count("*").alias("k"))
+    tops = counts.groupBy("family", "block").agg(F.max_by("component", F.struct("k", "component")).alias("rid"))
+    between = _write(_join(placed.drop("block").join(tops.drop("block"), ["family", "rid"]), ["family"], percent), f"{path}-between")
+
+    # The family's largest component so far; the others probe all blocks.
+    so_far = connected_components(inside.unionByName(between), "a", "b").withColumnRenamed("node", "rid")
+    own = _write(own.drop("component").join(so_far, "rid", "left").select("rid", "family", "block", label), f"{path}-so-far")
+    counts = own.groupBy("family", "component").agg(F.count("*").alias("k"))
+    core = counts.groupBy("family").agg(F.max_by("component", F.struct("k", "component")).alias("core"))
+    settled = placed.join(own.select("rid", F.col("component").alias("settled")), "rid").join(core, "family")
+    settled = _write(settled, f"{path}-settled")
+    rest = settled.filter("settled <> core")
+    parts = rest.groupBy("family").agg(F.ceil(F.sum(F.size("grams")) / block_ngrams).cast("int").alias("parts"))
+    names = ["family", "block", "part", "rid", "n", "grams", "settled", "probes"]
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    standing = settled.join(parts, "family").withColumn("probes", F.lit(False))
+    standing = standing.select(*[c for c in names if c != "part"], every_part).select(*names)
+    every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("to")
+    part = F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part")
+    probing = rest.join(parts, "family").withColumn("probes", F.lit(True))
+    probing = probing.select("*", every_block, part).filter("to <> block").drop("block").withColumnRenamed("to", "block").select(*names)
+    across = _join(standing.unionByName(probing), ["family", "block", "part"], percent)
+    return inside.unionByName(between).unionByName(across)
+
+
+def _links(sets: DataFrame, families: DataFrame, percent: int, block_ngrams: int, path: str) -> DataFrame:
+    members = sets.join(families.select(F.col("node").alias("rid"), F.col("component").alias("family")), "rid")
+    members = _write(members, f"{path}-members")
+    sizes = members.groupBy("family").agg(F.sum(F.size("grams")).alias("total"))
+    total, most = sizes.agg(F.sum("total"), F.max("total")).first()
+    large = F.col("total") > block_ngrams
+    bins = -(-(total or 1) // block_ngrams)
+    if (most or 0) <= block_ngrams:
+        small = members
+    else:
+        sizes = _write(sizes.filter(large), f"{path}-sizes")
+        small = members.join(sizes, "family", "left_anti")
+    links = _join(small.withColumn("bin", F.pmod(F.xxhash64("family"), F.lit(bins))), ["bin"], percent)
+    if (most or 0) > block_ngrams:
+        links = links.unionByName(_large_family_links(members, sizes, percent, block_ngrams, path))
+    return links
 
 
 def ngram_jaccard_join(
@@ -340,22 +389,21 @@ def ngram_jaccard_join(
     rows = docs.select(
         F.col(row_col).alias("rid"), F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    path = scratch_path(spark, "ngram-sets")
+    path = scratch_path(spark, "ngram")
     id_type = docs.schema[id_col].dataType
     table = _set_table(rows, id_type, n, percent, chunk_bytes)
-    table.withColumn("doc_id", F.col("doc_id").cast(id_type)).write.parquet(path)
-    table = spark.read.parquet(path)
+    table = _write(table.withColumn("doc_id", F.col("doc_id").cast(id_type)), f"{path}-sets")
     sets = table.filter("grams IS NOT NULL").select("rid", "n", "grams")
     families = connected_components(_family_edges(sets, percent), "rid", "least")
-    links = connected_components(_links(sets, families, percent, block_ngrams), "a", "b")
+    links = connected_components(_links(sets, families, percent, block_ngrams, path), "a", "b")
 
-    # The row with the smallest id per set, then per component.
+    # The row with the smallest id per set (its representative), then per component.
     key = ["n", "d1", "d2"]
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("m")
-    reps = table.filter("n > 0").groupBy(*key).agg(rep).select(*key, "m", F.col("m.rid").alias("rid"))
-    linked = reps.join(links.withColumnRenamed("node", "rid"), "rid")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid").alias("m")
+    reps = table.filter("rep").select(*key, own, "rid")
+    linked = links.withColumnRenamed("node", "rid").join(reps.select("rid", "m"), "rid")
     first = linked.groupBy("component").agg(F.min("m").alias("first"))
-    linked = linked.join(first, "component").select("rid", "first")
+    linked = _write(linked.join(first, "component").select("rid", "first"), f"{path}-first")
     per_set = reps.join(linked, "rid", "left").select(*key, F.coalesce("first", "m").alias("first"))
     # A set held by very many documents meets its result once per chunk.
     per_chunk = table.select("gid", *key).distinct().join(per_set, key)

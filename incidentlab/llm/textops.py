@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -144,7 +144,7 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     else (and a table of more than MAX_FILES files) is numbered while it is
     written once to the shared scratch folder, and read from there."""
     plan = docs._jdf.queryExecution().analyzed().toString().strip().splitlines()
-    if all(_PLAIN.match(line) for line in plan):
+    if all(_PLAIN.match(line) for line in plan) and len(docs.inputFiles()) <= MAX_FILES:
         try:
             meta = docs.metadataColumn("_metadata")
             path, at = fresh("__path", docs.columns), fresh("__at", docs.columns)
@@ -152,15 +152,12 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
         except AnalysisException:  # not Parquet files
             own = None
         if own is not None:
-            files = own.select(F.col(path).alias("path")).distinct()
-            order = Window.orderBy("path")
-            files = checkpoint(
-                files.select(F.xxhash64("path").alias("f"), (F.row_number().over(order) - 1).cast("long").alias("k"))
-            )
+            files = own.agg(F.array_sort(F.collect_set(path)).alias("paths")).select(F.posexplode("paths").alias("k", "path"))
+            files = checkpoint(files.select(F.xxhash64("path").alias("f"), F.col("k").cast("long").alias("k")))
             n, hashes = files.agg(F.count("f"), F.count_distinct("f")).first()
             if n <= 1:
                 return own.select(*docs.columns, F.col(at).alias(name))
-            if n == hashes and n <= MAX_FILES:
+            if n == hashes:
                 places = files.select(F.col("f").alias(path), F.col("k").alias(name))
                 own = own.withColumn(path, F.xxhash64(path)).join(F.broadcast(places), path)
                 return own.select(*docs.columns, (F.col(name) * F.lit(1 << 40) + F.col(at)).alias(name))

@@ -110,3 +110,26 @@ def test_components(spark):
 
 def test_components_empty(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_large_family_is_sent_a_fixed_number_of_times(spark, monkeypatch):
+    """Near copies of one text in many blocks, with some that only link through others."""
+    import incidentlab.llm.ngram_join as nj
+
+    rng = random.Random(8)
+    words = vocabulary(2000, 8)
+    base = [rng.choice(words) for _ in range(120)]
+    rows = []
+    for i in range(500):
+        own = list(base)
+        own[rng.randrange(120)] = rng.choice(words[:40])
+        rows.append((i, " ".join(own)))
+    far = base[:100] + [rng.choice(words) for _ in range(20)]
+    rows += [(600 + i, " ".join(far[:99] + [words[i], *far[100:]])) for i in range(5)]
+    sent = []
+    whole = nj._join
+    monkeypatch.setattr(nj, "_join", lambda groups, by, percent: sent.append(groups.count()) or whole(groups, by, percent))
+    got = ngram_jaccard_join(table(spark, rows).repartition(4), 3, 90, block_ngrams=2000)
+    want, _ = brute(rows, 3, 90)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == want
+    assert len(sent) == 4 and sum(sent) < 3 * len(rows)
