@@ -1,18 +1,13 @@
 """Forecasting over many monthly series at once (F1-F5, K6, U1, F7 residuals),
-as Spark expressions: lag windows, sums per key and a short recursion.
+as Spark expressions over one array per series.
 
-A model is ARIMA(p, d, q) x (0, D, 0)_m with p <= 2, q <= 1, D <= 1, fitted by
-conditional least squares in two regressions (Hannan and Rissanen):
-
-1. the differenced series w is regressed on its last three values; what is left
-   over estimates the shocks;
-2. w is regressed on its last p values and, for q = 1, on the last shock.
-
-Each regression is three sums-of-products windows over the series and the
-solution of a 3 x 3 system in closed form.  Estimates that are not stationary
-or invertible, or that rest on too few months, are replaced by zero: the model
-is then the differenced mean.  So every key keeps a model, a null key and a key
-with a single month included.
+A model is ARIMA(p, d, q) x (P, D, Q)_m with p <= 2 and q, P, D, Q <= 1, fitted by
+maximum likelihood (``operators/likelihood.py``): exact for the ARMA part, with
+the season before the first month taken as zero for the seasonal part.  A series
+crosses the network once, to be collected into the array of its key; fits, order
+choice and forecasts are projections of that row.  Every key keeps a model, a null
+key and a key with a single month included: too short a series is its mean, or its
+last value and season where it is differenced.
 
 The fitted model is a row of a parameter table, which is what gets saved and
 re-forecast (K6, F5); forecasting is a recursion over that row alone.
@@ -20,152 +15,142 @@ re-forecast (K6, F5); forecasting is a recursion over that row alone.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from incidentlab.operators.likelihood import (
+    centred,
+    difference,
+    kpss,
+    let,
+    maximise,
+    mean,
+    minus_two_log_likelihood,
+    seasonal_strength,
+    total,
+)
+
 # The orders of the automatic search; season length 12.
 AUTO_P = (0, 1, 2)
 AUTO_Q = (0, 1)
 AUTO_D = (0, 1)
-AUTO_SEASONAL_D = (0, 1)
+AUTO_SEASONAL = (0, 1)
 SEASON = 12
+# 5 % point of the KPSS test, seasonal strength that asks for a difference.
+KPSS_LEVEL = 0.463
+STRENGTH = 0.64
 
-LONG_AR = 3  # lags of the first regression
-LAGS = LONG_AR + 1  # months of w before the first residual of the second one
-SPARE = 5  # months a regression needs beyond its unknowns
+SPARE = 5  # months a fit needs beyond its unknowns
 
-ORDER = ["p", "d", "q", "seasonal_d"]
+ORDER = ["p", "d", "q", "seasonal_p", "seasonal_d", "seasonal_q"]
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _solve(s: dict[tuple[int, int], Column], b: list[Column]) -> list[Column]:
-    """Cramer's rule for a symmetric 3 x 3 system; null where it is singular."""
-
-    def at(i: int, j: int) -> Column:
-        return s[min(i, j), max(i, j)]
-
-    def det(m) -> Column:
-        return (
-            m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1])
-            - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0])
-            + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
-        )
-
-    rows = [[at(i, j) for j in range(3)] for i in range(3)]
-    whole = F.nullif(det(rows), F.lit(0.0))
-    return [det([[b[i] if j == k else rows[i][j] for j in range(3)] for i in range(3)]) / whole for k in range(3)]
-
-
-def _regress(df: DataFrame, by, y: str, xs: list[str], used: list[Column], names: list[str], unknowns: Column) -> DataFrame:
-    """Adds the least-squares coefficients of ``y`` on the used ``xs`` (columns
-    ``names``), computed over the window ``by`` from the rows where all are known."""
-    known = F.col(y).isNotNull()
-    for x, u in zip(xs, used):
-        known = known & (~u | F.col(x).isNotNull())
-    value = {x: F.when(known, F.when(u, F.col(x)).otherwise(0.0)) for x, u in zip(xs, used)}
-    target = F.when(known, F.col(y))
-    sums = {}
-    for i in range(3):
-        for j in range(i, 3):
-            total = F.coalesce(F.sum(value[xs[i]] * value[xs[j]]).over(by), F.lit(0.0))
-            sums[f"_s{i}{j}"] = F.when(used[i], total).otherwise(1.0) if i == j else total
-        sums[f"_b{i}"] = F.coalesce(F.sum(value[xs[i]] * target).over(by), F.lit(0.0))
-    sums["_known"] = F.count(target).over(by)
-    df = df.withColumns(sums)
-    solved = _solve({(i, j): F.col(f"_s{i}{j}") for i in range(3) for j in range(i, 3)}, [F.col(f"_b{i}") for i in range(3)])
-    enough = F.col("_known") >= unknowns + SPARE
-    coefs = {n: F.coalesce(F.when(enough, c), F.lit(0.0)) for n, c in zip(names, solved)}
-    return df.withColumns(coefs).drop(*sums)
-
-
-def _fit(series: DataFrame, ks: list[str], month: str, value: str, orders: list[tuple], m: int) -> DataFrame:
-    """One parameter row per (key, order).  Orders of a key are scored over the
-    same months, so their AICs compare; a seasonal order that a short series
-    cannot be scored on has a null AIC."""
-    for p, d, q, sd in orders:
-        if not (p in (0, 1, 2) and q in (0, 1) and d >= 0 and sd in (0, 1)):
-            raise ValueError("orders need p <= 2, q <= 1 and seasonal_d <= 1")
-    choices = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(ORDER, o))) for o in orders))
-    part = [*ks, *ORDER]
-    by = Window.partitionBy(*part)
-    time = by.orderBy(month)
-    df = series.select(*ks, month, F.col(value).cast("double").alias("_y"), F.inline(choices))
-
-    # Differencing: seasonal first, then d times.
-    seasonal = F.col("seasonal_d") == 1
-    df = df.withColumns(
-        {
-            "_w": F.when(seasonal, F.col("_y") - F.lag("_y", m).over(time)).otherwise(F.col("_y")),
-            "_t": F.row_number().over(time),
-            "_months": F.count(F.lit(1)).over(by),
-        }
-    )
-    for k in range(max(d for _, d, _, _ in orders)):
-        df = df.withColumn("_w", F.when(F.col("d") > k, F.col("_w") - F.lag("_w").over(time)).otherwise(F.col("_w")))
-    plain = (F.col("d") + F.col("seasonal_d")) == 0
-    df = df.withColumn("mean", F.when(plain, F.avg("_w").over(by)).otherwise(F.lit(0.0)))
-    df = df.withColumn("_w", F.col("_w") - F.col("mean"))
-    df = df.withColumns({f"_l{k}": F.lag("_w", k).over(time) for k in range(1, LONG_AR + 1)})
-
-    lags = ["_l1", "_l2", "_l3"]
-    df = _regress(df, by, "_w", lags, [F.lit(True)] * 3, ["_a1", "_a2", "_a3"], F.lit(3))
-    df = df.withColumn("_e", F.col("_w") - sum(F.col(f"_a{k}") * F.col(f"_l{k}") for k in (1, 2, 3)))
-    df = df.withColumn("_le", F.lag("_e").over(time))
-    used = [F.col("p") >= 1, F.col("p") >= 2, F.col("q") >= 1]
-    df = _regress(df, by, "_w", ["_l1", "_l2", "_le"], used, ["_phi1", "_phi2", "_theta1"], F.col("p") + F.col("q"))
-    p1, p2, q1 = F.col("_phi1"), F.col("_phi2"), F.col("_theta1")
-    stable = (F.abs(p2) < 1) & (p1 + p2 < 1) & (p2 - p1 < 1) & (F.abs(q1) < 1)
-    df = df.withColumns({c: F.when(stable, F.col(c)).otherwise(0.0) for c in ("_phi1", "_phi2", "_theta1")})
-    shock = F.col("_w")
-    for c, x, u in zip(("_phi1", "_phi2", "_theta1"), ("_l1", "_l2", "_le"), used):
-        shock = shock - F.when(u, F.col(c) * F.col(x)).otherwise(0.0)
-    df = df.withColumn("_r", shock)
-
-    # The months that score: those every order of the search has a residual for.
-    lost = [d + m * sd for _, d, _, sd in orders]
-    short = [d for _, d, _, sd in orders if sd == 0] or lost
-    long_from, short_from = max(lost) + LAGS, max(short) + LAGS
-    roomy = F.col("_months") > long_from + SPARE
-    scored = F.when(F.col("_t") > F.when(roomy, F.lit(long_from)).otherwise(F.lit(short_from)), F.col("_r"))
-    unfit = seasonal & ~roomy & F.lit(len(orders) > 1)
-    history = F.transform(F.array_sort(F.collect_list(F.struct(F.col(month).alias("t"), F.col("_y").alias("y")))), lambda s: s["y"])
-    residual = F.when(F.col("_r").isNotNull(), F.struct(F.col(month).alias("month"), F.col("_r").alias("resid")))
-    fits = df.groupBy(*part).agg(
-        *(F.first(c).alias(c) for c in ("_phi1", "_phi2", "_theta1", "mean")),
-        F.first(unfit).alias("_unfit"),
-        F.coalesce(F.avg(scored * scored), F.avg(F.col("_r") * F.col("_r")), F.lit(0.0)).alias("sigma2"),
-        F.count(scored).alias("nobs"),
-        F.min(month).alias("first_month"),
-        F.max(month).alias("last_month"),
-        F.coalesce(F.max_by("_r", month), F.lit(0.0)).alias("last_shock"),
-        history.alias("_history"),
-        F.array_sort(F.collect_list(residual)).alias("resid"),
+def _collected(series: DataFrame, ks: list[str], month: str, value: str) -> DataFrame:
+    """One row per key: its months and values in order."""
+    rows = F.array_sort(F.collect_list(F.struct(F.col(month).alias("t"), F.col(value).cast("double").alias("y"))))
+    rows = F.filter(rows, lambda r: r["y"].isNotNull())
+    held = series.groupBy(*ks).agg(rows.alias("_rows"))
+    return held.select(*ks, F.col("_rows.t").alias("_months"), F.col("_rows.y").alias("_y"))
+
+
+def _differenced(y: Column, d: Column, seasonal_d: Column, max_d: int, m: int) -> Column:
+    w = F.when(seasonal_d == 1, difference(y, F.lit(m))).otherwise(y)
+    for k in range(max_d):
+        w = let(w, lambda x, k=k: F.when(d > k, difference(x, F.lit(1))).otherwise(x))
+    return w
+
+
+def _fit(w: Column, p: Column, q: Column, seasonal_p: Column, seasonal_q: Column, unknowns: Column, m: int, first: Column) -> Column:
+    """The fit of one order to the array w: ``aic`` (null without a month),
+    ``size`` and the order, then ``x, e`` of the maximum."""
+    wanted = F.array(
+        F.when(p >= 1, F.lit(0)), F.when(p >= 2, F.lit(1)), F.when(q >= 1, F.lit(2)),
+        F.when(seasonal_p >= 1, F.lit(3)), F.when(seasonal_q >= 1, F.lit(4)),
+    )
+    n = F.size(w) - first
+    size = p + q + seasonal_p + seasonal_q
+    active = F.when(n >= size + SPARE, F.array_compact(wanted)).otherwise(F.array().cast("array<int>"))
+
+    def described(s: Column) -> Column:
+        aic = F.when(n > 0, minus_two_log_likelihood(s["e"]["objective"], n) + 2 * (size + unknowns))
+        return F.struct(
+            aic.isNull().alias("none"), aic.alias("aic"), size.alias("size"),
+            p.alias("p"), q.alias("q"), seasonal_p.alias("seasonal_p"), seasonal_q.alias("seasonal_q"),
+            s["x"].alias("x"), s["e"].alias("e"),
+        )
+
+    return let(maximise(w, active, F.lit(m), first), described)
+
+
+def _parameters(rows: DataFrame, ks: list[str], m: int) -> DataFrame:
+    """The parameter table of rows with ``_months, _y, _mean, d, seasonal_d`` and
+    the chosen fit ``_fit``."""
+    fit, e = F.col("_fit"), F.col("_fit.e")
+
+    def tanh(i: int) -> Column:
+        return F.tanh(F.get(fit["x"], F.lit(i)))
+
+    r2 = tanh(1)
+    phi = F.array(tanh(0) * (1 - r2), r2)
+    n = F.size(e["v"])
+    first_month = F.size("_months") - n
+    resid = F.zip_with(
+        F.slice("_months", first_month + 1, n), e["v"], lambda t, v: F.struct(t.alias("month"), v.alias("resid"))
     )
-    unknowns = F.col("p") + F.col("q") + (F.col("d") + F.col("seasonal_d") == 0).cast("int") + 1
-    aic = F.col("nobs") * F.log(F.greatest(F.col("sigma2"), F.lit(1e-12))) + 2 * unknowns
-    keep = 2 + F.col("d") + m * F.col("seasonal_d")
-    return fits.select(
-        *part,
+    # What is known of the last shocks; the last one still has a variance.
+    f_last = F.coalesce(F.element_at(e["f"], -1), F.lit(1.0))
+    kept = F.least(n, 1 + m * fit["seasonal_q"])
+    shocks = F.slice(e["v"], n - kept + 1, kept)
+    shocks = F.transform(shocks, lambda v, i: F.when(i == kept - 1, v / f_last).otherwise(v))
+    keep = F.least(F.size("_y"), 2 + F.col("d") + m * (F.col("seasonal_d") + fit["seasonal_p"]))
+    return rows.select(
+        *ks,
+        fit["p"].alias("p"), "d", fit["q"].alias("q"),
+        fit["seasonal_p"].alias("seasonal_p"), "seasonal_d", fit["seasonal_q"].alias("seasonal_q"),
         F.lit(m).alias("m"),
-        F.slice(F.array("_phi1", "_phi2"), F.lit(1), F.col("p")).alias("phi"),
-        F.slice(F.array("_theta1"), F.lit(1), F.col("q")).alias("theta"),
-        F.coalesce("mean", F.lit(0.0)).alias("mean"),
-        "sigma2",
-        F.when((F.col("nobs") > 0) & ~F.col("_unfit"), aic).alias("aic"),
-        "nobs",
-        F.slice("_history", F.greatest(F.lit(1), F.size("_history") - keep + 1), keep).alias("last_values"),
-        "last_shock",
-        F.lit(0.0).alias("shock_var"),
-        "first_month",
-        "last_month",
-        "resid",
-    )
+        F.slice(phi, F.lit(1), fit["p"]).alias("phi"),
+        F.slice(F.array(tanh(2)), F.lit(1), fit["q"]).alias("theta"),
+        F.slice(F.array(tanh(3)), F.lit(1), fit["seasonal_p"]).alias("seasonal_phi"),
+        F.slice(F.array(tanh(4)), F.lit(1), fit["seasonal_q"]).alias("seasonal_theta"),
+        F.col("_mean").alias("mean"),
+        e["sigma2"].alias("sigma2"),
+        F.when(n > 0, -0.5 * minus_two_log_likelihood(e["objective"], n)).alias("loglik"),
+        fit["aic"].alias("aic"),
+        n.cast("long").alias("nobs"),
+        F.slice("_y", F.size("_y") - keep + 1, keep).alias("last_values"),
+        F.when(kept > 0, shocks).otherwise(F.array(F.lit(0.0))).alias("last_shocks"),
+        (e["sigma2"] * tanh(2) * tanh(2) * (1 - 1 / f_last)).alias("shock_var"),
+        F.get("_months", F.lit(0)).alias("first_month"),
+        F.element_at("_months", -1).alias("last_month"),
+        resid.alias("resid"),
+    )
+
+
+def _check(p: int, d: int, q: int, *seasonal: int) -> None:
+    if not (p in (0, 1, 2) and q in (0, 1) and d >= 0 and all(s in (0, 1) for s in seasonal)):
+        raise ValueError("orders need p <= 2, q <= 1 and seasonal orders <= 1")
+
+
+def _centred_rows(rows: DataFrame, max_d: int, m: int) -> DataFrame:
+    """Adds the differenced, centred array ``_w`` and the mean taken off (0
+    where the series is differenced)."""
+    rows = rows.withColumn("_w", _differenced(F.col("_y"), F.col("d"), F.col("seasonal_d"), max_d, m))
+    plain = (F.col("d") + F.col("seasonal_d")) == 0
+    rows = rows.withColumn("_mean", F.when(plain, mean(F.col("_w"))).otherwise(0.0))
+    return rows.withColumn("_w", F.when(plain, centred(F.col("_w"))).otherwise(F.col("_w")))
+
+
+def _unknowns() -> Column:
+    """The variance, and the mean of a series that is not differenced."""
+    return F.when(F.col("d") + F.col("seasonal_d") == 0, 2).otherwise(1)
 
 
 def fit_arima(
@@ -176,10 +161,17 @@ def fit_arima(
     order: tuple[int, int, int] = (1, 1, 1),
     seasonal_d: int = 0,
     m: int = SEASON,
+    seasonal_p: int = 0,
+    seasonal_q: int = 0,
 ) -> DataFrame:
-    """one fitted model per key; returns the parameter table (K6)."""
+    """one maximum-likelihood model per key; the parameter table (K6)."""
+    ks = _keys(keys)
     p, d, q = order
-    return _fit(series, _keys(keys), month, value, [(p, d, q, seasonal_d)], m)
+    _check(p, d, q, seasonal_p, seasonal_d, seasonal_q)
+    rows = _collected(series, ks, month, value).withColumns({"d": F.lit(d), "seasonal_d": F.lit(seasonal_d)})
+    rows = _centred_rows(rows, d, m)
+    fit = _fit(F.col("_w"), F.lit(p), F.lit(q), F.lit(seasonal_p), F.lit(seasonal_q), _unknowns(), m, F.lit(0))
+    return _parameters(rows.withColumn("_fit", fit), ks, m)
 
 
 def auto_arima(
@@ -190,31 +182,85 @@ def auto_arima(
     p_values: Sequence[int] = AUTO_P,
     q_values: Sequence[int] = AUTO_Q,
     d_values: Sequence[int] = AUTO_D,
-    seasonal_d_values: Sequence[int] = AUTO_SEASONAL_D,
+    seasonal_d_values: Sequence[int] = AUTO_SEASONAL,
     m: int = SEASON,
+    seasonal_p_values: Sequence[int] = AUTO_SEASONAL,
+    seasonal_q_values: Sequence[int] = AUTO_SEASONAL,
 ) -> DataFrame:
-    """all orders of the grid per key in one pass (the months of a series
-    are repeated per order); the lowest AIC stays, ties to the simplest."""
+    """an order per key.
+
+    D is the larger of its values where the season is strong, d the smallest of
+    its values after which the KPSS test accepts a constant level (the largest, if
+    none).  Then by lowest AIC, ties to the simplest: p and q without seasonal
+    terms; P and Q for these; p and q again where seasonal terms were taken.  Seasonal
+    terms are tried on series of more than three seasons after differencing;
+    all orders of such a series are scored without its first season."""
     ks = _keys(keys)
-    orders = [(p, d, q, sd) for p in p_values for d in d_values for q in q_values for sd in seasonal_d_values]
-    rank = F.struct(
-        F.col("aic").isNull().alias("none"), "aic", (F.col("p") + F.col("q")).alias("size"), "d", "seasonal_d", "p", "q"
+    _check(max(p_values), max(d_values), max(q_values), max(seasonal_p_values), max(seasonal_d_values), max(seasonal_q_values))
+    rows = _collected(series, ks, month, value)
+    low, high = min(seasonal_d_values), max(seasonal_d_values)
+    strong = (seasonal_strength(F.col("_y"), m) > STRENGTH) & (F.size("_y") > 2 * m + SPARE)
+    rows = rows.withColumn("seasonal_d", F.when(strong, F.lit(high)).otherwise(F.lit(low)) if high > low else F.lit(low))
+    ds = sorted(d_values)
+    d = F.lit(ds[-1])
+    for k in reversed(ds[:-1]):
+        level = _differenced(F.col("_y"), F.lit(k), F.col("seasonal_d"), k, m)
+        d = F.when(let(level, kpss) <= KPSS_LEVEL, F.lit(k)).otherwise(d)
+    rows = _centred_rows(rows.withColumn("d", d), ds[-1], m)
+    seasonal = F.size("_w") > 3 * m
+    if max(seasonal_p_values) == max(seasonal_q_values) == 0:
+        seasonal = F.lit(False)
+    rows = rows.withColumn("_seasonal", seasonal).withColumn("_first", F.when(F.col("_seasonal"), F.lit(m)).otherwise(F.lit(0)))
+
+    orders = F.array(
+        *(
+            F.struct(*(F.lit(v).alias(n) for n, v in zip(("p", "q", "seasonal_p", "seasonal_q"), o)))
+            for o in itertools.product(p_values, q_values, seasonal_p_values, seasonal_q_values)
+        )
+    )
+
+    def to_try(best: Column, k: Column) -> Column:
+        """Orders of the k-th search, given the best of those before."""
+
+        def wanted(o: Column) -> Column:
+            seasonal, best_seasonal = o["seasonal_p"] + o["seasonal_q"] > 0, best["seasonal_p"] + best["seasonal_q"] > 0
+            same = (o["p"] == best["p"]) & (o["q"] == best["q"])
+            same_season = (o["seasonal_p"] == best["seasonal_p"]) & (o["seasonal_q"] == best["seasonal_q"])
+            return (
+                F.when(k == 0, ~seasonal)
+                .when(k == 1, F.col("_seasonal") & seasonal & same)
+                .otherwise(best_seasonal & same_season & ~same)
+            )
+
+        return F.filter(orders, wanted)
+
+    def fitted(o: Column) -> Column:
+        parts = (o[n] for n in ("p", "q", "seasonal_p", "seasonal_q"))
+        return _fit(F.col("_w"), *parts, _unknowns(), m, F.col("_first"))
+
+    none, zero = F.lit(None).cast("double"), F.lit(0)
+    empty = F.array().cast("array<double>")
+    fit = F.struct(empty.alias("v"), empty.alias("f"), none.alias("sigma2"), none.alias("objective"), empty.alias("scaled"))
+    nothing = F.struct(  # sorts behind every fit
+        F.lit(True).alias("none"), none.alias("aic"), F.lit(99).alias("size"), zero.alias("p"), zero.alias("q"),
+        zero.alias("seasonal_p"), zero.alias("seasonal_q"), empty.alias("x"), fit.alias("e"),
+    )
+    search = F.aggregate(
+        F.sequence(F.lit(0), F.lit(2)),
+        nothing,
+        lambda best, k: F.array_min(F.array_append(F.transform(to_try(best, k), fitted), best)),
     )
-    fits = _fit(series, ks, month, value, orders, m)
-    names = [c for c in fits.columns if c not in ks]
-    best = fits.groupBy(*ks).agg(F.min_by(F.struct(*names), rank).alias("_best"))
-    return best.select(*ks, "_best.*")
+    return _parameters(rows.withColumn("_fit", search), ks, m)
 
 
-def _recursion(coefs: Column, start: Column, first: Column, later: Column, constant: Column, steps: int) -> Column:
-    """``start`` continued by x_k = constant + sum_j coefs_j x_{k-j} (+ ``first``
-    at k = 1, ``later`` at k = 2), ``steps`` times; the new values."""
+def _recursion(coefs: Column, start: Column, bumps: Column, constant: Column, steps: int) -> Column:
+    """``start`` continued by x_k = constant + sum_j coefs_j x_{k-j} + bumps_k,
+    ``steps`` times; the new values."""
 
     def step(acc: Column, k: Column) -> Column:
         recent = F.reverse(F.slice(acc, -F.size(coefs), F.size(coefs)))
-        dot = F.aggregate(F.zip_with(coefs, recent, lambda a, x: a * x), F.lit(0.0), lambda s, x: s + x)
-        bump = F.when(k == 1, first).when(k == 2, later).otherwise(0.0)
-        return F.concat(acc, F.array(constant + dot + bump))
+        added = total(F.zip_with(coefs, recent, lambda a, x: a * x))
+        return F.array_append(acc, constant + added + F.coalesce(F.get(bumps, k - 1), F.lit(0.0)))
 
     return F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step), -steps, steps)
 
@@ -232,41 +278,61 @@ def forecast_from_params(
     ``shock_var`` is the variance left about the moving-average part of the
     last shock; it adds to the band through the autoregressive recursion."""
     ks = _keys(keys)
-    zero = F.array(F.lit(0.0))
+    zero, none = F.array(F.lit(0.0)), F.lit(0.0)
     m0 = F.array_repeat(F.lit(0.0), F.col("m"))
+    big_phi = F.coalesce(F.get("seasonal_phi", F.lit(0)), none)
+    theta = F.coalesce(F.get("theta", F.lit(0)), none)
+    big_theta = F.coalesce(F.get("seasonal_theta", F.lit(0)), none)
 
-    def minus(a: Column, b: Column) -> Column:
-        return F.zip_with(a, b, lambda x, y: x - y)
+    def less(a: Column, b: Column, k: Column) -> Column:
+        return F.zip_with(a, b, lambda x, y: x - k * y)
 
-    # phi(B) (1 - B)^d (1 - B^m)^D as coefficients; one more zero keeps it longer than 1.
+    # phi(B) Phi(B^m) (1 - B)^d (1 - B^m)^D as coefficients; one more zero keeps it longer than 1.
     poly = F.concat(F.array(F.lit(1.0)), F.transform("phi", lambda x: -x), zero)
     differences = F.when(F.col("d") > 0, F.sequence(F.lit(1), F.col("d"))).otherwise(F.array().cast("array<int>"))
-    poly = F.aggregate(differences, poly, lambda p, _: minus(F.concat(p, zero), F.concat(zero, p)))
+    poly = F.aggregate(differences, poly, lambda p, _: less(F.concat(p, zero), F.concat(zero, p), F.lit(1.0)))
     rows = params.withColumn("_poly", poly)
-    rows = rows.withColumn(
-        "_poly",
-        F.when(F.col("seasonal_d") == 1, minus(F.concat("_poly", m0), F.concat(m0, "_poly"))).otherwise(F.col("_poly")),
-    )
+    for used, k in ((F.col("seasonal_d") == 1, F.lit(1.0)), (F.size("seasonal_phi") > 0, big_phi)):
+        longer = less(F.concat("_poly", m0), F.concat(m0, "_poly"), k)
+        rows = rows.withColumn("_poly", F.when(used, longer).otherwise(F.col("_poly")))
     rows = rows.withColumn("_a", F.transform(F.slice("_poly", F.lit(2), F.size("_poly") - 1), lambda x: -x))
+    # theta(B) Theta(B^m), and what the last shocks and the error about the last one add.
+    short = F.array(F.lit(1.0), theta)
+    rows = rows.withColumn("_ma", less(F.concat(short, m0), F.concat(m0, short), -big_theta))
+    steps_ahead = F.sequence(F.lit(1), F.lit(horizon))
+
+    def from_shocks(k: Column) -> Column:
+        later = F.slice("_ma", k + 1, F.greatest(F.size("_ma") - k, F.lit(0)))
+        return F.when(
+            F.size(later) > 0,
+            total(F.transform(later, lambda c, i: c * F.coalesce(F.get("last_shocks", F.size("last_shocks") - 1 - i), none))),
+        ).otherwise(none)
+
     n = F.size("_a")
     missing = F.greatest(n - F.size("last_values"), F.lit(0))
     padded = F.concat(F.array_repeat(F.element_at("last_values", 1), missing), "last_values")
-    ar_sum = F.aggregate("phi", F.lit(0.0), lambda s, x: s + x)
-    theta = F.coalesce(F.get("theta", F.lit(0)), F.lit(0.0))
-    none, zeros = F.lit(0.0), F.array_repeat(F.lit(0.0), n)
-    rows = rows.withColumns({"_start": padded, "_c": F.col("mean") * (1 - ar_sum), "_theta": theta, "_zeros": zeros})
+    constant = F.col("mean") * (1 - total(F.col("phi"))) * (1 - big_phi)
+    rows = rows.withColumns(
+        {
+            "_start": padded,
+            "_c": constant,
+            "_zeros": F.array_repeat(none, n),
+            "_shocks": F.transform(steps_ahead, from_shocks),
+            "_error": F.concat(F.array(F.lit(1.0)), F.slice(m0, F.lit(2), F.col("m") - 1), F.array(big_theta)),
+        }
+    )
     rows = rows.withColumns(
         {
-            "_mean": _recursion(F.col("_a"), F.col("_start"), F.col("_theta") * F.col("last_shock"), none, F.col("_c"), horizon),
-            "_psi": _recursion(F.col("_a"), F.col("_zeros"), F.lit(1.0), F.col("_theta"), none, horizon),
-            "_chi": _recursion(F.col("_a"), F.col("_zeros"), F.lit(1.0), none, none, horizon),
+            "_mean": _recursion(F.col("_a"), F.col("_start"), F.col("_shocks"), F.col("_c"), horizon),
+            "_psi": _recursion(F.col("_a"), F.col("_zeros"), F.col("_ma"), none, horizon),
+            "_chi": _recursion(F.col("_a"), F.col("_zeros"), F.col("_error"), none, horizon),
         }
     )
 
     def at_step(k: Column) -> Column:
-        total = F.aggregate(F.slice("_psi", F.lit(1), k), F.lit(0.0), lambda s, x: s + x * x)
+        psi = total(F.transform(F.slice("_psi", F.lit(1), k), lambda x: x * x))
         chi = F.element_at("_chi", k)
-        se = F.sqrt(F.col("sigma2") * total + F.col("shock_var") * chi * chi)
+        se = F.sqrt(F.col("sigma2") * psi + F.col("shock_var") * chi * chi)
         return F.struct(k.alias("step"), F.element_at("_mean", k).alias("mean"), se.alias("mean_se"))
 
     steps = F.transform(F.sequence(F.lit(1), F.lit(horizon)), at_step)

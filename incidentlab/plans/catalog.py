@@ -713,119 +713,189 @@ _TRAIN_SQL = """train AS (
   WHERE r > 6)"""
 
 
-def _regression_sql(source: str, out: str, target: str, xs: tuple, used: tuple, names: tuple, unknowns: str) -> str:
-    """Oracle form of one 3 x 3 least-squares step (Cramer's rule)."""
-    known = " AND ".join([f"{target} IS NOT NULL", *(f"(NOT ({u}) OR {x} IS NOT NULL)" for x, u in zip(xs, used))])
-    x = [f"CASE WHEN {u} THEN {c} ELSE 0 END" for c, u in zip(xs, used)]
-    sums = []
-    for i in range(3):
-        for j in range(i, 3):
-            total = f"coalesce(sum({x[i]} * {x[j]}) FILTER (WHERE {known}) OVER b, 0)"
-            sums.append(f"CASE WHEN {used[i]} THEN {total} ELSE 1 END AS s{i}{j}" if i == j else f"{total} AS s{i}{j}")
-        sums.append(f"coalesce(sum({x[i]} * {target}) FILTER (WHERE {known}) OVER b, 0) AS b{i}")
-
-    def det(m) -> str:
-        return (
-            f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]})"
-            f" - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
-            f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))"
-        )
-
-    rows = [[f"s{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
-    coefs = []
-    for k, name in enumerate(names):
-        top = det([[f"b{i}" if j == k else rows[i][j] for j in range(3)] for i in range(3)])
-        coefs.append(f"coalesce(CASE WHEN known >= {unknowns} + 5 THEN {top} / nullif({det(rows)}, 0) END, 0) AS {name}")
-    hidden = ", ".join([*(f"s{i}{j}" for i in range(3) for j in range(i, 3)), "b0", "b1", "b2", "known"])
-    return f"""{out} AS (
-  SELECT * EXCLUDE ({hidden}), {", ".join(coefs)}
-  FROM (SELECT *, {", ".join(sums)}, count(*) FILTER (WHERE {known}) OVER b AS known
-        FROM {source} WINDOW b AS (PARTITION BY key, p, d, q, seasonal_d)))"""
-
-
-def _fit_sql(source: str, orders: list) -> str:
-    """Oracle form of the fit: CTEs up to ``params`` (and ``f7``, one row per
-    month with its residual r).  Orders with d <= 1."""
-    lost = [d + 12 * sd for _, d, _, sd in orders]
-    short = [d for _, d, _, sd in orders if sd == 0] or lost
-    values = ", ".join(str(o) for o in orders)
-    o = "(PARTITION BY key, p, d, q, seasonal_d ORDER BY month)"
+# Oracle form of the maximum-likelihood fit: lists and one recursive search.
+# The coefficients of a point x, in SQL.
+_R2, _TH, _SPHI, _STH = "tanh({x}[2])", "tanh({x}[3])", "tanh({x}[4])", "tanh({x}[5])"
+_P1 = "(tanh({x}[1]) * (1 - tanh({x}[2])))"
+
+
+def _evaluate_sql(x: str) -> str:
+    """{v, f, sigma2, objective, scaled} of the list ``w`` at ``x``."""
+    p1, p2, q, big_phi, big_theta = (t.format(x=x) for t in (_P1, _R2, _TH, _SPHI, _STH))
+    u = f"""list_reduce(w, lambda s, o: list_append(s, o
+      - {big_phi} * CASE WHEN len(s) >= 12 THEN w[len(s) - 11] ELSE 0 END
+      - {big_theta} * CASE WHEN len(s) >= 12 THEN s[len(s) - 11] ELSE 0 END), []::DOUBLE[])[skipped + 1:]"""
+    g0 = f"""(({p1} * (1 + {p2}) * {q} / (1 - {p2}) + 1 + {q} * {q} + {q} * {p1})
+      / ((1 - {p2} * {p2}) - {p1} * {p1} * (1 + {p2}) / (1 - {p2})))"""
+    g1 = f"(({p1} * {g0} + {q}) / (1 - {p2}))"
+    run = f"""list_reduce({u}, lambda s, o: {{
+      'a1': {p1} * o + s.a2 + s.p12 / s.p11 * (o - s.a1), 'a2': {p2} * o,
+      'p11': s.p22 - s.p12 / s.p11 * s.p12 + 1, 'p12': {q}, 'p22': {q} * {q},
+      'v': list_append(s.v, o - s.a1), 'f': list_append(s.f, s.p11)}},
+      {{'a1': 0.0::DOUBLE, 'a2': 0.0::DOUBLE, 'p11': {g0}, 'p12': {p2} * {g1} + {q}, 'p22': {p2} * {p2} * {g0} + {q} * {q},
+        'v': []::DOUBLE[], 'f': []::DOUBLE[]}})"""
+    n = "greatest(len(r.v), 1)"
+    squares = "coalesce(list_sum(list_transform(r.v, lambda a, i: a * a / r.f[i])), 0)"
+    logs = "coalesce(list_sum(list_transform(r.f, lambda a: ln(a))), 0)"
+    return f"""list_transform([{run}], lambda r: {{'v': r.v, 'f': r.f, 'sigma2': {squares} / {n},
+      'objective': ln(greatest({squares} / {n}, 1e-12)) + {logs} / {n},
+      'scaled': list_transform(r.v, lambda a, i: a / sqrt(r.f[i]) * exp({logs} / (2 * {n})))}})[1]"""
+
+
+_DOT = "coalesce(list_sum(list_transform({a}, lambda o, g: o * {b}[g])), 0)"
+
+
+def _search_sql(source: str) -> str:
+    """CTEs from ``source`` (key, order columns, w, skipped, plain) to ``fits``
+    with x, e and aic: the same start grid and damped steps as the operator."""
+    grid = ", ".join(f"[{a}, 0.0, {b}, 0.0, 0.0]::DOUBLE[]" for a in (-1.1, -0.42, 0.0, 0.42, 1.1) for b in (-1.1, -0.42, 0.0, 0.42, 1.1))
+    order = "key, p, d, q, seasonal_p, seasonal_d, seasonal_q"
+    beside = "list_transform(x, lambda o, i: CASE WHEN i = j THEN o + 1e-6 ELSE o END)"
+    slope = f"list_transform({_evaluate_sql('y')}.scaled, lambda o, i: (o - e.scaled[i]) / 1e-6)"
+    row = f"""list_append(list_transform(slopes, lambda b, k: {_DOT.format(a='a', b='b')}
+        * CASE WHEN i = k THEN 1 + damping ELSE 1 END + CASE WHEN i = k THEN 1e-12 ELSE 0 END), -{_DOT.format(a='a', b='e.scaled')})"""
+    solved = """list_reduce(range(1, len(rows) + 1), lambda z, k: list_transform(z, lambda r, i:
+        list_transform(r, lambda c, j: CASE WHEN i = k THEN c / z[k][k] ELSE c - r[k] * z[k][j] / z[k][k] END)), rows)"""
+    moved = "least(6.0, greatest(-6.0, o + coalesce(solved[list_position(active, i)][-1], 0)))"
     return ",\n".join([
-        f"""f1 AS (
-  SELECT s.key, s.month, c.p, c.d, c.q, c.seasonal_d, s.n::DOUBLE AS y
-  FROM {source} s CROSS JOIN (VALUES {values}) c(p, d, q, seasonal_d))""",
-        f"""f2 AS (
-  SELECT *, CASE WHEN seasonal_d = 1 THEN y - lag(y, 12) OVER o ELSE y END AS y0,
-         row_number() OVER o AS t, count(*) OVER (PARTITION BY key, p, d, q, seasonal_d) AS months
-  FROM f1 WINDOW o AS {o})""",
-        f"""f3 AS (SELECT *, CASE WHEN d = 1 THEN y0 - lag(y0) OVER o ELSE y0 END AS w0 FROM f2 WINDOW o AS {o})""",
-        """f4 AS (
-  SELECT *, w0 - mean AS w
-  FROM (SELECT *, CASE WHEN d + seasonal_d = 0 THEN avg(w0) OVER (PARTITION BY key, p, d, q, seasonal_d) ELSE 0 END AS mean
-        FROM f3))""",
-        f"""f5 AS (SELECT *, lag(w, 1) OVER o AS l1, lag(w, 2) OVER o AS l2, lag(w, 3) OVER o AS l3 FROM f4 WINDOW o AS {o})""",
-        _regression_sql("f5", "g1", "w", ("l1", "l2", "l3"), ("TRUE",) * 3, ("a1", "a2", "a3"), "3"),
-        f"""g2 AS (SELECT *, lag(w - a1 * l1 - a2 * l2 - a3 * l3) OVER o AS le FROM g1 WINDOW o AS {o})""",
-        _regression_sql("g2", "g3", "w", ("l1", "l2", "le"), ("p >= 1", "p >= 2", "q >= 1"), ("h1", "h2", "h3"), "(p + q)"),
-        """g4 AS (
-  SELECT *, abs(h2) < 1 AND h1 + h2 < 1 AND h2 - h1 < 1 AND abs(h3) < 1 AS stable FROM g3)""",
-        """g5 AS (
-  SELECT *, CASE WHEN stable THEN h1 ELSE 0 END AS phi1, CASE WHEN stable THEN h2 ELSE 0 END AS phi2,
-         CASE WHEN stable THEN h3 ELSE 0 END AS theta1 FROM g4)""",
-        """f7 AS (
-  SELECT *, w - CASE WHEN p >= 1 THEN phi1 * l1 ELSE 0 END - CASE WHEN p >= 2 THEN phi2 * l2 ELSE 0 END
-              - CASE WHEN q >= 1 THEN theta1 * le ELSE 0 END AS r FROM g5)""",
-        f"""f8 AS (
-  SELECT *, months > {max(lost) + 4 + 5} AS roomy,
-         CASE WHEN t > CASE WHEN months > {max(lost) + 4 + 5} THEN {max(lost) + 4} ELSE {max(short) + 4} END THEN r END AS scored
-  FROM f7)""",
-        f"""f9 AS (
-  SELECT key, p, d, q, seasonal_d, any_value(phi1) AS phi1, any_value(phi2) AS phi2, any_value(theta1) AS theta1,
-         any_value(mean) AS mean, any_value(roomy) AS roomy,
-         coalesce(avg(scored * scored), avg(r * r), 0) AS sigma2, count(scored) AS nobs,
-         min(month) AS first_month, max(month) AS last_month, coalesce(arg_max(r, month), 0) AS last_shock,
-         list(y ORDER BY month) AS history
-  FROM f8 GROUP BY ALL)""",
-        f"""params AS (
-  SELECT *, CASE WHEN nobs > 0 AND NOT (seasonal_d = 1 AND NOT roomy AND {str(len(orders) > 1).upper()})
-                 THEN nobs * ln(greatest(sigma2, 1e-12)) + 2 * (p + q + (d + seasonal_d = 0)::INT + 1) END AS aic
-  FROM f9)""",
+        f"""g0 AS (
+  SELECT *, p + q + seasonal_p + seasonal_q AS size,
+         CASE WHEN len(w) - skipped >= p + q + seasonal_p + seasonal_q + 5
+              THEN list_filter([CASE WHEN p >= 1 THEN 1 END, CASE WHEN p >= 2 THEN 2 END, CASE WHEN q >= 1 THEN 3 END,
+                                CASE WHEN seasonal_p >= 1 THEN 4 END, CASE WHEN seasonal_q >= 1 THEN 5 END], lambda c: c IS NOT NULL)
+              ELSE [] END AS active
+  FROM {source}),
+g1 AS (
+  SELECT *, unnest(list_filter([{grid}], lambda g: (list_contains(active, 1) OR g[1] = 0) AND (list_contains(active, 3) OR g[3] = 0))) AS x
+  FROM g0),
+g2 AS (SELECT *, {_evaluate_sql('x')} AS e FROM g1),
+g3 AS (SELECT * FROM g2 QUALIFY row_number() OVER (PARTITION BY {order} ORDER BY e.objective, x) = 1),
+search AS (
+  SELECT {order}, size, skipped, plain, active, w, 0 AS k, x, e, 1e-3::DOUBLE AS damping FROM g3
+  UNION ALL
+  SELECT {order}, size, skipped, plain, active, w, k + 1,
+         CASE WHEN tried.objective < e.objective THEN nx ELSE x END,
+         CASE WHEN tried.objective < e.objective THEN tried ELSE e END,
+         CASE WHEN tried.objective < e.objective THEN damping / 5 ELSE least(damping * 8, 1e8) END
+  FROM (SELECT *, {_evaluate_sql('nx')} AS tried FROM (
+    SELECT *, list_transform(x, lambda o, i: {moved}) AS nx FROM (
+      SELECT *, {solved} AS solved FROM (
+        SELECT *, list_transform(slopes, lambda a, i: {row}) AS rows FROM (
+          SELECT *, list_transform(list_transform(active, lambda j: {beside}), lambda y: {slope}) AS slopes
+          FROM search WHERE k < 25)))))),
+fits AS (
+  SELECT * EXCLUDE (w, k, damping, active), len(w) - skipped AS nobs,
+         CASE WHEN len(w) > skipped THEN (len(w) - skipped) * (e.objective + ln(2 * pi()) + 1) END AS m2ll,
+         CASE WHEN len(w) > skipped THEN (len(w) - skipped) * (e.objective + ln(2 * pi()) + 1) + 2 * (size + plain::INT + 1) END AS aic
+  FROM search WHERE k = 25)""",
     ])
 
 
-# Recursions over the parameter row: mean, psi weights; oracle form for d <= 1.
-_FORECAST_SQL = """poly1 AS (
-  SELECT *, list_concat([1.0::DOUBLE], list_concat([-phi1, -phi2][1:p], [0.0::DOUBLE])) AS c1 FROM chosen),
+def _held_sql(source: str) -> str:
+    return f"""held AS (
+  SELECT key, list(month ORDER BY month) AS months, list(n::DOUBLE ORDER BY month) AS y FROM {source} GROUP BY key)"""
+
+
+def _diff_sql(xs: str, lag: int) -> str:
+    return f"list_transform({xs}[{lag + 1}:], lambda o, i: o - {xs}[i])"
+
+
+_ONE_FIT_SQL = f"""ready AS (
+  SELECT key, 1 AS p, 1 AS d, 1 AS q, 0 AS seasonal_p, 0 AS seasonal_d, 0 AS seasonal_q, {_diff_sql('y', 1)} AS w,
+         0 AS skipped, FALSE AS plain, 0.0::DOUBLE AS mean
+  FROM held)"""
+
+# KPSS statistic of a list z: partial sums over the long-run variance.
+_KPSS_SQL = """list_transform([list_transform({z}, lambda o: o - list_avg({z}))], lambda c:
+   list_sum(list_transform(c, lambda o, i: pow(list_sum(c[1:i]), 2))) / (len(c) * len(c))
+   / (list_sum(list_transform(c, lambda o: o * o)) / len(c)
+      + 2 * coalesce(list_sum(list_transform(range(1, floor(3 * sqrt(len(c)) / 13)::BIGINT + 1), lambda h:
+          (1 - h / (floor(3 * sqrt(len(c)) / 13) + 1)) * list_sum(list_transform(c[h + 1:], lambda o, i: o * c[i])) / len(c))), 0)))[1]"""
+
+_GRID_FIT_SQL = f"""placed AS (
+  SELECT key, n::DOUBLE AS y, row_number() OVER o AS t, count(*) OVER (PARTITION BY key) AS months,
+         (avg(n::DOUBLE) OVER (PARTITION BY key ORDER BY month ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)
+          + avg(n::DOUBLE) OVER (PARTITION BY key ORDER BY month ROWS BETWEEN 5 PRECEDING AND 6 FOLLOWING)) / 2 AS trend
+  FROM complete_series WINDOW o AS (PARTITION BY key ORDER BY month)),
+parted AS (
+  SELECT key, months, y - trend AS x, avg(y - trend) OVER (PARTITION BY key, t % 12) AS season
+  FROM placed WHERE t > 6 AND t <= months - 6),
+strength AS (
+  SELECT key, CASE WHEN any_value(months) >= 36 THEN greatest(0, 1 - var_pop(x - season) / var_pop(x)) ELSE 0 END AS strong
+  FROM parted GROUP BY key),
+seasons AS (
+  SELECT held.*, CASE WHEN coalesce(strong, 0) > 0.64 AND len(y) > 29 THEN 1 ELSE 0 END AS seasonal_d
+  FROM held LEFT JOIN strength USING (key)),
+level0 AS (SELECT *, CASE WHEN seasonal_d = 1 THEN {_diff_sql('y', 12)} ELSE y END AS z FROM seasons),
+level1 AS (SELECT *, CASE WHEN {_KPSS_SQL.format(z='z')} <= 0.463 THEN 0 ELSE 1 END AS d FROM level0),
+level2 AS (
+  SELECT *, d + seasonal_d = 0 AS plain, CASE WHEN d + seasonal_d = 0 THEN list_avg(z) ELSE 0 END AS mean,
+         CASE WHEN d = 1 THEN {_diff_sql('z', 1)} WHEN seasonal_d = 0 THEN list_transform(z, lambda o: o - list_avg(z)) ELSE z END AS w
+  FROM level1),
+ready AS (
+  SELECT key, p, d, q, seasonal_p, seasonal_d, seasonal_q, w, CASE WHEN len(w) > 36 THEN 12 ELSE 0 END AS skipped, plain, mean
+  FROM level2, (VALUES (0), (1), (2)) ps(p), (VALUES (0), (1)) qs(q), (VALUES (0), (1)) sps(seasonal_p), (VALUES (0), (1)) sqs(seasonal_q)
+  WHERE len(w) > 36 OR seasonal_p + seasonal_q = 0)"""
+
+_RANK = "aic IS NULL, aic, size, p, q, seasonal_p, seasonal_q"
+_PICK_SQL = f"""pick1 AS (
+  SELECT * FROM fits WHERE seasonal_p + seasonal_q = 0 QUALIFY row_number() OVER (PARTITION BY key ORDER BY {_RANK}) = 1),
+pick2 AS (
+  SELECT f.* FROM fits f JOIN pick1 b ON f.key IS NOT DISTINCT FROM b.key AND f.p = b.p AND f.q = b.q
+  QUALIFY row_number() OVER (PARTITION BY f.key ORDER BY {', '.join('f.' + c for c in _RANK.split(', '))}) = 1),
+picked AS (
+  SELECT f.* FROM fits f JOIN pick2 b ON f.key IS NOT DISTINCT FROM b.key
+    AND ((f.p = b.p AND f.q = b.q AND f.seasonal_p = b.seasonal_p AND f.seasonal_q = b.seasonal_q)
+         OR (b.seasonal_p + b.seasonal_q > 0 AND f.seasonal_p = b.seasonal_p AND f.seasonal_q = b.seasonal_q))
+  QUALIFY row_number() OVER (PARTITION BY f.key ORDER BY {', '.join('f.' + c for c in _RANK.split(', '))}) = 1)"""
+
+
+def _chosen_sql(picked: str) -> str:
+    return f"""chosen AS (
+  SELECT f.*, h.y AS history, h.months, r.mean, h.months[-1] AS last_month, e.sigma2 AS sigma2,
+         {_P1.format(x='x')} AS phi1, {_R2.format(x='x')} AS phi2, {_TH.format(x='x')} AS theta,
+         {_SPHI.format(x='x')} AS big_phi, {_STH.format(x='x')} AS big_theta
+  FROM {picked} f JOIN held h ON f.key IS NOT DISTINCT FROM h.key
+  JOIN (SELECT DISTINCT key, mean FROM ready) r ON f.key IS NOT DISTINCT FROM r.key)"""
+
+
+# Recursions over the parameter row: mean, psi weights, error of the last shock.
+_FORECAST_SQL = """poly1 AS (SELECT *, [1.0, -phi1, -phi2, 0.0]::DOUBLE[] AS c1 FROM chosen),
 poly2 AS (
-  SELECT *, CASE WHEN d = 1 THEN list_transform(range(1, len(c1) + 2), lambda i: coalesce(c1[i], 0) - coalesce(c1[i - 1], 0))
+  SELECT *, CASE WHEN d = 1 THEN list_transform(range(1, 6), lambda i: coalesce(c1[i], 0) - CASE WHEN i > 1 THEN c1[i - 1] ELSE 0 END)
                  ELSE c1 END AS c2 FROM poly1),
 poly3 AS (
   SELECT *, CASE WHEN seasonal_d = 1
                  THEN list_transform(range(1, len(c2) + 13), lambda i: coalesce(c2[i], 0) - CASE WHEN i > 12 THEN coalesce(c2[i - 12], 0) ELSE 0 END)
                  ELSE c2 END AS c3 FROM poly2),
+poly4 AS (
+  SELECT *, CASE WHEN seasonal_p = 1
+                 THEN list_transform(range(1, len(c3) + 13), lambda i: coalesce(c3[i], 0) - big_phi * CASE WHEN i > 12 THEN coalesce(c3[i - 12], 0) ELSE 0 END)
+                 ELSE c3 END AS c4 FROM poly3),
 poly AS (
-  SELECT *, list_transform(c3[2:], lambda x: -x) AS a, mean * (1 - CASE WHEN p >= 1 THEN phi1 ELSE 0 END - CASE WHEN p >= 2 THEN phi2 ELSE 0 END) AS c,
-         CASE WHEN q >= 1 THEN theta1 ELSE 0 END AS theta FROM poly3),
-rec(key, k, a, c, theta, acc, psi, last_month, sigma2, last_shock) AS (
-  SELECT key, 0, a, c, theta,
-         list_concat(list_transform(range(greatest(len(a) - len(history), 0)::BIGINT), lambda i: history[1]), history),
-         list_transform(range(len(a)::BIGINT), lambda i: 0.0::DOUBLE), last_month, sigma2, last_shock
+  SELECT *, list_transform(c4[2:], lambda o: -o) AS a, mean * (1 - phi1 - phi2) * (1 - big_phi) AS c,
+         list_transform(range(0, 14), lambda j: CASE j WHEN 0 THEN 1 WHEN 1 THEN theta WHEN 12 THEN big_theta WHEN 13 THEN theta * big_theta ELSE 0 END) AS ma,
+         list_transform(e.v, lambda o, i: CASE WHEN i = len(e.v) THEN o / e.f[i] ELSE o END) AS shocks,
+         coalesce(sigma2 * theta * theta * (1 - 1 / e.f[-1]), 0) AS shock_var FROM poly4),
+rec AS (
+  SELECT key, 0 AS k, a, c, ma, shocks, big_theta, sigma2, shock_var, last_month,
+         list_concat(list_transform(range(greatest(len(a) - len(history), 0)::BIGINT), lambda i: history[1]), history) AS acc,
+         list_transform(range(len(a)::BIGINT), lambda i: 0.0::DOUBLE) AS psi, list_transform(range(len(a)::BIGINT), lambda i: 0.0::DOUBLE) AS chi
   FROM poly
   UNION ALL
-  SELECT key, k + 1, a, c, theta,
-         list_append(acc, c + list_sum(list_transform(range(1, len(a) + 1), lambda j: a[j] * acc[len(acc) + 1 - j]))
-                          + CASE WHEN k = 0 THEN theta * last_shock ELSE 0 END),
-         list_append(psi, list_sum(list_transform(range(1, len(a) + 1), lambda j: a[j] * psi[len(psi) + 1 - j]))
-                          + CASE WHEN k = 0 THEN 1 WHEN k = 1 THEN theta ELSE 0 END),
-         last_month, sigma2, last_shock
+  SELECT key, k + 1, a, c, ma, shocks, big_theta, sigma2, shock_var, last_month,
+         list_append(acc, c + list_sum(list_transform(a, lambda o, j: o * acc[len(acc) + 1 - j]))
+                          + coalesce(list_sum(list_transform(range(k + 1, 14), lambda j:
+                              ma[j + 1] * CASE WHEN len(shocks) - j + k + 1 >= 1 THEN shocks[len(shocks) - j + k + 1] ELSE 0 END)), 0)),
+         list_append(psi, list_sum(list_transform(a, lambda o, j: o * psi[len(psi) + 1 - j])) + coalesce(ma[k + 1], 0)),
+         list_append(chi, list_sum(list_transform(a, lambda o, j: o * chi[len(chi) + 1 - j]))
+                          + CASE k WHEN 0 THEN 1 WHEN 12 THEN big_theta ELSE 0 END)
   FROM rec WHERE k < 6),
 fc AS (
   SELECT key, k AS step, CAST(last_month + to_months(k) AS DATE) AS month, acc[len(acc)] AS mean,
-         sqrt(sigma2 * list_sum(list_transform(psi[len(a) + 1:], lambda x: x * x))) AS mean_se
+         sqrt(sigma2 * list_sum(list_transform(psi[len(a) + 1:], lambda o: o * o)) + shock_var * chi[len(chi)] * chi[len(chi)]) AS mean_se
   FROM rec WHERE k > 0)"""
 
-_ONE = [(1, 1, 1, 0)]
-_GRID = [(p, d, q, sd) for p in forecast.AUTO_P for d in forecast.AUTO_D for q in forecast.AUTO_Q for sd in forecast.AUTO_SEASONAL_D]
 _BAND = "round(mean, 4) AS mean, round(mean_se, 4) AS mean_se, round(mean - 1.959963984540054 * mean_se, 4) AS lower, round(mean + 1.959963984540054 * mean_se, 4) AS upper"
 
 
@@ -833,13 +903,9 @@ def _recursive(sql: str) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-_ONE_CTES = ",\n".join([_TRAIN_SQL, _fit_sql("train", _ONE), "chosen AS (SELECT * FROM params)", _FORECAST_SQL])
+_ONE_CTES = ",\n".join([_TRAIN_SQL, _held_sql("train"), _ONE_FIT_SQL, _search_sql("ready"), _chosen_sql("fits"), _FORECAST_SQL])
 _GRID_CTES = ",\n".join([
-    _fit_sql("complete_series", _GRID),
-    """chosen AS (
-  SELECT * FROM params QUALIFY row_number() OVER (
-    PARTITION BY key ORDER BY aic IS NULL, aic, p + q, d, seasonal_d, p, q) = 1)""",
-    _FORECAST_SQL,
+    _held_sql("complete_series"), _GRID_FIT_SQL, _search_sql("ready"), _PICK_SQL, _chosen_sql("picked"), _FORECAST_SQL
 ])
 _FORECAST_ONE_SQL = _recursive(with_views(f"SELECT key, step, month, {_BAND} FROM fc", "complete_series", ctes=_ONE_CTES))
 
@@ -852,16 +918,17 @@ def _rounded(df: DataFrame, *cols: str, scale: int = 4) -> DataFrame:
     "arima_fit",
     "F1 K6",
     _recursive(with_views(
-        """SELECT key, p, d, q, round(phi1, 6) AS phi, round(theta1, 6) AS theta, round(sigma2, 4) AS sigma2,
-       round(aic, 4) AS aic, nobs, last_month FROM params""",
+        """SELECT key, p, d, q, round(phi1, 5) AS phi, round(theta, 5) AS theta, round(sigma2, 3) AS sigma2,
+       round(-m2ll / 2, 5) AS loglik, round(aic, 5) AS aic, nobs, last_month FROM chosen""",
         "complete_series",
         ctes=_ONE_CTES,
     )),
 )
 def q_arima_fit(spark, sf):
     params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
-    one = params.withColumns({c: F.round(F.element_at(c, 1), 6) for c in ("phi", "theta")})
-    return _rounded(one, "sigma2", "aic").select("key", "p", "d", "q", "phi", "theta", "sigma2", "aic", "nobs", "last_month")
+    one = params.withColumns({c: F.round(F.element_at(c, 1), 5) for c in ("phi", "theta")})
+    one = _rounded(_rounded(one, "sigma2", scale=3), "loglik", "aic", scale=5)
+    return one.select("key", "p", "d", "q", "phi", "theta", "sigma2", "loglik", "aic", "nobs", "last_month")
 
 
 @register("arima_forecast", "F2", _FORECAST_ONE_SQL)
@@ -874,14 +941,16 @@ def q_arima_forecast(spark, sf):
     "auto_arima_select",
     "F3",
     _recursive(with_views(
-        "SELECT key, p, d, q, seasonal_d, 12 AS m, round(aic, 4) AS aic, round(sigma2, 4) AS sigma2 FROM chosen",
+        """SELECT key, p, d, q, seasonal_p, seasonal_d, seasonal_q, 12 AS m, round(aic, 4) AS aic, round(sigma2, 2) AS sigma2
+FROM chosen""",
         "complete_series",
         ctes=_GRID_CTES,
     )),
 )
 def q_auto_arima_select(spark, sf):
     best = forecast.auto_arima(_priority_series(spark, sf), "key")
-    return _rounded(best, "aic", "sigma2").select("key", "p", "d", "q", "seasonal_d", "m", "aic", "sigma2")
+    best = _rounded(_rounded(best, "aic"), "sigma2", scale=2)
+    return best.select("key", "p", "d", "q", "seasonal_p", "seasonal_d", "seasonal_q", "m", "aic", "sigma2")
 
 
 @register(
@@ -977,8 +1046,8 @@ def q_actual_vs_supplied_forecast(spark, sf):
         """SELECT key, month, round(r, 4) AS resid, round(z, 6) AS std_resid,
        least(greatest(floor((z + 4) / 0.8), 0), 9)::INT AS bucket,
        round(percent_rank() OVER (PARTITION BY key ORDER BY z), 6) AS quantile_rank
-FROM (SELECT key, month, r, (r - avg(r) OVER b) / stddev_samp(r) OVER b AS z FROM f7 WHERE r IS NOT NULL
-      WINDOW b AS (PARTITION BY key))""",
+FROM (SELECT key, month, r, (r - avg(r) OVER b) / stddev_samp(r) OVER b AS z
+      FROM (SELECT key, unnest(months[2:]) AS month, unnest(e.v) AS r FROM chosen) WINDOW b AS (PARTITION BY key))""",
         "complete_series",
         ctes=_ONE_CTES,
     )),
