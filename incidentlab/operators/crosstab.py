@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from incidentlab.functions.stats import chi2_sf
+from incidentlab.functions.stats import chi2_log_sf
 from incidentlab.session import checkpoint
 
 
@@ -114,9 +114,11 @@ def chi_square(
 
 
 def chi_square_test(long: DataFrame, row: str, col: str, n: str = "n", correction: bool = True) -> DataFrame:
-    """X3 + K5: ``(chi2, p, dof)``; p from the chi-square survival function."""
+    """X3 + K5: ``(chi2, p, log_p, dof)``; p from the chi-square tail, and its
+    natural logarithm, which is finite where p is too small for a double."""
     stats = chi_square(long, row, col, n, correction, scale=None)
-    return stats.select("chi2", chi2_sf(F.col("chi2"), F.col("dof").cast("double")).alias("p"), "dof")
+    stats = stats.withColumn("log_p", chi2_log_sf(F.col("chi2"), F.col("dof")))
+    return stats.select("chi2", F.exp("log_p").alias("p"), "log_p", "dof")
 
 
 def crosstab_top_rows(long: DataFrame, row: str, col: str, n: str = "n", top: int = 5, scale: int | None = 6) -> DataFrame:

@@ -68,9 +68,12 @@ def _differenced(y: Column, d: Column, seasonal_d: Column, max_d: int, m: int) -
     return w
 
 
-def _fit(w: Column, p: Column, q: Column, seasonal_p: Column, seasonal_q: Column, unknowns: Column, m: int, first: Column) -> Column:
-    """The fit of one order to the array w: ``aic`` (null without a month),
-    ``size`` and the order, then ``x, e`` of the maximum."""
+def _fit(
+    w: Column, p: Column, q: Column, seasonal_p: Column, seasonal_q: Column, unknowns: Column, m: int, first: Column, bic: bool = False
+) -> Column:
+    """The fit of one order to the array w: the ``rank`` it is chosen by and
+    ``aic`` (null without a month), ``size`` and the order, then ``x, e`` of the
+    maximum."""
     wanted = F.array(
         F.when(p >= 1, F.lit(0)), F.when(p >= 2, F.lit(1)), F.when(q >= 1, F.lit(2)),
         F.when(seasonal_p >= 1, F.lit(3)), F.when(seasonal_q >= 1, F.lit(4)),
@@ -80,11 +83,13 @@ def _fit(w: Column, p: Column, q: Column, seasonal_p: Column, seasonal_q: Column
     active = F.when(n >= size + SPARE, F.array_compact(wanted)).otherwise(F.array().cast("array<int>"))
 
     def described(s: Column) -> Column:
-        aic = F.when(n > 0, minus_two_log_likelihood(s["e"]["objective"], n) + 2 * (size + unknowns))
+        fitted = minus_two_log_likelihood(s["e"]["objective"], n)
+        aic = F.when(n > 0, fitted + 2 * (size + unknowns))
+        rank = F.when(n > 0, fitted + F.log(n) * (size + unknowns)) if bic else aic
         return F.struct(
-            aic.isNull().alias("none"), aic.alias("aic"), size.alias("size"),
+            aic.isNull().alias("none"), rank.alias("rank"), size.alias("size"),
             p.alias("p"), q.alias("q"), seasonal_p.alias("seasonal_p"), seasonal_q.alias("seasonal_q"),
-            s["x"].alias("x"), s["e"].alias("e"),
+            aic.alias("aic"), s["x"].alias("x"), s["e"].alias("e"),
         )
 
     return let(maximise(w, active, F.lit(m), first), described)
@@ -106,7 +111,7 @@ def _parameters(rows: DataFrame, ks: list[str], m: int) -> DataFrame:
         F.slice("_months", first_month + 1, n), e["v"], lambda t, v: F.struct(t.alias("month"), v.alias("resid"))
     )
     # What is known of the last shocks; the last one still has a variance.
-    f_last = F.coalesce(F.element_at(e["f"], -1), F.lit(1.0))
+    f_last = F.coalesce(F.get(e["f"], n - 1), F.lit(1.0))
     kept = F.least(n, 1 + m * fit["seasonal_q"])
     shocks = F.slice(e["v"], n - kept + 1, kept)
     shocks = F.transform(shocks, lambda v, i: F.when(i == kept - 1, v / f_last).otherwise(v))
@@ -129,7 +134,7 @@ def _parameters(rows: DataFrame, ks: list[str], m: int) -> DataFrame:
         F.when(kept > 0, shocks).otherwise(F.array(F.lit(0.0))).alias("last_shocks"),
         (e["sigma2"] * tanh(2) * tanh(2) * (1 - 1 / f_last)).alias("shock_var"),
         F.get("_months", F.lit(0)).alias("first_month"),
-        F.element_at("_months", -1).alias("last_month"),
+        F.get("_months", F.size("_months") - 1).alias("last_month"),
         resid.alias("resid"),
     )
 
@@ -186,16 +191,19 @@ def auto_arima(
     m: int = SEASON,
     seasonal_p_values: Sequence[int] = AUTO_SEASONAL,
     seasonal_q_values: Sequence[int] = AUTO_SEASONAL,
+    criterion: str = "aic",
 ) -> DataFrame:
     """an order per key.
 
     D is the larger of its values where the season is strong, d the smallest of
     its values after which the KPSS test accepts a constant level (the largest, if
-    none).  Then by lowest AIC, ties to the simplest: p and q without seasonal
+    none).  Then by lowest AIC (or ``criterion="bic"``), ties to the simplest: p and q without seasonal
     terms; P and Q for these; p and q again where seasonal terms were taken.  Seasonal
     terms are tried on series of more than three seasons after differencing;
     all orders of such a series are scored without its first season."""
     ks = _keys(keys)
+    if criterion not in ("aic", "bic"):
+        raise ValueError("criterion must be 'aic' or 'bic'")
     _check(max(p_values), max(d_values), max(q_values), max(seasonal_p_values), max(seasonal_d_values), max(seasonal_q_values))
     rows = _collected(series, ks, month, value)
     low, high = min(seasonal_d_values), max(seasonal_d_values)
@@ -236,14 +244,14 @@ def auto_arima(
 
     def fitted(o: Column) -> Column:
         parts = (o[n] for n in ("p", "q", "seasonal_p", "seasonal_q"))
-        return _fit(F.col("_w"), *parts, _unknowns(), m, F.col("_first"))
+        return _fit(F.col("_w"), *parts, _unknowns(), m, F.col("_first"), criterion == "bic")
 
     none, zero = F.lit(None).cast("double"), F.lit(0)
     empty = F.array().cast("array<double>")
     fit = F.struct(empty.alias("v"), empty.alias("f"), none.alias("sigma2"), none.alias("objective"), empty.alias("scaled"))
     nothing = F.struct(  # sorts behind every fit
-        F.lit(True).alias("none"), none.alias("aic"), F.lit(99).alias("size"), zero.alias("p"), zero.alias("q"),
-        zero.alias("seasonal_p"), zero.alias("seasonal_q"), empty.alias("x"), fit.alias("e"),
+        F.lit(True).alias("none"), none.alias("rank"), F.lit(99).alias("size"), zero.alias("p"), zero.alias("q"),
+        zero.alias("seasonal_p"), zero.alias("seasonal_q"), none.alias("aic"), empty.alias("x"), fit.alias("e"),
     )
     search = F.aggregate(
         F.sequence(F.lit(0), F.lit(2)),

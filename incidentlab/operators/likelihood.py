@@ -14,13 +14,16 @@ variances f (in units of sigma^2), the concentrated likelihood is maximal where
 
     objective = ln(mean(v^2 / f)) + mean(ln f)
 
-is minimal, and that is the squared length of the scaled innovations
-v / sqrt(f) * exp(mean(ln f) / 2), which a Gauss-Newton search minimises.
+is minimal, and that is the logarithm of the squared length of the scaled innovations
+v / sqrt(f) * exp(mean(ln f) / 2), whose derivatives give its gradient and, at the
+start, its Gauss-Newton curvature; later steps correct the curvature (BFGS).
 
 The search works on five unbounded numbers x whose hyperbolic tangents are the
 partial autocorrelations and the other coefficients, so every value is a
-stationary and invertible model.  It starts at the best point of a grid over phi1
-and theta, and makes ROUNDS damped steps; a step that is not better is not taken.
+stationary and invertible model.  It starts at the best points of a grid over phi1
+and theta in four regions, cut by phi1 = 0 and by phi1 + theta = 0 (where an
+ARMA(1, 1) is white noise, a ridge between basins), and makes ROUNDS steps each; a
+step that is not better is shortened.  The best end is the fit.
 """
 
 from __future__ import annotations
@@ -32,10 +35,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PLACES = 5  # phi1, phi2, theta, Phi, Theta
-START = (-1.1, -0.42, 0.0, 0.42, 1.1)
+START = (-2.3, -1.5, -0.85, -0.4, 0.0, 0.4, 0.85, 1.5, 2.3)
 EDGE = 6.0  # |x| at most: coefficients stay below 0.99999
 STEP = 1e-6  # for derivatives
-ROUNDS = 25
+ROUNDS = 30
+SETTLED = 1e-7  # part of a step at which the search stands still
 LEAST = 1e-12  # a variance counts as so much at least
 
 
@@ -115,8 +119,9 @@ def evaluate(w: Column, x: Column, m: Column, first: Column) -> Column:
     return F.aggregate(u, start, step, finish)
 
 
-def solve(rows: Column) -> Column:
-    """Solution of a positive definite system, each row with its right side last."""
+def reduced(rows: Column) -> Column:
+    """The right part of rows (A, B) after A, positive definite, is reduced to
+    the identity: A^-1 B."""
 
     def eliminate(rows: Column, k: Column) -> Column:
         own = F.get(rows, k)
@@ -125,68 +130,122 @@ def solve(rows: Column) -> Column:
             rows, lambda row, i: F.when(i == k, pivot).otherwise(F.zip_with(row, pivot, lambda a, b: a - F.get(row, k) * b))
         )
 
-    solved = F.aggregate(F.sequence(F.lit(0), F.size(rows) - 1), rows, eliminate)
-    return F.transform(solved, lambda row: F.element_at(row, -1))
+    n = F.size(rows)
+    solved = F.aggregate(F.sequence(F.lit(0), n - 1), rows, eliminate)
+    return F.transform(solved, lambda row: F.slice(row, n + 1, F.size(row) - n))
 
 
 def maximise(w: Column, active: Column, m: Column, first: Column) -> Column:
     """The fit over the ``active`` places of x (array<int>, 0 to 4; the others
     stay at zero): ``x`` and ``e``, what ``evaluate`` gives there.
 
-    One aggregate; a round is six of its steps, each of which computes one field
-    of the state: the point tried, taken or not, the points beside it, the
-    slopes there, the change of x, and the next point."""
-    names = ("active", "x", "e", "damping", "points", "slopes", "change", "next", "tried")
+    One aggregate; a round is seven of its steps, each of which computes fields
+    of the state: the point ``tried``, taken or not, the ``slopes`` there, the
+    ``gradient`` and its change ``y``, the inverse curvature ``h`` times that, its
+    correction, and the ``next`` point."""
+    names = ("x", "e", "part", "fresh", "slopes", "gradient", "y", "hy", "h", "moved", "next", "tried")
 
     def fields(s: Column, **new: Column) -> Column:
         return F.struct(*(new.get(n, s[n]).alias(n) for n in names))
 
+    def picked(x: Column) -> Column:
+        return F.transform(active, lambda j: F.get(x, j))
+
     def beside(s: Column, j: Column) -> Column:
         return F.transform(s["x"], lambda v, i: F.when(i == j, v + STEP).otherwise(v))
 
     def slope(s: Column, point: Column) -> Column:
         return F.zip_with(evaluate(w, point, m, first)["scaled"], s["e"]["scaled"], lambda a, b: (a - b) / STEP)
 
-    def row(s: Column, a: Column, i: Column) -> Column:
-        products = F.transform(
-            s["slopes"], lambda b, k: dot(a, b) * F.when(i == k, 1 + s["damping"]).otherwise(1.0) + F.when(i == k, LEAST).otherwise(0.0)
+    def gradient(s: Column) -> Column:
+        length = F.greatest(dot(s["e"]["scaled"], s["e"]["scaled"]), F.lit(LEAST))
+        return F.transform(s["slopes"], lambda a: 2 * dot(a, s["e"]["scaled"]) / length)
+
+    def first_curvature(s: Column) -> Column:
+        """Inverse of the Gauss-Newton matrix, its diagonal a little raised."""
+        length = F.greatest(dot(s["e"]["scaled"], s["e"]["scaled"]), F.lit(LEAST))
+        return reduced(
+            F.transform(
+                s["slopes"],
+                lambda a, i: F.concat(
+                    F.transform(s["slopes"], lambda b, k: 2 * dot(a, b) / length * F.when(i == k, 1.001).otherwise(1.0) + F.when(i == k, 1e-9).otherwise(0.0)),
+                    F.transform(s["slopes"], lambda _, k: F.when(i == k, 1.0).otherwise(0.0)),
+                ),
+            )
         )
-        return F.array_append(products, -dot(a, s["e"]["scaled"]))
 
-    def moved(s: Column, v: Column, i: Column) -> Column:
-        change = F.get(s["change"], F.array_position(s["active"], i).cast("int") - 1)
-        return F.greatest(F.lit(-EDGE), F.least(F.lit(EDGE), v + F.coalesce(change, F.lit(0.0))))
+    def corrected(s: Column) -> Column:
+        sy = dot(s["moved"], s["y"])
+
+        def cell(v: Column, i: Column, k: Column) -> Column:
+            a, b = F.get(s["moved"], i), F.get(s["moved"], k)
+            cross = a * F.get(s["hy"], k) + F.get(s["hy"], i) * b
+            return v - cross / sy + (1 + dot(s["y"], s["hy"]) / sy) * a * b / sy
+
+        return F.when(sy > 1e-14, F.transform(s["h"], lambda row, i: F.transform(row, lambda v, k: cell(v, i, k)))).otherwise(s["h"])
+
+    def next_point(s: Column) -> Column:
+        def moved(v: Column, i: Column) -> Column:
+            row = F.get(s["h"], F.array_position(active, i).cast("int") - 1)
+            change = F.when(F.array_contains(active, i), -s["part"] * dot(row, s["gradient"])).otherwise(0.0)
+            return F.greatest(F.lit(-EDGE), F.least(F.lit(EDGE), v + change))
+
+        return F.transform(s["x"], moved)
 
     def step(s: Column, k: Column) -> Column:
-        taken = fields(s, x=s["next"], e=s["tried"], damping=s["damping"] / 5)
-        refused = fields(s, damping=F.least(s["damping"] * 8, F.lit(1e8)))
+        change = F.zip_with(picked(s["next"]), picked(s["x"]), lambda a, b: a - b)
+        taken = fields(s, x=s["next"], e=s["tried"], moved=change, part=F.lit(1.0), fresh=F.lit(True))
         return (
-            F.when(k % 6 == 0, fields(s, tried=evaluate(w, s["next"], m, first)))
-            .when(k % 6 == 1, F.when(s["tried"]["objective"] < s["e"]["objective"], taken).otherwise(refused))
-            .when(k % 6 == 2, fields(s, points=F.transform(s["active"], lambda j: beside(s, j))))
-            .when(k % 6 == 3, fields(s, slopes=F.transform(s["points"], lambda point: slope(s, point))))
-            .when(k % 6 == 4, fields(s, change=solve(F.transform(s["slopes"], lambda a, i: row(s, a, i)))))
-            .otherwise(fields(s, next=F.transform(s["x"], lambda v, i: moved(s, v, i))))
+            F.when(s["part"] < SETTLED, s)
+            .when(k % 7 == 0, fields(s, tried=evaluate(w, s["next"], m, first)))
+            .when(
+                k % 7 == 1,
+                F.when(s["tried"]["objective"] < s["e"]["objective"], taken).otherwise(
+                    fields(s, part=s["part"] / 4, fresh=F.lit(False))
+                ),
+            )
+            .when(k % 7 == 6, fields(s, next=next_point(s)))
+            .when(~s["fresh"], s)
+            .when(k % 7 == 2, fields(s, slopes=F.transform(F.transform(active, lambda j: beside(s, j)), lambda p: slope(s, p))))
+            .when(k % 7 == 3, fields(s, y=F.zip_with(gradient(s), s["gradient"], lambda a, b: a - b), gradient=gradient(s)))
+            .when(F.size(s["h"]) == 0, F.when(k % 7 == 5, fields(s, h=first_curvature(s))).otherwise(s))
+            .when(k % 7 == 4, fields(s, hy=F.transform(s["h"], lambda row: dot(row, s["y"]))))
+            .otherwise(fields(s, h=corrected(s)))
         )
 
     def allowed(g: Column) -> Column:
         return (F.array_contains(active, 0) | (g[0] == 0)) & (F.array_contains(active, 2) | (g[2] == 0))
 
     grid = F.expr("array(" + ", ".join(f"array({a}D, 0D, {b}D, 0D, 0D)" for a in START for b in START) + ")")
-    starts = F.transform(
+    points = F.transform(
         F.filter(grid, allowed), lambda g: F.struct(evaluate(w, g, m, first)["objective"].alias("q"), g.alias("x"))
     )
+
+    def starts(points: Column) -> Column:
+        def best(right: bool, above: bool) -> Column:
+            def inside(p: Column) -> Column:
+                a, b = p["x"][0] >= 0, p["x"][0] + p["x"][2] >= 0
+                return (a if right else ~a) & (b if above else ~b)
+
+            return F.array_min(F.filter(points, inside))["x"]
+
+        return F.array_compact(F.array(*(best(right, above) for right in (True, False) for above in (True, False))))
+
     nothing = F.struct(
         empty().alias("v"), empty().alias("f"), F.lit(0.0).alias("sigma2"), F.lit(1e300).alias("objective"), empty().alias("scaled")
     )
     origin, none = F.array(*(F.lit(0.0) for _ in range(PLACES))), F.array().cast("array<array<double>>")
-    begin = dict(
-        active=active, x=origin, e=nothing, damping=F.lit(5e-3), points=none, slopes=none, change=empty(),
-        next=F.array_min(starts)["x"], tried=nothing,
-    )
-    begin = F.struct(*(begin[n].alias(n) for n in names))
-    steps = F.sequence(F.lit(0), F.when(F.size(active) > 0, 6 * ROUNDS + 1).otherwise(1))
-    return F.aggregate(steps, begin, step, lambda s: F.struct(s["x"].alias("x"), s["e"].alias("e")))
+    steps = F.sequence(F.lit(0), F.when(F.size(active) > 0, 7 * ROUNDS + 1).otherwise(1))
+
+    def searched(x: Column) -> Column:
+        begin = dict(
+            x=origin, e=nothing, part=F.lit(1.0), fresh=F.lit(False), slopes=none, gradient=empty(), y=empty(), hy=empty(), h=none,
+            moved=empty(), next=x, tried=nothing,
+        )
+        end = F.aggregate(steps, F.struct(*(begin[n].alias(n) for n in names)), step)
+        return let(end, lambda s: F.struct(s["e"]["objective"].alias("q"), s["x"].alias("x"), s["e"].alias("e")))
+
+    return F.array_min(F.transform(let(points, starts), searched))
 
 
 def minus_two_log_likelihood(objective: Column, n: Column) -> Column:

@@ -6,13 +6,15 @@ only inside windows partitioned by the key, so series spread over tasks by key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incidentlab.functions.dates import month_start
-
+from incidentlab.functions.stats import chi2_sf, normal_quantile
 
 
 def _one_month():
@@ -148,16 +150,78 @@ def autocorrelation(
     )
 
 
+def acf_diagnostics(
+    df: DataFrame, keys: str | Sequence[str] | None, order: str, value: str, max_lag: int = 10, level: float = 0.95
+) -> DataFrame:
+    """the autocorrelations with the half width ``band`` of their ``level``
+    interval (Bartlett: variance (1 + 2 * sum of the squared shorter lags) / n) and
+    the Ljung-Box test up to each lag, ``ljung_box`` and ``p``."""
+    ks = _keys(keys)
+    acf = autocorrelation(df, keys, order, value, max_lag, scale=None)
+    known = df.filter(F.col(value).isNotNull()).groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
+    if ks:
+        same = [F.col(k).eqNullSafe(F.col(f"_own_{k}")) for k in ks]
+        acf = acf.join(known.select(*[F.col(k).alias(f"_own_{k}") for k in ks], "_n"), same)
+    else:
+        acf = acf.withColumn("_n", known.scalar())
+    up_to = Window.partitionBy(*ks).orderBy("lag")
+    square = F.col("acf") * F.col("acf")
+    shorter = F.coalesce(F.sum(square).over(up_to.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    weighted = F.sum(square / F.when(F.col("_n") > F.col("lag"), F.col("_n") - F.col("lag"))).over(up_to)
+    z = NormalDist().inv_cdf(0.5 + level / 2)
+    out = acf.withColumns(
+        {"band": z * F.sqrt((1 + 2 * shorter) / F.col("_n")), "ljung_box": F.col("_n") * (F.col("_n") + 2) * weighted}
+    )
+    return out.select(*ks, "lag", "acf", "band", "ljung_box", chi2_sf(F.col("ljung_box"), F.col("lag")).alias("p"))
+
+
+def residual_density(
+    df: DataFrame, keys: str | Sequence[str] | None, value: str, points: int = 50, reach: float = 3.92
+) -> DataFrame:
+    """Gaussian kernel density of the standardised values per key on
+    ``points`` places from -reach to reach (Scott's bandwidth, n^(-1/5)), and the
+    standard normal density there.  One aggregate with a sum per place."""
+    ks = _keys(keys)
+    by_key = Window.partitionBy(*ks)
+    z = (F.col(value) - F.avg(value).over(by_key)) / F.when(F.stddev_samp(value).over(by_key) > 0, F.stddev_samp(value).over(by_key))
+    width = F.pow(F.count(value).over(by_key), F.lit(-0.2))
+    rows = df.select(*ks, z.alias("_z"), width.alias("_h")).filter("_z IS NOT NULL")
+    places = [-reach + 2 * reach * i / (points - 1) for i in range(points)]
+    front = 1 / math.sqrt(2 * math.pi)
+
+    def kernel(x: float) -> Column:
+        u = (F.lit(x) - F.col("_z")) / F.col("_h")
+        return F.avg(front * F.exp(-u * u / 2) / F.col("_h"))
+
+    sums = rows.groupBy(*ks).agg(*(kernel(x).alias(f"_d{i}") for i, x in enumerate(places)))
+    cells = F.array(
+        *(
+            F.struct(F.lit(x).alias("x"), F.col(f"_d{i}").alias("density"), F.lit(front * math.exp(-x * x / 2)).alias("normal_density"))
+            for i, x in enumerate(places)
+        )
+    )
+    return sums.select(*ks, F.inline(cells))
+
+
 def standardized_residuals(df: DataFrame, keys: str | Sequence[str] | None, order: str, resid: str, scale: int | None = 6) -> DataFrame:
     """F7 table: residual, standardised residual, histogram bucket (10 equal-width
-    bins of the standardised value over [-4, 4]) and the empirical quantile
-    position (Q-Q abscissa rank) per key."""
+    bins of the standardised value over [-4, 4]), the empirical quantile position
+    and the Q-Q abscissa (``theoretical_quantile``: the normal quantile at rank /
+    (n + 1)) per key."""
     ks = _keys(keys)
     by_key = Window.partitionBy(*ks)
     z = (F.col(resid) - F.avg(resid).over(by_key)) / F.stddev_samp(resid).over(by_key)
     out = df.select(*ks, order, resid, z.alias("std_resid"))
     out = out.withColumn("bucket", F.least(F.greatest(F.floor((F.col("std_resid") + 4) / 0.8), F.lit(0)), F.lit(9)).cast("int"))
-    out = out.withColumn("quantile_rank", F.percent_rank().over(by_key.orderBy("std_resid")))
+    ranked = by_key.orderBy("std_resid")
+    rank = F.row_number().over(by_key.orderBy("std_resid", order))
+    n = F.count("std_resid").over(by_key)
+    out = out.withColumns(
+        {
+            "quantile_rank": F.percent_rank().over(ranked),
+            "theoretical_quantile": F.when(F.col("std_resid").isNotNull(), normal_quantile(rank / (n + 1))),
+        }
+    )
     if scale is not None:
-        out = out.withColumn("std_resid", F.round("std_resid", scale)).withColumn("quantile_rank", F.round("quantile_rank", scale))
+        out = out.withColumns({c: F.round(c, scale) for c in ("std_resid", "quantile_rank", "theoretical_quantile")})
     return out

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from incidentlab import sinks, sources
-from incidentlab.operators import clean, cluster, columns, crosstab, forecast, join, maplayer, series, summary
+from incidentlab.operators import clean, cluster, columns, crosstab, forecast, join, likelihood, maplayer, series, summary
 from incidentlab.sources import standins as sv
 from incidentlab.functions import (
     date_parts,
@@ -375,6 +375,7 @@ def q_chi_square_expected(spark, sf):
     with_views(
         """SELECT round(x, 4) AS chi2,
        round((SELECT sum(exp(i * ln(x / 2) - lgamma(i + 1))) FROM range(CAST(dof / 2 AS BIGINT)) t(i)) * exp(-x / 2), 6) AS p,
+       round(ln((SELECT sum(exp(i * ln(x / 2) - lgamma(i + 1))) FROM range(CAST(dof / 2 AS BIGINT)) t(i))) - x / 2, 6) AS log_p,
        dof
 FROM (SELECT SUM((n - e) * (n - e) / e) AS x,
              CAST(((SELECT COUNT(DISTINCT crime_type) FROM pairs) - 1)
@@ -386,7 +387,7 @@ FROM (SELECT SUM((n - e) * (n - e) / e) AS x,
 )
 def q_chi_square_test(spark, sf):
     t = crosstab.chi_square_test(crosstab.materialize(_pairs(spark, sf)), "crime_type", "outcome_type", "n")
-    return t.select(F.round("chi2", 4).alias("chi2"), F.round("p", 6).alias("p"), "dof")
+    return t.select(F.round("chi2", 4).alias("chi2"), F.round("p", 6).alias("p"), F.round("log_p", 6).alias("log_p"), "dof")
 
 
 @register(
@@ -748,15 +749,25 @@ _DOT = "coalesce(list_sum(list_transform({a}, lambda o, g: o * {b}[g])), 0)"
 def _search_sql(source: str) -> str:
     """CTEs from ``source`` (key, order columns, w, skipped, plain) to ``fits``
     with x, e and aic: the same start grid and damped steps as the operator."""
-    grid = ", ".join(f"[{a}, 0.0, {b}, 0.0, 0.0]::DOUBLE[]" for a in (-1.1, -0.42, 0.0, 0.42, 1.1) for b in (-1.1, -0.42, 0.0, 0.42, 1.1))
+    grid = ", ".join(f"[{a}, 0.0, {b}, 0.0, 0.0]::DOUBLE[]" for a in likelihood.START for b in likelihood.START)
     order = "key, p, d, q, seasonal_p, seasonal_d, seasonal_q"
     beside = "list_transform(x, lambda o, i: CASE WHEN i = j THEN o + 1e-6 ELSE o END)"
     slope = f"list_transform({_evaluate_sql('y')}.scaled, lambda o, i: (o - e.scaled[i]) / 1e-6)"
-    row = f"""list_append(list_transform(slopes, lambda b, k: {_DOT.format(a='a', b='b')}
-        * CASE WHEN i = k THEN 1 + damping ELSE 1 END + CASE WHEN i = k THEN 1e-12 ELSE 0 END), -{_DOT.format(a='a', b='e.scaled')})"""
-    solved = """list_reduce(range(1, len(rows) + 1), lambda z, k: list_transform(z, lambda r, i:
-        list_transform(r, lambda c, j: CASE WHEN i = k THEN c / z[k][k] ELSE c - r[k] * z[k][j] / z[k][k] END)), rows)"""
-    moved = "least(6.0, greatest(-6.0, o + coalesce(solved[list_position(active, i)][-1], 0)))"
+    slopes = f"list_transform(list_transform(active, lambda j: {beside}), lambda y: {slope})"
+    length = f"greatest({_DOT.format(a='e.scaled', b='e.scaled')}, 1e-12)"
+    gradient = f"list_transform(slopes, lambda a: 2 * {_DOT.format(a='a', b='e.scaled')} / {length})"
+    row = f"""list_concat(list_transform(slopes, lambda b, k: 2 * {_DOT.format(a='a', b='b')} / {length}
+        * CASE WHEN i = k THEN 1.001 ELSE 1 END + CASE WHEN i = k THEN 1e-9 ELSE 0 END),
+        list_transform(slopes, lambda b, k: CASE WHEN i = k THEN 1.0 ELSE 0.0 END::DOUBLE))"""
+    inverse = f"""list_transform(list_reduce(range(1, len(slopes) + 1), lambda z, k: list_transform(z, lambda r, i:
+        list_transform(r, lambda c, j: CASE WHEN i = k THEN c / z[k][k] ELSE c - r[k] * z[k][j] / z[k][k] END)),
+        list_transform(slopes, lambda a, i: {row})), lambda r: r[len(slopes) + 1:])"""
+    moved = f"""least(6.0, greatest(-6.0, o + CASE WHEN list_contains(active, i)
+        THEN -part * list_transform([h[list_position(active, i)]], lambda c: {_DOT.format(a='c', b='gradient')})[1] ELSE 0 END))"""
+    sy = _DOT.format(a="step", b="y")
+    corrected = f"""CASE WHEN {sy} > 1e-14 THEN list_transform(h, lambda r, i: list_transform(r, lambda c, k:
+        c - (step[i] * hy[k] + hy[i] * step[k]) / {sy} + (1 + {_DOT.format(a='y', b='hy')} / {sy}) * step[i] * step[k] / {sy})) ELSE h END"""
+    keep = f"{order}, size, skipped, plain, active, w"
     return ",\n".join([
         f"""g0 AS (
   SELECT *, p + q + seasonal_p + seasonal_q AS size,
@@ -769,25 +780,27 @@ g1 AS (
   SELECT *, unnest(list_filter([{grid}], lambda g: (list_contains(active, 1) OR g[1] = 0) AND (list_contains(active, 3) OR g[3] = 0))) AS x
   FROM g0),
 g2 AS (SELECT *, {_evaluate_sql('x')} AS e FROM g1),
-g3 AS (SELECT * FROM g2 QUALIFY row_number() OVER (PARTITION BY {order} ORDER BY e.objective, x) = 1),
+g3 AS (
+  SELECT * FROM g2 QUALIFY row_number() OVER (PARTITION BY {order}, x[1] >= 0, x[1] + x[3] >= 0 ORDER BY e.objective, x) = 1),
+g4 AS (SELECT *, {slopes} AS slopes FROM g3),
 search AS (
-  SELECT {order}, size, skipped, plain, active, w, 0 AS k, x, e, 1e-3::DOUBLE AS damping FROM g3
+  SELECT {keep}, 1 AS k, x, e, 1.0::DOUBLE AS part, {gradient} AS gradient, {inverse} AS h FROM g4
   UNION ALL
-  SELECT {order}, size, skipped, plain, active, w, k + 1,
-         CASE WHEN tried.objective < e.objective THEN nx ELSE x END,
-         CASE WHEN tried.objective < e.objective THEN tried ELSE e END,
-         CASE WHEN tried.objective < e.objective THEN damping / 5 ELSE least(damping * 8, 1e8) END
-  FROM (SELECT *, {_evaluate_sql('nx')} AS tried FROM (
-    SELECT *, list_transform(x, lambda o, i: {moved}) AS nx FROM (
-      SELECT *, {solved} AS solved FROM (
-        SELECT *, list_transform(slopes, lambda a, i: {row}) AS rows FROM (
-          SELECT *, list_transform(list_transform(active, lambda j: {beside}), lambda y: {slope}) AS slopes
-          FROM search WHERE k < 25)))))),
+  SELECT {keep}, k + 1, x, e, CASE WHEN better THEN 1.0 ELSE part / 4 END, CASE WHEN better THEN new_gradient ELSE gradient END,
+         CASE WHEN better THEN {corrected} ELSE h END
+  FROM (SELECT *, list_transform(h, lambda r: {_DOT.format(a='r', b='y')}) AS hy FROM (
+    SELECT *, list_transform(new_gradient, lambda o, i: o - gradient[i]) AS y FROM (
+      SELECT *, {gradient} AS new_gradient FROM (
+        SELECT *, {slopes} AS slopes FROM (
+          SELECT {keep}, k, part, gradient, h, better, step, CASE WHEN better THEN nx ELSE x END AS x, CASE WHEN better THEN tried ELSE e END AS e
+          FROM (SELECT *, tried.objective < e.objective AS better, list_transform(active, lambda j: nx[j] - x[j]) AS step FROM (
+            SELECT *, {_evaluate_sql('nx')} AS tried FROM (
+              SELECT *, list_transform(x, lambda o, i: {moved}) AS nx FROM search WHERE k < 31))))))))),
 fits AS (
-  SELECT * EXCLUDE (w, k, damping, active), len(w) - skipped AS nobs,
+  SELECT * EXCLUDE (w, k, part, gradient, h, active), len(w) - skipped AS nobs,
          CASE WHEN len(w) > skipped THEN (len(w) - skipped) * (e.objective + ln(2 * pi()) + 1) END AS m2ll,
          CASE WHEN len(w) > skipped THEN (len(w) - skipped) * (e.objective + ln(2 * pi()) + 1) + 2 * (size + plain::INT + 1) END AS aic
-  FROM search WHERE k = 25)""",
+  FROM search WHERE k = 31 QUALIFY row_number() OVER (PARTITION BY {order} ORDER BY e.objective, x) = 1)""",
     ])
 
 
@@ -896,7 +909,7 @@ fc AS (
          sqrt(sigma2 * list_sum(list_transform(psi[len(a) + 1:], lambda o: o * o)) + shock_var * chi[len(chi)] * chi[len(chi)]) AS mean_se
   FROM rec WHERE k > 0)"""
 
-_BAND = "round(mean, 4) AS mean, round(mean_se, 4) AS mean_se, round(mean - 1.959963984540054 * mean_se, 4) AS lower, round(mean + 1.959963984540054 * mean_se, 4) AS upper"
+_BAND = "round(mean, 2) AS mean, round(mean_se, 2) AS mean_se, round(mean - 1.959963984540054 * mean_se, 2) AS lower, round(mean + 1.959963984540054 * mean_se, 2) AS upper"
 
 
 def _recursive(sql: str) -> str:
@@ -934,7 +947,7 @@ def q_arima_fit(spark, sf):
 @register("arima_forecast", "F2", _FORECAST_ONE_SQL)
 def q_arima_forecast(spark, sf):
     fc = forecast.arima_forecast(_train(spark, sf), "key", order=(1, 1, 1), horizon=6)
-    return _rounded(fc, "mean", "mean_se", "lower", "upper")
+    return _rounded(fc, "mean", "mean_se", "lower", "upper", scale=2)
 
 
 @register(
@@ -957,13 +970,13 @@ def q_auto_arima_select(spark, sf):
     "forecast_by_key",
     "F4",
     _recursive(with_views(
-        f"SELECT key, month AS date, forecast, lower, upper FROM (SELECT key, month, round(mean, 4) AS forecast, {_BAND} FROM fc)",
+        f"SELECT key, month AS date, forecast, lower, upper FROM (SELECT key, month, round(mean, 2) AS forecast, {_BAND} FROM fc)",
         "complete_series",
         ctes=_GRID_CTES,
     )),
 )
 def q_forecast_by_key(spark, sf):
-    return _rounded(forecast.forecast_by_key(_priority_series(spark, sf), "key", horizon=6), "forecast", "lower", "upper")
+    return _rounded(forecast.forecast_by_key(_priority_series(spark, sf), "key", horizon=6), "forecast", "lower", "upper", scale=2)
 
 
 @register("model_params_roundtrip", "K6 F5", _FORECAST_ONE_SQL)
@@ -971,14 +984,14 @@ def q_model_params_roundtrip(spark, sf):
     params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
     saved = sinks.write_flat_parquet(params, scratch_path(spark, "arima-params"))
     fc = forecast.forecast_from_params(sources.read_parquet_table(spark, saved), "key", horizon=6)
-    return _rounded(fc, "mean", "mean_se", "lower", "upper")
+    return _rounded(fc, "mean", "mean_se", "lower", "upper", scale=2)
 
 
 @register(
     "arima_holdout_metrics",
     "F6 W3",
     _recursive(with_views(
-        """SELECT key, round(sqrt(avg((n - mean) * (n - mean))), 4) AS rmse, round(avg(abs(n - mean)), 4) AS mae
+        """SELECT key, round(sqrt(avg((n - mean) * (n - mean))), 3) AS rmse, round(avg(abs(n - mean)), 3) AS mae
 FROM fc JOIN complete_series USING (key, month) GROUP BY key""",
         "complete_series",
         ctes=_ONE_CTES,
@@ -990,7 +1003,7 @@ def q_arima_holdout_metrics(spark, sf):
     fc = fc.select(F.col("key").alias("fc_key"), F.col("month").alias("fc_month"), "mean")
     on = F.col("key").eqNullSafe(F.col("fc_key")) & (F.col("month") == F.col("fc_month"))
     scored = s.filter("is_test").join(fc, on, "inner")
-    return _rounded(series.forecast_metrics(scored, "key", "n", "mean", scale=None), "rmse", "mae")
+    return _rounded(series.forecast_metrics(scored, "key", "n", "mean", scale=None), "rmse", "mae", scale=3)
 
 
 _AVF_SQL = """SELECT key, month, s.n AS actual, mean, lower, upper, mean IS NOT NULL AS is_forecast,
@@ -1009,7 +1022,7 @@ def q_actual_vs_forecast(spark, sf):
     s = _priority_series(spark, sf)
     train = series.holdout_split(s, "key").filter(~F.col("is_test"))
     fc = forecast.arima_forecast(train, "key", horizon=6)
-    return _rounded(series.actual_vs_forecast(s, fc, "key"), "mean", "lower", "upper")
+    return _rounded(series.actual_vs_forecast(s, fc, "key"), "mean", "lower", "upper", scale=2)
 
 
 _NAIVE_SQL = """naive AS (
@@ -1039,23 +1052,78 @@ def q_actual_vs_supplied_forecast(spark, sf):
     return _rounded(series.actual_vs_forecast(s, saved, "key"), "lower", "upper")
 
 
+# Residuals of the one-order fit, and the normal quantile by Newton's method on
+# the power series of the normal distribution function.
+_RESIDUAL_CTES = _ONE_CTES + """,
+resid AS (SELECT key, unnest(months[2:]) AS month, unnest(e.v) AS r FROM chosen),
+scaled AS (SELECT key, month, r, (r - avg(r) OVER b) / stddev_samp(r) OVER b AS z, count(*) OVER b AS n FROM resid WINDOW b AS (PARTITION BY key)),
+placed AS (
+  SELECT *, percent_rank() OVER (PARTITION BY key ORDER BY z) AS quantile_rank,
+         row_number() OVER (PARTITION BY key ORDER BY z, month) / (n + 1) AS share FROM scaled)"""
+_QUANTILE_SQL = """list_reduce(range(40), lambda g, i:
+    g - (0.5 - share + exp(-g * g / 2) / sqrt(2 * pi())
+           * list_reduce(range(1, 120), lambda s, k: {'t': s.t * g * g / (2 * k + 1), 'sum': s.sum + s.t * g * g / (2 * k + 1)}, {'t': g, 'sum': g}).sum)
+        / (exp(-g * g / 2) / sqrt(2 * pi())), 0.0::DOUBLE)"""
+
+
+def _one_residuals(spark, sf):
+    return forecast.residuals(forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1)), "key")
+
+
 @register(
     "residual_diagnostics",
     "F7",
     _recursive(with_views(
-        """SELECT key, month, round(r, 4) AS resid, round(z, 6) AS std_resid,
-       least(greatest(floor((z + 4) / 0.8), 0), 9)::INT AS bucket,
-       round(percent_rank() OVER (PARTITION BY key ORDER BY z), 6) AS quantile_rank
-FROM (SELECT key, month, r, (r - avg(r) OVER b) / stddev_samp(r) OVER b AS z
-      FROM (SELECT key, unnest(months[2:]) AS month, unnest(e.v) AS r FROM chosen) WINDOW b AS (PARTITION BY key))""",
+        f"""SELECT key, month, round(r, 2) AS resid, round(z, 3) AS std_resid,
+       least(greatest(floor((z + 4) / 0.8), 0), 9)::INT AS bucket, round(quantile_rank, 6) AS quantile_rank,
+       round({_QUANTILE_SQL}, 6) AS theoretical_quantile
+FROM placed""",
         "complete_series",
-        ctes=_ONE_CTES,
+        ctes=_RESIDUAL_CTES,
     )),
 )
 def q_residual_diagnostics(spark, sf):
-    params = forecast.fit_arima(_train(spark, sf), "key", order=(1, 1, 1))
-    table = series.standardized_residuals(forecast.residuals(params, "key"), "key", "month", "resid")
-    return _rounded(table, "resid")
+    table = series.standardized_residuals(_one_residuals(spark, sf), "key", "month", "resid")
+    return _rounded(_rounded(table, "resid", scale=2), "std_resid", scale=3)
+
+
+@register(
+    "residual_density",
+    "F7",
+    _recursive(with_views(
+        """SELECT key, x, round(avg(exp(-pow((x - z) * pow(n, 0.2), 2) / 2) * pow(n, 0.2) / sqrt(2 * pi())), 4) AS density,
+       round(exp(-x * x / 2) / sqrt(2 * pi()), 4) AS normal_density
+FROM scaled, (SELECT round(-3.92 + 7.84 * i / 49, 6) AS x FROM range(50) t(i)) GROUP BY key, x""",
+        "complete_series",
+        ctes=_RESIDUAL_CTES,
+    )),
+)
+def q_residual_density(spark, sf):
+    table = series.residual_density(_one_residuals(spark, sf), "key", "resid")
+    return _rounded(_rounded(table, "density", "normal_density"), "x", scale=6)
+
+
+@register(
+    "residual_acf_band",
+    "F7",
+    # The tail beyond q for k degrees of freedom: one less the power series of the lower part.
+    _recursive(with_views(
+        """SELECT key, lag, round(acf, 4) AS acf, round(1.959963984540054 * sqrt((1 + 2 * shorter) / n), 4) AS band, round(lb, 3) AS ljung_box,
+       round(1 - exp(lag / 2 * ln(lb / 2) - lb / 2)
+               * list_sum(list_transform(range(400), lambda i: exp(i * ln(lb / 2) - lgamma(lag / 2 + i + 1)))), 4) AS p
+FROM (SELECT key, lag, acf, n, coalesce(sum(acf * acf) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shorter,
+             n * (n + 2) * sum(acf * acf / (n - lag)) OVER o AS lb FROM acfs WINDOW o AS (PARTITION BY key ORDER BY lag))""",
+        "complete_series",
+        ctes=_RESIDUAL_CTES + """,
+lists AS (SELECT key, count(*) AS n, list(r - mu ORDER BY month) AS c FROM (SELECT *, avg(r) OVER (PARTITION BY key) AS mu FROM resid) GROUP BY key),
+acfs AS (
+  SELECT key, n, lag, list_sum(list_transform(c[lag + 1:], lambda o, i: o * c[i])) / list_sum(list_transform(c, lambda o: o * o)) AS acf
+  FROM lists, (SELECT i AS lag FROM range(1, 11) t(i)))""",
+    ).replace("lag, round(acf", "lag::INT AS lag, round(acf", 1)),
+)
+def q_residual_acf_band(spark, sf):
+    table = series.acf_diagnostics(_one_residuals(spark, sf), "key", "month", "resid")
+    return _rounded(_rounded(table, "acf", "band", "p"), "ljung_box", scale=3)
 
 
 @register(

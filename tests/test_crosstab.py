@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ def test_golden_chi_square(golden_long):
     r = crosstab.chi_square_test(golden_long, "crime_type", "outcome_type").collect()[0]
     assert round(r["chi2"], 2) == PUBLISHED_CHI2
     assert r["dof"] == PUBLISHED_DOF
-    assert f"{r['p']:.3g}" == "0"
+    assert f"{r['p']:.3g}" == "0" and r["log_p"] == pytest.approx(77 * math.log(r["chi2"] / 2) - r["chi2"] / 2 - math.lgamma(78), abs=0.01)
 
 
 def test_golden_totals_and_grid(golden_long):
@@ -154,3 +156,8 @@ def test_chi_square_permutation_invariant(spark):
     a = crosstab.chi_square(df1, "r", "c", scale=None).collect()[0]
     b = crosstab.chi_square(df2, "r", "c", scale=None).collect()[0]
     assert a["dof"] == b["dof"] == 4 and a["chi2"] == pytest.approx(b["chi2"], rel=1e-12)
+
+
+def test_chi_square_test_runs_no_python(golden_long):
+    plan = crosstab.chi_square_test(golden_long, "crime_type", "outcome_type")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -1,7 +1,9 @@
 import datetime as dt
 import math
+from statistics import NormalDist
 
 import pytest
+from pyspark.sql import functions as F
 
 from incidentlab.functions import (
     ascii_lower_trim,
@@ -13,7 +15,7 @@ from incidentlab.functions import (
     parse_year_month,
     to_double,
 )
-from incidentlab.functions.stats import chi2_sf_scalar
+from incidentlab.functions.stats import chi2_log_sf, chi2_sf, normal_quantile
 from incidentlab.operators.columns import normalize_columns, type_month_feed
 
 
@@ -85,15 +87,59 @@ def test_fill_unknown_and_month_date(spark):
     assert [tuple(r) for r in got] == [("Unknown", dt.date(2024, 2, 1)), ("x", dt.date(2023, 12, 1))]
 
 
-def test_chi2_survival_known_values():
-    assert chi2_sf_scalar(3.841458820694124, 1) == pytest.approx(0.05, abs=1e-9)
-    assert chi2_sf_scalar(5.991464547107979, 2) == pytest.approx(0.05, abs=1e-9)
-    assert chi2_sf_scalar(0.0, 4) == 1.0
-    assert chi2_sf_scalar(8684281.98, 156) == 0.0
-    # even dof closed form: Q(k, x/2) = exp(-x/2) * sum_{i<k} (x/2)^i / i!
-    x = 7.3
+def _gamma_q(a, x):
+    """Plain loops: series below a + 1, continued fraction from there on."""
+    front = a * math.log(x) - x - math.lgamma(a)
+    if x < a + 1:
+        term = total = 1 / a
+        k = 0
+        while abs(term) > total * 1e-17:
+            k += 1
+            term *= x / (a + k)
+            total += term
+        return 1 - total * math.exp(front)
+    b, c, d = x + 1 - a, 1e300, 1 / (x + 1 - a)
+    h, i = d, 0
+    while True:
+        i += 1
+        b += 2
+        up = -i * (i - a)
+        d = 1 / (up * d + b)
+        c = b + up / c
+        h *= c * d
+        if abs(c * d - 1) < 1e-16:
+            return math.exp(front) * h
+
+
+def test_chi2_tail(spark):
+    cases = [(x * dof, dof) for dof in (1, 2, 3, 4, 7, 8, 25, 156, 1000, 20_001) for x in (0.3, 0.9, 0.999, 1.0, 1.01, 1.2, 2.5)]
+    rows = spark.createDataFrame([(float(x), d) for x, d in cases], "x double, dof int")
+    got = {(r.x, r.dof): r for r in rows.select("x", "dof", chi2_sf(F.col("x"), F.col("dof")).alias("p"), chi2_log_sf(F.col("x"), F.col("dof")).alias("l")).collect()}
+    for x, dof in cases:
+        want = _gamma_q(dof / 2, x / 2)
+        assert got[float(x), dof].p == pytest.approx(want, rel=1e-9, abs=1e-10)
+        if want > 1e-200:
+            assert got[float(x), dof].l == pytest.approx(math.log(want), rel=1e-9, abs=1e-9)
+    x = 7.3  # even dof closed form: exp(-x/2) * sum_{i<k} (x/2)^i / i!
     closed = sum((x / 2) ** i / math.factorial(i) for i in range(3)) * math.exp(-x / 2)
-    assert chi2_sf_scalar(x, 6) == pytest.approx(closed, rel=1e-12)
+    odd = spark.createDataFrame(
+        [(3.841458820694124, 1), (5.991464547107979, 2), (0.0, 4), (x, 6), (8684281.98, 156), (1.0, 0), (None, 3)], "x double, dof int"
+    )
+    got = odd.select(chi2_sf(F.col("x"), F.col("dof")).alias("p"), chi2_log_sf(F.col("x"), F.col("dof")).alias("l")).collect()
+    assert [r.p for r in got[:4]] == pytest.approx([0.05, 0.05, 1.0, closed], rel=1e-9)
+    # ln Q by its leading terms where Q itself is below the smallest double.
+    a, y = 78, 8684281.98 / 2
+    assert got[4].p == 0.0
+    assert got[4].l == pytest.approx((a - 1) * math.log(y) - y - math.lgamma(a) + math.log(1 + (a - 1) / y), rel=1e-12)
+    assert math.isnan(got[5].p) and math.isnan(got[6].p)
+
+
+def test_normal_quantile(spark):
+    ps = [1e-300, 1e-20, 1e-6, 0.001, 0.0749, 0.0751, 0.25, 0.5, 0.7, 0.925, 0.9999, 1 - 1e-12]
+    rows = spark.createDataFrame([(p,) for p in [*ps, 0.0, 1.0, None]], "p double")
+    got = [r[0] for r in rows.select(normal_quantile(F.col("p"))).collect()]
+    assert got[: len(ps)] == pytest.approx([NormalDist().inv_cdf(p) for p in ps], rel=1e-13, abs=1e-15)
+    assert got[len(ps) :] == [None] * 3
 
 
 from hypothesis import given, settings
