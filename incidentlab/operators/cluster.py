@@ -1,6 +1,10 @@
 """Location hotspots.
 
-KMeans is Spark ML's distributed Lloyd iteration.  Assigning points to given
+``fit_centres`` is a KMeans whose result depends on the points, k and the seed
+alone: coordinates are whole numbers of 1 / UNITS, so distances and sums are exact
+and neither the partitions nor a task that runs again can change them.
+``fit_kmeans`` is Spark ML's distributed Lloyd iteration, which offers other
+features but follows the partition layout.  Assigning points to given
 centres needs no join: the centre table becomes one array value (a scalar
 subquery of the same plan) and each row picks its nearest centre inside one
 projection, an expression of the same size for any number of centres.
@@ -8,14 +12,18 @@ projection, an expression of the same size for any number of centres.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from incidentlab.session import checkpoint
+
 
 def assemble(
     df: DataFrame,
@@ -57,6 +65,87 @@ def fit_kmeans(
         data.unpersist()
 
 
+UNITS = 1_000_000  # steps of a coordinate; of a degree, 11 cm
+
+
+def _whole(c: str) -> Column:
+    return F.floor(F.col(c).cast("double") * UNITS + F.lit(0.5))
+
+
+def _usable(cols: Sequence[str]) -> Column:
+    return functools.reduce(operator.and_, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols))
+
+
+def _nearest(centres: Sequence[tuple], xs: Sequence[Column]) -> Column:
+    """(squared distance, number) of the nearest centre, ties to the smaller
+    number, by whole numbers."""
+    choices = [
+        F.struct(sum((x - F.lit(c)) * (x - F.lit(c)) for x, c in zip(xs, centre)).alias("d"), F.lit(i).alias("id"))
+        for i, centre in enumerate(centres)
+    ]
+    return F.least(*choices) if len(choices) > 1 else choices[0]
+
+
+def fit_centres(
+    df: DataFrame,
+    k: int = 8,
+    seed: int = 42,
+    cols: Sequence[str] = ("latitude", "longitude"),
+    max_iter: int = 20,
+) -> DataFrame:
+    """The centres ``(prediction, *cols)`` of a KMeans, at most k.
+
+    Equal points are counted once and weigh by their number, which is all that is
+    read again.  The first centre and then one a round wins a race in which a
+    point's time is exponential, drawn by a hash of the seed, the round and the
+    point, at a rate of its weight times its squared distance from the nearest
+    centre (k-means++).  Lloyd rounds follow until nothing moves, ``max_iter`` at
+    most; a centre without points stays.  Only the k centres and their sums come
+    to the driver.  Coordinates must be below 1000 in size (rows with a null or
+    NaN one are left out)."""
+    names = [f"x{i}" for i in range(len(cols))]
+    points = df.filter(_usable(cols)).select(*(_whole(c).alias(n) for c, n in zip(cols, names)))
+    points = checkpoint(points.groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
+    xs = [F.col(n) for n in names]
+
+    def first(weight: Column, number: int) -> tuple | None:
+        text = F.concat_ws(":", F.lit(f"{seed}:{number}"), *(x.cast("string") for x in xs))
+        u = (F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("double") + 1) / float(1 << 52)
+        runs = points.select(F.struct((-F.log(u) / weight).alias("time"), *xs).alias("run"), weight.alias("w")).filter("w > 0")
+        best = runs.agg(F.min("run")).first()[0]
+        return best and tuple(best[n] for n in names)
+
+    centres: list[tuple] = []
+    while len(centres) < k:
+        weight = F.col("n").cast("double")
+        if centres:
+            weight = weight * _nearest(centres, xs)["d"].cast("double")
+        found = first(weight, len(centres))
+        if found is None:  # fewer different points than centres
+            break
+        centres.append(found)
+    for _ in range(max_iter if centres else 0):
+        placed = points.select(_nearest(centres, xs)["id"].alias("id"), "n", *xs).groupBy("id")
+        sums = placed.agg(F.sum("n").alias("n"), *(F.sum(F.col("n").cast("decimal(38,0)") * x).alias(c) for c, x in zip(names, xs)))
+        moved = list(centres)
+        for r in sums.collect():  # at most k rows; whole-number division, half up
+            moved[r["id"]] = tuple((2 * int(r[c]) + r["n"]) // (2 * r["n"]) for c in names)
+        if moved == centres:
+            break
+        centres = moved
+    schema = ", ".join(["prediction int", *(f"`{c}` double" for c in cols)])
+    rows = [(i, *(x / UNITS for x in c)) for i, c in enumerate(centres)]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def assign_centres(df: DataFrame, centres: DataFrame, cols: Sequence[str] = ("latitude", "longitude")) -> DataFrame:
+    """C3 for ``fit_centres``: every column of the usable rows, and ``prediction``."""
+    held = centres.orderBy("prediction").collect()  # at most k rows
+    at = [tuple(round(r[c] * UNITS) for c in cols) for r in held]
+    nearest = _nearest(at, [_whole(c) for c in cols])["id"] if at else F.lit(None).cast("int")
+    return df.filter(_usable(cols)).withColumn("prediction", nearest)
+
+
 def kmeans_assign(
     df: DataFrame, model: KMeansModel, cols: Sequence[str] = ("latitude", "longitude"), lat_weighted: bool = False
 ) -> DataFrame:

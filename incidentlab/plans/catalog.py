@@ -42,6 +42,10 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def register(name: str, ids: str, sql: str | None = None):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
         REGISTRY[name] = Query(name, ids, fn, sql)
@@ -650,17 +654,63 @@ def _clean_points(spark, sf):
     return sources.read_parquet_table(spark, path)
 
 
-@register("kmeans_fit", "C1 C2")
+# Oracle form of the fit: the same races and Lloyd rounds over lists of centres.
+_KMEANS_CTES = """pts0 AS (SELECT DISTINCT * FROM street WHERE latitude <> 0 AND longitude <> 0),
+pts AS (
+  SELECT floor(latitude * 1000000 + 0.5)::BIGINT AS x, floor(longitude * 1000000 + 0.5)::BIGINT AS y, count(*) AS n
+  FROM pts0 GROUP BY ALL),
+seeds AS (
+  SELECT 0 AS i, []::STRUCT(x BIGINT, y BIGINT)[] AS cs
+  UNION ALL
+  SELECT i + 1, list_append(any_value(cs), arg_min({'x': x, 'y': y}, (-ln(u) / w, x, y)))
+  FROM (SELECT i, cs, x, y, (('0x' || substr(sha256('42:' || i || ':' || x || ':' || y), 1, 13))::BIGINT::DOUBLE + 1) / 4503599627370496 AS u,
+               CASE WHEN i = 0 THEN n::DOUBLE
+                    ELSE n::DOUBLE * list_min(list_transform(cs, lambda c: (x - c.x) * (x - c.x) + (y - c.y) * (y - c.y)))::DOUBLE END AS w
+        FROM seeds, pts WHERE i < 8)
+  WHERE w > 0 GROUP BY i),
+lloyd AS (
+  SELECT 0 AS i, cs FROM seeds WHERE i = 8
+  UNION ALL
+  SELECT i + 1, list_transform(any_value(cs), lambda c, j: coalesce(list_filter(list({'id': id, 'c': new}), lambda f: f.id = j)[1].c, c))
+  FROM (SELECT i, any_value(cs) AS cs, id,
+               {'x': ((2 * sum(n * x) + sum(n) - (2 * sum(n * x) + sum(n)) % (2 * sum(n)) - CASE WHEN (2 * sum(n * x) + sum(n)) % (2 * sum(n)) < 0 THEN 2 * sum(n) ELSE 0 END) // (2 * sum(n)))::BIGINT,
+                'y': ((2 * sum(n * y) + sum(n) - (2 * sum(n * y) + sum(n)) % (2 * sum(n)) - CASE WHEN (2 * sum(n * y) + sum(n)) % (2 * sum(n)) < 0 THEN 2 * sum(n) ELSE 0 END) // (2 * sum(n)))::BIGINT} AS new
+        FROM (SELECT i, cs, x, y, n,
+                     list_min(list_transform(cs, lambda c, j: {'d': (x - c.x) * (x - c.x) + (y - c.y) * (y - c.y), 'id': j})).id AS id
+              FROM lloyd, pts WHERE i < 20)
+        GROUP BY i, id)
+  GROUP BY i),
+centres AS (SELECT cs FROM lloyd WHERE i = 20)"""
+
+
+@register(
+    "kmeans_fit",
+    "C1 C2",
+    _recursive(with_views(
+        "SELECT (j - 1)::INT AS prediction, cs[j].x / 1000000.0::DOUBLE AS latitude, cs[j].y / 1000000.0::DOUBLE AS longitude FROM centres, range(1, 9) t(j)",
+        "street",
+        ctes=_KMEANS_CTES,
+    )),
+)
 def q_kmeans_fit(spark, sf):
-    pts = _clean_points(spark, sf)
-    return cluster.kmeans_centres(spark, cluster.fit_kmeans(pts, k=8, seed=42))
+    return cluster.fit_centres(_clean_points(spark, sf), k=8, seed=42)
 
 
-@register("kmeans_assign", "C3 D4")
+@register(
+    "kmeans_assign",
+    "C3 D4",
+    _recursive(with_views(
+        """SELECT pts0.*, (list_min(list_transform(cs, lambda c, j: {
+         'd': (floor(latitude * 1000000 + 0.5)::BIGINT - c.x) * (floor(latitude * 1000000 + 0.5)::BIGINT - c.x)
+              + (floor(longitude * 1000000 + 0.5)::BIGINT - c.y) * (floor(longitude * 1000000 + 0.5)::BIGINT - c.y), 'id': j})).id - 1)::INT AS prediction
+FROM pts0, centres""",
+        "street",
+        ctes=_KMEANS_CTES,
+    )),
+)
 def q_kmeans_assign(spark, sf):
     pts = _clean_points(spark, sf)
-    model = cluster.fit_kmeans(pts, k=8, seed=42)
-    return cluster.kmeans_assign(pts, model).drop("features")
+    return cluster.assign_centres(pts, cluster.fit_centres(pts, k=8, seed=42))
 
 
 @register(
@@ -912,10 +962,6 @@ fc AS (
 _BAND = "round(mean, 2) AS mean, round(mean_se, 2) AS mean_se, round(mean - 1.959963984540054 * mean_se, 2) AS lower, round(mean + 1.959963984540054 * mean_se, 2) AS upper"
 
 
-def _recursive(sql: str) -> str:
-    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
-
-
 _ONE_CTES = ",\n".join([_TRAIN_SQL, _held_sql("train"), _ONE_FIT_SQL, _search_sql("ready"), _chosen_sql("fits"), _FORECAST_SQL])
 _GRID_CTES = ",\n".join([
     _held_sql("complete_series"), _GRID_FIT_SQL, _search_sql("ready"), _PICK_SQL, _chosen_sql("picked"), _FORECAST_SQL

@@ -171,8 +171,8 @@ def hotspots(spark: SparkSession, clean_base: str, clusters_path: str, k: int =
     """KMeans on street coordinates; the cluster table keeps every street
     column (so later stages can still read ``date``)."""
     street = sources.read_parquet_table(spark, _table(clean_base, "street"))
-    model = cluster.fit_kmeans(street, k=k, seed=seed)
-    return sinks.write_flat_parquet(cluster.kmeans_assign(street, model).drop("features"), clusters_path)
+    centres = cluster.fit_centres(street, k=k, seed=seed)
+    return sinks.write_flat_parquet(cluster.assign_centres(street, centres), clusters_path)
 
 
 # --------------------------------------------------------------- forecasts

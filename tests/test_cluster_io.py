@@ -1,3 +1,4 @@
+import random
 import math
 import os
 import tempfile
@@ -103,3 +104,31 @@ def test_single_csv_round_trip(spark):
     assert sorted(tuple(r) for r in typed.collect()) == [("a", 3), ("b", 5)]
     text = sources.read_summary_text(spark, path)
     assert dict(text.dtypes)["count"] == "bigint"
+
+
+def test_centres_do_not_depend_on_the_layout(spark):
+    rng = random.Random(5)
+    rows = [(51 + rng.gauss(0, 0.1) + i % 4, -1 + rng.gauss(0, 0.1) - i % 3, f"r{i}") for i in range(2000)]
+    rows += [(51.5, -1.25, "hot")] * 700 + [(None, 1.0, "n"), (float("nan"), 1.0, "n")]
+    df = spark.createDataFrame(rows, "latitude double, longitude double, tag string")
+    seen = [sorted(tuple(r) for r in cluster.fit_centres(df.repartition(n), k=6, seed=42).collect()) for n in (1, 4, 40)]
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 6
+    centres = cluster.fit_centres(df, k=6, seed=42)
+    placed = cluster.assign_centres(df, centres)
+    assert placed.count() == 2700 and placed.columns == [*df.columns, "prediction"]
+    at = {r["prediction"]: (r["latitude"], r["longitude"]) for r in centres.collect()}
+    cost = 0.0
+    for r in placed.collect():
+        d = [(r["latitude"] - a) ** 2 + (r["longitude"] - b) ** 2 for _, (a, b) in sorted(at.items())]
+        assert d[r["prediction"]] <= min(d) + 1e-9
+        cost += min(d)
+    ml = cluster.fit_kmeans(df.filter("NOT isnan(latitude)"), k=6, seed=42)
+    assert cost < 1.5 * ml.summary.trainingCost
+    assert cluster.fit_centres(df, k=6, seed=7).collect() != centres.collect()
+
+
+def test_fewer_points_than_centres(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (3.0, 4.0)], "latitude double, longitude double")
+    assert sorted(tuple(r)[1:] for r in cluster.fit_centres(df, k=8).collect()) == [(1.0, 2.0), (3.0, 4.0)]
+    assert cluster.fit_centres(df.limit(0), k=8).count() == 0
+    assert cluster.assign_centres(df.limit(0), cluster.fit_centres(df, k=2)).count() == 0
