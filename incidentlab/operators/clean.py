@@ -10,6 +10,10 @@ from pyspark.sql.types import NumericType
 
 from incidentlab.functions.casts import to_double
 from incidentlab.functions.text import ascii_lower_trim
+from incidentlab.session import checkpoint
+
+
+MAX_REPEATED = 1_000_000  # broadcast digests, 16 bytes each
 
 
 def dedup_rows(df: DataFrame) -> DataFrame:
@@ -17,6 +21,31 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedup_wide_rows(df: DataFrame) -> DataFrame:
+    """R1 for wide rows of which few repeat: only digests are shuffled for all.
+
+    128 bits of digest per row are counted.  The digests that occur more than
+    once, at most MAX_REPEATED, are broadcast and decide which whole rows are
+    shuffled to be compared value by value; all others stay where they were
+    read.  Rows with equal digests but different values are all kept.  A table
+    with more repeated digests gains nothing and goes the plain way.  Reads ``df``
+    three times."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*names)
+    # Map keys have no order and no digest of their own.
+    parts = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in rows.dtypes]
+    digest = F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *(F.struct(p, F.lit(i)) for i, p in enumerate(parts))).alias("b"))
+    keyed = rows.withColumn("_digest", digest)
+    counts = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = checkpoint(counts.filter("_n > 1").select("_digest", F.lit(True).alias("_again")))
+    if repeated.count() > MAX_REPEATED:
+        return dedup_rows(df)
+    marked = keyed.join(F.broadcast(repeated), "_digest", "left")
+    alone = marked.filter("_again IS NULL").select(*names)
+    several = marked.filter("_again").select(*names).dropDuplicates()
+    return alone.unionByName(several).toDF(*df.columns)
+
+
 def filter_not_null(df: DataFrame, *cols: str) -> DataFrame:
     cond = F.lit(True)
     for c in cols:

@@ -86,9 +86,9 @@ FROM street s LEFT JOIN (SELECT crime_id, outcome_type FROM outcomes) o ON s.cri
 
 @register("join_left_outcomes_split", "J1", _J1_SQL)
 def q_join_left_outcomes_split(spark, sf):
-    # Every key's rows dealt over four reducers.
+    # Keys that hold a thousandth of the rows are dealt over four reducers.
     s = sv.street(spark, sf).select("crime_id", "crime_type", "date")
-    return join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"], salt=4)
+    return join.join_outcomes(s, sv.outcomes(spark, sf), "crime_id", ["outcome_type"], salt=4, share=0.001)
 
 
 # ---------------------------------------------------------- aggregations (A)
@@ -453,6 +453,15 @@ def q_dedup_rows(spark, sf):
     return clean.dedup_rows(sv.street(spark, sf).select("crime_id", "crime_type", "lsoa_name"))
 
 
+@register(
+    "dedup_wide_rows",
+    "R1",
+    with_views("SELECT DISTINCT crime_id, crime_type, lsoa_name FROM street", "street"),
+)
+def q_dedup_wide_rows(spark, sf):
+    return clean.dedup_wide_rows(sv.street(spark, sf).select("crime_id", "crime_type", "lsoa_name"))
+
+
 @register(
     "clean_geo",
     "R2 R3 R4",
@@ -1471,6 +1480,47 @@ def q_sink_parquet_partitioned(spark, sf):
     return sources.read_parquet_table(spark, path)
 
 
+@register("sink_published_parquet", "K1", with_views("SELECT * FROM street WHERE year * 100 + month >= 199601", "street"))
+def q_sink_published_parquet(spark, sf):
+    path = scratch_path(spark, "street-published")
+    sinks.publish_parquet(sv.street(spark, sf).limit(5), path)
+    sinks.publish_parquet(sv.street(spark, sf), path)  # the pointer moves on
+    return sources.read_published(spark, path, months=((1996, 1), (9999, 12)))
+
+
+@register(
+    "sink_quarantine",
+    "A17 D10 K1",
+    with_views(
+        "SELECT CASE WHEN crime_id IS NULL THEN 'rejected' ELSE 'good' END AS status, CASE WHEN crime_id IS NULL THEN 'no id' END AS reason, year, month, COUNT(*) AS n FROM street GROUP BY ALL",
+        "street",
+    ),
+)
+def q_sink_quarantine(spark, sf):
+    path = scratch_path(spark, "street-quarantine")
+    sinks.write_with_quarantine(sv.street(spark, sf), F.when(F.col("crime_id").isNull(), "no id"), path)
+    return summary.count_by(sources.read_parquet_table(spark, path), "status", "reason", "year", "month", name="n")
+
+
+@register(
+    "scan_csv_by_header",
+    "S7 S9",
+    with_views("SELECT crime_id, date, CASE WHEN year = 1996 THEN NULL ELSE lsoa_code END AS lsoa_code FROM street", "street"),
+)
+def q_scan_csv_by_header(spark, sf):
+    """Files of one year lack a column, those of the others have it in another order."""
+    s = sv.street(spark, sf)
+    path = scratch_path(spark, "moved-columns")
+    for name, rows, cols in (
+        ("a", F.col("year") == 1996, ["crime_id", "date"]),
+        ("b", F.col("year") > 1996, ["lsoa_code", "date", "crime_id", "crime_type"]),
+        ("c", F.col("year") < 1996, ["date", "crime_id", "lsoa_code"]),
+    ):
+        s.filter(rows).select(*cols).write.option("header", True).csv(f"{path}/{name}")
+    kinds = dict(s.dtypes)
+    return sources.read_csv_by_header(spark, f"{path}/*", ", ".join(f"{c} {kinds[c]}" for c in ("crime_id", "date", "lsoa_code")))
+
+
 @register("scan_parquet_flat", "S6 K3", with_views("SELECT * FROM points", "points"))
 def q_scan_parquet_flat(spark, sf):
     path = sinks.write_flat_parquet(sv.points(spark, sf), scratch_path(spark, "clusters"))

@@ -8,9 +8,13 @@ are Parquet, partitioned by ``year``/``month`` so month filters prune files.
 
 from __future__ import annotations
 
+import csv
+import functools
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from incidentlab.functions.casts import to_count, to_double
 from incidentlab.operators.columns import normalize_columns, type_month_feed, type_timestamp_feed
@@ -58,13 +62,73 @@ def read_parquet_table(
     return df
 
 
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file, header``: the first line of every CSV file under ``path`` (one pass
+    over the lines; empty files have none)."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
+    )
+    lines = lines.filter("at = 0").withColumn("line", F.monotonically_increasing_id())
+    return lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+
+
+def _names(header: str) -> list[str]:
+    return [c.strip().removeprefix("\ufeff") for c in next(csv.reader([header]))]
+
+
+def read_csv_by_header(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """CSV files whose columns differ in order or number, read by name.
+
+    Files are grouped by their header line; each group is read with its own column
+    order and the groups are joined by name.  A declared column that a file does
+    not have is null there (``header_report`` tells which), other columns are left
+    out.  Headers must be single lines."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    types = {f.name: f.dataType for f in declared}
+    groups = file_headers(spark, path).groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    parts = []
+    for r in groups.orderBy("header").collect():  # the list of files, as the driver holds it for the scan
+        names = _names(r["header"])
+        own = StructType([StructField(c, types.get(c, StringType())) for c in names])
+        files = [unquote(f) for f in r["files"]]
+        part = spark.read.option("header", True).option("enforceSchema", False).schema(own).csv(files)
+        parts.append(part.select(*(F.col(f"`{c}`") if c in names else F.lit(None).cast(t).alias(c) for c, t in types.items())))
+    if not parts:
+        return spark.createDataFrame([], declared)
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def header_report(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """``file, missing, extra, moved``: per file the declared columns it lacks, the
+    undeclared ones it has, and whether the others stand in another order."""
+    declared = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+    rows = file_headers(spark, path)
+    names = F.transform(F.split("header", ","), lambda c: F.trim(F.regexp_replace(c, '^[\ufeff"]+|"$', "")))
+    known = F.array(*(F.lit(c) for c in declared))
+    return rows.select(
+        "file",
+        F.array_except(known, names).alias("missing"),
+        F.array_except(names, known).alias("extra"),
+        (F.filter(names, lambda c: F.array_contains(known, c)) != F.filter(known, lambda c: F.array_contains(names, c))).alias("moved"),
+    )
+
+
+def read_published(
+    spark: SparkSession, path: str, months: tuple[tuple[int, int], tuple[int, int]] | None = None
+) -> DataFrame:
+    """K1: the latest version that ``sinks.publish_parquet`` has published at
+    ``path``; ``months`` prunes as in ``read_parquet_table``."""
+    latest = spark.read.text(f"{path}/published/*").agg(F.max("value")).first()[0]
+    return read_parquet_table(spark, f"{path}/versions/{latest}", months)
+
+
 def read_summary_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """A summary CSV directory with header.  A declared schema is used
-    when given (DDL string or StructType); otherwise types are inferred."""
-    reader = spark.read.option("header", True)
+    when given (DDL string or StructType), by column name whatever the order in
+    the files; otherwise types are inferred."""
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).csv(path)
+        return read_csv_by_header(spark, path, schema)
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
 def read_summary_text(spark: SparkSession, path: str, count_cols: tuple[str, ...] = ("count",)) -> DataFrame:

@@ -188,3 +188,50 @@ def test_sample_by_key_leaves_null_keys_out(spark):
     df = spark.createDataFrame([(None,), (10,), (11,)], "k bigint")
     assert [r["k"] for r in clean.sample_by_key(df, "k", 10, 1, hashed=False).collect()] == [10]
     assert clean.sample_by_key(df, "k", 1, 1).count() == 2
+
+
+def test_only_heavy_keys_are_repeated(spark):
+    rows = [("hot", i) for i in range(600)] + [(None, i) for i in range(500)] + [(f"k{i % 450}", i) for i in range(900)]
+    left = spark.createDataFrame(rows, "crime_id string, i int").repartition(6)
+    right = spark.createDataFrame([("hot", "a"), ("hot", "b")] + [(f"k{i}", "c") for i in range(400)], "crime_id string, outcome_type string")
+    assert join.heavy_keys(left, "crime_id", 0.05) == ["hot"] and join.heavy_keys(left, "crime_id", 0.5) == []
+    assert join.heavy_keys(left.limit(0), "crime_id", 0.05) == []
+    assert len(join.heavy_keys(left, "crime_id", 0.0005)) == 451
+    plain = join.join_outcomes(left, right)
+    split = join.join_outcomes(left, right, salt=16, share=0.05)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect())) and plain.count() == 600 * 2 + 500 + 900
+    # The right side grows by the two rows of the heavy key: 402 + 2 * 15.
+    hot = F.col("crime_id").isin(["hot"])
+    repeated = right.withColumn("s", F.explode(F.sequence(F.lit(0), F.when(hot, 15).otherwise(0)))).count()
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert repeated == 432 and "Generate" in plan and "hot" in plan
+    with pytest.raises(ValueError):
+        join.heavy_keys(left, "crime_id", 0)
+
+
+def test_wide_rows_shuffle_digests_only(spark, monkeypatch, tmp_path):
+    rows = [(i, f"text {i} " * 40, None if i % 5 else 1.5, [i, None], {"k": i}) for i in range(2000)] + [(7, "text 7 " * 40, 1.0, None, None)] * 20
+    rows += [rows[3], rows[3], (None, None, None, None, None), (None, None, None, None, None), (None, "1", 0.0, None, None), (1, None, -0.0, None, None)]
+    df = spark.createDataFrame(rows, "a long, t string, d double, l array<int>, m map<string,int>")
+    flat = df.drop("m")
+    want = sorted(map(str, flat.dropDuplicates().collect()))
+    same = lambda df: sorted(str(r).replace("-0.0", "0.0") for r in df.collect())  # noqa: E731  equal values
+    assert same(clean.dedup_wide_rows(flat)) == want
+    assert clean.dedup_wide_rows(flat).columns == flat.columns
+    flat.repartition(7).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    out = clean.dedup_wide_rows(stored)
+    assert same(out) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # One branch reads and keeps rows without an exchange; only marked rows are dealt out by their values.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 2
+    monkeypatch.setattr(clean, "MAX_REPEATED", 0)
+    assert same(clean.dedup_wide_rows(stored)) == want
+
+
+def test_equal_digests_of_different_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 5, f"v{i % 3}") for i in range(60)], "a int, b string")
+    monkeypatch.setattr(clean.F, "xxhash64", lambda *c: clean.F.lit(1))
+    assert clean.dedup_wide_rows(df).count() == 15
