@@ -11,13 +11,13 @@ maxima of the others; then block maxima of all terms; then WAND with its pivots
 inside the blocks that can reach 1.  No passage and no retrieved item is dropped
 or capped.
 
-Question and answer are segments of their own as well: a passage that reaches
-``share`` of the best score of one of them retrieves the item, so other words
-may stand between the two.  They are scored, all of them and without bounds,
-for the (document, item) pairs whose 5-grams can pass the verification.
+The question (all but the last sentence) makes segments of its own in the same
+index, so other words may stand between it and the answer: a passage that reaches
+``share`` of the best score of any segment retrieves its item.  An item that no
+passage retrieves is not looked at.
 
 A retrieved item is verified against the whole document: its question part
-(all but the last sentence) by word 5-gram containment, its answer part by the
+by word 5-gram containment, its answer part by the
 words of the passage and its neighbours; a match needs both at ``overlap`` or
 more, or the 5-grams of the whole item at ``overlap`` or more.
 
@@ -90,7 +90,7 @@ def _segments(h: np.ndarray) -> list[np.ndarray]:
 
 @dataclass
 class Statistics:
-    """Document frequencies (of segments) and lengths over all items."""
+    """Document frequencies (of the segments of whole items) and lengths over all items."""
 
     vocabulary: np.ndarray  # sorted
     df: np.ndarray
@@ -118,7 +118,6 @@ class Item:
     answer: np.ndarray  # distinct words
     whole: np.ndarray  # distinct 5-grams
     gram: tuple[int, int]  # words per gram of question and whole
-    parts: list[np.ndarray]  # segments of the question and of the answer
 
 
 class Index:
@@ -127,7 +126,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str | None]], share: float, stats: Statistics | None = None):
         self.items: list[Item] = []
-        segments, self.segment_item = [], []
+        segments, plain, self.segment_item = [], [], []
         for item_id, text in items:
             h = _words([text]).hash
             if not len(h):
@@ -140,10 +139,11 @@ class Index:
                     np.unique(a),
                     _grams(h),
                     (min(GRAM, max(len(q), 1)), min(GRAM, len(h))),
-                    [*_segments(q), *_segments(a)],
                 )
             )
-            for part in _segments(h):
+            whole = _segments(h)
+            plain.extend(whole)
+            for part in [*whole, *(_segments(q) if len(a) else [])]:
                 segments.append(part)
                 self.segment_item.append(len(self.items) - 1)
         # Segments of like length share blocks: their common words weigh alike,
@@ -153,21 +153,7 @@ class Index:
         self.segment_item = [self.segment_item[k] for k in order]
         self.vocabulary = np.unique(np.concatenate(segments)) if segments else np.empty(0, np.uint64)
         postings: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        self.stats = stats = stats or Statistics.of(segments)
-        # Per gram length: all grams, sorted, and for each the 2 * item (question) or 2 * item + 1 (whole) it is of.
-        self.gram_size = np.array([len(g) for i in self.items for g in (i.question, i.whole)], np.int64)
-        self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for k in {k for i in self.items for k in i.gram}:
-            own = [
-                (g, 2 * n + j)
-                for n, i in enumerate(self.items)
-                for j, g in enumerate((i.question, i.whole))
-                if i.gram[j] == k
-            ]
-            gram, owner = np.concatenate([g for g, _ in own]), np.repeat([o for _, o in own], [len(g) for g, _ in own])
-            order = np.argsort(gram, kind="stable")
-            gram, at = np.unique(gram[order], return_index=True)
-            self.grams[k] = gram, np.append(at, len(order)), owner[order]
+        self.stats = stats = stats or Statistics.of(plain)
         for s, part in enumerate(segments):
             terms, tf = np.unique(part, return_counts=True)
             score = stats.weights(terms, tf, len(part))
@@ -275,45 +261,6 @@ class Index:
                 found.extend((i, segment, score) for segment, score in self.wand(own_terms.tolist(), block))
         return found
 
-    def possible(self, words: Words, overlap: float) -> list[tuple[int, int]]:
-        """(text, item) pairs with ``overlap`` of the 5-grams of the question or
-        of the whole item; all others fail the verification, but for items
-        without a question, whose answer is the whole item."""
-        found = set()
-        for k, (gram, at, owner) in self.grams.items():
-            own = window_hashes(words.hash, k)
-            if not len(own) or not len(gram):
-                continue
-            place = np.minimum(np.searchsorted(gram, own), len(gram) - 1)
-            hit = np.flatnonzero((gram[place] == own) & (words.doc[: len(own)] == words.doc[k - 1 :]))
-            doc, place = np.divmod(np.unique(words.doc[hit] * len(gram) + place[hit]), len(gram))
-            many = at[place + 1] - at[place]
-            whose = owner[np.repeat(at[place] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
-            n = len(self.gram_size)
-            pair, count = np.unique(np.repeat(doc, many) * n + whose, return_counts=True)
-            pair = pair[count / self.gram_size[pair % n] >= overlap]
-            found.update(zip((pair // n).tolist(), (pair % n // 2).tolist()))
-        return sorted(found)
-
-    def part_passages(self, item: Item, own: np.ndarray, n: int, share: float) -> list[tuple[int, float]]:
-        """(passage, score) of those of the ``n`` passages of a text that
-        retrieve a segment of the item's question or answer."""
-        found = []
-        for part in item.parts:
-            terms, tf = np.unique(part, return_counts=True)
-            score = self.stats.weights(terms, tf, len(part))
-            score /= share * score.sum()
-            place = np.minimum(np.searchsorted(terms, own), len(terms) - 1)
-            at = np.flatnonzero(terms[place] == own)
-            holds = np.zeros((n, len(terms)), bool)
-            for back in range(-(-PASSAGE // STRIDE)):
-                passage = at // STRIDE - back
-                inside = (passage >= 0) & (passage < n) & (at < passage * STRIDE + PASSAGE)
-                holds[passage[inside], place[at[inside]]] = True
-            total = holds @ score
-            found.extend((k, float(total[k])) for k in np.flatnonzero(total >= LIMIT).tolist())
-        return found
-
     def match(self, texts: list[str | None], share: float, overlap: float) -> list[list[dict]]:
         words = _words(texts)
         out: list[list[dict]] = [[] for _ in texts]
@@ -333,12 +280,6 @@ class Index:
             d, i = int(doc[k]), self.segment_item[segment]
             best, places = found.get((d, i), (0.0, []))
             found[d, i] = (max(best, score), [*places, (int(start[k]), int(stop[k]))])
-        scored = set(found)  # by segments of the whole item; the others get the score of a part
-        for d, i in self.possible(words, overlap):
-            for k, score in self.part_passages(self.items[i], words.hash[first[d] : ends[d]], int(n[d]), share):
-                a = int(first[d]) + STRIDE * k
-                best, places = found.get((d, i), (0.0, []))
-                found[d, i] = (best if (d, i) in scored else max(best, score), [*places, (a, min(a + PASSAGE, int(ends[d])))])
         for (d, i), (score, places) in sorted(found.items()):
             item, own = self.items[i], words.hash[first[d] : ends[d]]
             near = np.concatenate(

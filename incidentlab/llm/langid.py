@@ -33,7 +33,11 @@ EMBED = 8
 MAX_TRAIN_DOCS = 6000  # bound of the fitting sample, spread evenly over the languages
 WINDOWS_PER_DOC = 6
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of one of Unicode's letter categories (L*); number
+    forms such as superscripts, fractions and Roman numerals are not."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass
@@ -70,7 +74,7 @@ def labelled_windows(docs: DataFrame, lang_col: str, text_col: str, max_docs: in
         for pdf in batches:
             out = []
             for lang, text, place in zip(pdf["lang"], pdf["text"], pdf["place"]):
-                if _LETTER.search(text):
+                if has_letter(text):
                     own = cut_windows(text.encode("utf-8", "replace"))
                     at = np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS_PER_DOC)).astype(int))
                     out.extend((lang, own[i].tobytes(), place) for i in at)
@@ -192,7 +196,7 @@ class Scorer:
 def identify(scorer: Scorer | None, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score of whole texts."""
     lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    own = [i for i, t in enumerate(texts) if scorer is not None and t is not None and _LETTER.search(t)]
+    own = [i for i, t in enumerate(texts) if scorer is not None and t is not None and has_letter(t)]
     if own:
         raw = [texts[i].encode("utf-8", "replace") for i in own]
         cuts = [cut_windows(r) for r in raw]

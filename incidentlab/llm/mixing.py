@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from incidentlab.session import checkpoint
 
 MAX_PART = 100.0
+MAX_SOURCES = 10_000  # rate rows that are broadcast; beyond, the join shuffles
 
 
 def source_rates(
@@ -97,6 +98,8 @@ def replicate(
     r = rates.select(
         F.col("source").alias(f"{name}_source"), F.col("parts").alias(f"{name}_parts"), F.col("cdf").alias(f"{name}_cdf")
     )
+    if rates.count() <= MAX_SOURCES:  # a row of about a kilobyte per source
+        r = F.broadcast(r)
     joined = own.withColumn(name, key).join(r, F.col(source_col).eqNullSafe(F.col(f"{name}_source")))
 
     def draw(total: Column, part: Column) -> Column:

@@ -17,7 +17,7 @@ from incidentlab.llm.langid import labelled_windows, predict_language, train
 from incidentlab.llm.licenses import scan_licenses
 from incidentlab.llm.mixing import replicate, source_rates
 from incidentlab.llm.ngram_join import ngram_jaccard_join
-from incidentlab.llm.secret_scan import BASE_KINDS, count_kind, findings_by_path, scan_unseen, spans_text
+from incidentlab.llm.secret_scan import BASE_KINDS, count_kind, findings_by_path, spans_text, update_ledger
 from incidentlab.llm.sharding import write_shards
 from incidentlab.llm.substring_dedup import cut_repeats
 from incidentlab.llm.toxicity import score_toxicity, train_toxicity
@@ -97,7 +97,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = findings_by_path(docs, scan_unseen(docs))
+    # A ledger of its own, so every run of the query is a first run.
+    found = findings_by_path(docs, update_ledger(docs, scratch_path(spark, "secret-ledger")))
     findings = F.col("findings")
     return found.select(
         "doc_id",

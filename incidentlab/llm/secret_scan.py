@@ -19,9 +19,13 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from incidentlab.llm.textops import fresh
+from incidentlab.session import checkpoint
+
 #: Fixed patterns of the base rules, and the further rules of rule version 1.
 #: kind: (pattern, group whose length counts, least length)
 KINDS = {
@@ -46,6 +50,7 @@ NEEDLES = {
 }
 
 FINDINGS = "array<struct<kind:string,start:int,end:int>>"
+LEDGER = f"blob string, rule_version string, findings {FINDINGS}"
 _ORDER = {k: i for i, k in enumerate(KINDS)}
 
 
@@ -90,10 +95,24 @@ def scan_unseen(
         blobs = blobs.join(seen, "blob", "left_anti")
     unseen = blobs.groupBy("blob").agg(F.first("text").alias("text"))
     return unseen.withColumn("rule_version", F.lit(rule_version)).mapInPandas(
-        _scan, f"blob string, rule_version string, findings {FINDINGS}"
+        _scan, LEDGER
     )
 
 
+def update_ledger(
+    versions: DataFrame, path: str, rule_version: str = RULE_VERSION, text_col: str = "text"
+) -> DataFrame:
+    """The ledger table at ``path`` after the blobs of ``versions`` that it does
+    not hold yet have been scanned and appended; a new table if there is none."""
+    spark = versions.sparkSession
+    try:
+        ledger = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException:  # no such path yet
+        ledger = None
+    scan_unseen(versions, ledger, rule_version, text_col).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
 def findings_by_path(
     versions: DataFrame, ledger: DataFrame, rule_version: str = RULE_VERSION, text_col: str = "text"
 ) -> DataFrame:
@@ -102,10 +121,9 @@ def findings_by_path(
 
     Only blobs with findings are joined; a blob shared by very many versions
     meets its findings once per (blob, partition)."""
-    part = "__part"
-    while part in versions.columns:
-        part += "_"
-    rows = address(versions.drop("findings"), text_col).drop(text_col).withColumn(part, F.spark_partition_id())
+    part = fresh("__part", versions.columns)
+    # The partition numbers are written with the rows, so both readings agree.
+    rows = checkpoint(address(versions.drop("findings"), text_col).drop(text_col).withColumn(part, F.spark_partition_id()))
     hits = ledger.filter((F.col("rule_version") == rule_version) & (F.size("findings") > 0)).select("blob", "findings")
     here = rows.select("blob", part).distinct().join(hits, "blob")
     out = rows.join(here, ["blob", part], "left").drop(part)

@@ -33,16 +33,20 @@ def test_wand_equals_scoring_everything():
     items, docs, _ = make()
     for share in (0.5, 0.2, 0.05):
         index = Index(items, share)
-        segments = []
+        segments, plain = [], []
         for _, text in items:
-            h = _words([text]).hash
-            segments += np.array_split(h, -(-len(h) // 32))
+            question, answer = question_and_answer(text)
+            for t in [text, question] if answer else [text]:
+                h = _words([t]).hash
+                own = np.array_split(h, -(-len(h) // 32)) if len(h) else []
+                segments += own
+                plain += own if t is text else []
         segments.sort(key=len)  # the index numbers segments by length
-        mean = np.mean([len(s) for s in segments])
-        df = Counter(t for s in segments for t in set(s.tolist()))
+        mean = np.mean([len(s) for s in plain])
+        df = Counter(t for s in plain for t in set(s.tolist()))
 
         def part(t, s, tf):
-            idf = math.log1p((len(segments) - df[t] + 0.5) / (df[t] + 0.5))
+            idf = math.log1p((len(plain) - df[t] + 0.5) / (df[t] + 0.5))
             return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(s) / mean))
 
         counts = [Counter(s.tolist()) for s in segments]
@@ -130,3 +134,50 @@ def test_question_and_answer():
     assert question_and_answer("a b c d") == ("a b", "c d")
     assert question_and_answer("One.\nTwo three") == ("One.", "Two three")
     assert question_and_answer("only.") == ("only.", "")
+
+
+def _plain_matches(docs, items):
+    """(document, item) pairs by overlap alone: every pair is looked at, with
+    tuples of words, and none of the operator's code but the cut of an item."""
+    import re
+
+    def words(t):
+        folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", folded)
+
+    def grams(w, n):
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    found = set()
+    for d, text in docs:
+        own = words(text)
+        five = grams(own, 5)
+        for item_id, item in items:
+            q, a = (words(t) for t in question_and_answer(item))
+            parts = []
+            for w in (q, words(item)):
+                n = min(5, max(len(w), 1))
+                want, held = grams(w, n), five if n == 5 else grams(own, n)
+                parts.append(len(want & held) / len(want) if want else 1.0)
+            if parts[1] >= 0.8 or (parts[0] >= 0.8 and len(set(a) & set(own)) >= 0.8 * len(set(a))):
+                found.add((d, item_id))
+    return found
+
+
+def test_query_against_plain_overlap(spark, monkeypatch):
+    from conftest import SF01
+    from incidentlab.llm.queries import op5_decontaminate
+
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF01}/benchmark.parquet").collect()]
+    want = _plain_matches(docs, items)
+    got = {(r.doc_id, r.item_id) for r in op5_decontaminate(spark, SF01).collect()}
+    assert got == want and len(want) >= 20
+
+
+def test_nothing_without_retrieval(monkeypatch):
+    items, docs, _ = make()
+    index = Index(items, 0.6)
+    assert any(index.match([t for _, t in docs], 0.6, 0.8))
+    monkeypatch.setattr(Index, "retrieve", lambda *a: [])
+    assert not any(index.match([t for _, t in docs], 0.6, 0.8))

@@ -69,3 +69,14 @@ def test_held_out_accuracy(spark):
     got = op4_language_id(spark, SF01).join(spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang"), "doc_id")
     right = got.filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_letters_are_those_of_the_letter_categories():
+    import unicodedata
+
+    from incidentlab.llm.langid import has_letter
+
+    assert not any(has_letter(t) for t in ("", "²½", "Ⅷ ⅔ 12_-", "٣", "①", "🙂"))
+    assert all(has_letter(t) for t in ("²a", "½é", "Ⅷ日", "ʰ", "ß"))
+    for c in map(chr, [*range(0x250), *range(0x2000, 0x3100), 0x1F600, 0xFF21]):
+        assert has_letter(c) == unicodedata.category(c).startswith("L")

@@ -77,3 +77,21 @@ def test_registered_query(spark):
         joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in find_spans(d.text or ""))
+
+
+def test_second_run_scans_nothing(spark, tmp_path, monkeypatch):
+    import incidentlab.llm.secret_scan as ss
+
+    rows = [(i, f"token = {'abcdef' * 3}{i % 5} x") for i in range(60)] + [(None, None), (99, "")]
+    docs, path = table(spark, rows).repartition(5), str(tmp_path / "ledger")
+    first = ss.update_ledger(docs, path)
+    n, files = first.count(), len(first.inputFiles())
+    assert n == 6
+    got = sorted((str(r.doc_id), str(r.findings)) for r in ss.findings_by_path(docs, first).collect())
+    assert ss.scan_unseen(docs, first).count() == 0
+    again = ss.update_ledger(docs, path)
+    assert again.count() == n
+    assert sorted((str(r.doc_id), str(r.findings)) for r in ss.findings_by_path(docs, again).collect()) == got
+    more = ss.update_ledger(table(spark, [*rows, (7, "AKIA" + "B" * 20)]), path)
+    assert more.count() == n + 1 and files >= 1
+    assert ss.update_ledger(docs, path, rule_version="2").filter("rule_version = '2'").count() == n
