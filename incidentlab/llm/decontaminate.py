@@ -24,19 +24,23 @@ more, or the 5-grams of the whole item at ``overlap`` or more.
 The items are cut into blocks of about ``BLOCK_WORDS`` words and ``BLOCK_ITEMS``
 items at most (a longer item is a block of its own), so that an index has a
 bounded size, linear in its words.  Document frequencies and the mean length are
-those of all items, so blocks do not change the scores.  A larger benchmark makes
-more passes over the documents, one after another, with one index in memory at a
-time; ``docs`` must then be a table or another source that gives the same rows in
-the same order when it is read again.
+those of all items, so blocks do not change the scores.  The indexes of the blocks
+are built once, in Spark, and sent to the executors packed; a task unpacks one after
+another for each slice of its texts, so many blocks take one pass over the documents
+and one index in memory at a time.  Packed indexes of more than ``PASS_BYTES`` in
+all (well over 10,000 items) take several passes, whose matches are written and
+joined by a row number that is the same at every reading.
 
 Defined results: null and empty texts and items match nothing; items that have
 the same text are all reported; rows with equal or null ids are judged one by
-one.  Words are runs of letters and digits, A-Z folded.
+one.  Item ids keep their type.  Words are runs of letters and digits, A-Z folded.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +50,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incidentlab.llm.textops import NOT_ALNUM_BYTES, Words, add_text_columns, window_hashes
+from incidentlab.llm.textops import NOT_ALNUM_BYTES, Words, add_text_columns, fresh, numbered, window_hashes
 from incidentlab.session import checkpoint, scratch_path
 
 SEGMENT = 32
@@ -56,11 +60,12 @@ GRAM = 5
 POSTING_BLOCK = 4
 BLOCK_ITEMS = 1_000
 BLOCK_WORDS = 200_000
+PASS_BYTES = 64 << 20  # packed indexes broadcast for one pass
 CELLS = 1 << 24  # (passage, block) sums held at once
 K1, B = 1.2, 0.75
 LIMIT = 1 - 1e-9  # the threshold of 1, less rounding
 
-MATCHES = "array<struct<item_id:bigint,score:double,question:double,answer:double,overlap:double>>"
+MATCHES = "array<struct<item_id:{},score:double,question:double,answer:double,overlap:double>>"
 
 _LAST = re.compile(r"(?s)^(.*?[.!?\n])\s*([^.!?\n]*\w[^.!?\n]*[.!?\s]*)$")
 
@@ -113,7 +118,7 @@ class Statistics:
 
 @dataclass
 class Item:
-    item_id: int
+    item_id: object
     question: np.ndarray  # distinct 5-grams
     answer: np.ndarray  # distinct words
     whole: np.ndarray  # distinct 5-grams
@@ -124,7 +129,7 @@ class Index:
     """Segments of a block of items as block-max posting lists; ``stats`` are
     those of all items (of the given ones if left out)."""
 
-    def __init__(self, items: list[tuple[int, str | None]], share: float, stats: Statistics | None = None):
+    def __init__(self, items: list[tuple], share: float, stats: Statistics | None = None):
         self.items: list[Item] = []
         segments, plain, self.segment_item = [], [], []
         for item_id, text in items:
@@ -181,6 +186,19 @@ class Index:
         self.rare_block, self.rare_max = self.block_of[rare], self.max_of[rare]
         self.rare_at = np.concatenate([[0], np.cumsum(np.where(self.common, 0, many))]).astype(np.int64)
 
+    def packed(self) -> bytes:
+        """The fields as plain lists and arrays, compressed: the package is not
+        installed on the executors, so its classes cannot be unpickled by name."""
+        items = [vars(i) for i in self.items]
+        return zlib.compress(pickle.dumps(vars(self) | {"items": items, "stats": None}, pickle.HIGHEST_PROTOCOL), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Index:
+        index = cls.__new__(cls)
+        index.__dict__.update(pickle.loads(zlib.decompress(data)))
+        index.items = [Item(**i) for i in index.items]
+        return index
+
     def bounds(self, terms: np.ndarray) -> np.ndarray:
         """Sum of the terms' maxima in every block."""
         many = self.row_at[terms + 1] - self.row_at[terms]
@@ -309,7 +327,7 @@ def _blocks(items: DataFrame, block_items: int, block_words: int) -> tuple[DataF
         for pdf in batches:
             yield pdf.assign(words=_words(pdf["text"].tolist()).count)
 
-    sized = items.mapInPandas(size, "item_id long, text string, words long").filter("words > 0")
+    sized = items.mapInPandas(size, "item_id string, text string, words long").filter("words > 0")
     sized = checkpoint(sized.withColumn("part", F.spark_partition_id()))
     sums = sized.groupBy("part").agg(F.count("*").alias("n"), F.sum("words").alias("words")).orderBy("part").collect()
     before, n, words = {}, 0, 0
@@ -329,7 +347,7 @@ def _blocks(items: DataFrame, block_items: int, block_words: int) -> tuple[DataF
                 seen[part] = a + 1, b + own
             yield pdf[["item_id", "text"]].assign(block=out)
 
-    dealt = checkpoint(sized.mapInPandas(deal, "item_id long, text string, block long"))
+    dealt = checkpoint(sized.mapInPandas(deal, "item_id string, text string, block long"))
     return dealt, [r["block"] for r in dealt.select("block").distinct().orderBy("block").collect()]
 
 
@@ -355,6 +373,38 @@ def _statistics(dealt: DataFrame) -> tuple[DataFrame, int, int]:
     return checkpoint(own.select("block", "term").join(df, "term")), total[0], total[1]
 
 
+def _in_order(pdf: pd.DataFrame) -> list[tuple]:
+    return sorted(zip(pdf["item_id"], pdf["text"]), key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+
+
+def _packed(dealt: DataFrame, share: float) -> DataFrame:
+    """(block, size, packed): the index of every block, pickled and compressed."""
+    terms, n, words = _statistics(dealt)
+
+    def build(items: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        vocabulary = found["term"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(vocabulary)
+        stats = Statistics(vocabulary[order], found["df"].to_numpy(np.int64)[order], n, words)
+        packed = Index(_in_order(items), share, stats).packed()
+        return pd.DataFrame({"block": items["block"].head(1), "size": len(packed), "packed": [packed]})
+
+    both = dealt.groupBy("block").cogroup(terms.groupBy("block"))
+    return checkpoint(both.applyInPandas(build, "block long, size long, packed binary"))
+
+
+def _passes(sizes: list[tuple[int, int]], pass_bytes: int) -> list[list[int]]:
+    """Block numbers in runs of at most ``pass_bytes`` (a larger one alone)."""
+    runs: list[list[int]] = []
+    held = 0
+    for block, size in sizes:
+        if not runs or held + size > pass_bytes:
+            runs.append([])
+            held = 0
+        runs[-1].append(block)
+        held += size
+    return runs
+
+
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -365,40 +415,57 @@ def find_contamination(
     text_col: str = "text",
     block_items: int = BLOCK_ITEMS,
     block_words: int = BLOCK_WORDS,
+    pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
     """``docs`` with ``matches`` added: the items that a document holds, with
     the best BM25 share and the overlaps of question, answer and whole item."""
-    own = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    # Inside the operator an id is a string, which any number of digits survives.
+    own = items.select(*(F.col(c).cast("string").alias(a) for c, a in ((item_id_col, "item_id"), (item_text_col, "text"))))
+    schema, result = MATCHES.format("string"), MATCHES.format(items.schema[item_id_col].dataType.simpleString())
+
+    def finished(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("matches", F.array_sort(F.col("matches").cast(result)))
+
     dealt, blocks = _blocks(own, block_items, block_words)
+    if len(blocks) < 2:
+        rows = [tuple(r) for r in dealt.select("item_id", "text").orderBy("item_id", "text").collect()]
 
-    def searched(frame: DataFrame, block: int | None, terms: DataFrame | None = None, n: int = 0, words: int = 0):
-        rows = dealt if block is None else dealt.filter(F.col("block") == block)
-        rows = [tuple(r) for r in rows.select("item_id", "text").orderBy("item_id", "text").collect()]
-        stats = None
-        if terms is not None:
-            found = terms.filter(F.col("block") == block).select("term", "df").toPandas()
-            vocabulary = found["term"].to_numpy(np.int64).view(np.uint64)
-            order = np.argsort(vocabulary)
-            stats = Statistics(vocabulary[order], found["df"].to_numpy(np.int64)[order], n, words)
-
-        def start():
-            index = Index(rows, share, stats)
+        def start_one():
+            index = Index(rows, share)
             return lambda texts: [index.match(texts, share, overlap)]
 
-        return add_text_columns(frame, text_col, f"matches {MATCHES}", start)
-
-    if len(blocks) < 2:
-        return searched(docs, None)
-    terms, n, words = _statistics(dealt)
-    row = "__row"
-    while row in docs.columns:
-        row += "_"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    path = scratch_path(docs.sparkSession, "contamination")
-    for block in blocks:
-        hits = searched(numbered.select(row, text_col), block, terms, n, words).filter(F.size("matches") > 0)
-        hits.select(row, "matches").write.parquet(f"{path}/block={block}")
-    hits = docs.sparkSession.read.parquet(*[f"{path}/block={b}" for b in blocks])
-    hits = hits.groupBy(row).agg(F.array_sort(F.flatten(F.collect_list("matches"))).alias("matches"))
-    out = numbered.drop("matches").join(hits, row, "left").drop(row)
-    return out.withColumn("matches", F.coalesce("matches", F.array().cast(MATCHES)))
+        return finished(add_text_columns(docs, text_col, f"matches {schema}", start_one))
+
+    packed = _packed(dealt, share)
+    spark = docs.sparkSession
+
+    def searched(frame: DataFrame, run: list[int]) -> DataFrame:
+        held = packed.filter(F.col("block").between(run[0], run[-1])).orderBy("block").select("packed")
+        sent = spark.sparkContext.broadcast([bytes(r["packed"]) for r in held.collect()])
+
+        def start_many():
+            def apply(texts):
+                found: list[list[dict]] = [[] for _ in texts]
+                for part in sent.value:
+                    index = Index.unpacked(part)
+                    for old, new in zip(found, index.match(texts, share, overlap)):
+                        old.extend(new)
+                return [found]
+
+            return apply
+
+        return add_text_columns(frame, text_col, f"matches {schema}", start_many)
+
+    runs = _passes([tuple(r) for r in packed.select("block", "size").orderBy("block").collect()], pass_bytes)
+    if len(runs) == 1:
+        return finished(searched(docs, runs[0]))
+    row = fresh("__row", docs.columns)
+    rows = numbered(docs, row)
+    path = scratch_path(spark, "contamination")
+    for i, run in enumerate(runs):
+        hits = searched(rows.select(row, text_col), run).filter(F.size("matches") > 0)
+        hits.select(row, "matches").write.parquet(f"{path}/run={i}")
+    hits = spark.read.parquet(*[f"{path}/run={i}" for i in range(len(runs))])
+    hits = hits.groupBy(row).agg(F.flatten(F.collect_list("matches")).alias("matches"))
+    out = rows.drop("matches").join(hits, row, "left").drop(row)
+    return finished(out.withColumn("matches", F.coalesce("matches", F.array().cast(schema))))

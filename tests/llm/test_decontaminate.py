@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from helpers import odd_rows, table, vocabulary
-from incidentlab.llm.decontaminate import B, K1, PASSAGE, STRIDE, Index, find_contamination, question_and_answer, _words
+from incidentlab.llm.decontaminate import B, K1, PASSAGE, STRIDE, Index, _passes, _words, find_contamination, question_and_answer
 
 
 def make(seed=3, n_items=60, n_docs=40):
@@ -92,6 +92,40 @@ def test_blocks_do_not_change_scores(spark):
     whole = found()
     assert (99, 99) in whole and sum(m[0] < 0.99 for m in whole.values()) > 2
     assert found(block_items=13) == found(block_words=700) == found(block_items=20, block_words=900) == whole
+    assert found(block_items=13, pass_bytes=1) == found(block_items=13, pass_bytes=20_000) == whole
+
+
+def test_passes():
+    assert _passes([(1, 5), (2, 5), (3, 1), (7, 20), (8, 1)], 10) == [[1, 2], [3], [7], [8]]
+    assert _passes([], 10) == []
+
+
+def test_many_blocks_read_the_documents_once(spark, tmp_path):
+    """10,000 items in ten blocks: one scan, no join, no shuffle of documents."""
+    words = vocabulary(9000, 31)
+    items = [(f"item-{i}", " ".join(words[(i * 7 + 13 * j * (1 + i % 5)) % 9000] for j in range(20))) for i in range(10_000)]
+    path = str(tmp_path / "docs")
+    table(spark, [(i, f"pre fix {items[i * 97][1]} and more") for i in range(100)] + [(500, "nothing here")]).write.parquet(path)
+    got = find_contamination(spark.read.parquet(path), spark.createDataFrame(items, "item_id string, text string"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
+    found = {r.doc_id: {m.item_id for m in r.matches} for r in got.collect()}
+    assert found.pop(500) == set() and all(f"item-{d * 97}" in m for d, m in found.items()) and len(found) == 100
+
+
+def test_passes_do_not_depend_on_splits(spark, tmp_path):
+    """Passes planned for other splits than the last reading meet their rows."""
+    items, docs, planted = make()
+    path = str(tmp_path / "docs")
+    table(spark, docs).repartition(40).write.parquet(path)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    try:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 4)
+        got = find_contamination(spark.read.parquet(path), bench, block_items=13, pass_bytes=1)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 40)
+        assert {(r.doc_id, m.item_id) for r in got.collect() for m in r.matches} == planted
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
 
 
 def test_words_between_question_and_answer(spark):
