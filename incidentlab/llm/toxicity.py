@@ -5,15 +5,21 @@ and of word beginnings of 3 to 9 bytes, the latter also by whether two or three
 different words share them: they catch families of derived words.  Features
 that do not go with label 1 in the sample (``SCREEN`` standard deviations) are
 left out.  A counterfactual penalty is added to the loss: in every labelled
-sentence that names an identity group, the identity term is swapped for each
-other term of its set and the squared change of the score (on the logit scale)
-is penalised.  The model therefore cannot use which group is mentioned, and
-neutral mentions are not flagged.
+sentence that names an identity term, the term is swapped for each other term of
+its set, both sentences are turned into features, and the squared change of the
+sentence's score (on the logit scale) is penalised.  The model therefore cannot
+use which group is mentioned, and neutral mentions are not flagged.
+
+Besides the given sets, terms are learned from the labelled texts: words that
+carry a feature which passed the screen although label 0 names them as well
+(``NEUTRAL`` times as often as label 1, or more).  Each is swapped for the word
+without such a feature that stands between the same neighbours most often.
 
 It is fitted on a bounded sample of labelled ids (``max_rows``, half of each
 label as far as there are so many, the smallest hashes of the id).  An id counts
-once per label, with one of its texts.  Features are counted and
-screened in Spark; the driver receives the sample's screened features only.
+once per label, with one of its texts.  Features are counted and screened and
+equal swaps are counted in Spark; the driver receives the sample's screened
+features and the different changes that swaps make to them.
 Scoring runs over whole texts in the tasks.
 
 Defined results: null and empty texts get the score of a text without known
@@ -39,7 +45,7 @@ from incidentlab.session import checkpoint
 MAX_ROWS = 8_000  # bound of the fitting sample
 MIN_DOCS = 3  # a feature must occur in so many sampled documents
 SCREEN = 4.0
-MAX_FEATURES = 20_000  # of those that pass, the most telling ones
+NEUTRAL = 0.25
 PREFIXES = tuple(range(3, 10))
 SHARED = (1, 2, 3)  # numbers of different words that share a beginning
 
@@ -62,6 +68,7 @@ class ToxicityModel:
     words: np.ndarray  # sorted word hashes
     weights: np.ndarray
     bias: float
+    swaps: int = 0  # swapped sentences whose features changed
 
 
 def _distinct(doc: np.ndarray, *h: np.ndarray) -> list[np.ndarray]:
@@ -106,21 +113,67 @@ def _features(texts: list[str | None], known: np.ndarray | None = None) -> tuple
     return tuple(_distinct(doc, h))
 
 
-def term_list(terms: tuple) -> list[str]:
-    return sorted({t for g in terms for t in g})
+def substitutes(terms: tuple = IDENTITY_TERMS, learned: dict | None = None) -> dict[str, list[str]]:
+    """The words that each term is swapped for."""
+    return (learned or {}) | {t: [o for o in g if o != t] for g in terms for t in g}
 
 
-def swaps(text: str, terms: tuple = IDENTITY_TERMS) -> list[tuple[str, str]]:
-    """(term, substitute) for each counterfactual sentence of a text."""
-    group = {t: g for g in terms for t in g}
+def swaps(text: str, others: dict[str, list[str]]) -> list[tuple[str, str]]:
+    """(sentence, counterfactual sentence) for each swap in a text, lower case."""
     found = []
     for sentence in _SENTENCE.split(text.lower()):
-        named = set(re.findall(r"\w+", sentence))
-        for term in sorted(named & group.keys()):
-            found.extend((term, other) for other in group[term] if other not in named)
+        parts = re.split(r"(\w+)", sentence)  # words at the odd places
+        named = set(parts[1::2])
+        for term in sorted(named & others.keys()):
+            for other in others[term]:
+                if other not in named:
+                    found.append((sentence, "".join(other if x == term else x for x in parts)))
     return found
 
 
+def _changes(pairs: list[tuple[str, str]], known: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """(features lost, features gained) of the swaps that change any."""
+    doc, h = _features([s for pair in pairs for s in pair], known)
+    at = np.searchsorted(doc, np.arange(2 * len(pairs) + 1))
+    own = [h[a:b] for a, b in zip(at, at[1:])]
+    found = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in zip(own[::2], own[1::2])]
+    return [(lost.tobytes(), gained.tobytes()) for lost, gained in found if len(lost) or len(gained)]
+
+
+def learned_terms(rows: DataFrame, screened: np.ndarray, min_docs: int = MIN_DOCS) -> dict[str, list[str]]:
+    """Word -> its substitute, from ``rows`` (label, text).  Mentions are counted
+    by neighbours, equal neighbours once a text; ties go to the greater word."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    inner = F.expr(
+        "array_distinct(transform(sequence(2, size(w) - 1), "
+        "i -> struct(w[i - 1] AS word, w[i - 2] AS before, w[i] AS after)))"
+    )
+    seen = rows.select("label", words.alias("w")).filter(F.size("w") >= 3).select("label", F.explode(inner).alias("m"))
+    placed = seen.groupBy("m.word", "m.before", "m.after").agg(
+        F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")
+    )
+    placed = checkpoint(placed)
+    total = placed.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not total["n0"] or not total["n1"]:
+        return {}
+    neutral = placed.groupBy("word").agg(F.sum("n0").alias("m0"), F.sum("n1").alias("m1"))
+    neutral = neutral.filter(
+        (F.col("m0") >= min_docs) & (F.col("m0") / total["n0"] >= NEUTRAL * F.col("m1") / total["n1"])
+    )
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            doc, _ = _features(pdf["word"].tolist(), screened)
+            yield pdf[["word", "m0"]].assign(telling=np.bincount(doc, minlength=len(pdf)) > 0)
+
+    told = checkpoint(neutral.mapInPandas(tell, "word string, m0 long, telling boolean"))
+    places = placed.filter("n0 > 0").select("word", "before", "after").join(told, "word")
+    plain = places.filter("NOT telling").groupBy("before", "after").agg(F.max(F.struct("m0", "word")).alias("best"))
+    pairs = places.filter("telling").join(plain, ["before", "after"]).groupBy("word", "best").count()
+    pairs = pairs.groupBy("word").agg(F.max(F.struct("count", "best.m0", "best.word")).alias("other"))
+    return {r["word"]: [r["other"]["word"]] for r in pairs.collect()}
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -130,9 +183,11 @@ def labelled_sample(
     terms: tuple = IDENTITY_TERMS,
     max_rows: int = MAX_ROWS,
     min_docs: int = MIN_DOCS,
-) -> tuple[pd.DataFrame, np.ndarray]:
-    """Label, features and swaps (term numbers) of at most ``max_rows`` rows, and
-    the features that pass the screen.
+    learn: bool = True,
+) -> tuple[pd.DataFrame, np.ndarray, pd.DataFrame]:
+    """Label and features of at most ``max_rows`` rows, the features that pass the
+    screen, and the changes that swaps make to them (lost, gained, how often).
+    ``learn`` adds the learned terms to the given sets.
 
     Labels are made distinct and cut to the bound before the join, so the
     broadcast side holds at most ``max_rows`` ids; of the documents of an id the
@@ -147,8 +202,6 @@ def labelled_sample(
         F.broadcast(sample), "id"
     )
 
-    number = {t: i for i, t in enumerate(term_list(terms))}
-
     joined = joined.groupBy("id", "label").agg(F.min("text").alias("text"))
     rows = checkpoint(joined.select("label", F.coalesce("text", F.lit("")).alias("text")))
 
@@ -164,76 +217,84 @@ def labelled_sample(
     counted = counted.groupBy("feature").agg(F.sum("hits").alias("hits"), F.sum("total").alias("total"))
     gain = F.col("hits") - F.col("total") * share
     spread = F.sqrt(F.greatest(F.col("total") * share * (1 - share), F.lit(1e-9)))
-    telling = counted.filter((F.col("total") >= min_docs) & (gain >= SCREEN * spread))
-    telling = telling.orderBy((gain / spread).desc(), "feature").limit(MAX_FEATURES).select("feature").toPandas()
+    telling = counted.filter((F.col("total") >= min_docs) & (gain >= SCREEN * spread)).select("feature").toPandas()
     screened = np.sort(telling["feature"].to_numpy(np.int64).view(np.uint64))
-    known = np.union1d(screened, _features(term_list(terms))[1])
+    others = substitutes(terms, learned_terms(rows, screened, min_docs) if learn and len(screened) else None)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
-            doc, h = _features(texts, known)
+            doc, h = _features(texts, screened)
             ends = np.cumsum(np.bincount(doc, minlength=len(texts)))[:-1]
-            pairs = [swaps(t, terms) for t in texts]
-            yield pd.DataFrame(
-                {
-                    "label": pdf["label"],
-                    "words": [x.tobytes() for x in np.split(h, ends)],
-                    "a": [np.array([number[x] for x, _ in p], np.int32).tobytes() for p in pairs],
-                    "b": [np.array([number[x] for _, x in p], np.int32).tobytes() for p in pairs],
-                }
-            )
+            yield pd.DataFrame({"label": pdf["label"], "words": [x.tobytes() for x in np.split(h, ends)]})
+
+    def swapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text in pdf["text"]:
+                pairs = swaps(text, others)
+                for i in range(0, len(pairs), 2000):
+                    found = _changes(pairs[i : i + 2000], screened)
+                    yield pd.DataFrame(found, columns=["lost", "gained"])
+
+    found = rows.mapInPandas(features, "label int, words binary").toPandas()
+    changes = rows.mapInPandas(swapped, "lost binary, gained binary").groupBy("lost", "gained").agg(F.count("*").alias("n"))
+    return (
+        found.sort_values(["label", "words"], ignore_index=True),
+        screened,
+        changes.toPandas().sort_values(["lost", "gained"], ignore_index=True),
+    )
 
-    found = rows.mapInPandas(features, "label int, words binary, a binary, b binary").toPandas()
-    return found.sort_values(["label", "words", "a", "b"], ignore_index=True), screened
+
+def _places(words: np.ndarray, sets: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(set number, place in the sorted ``words``) of the features of each set."""
+    own = [np.frombuffer(b, np.uint64) for b in sets]
+    flat = np.concatenate([*own, np.empty(0, np.uint64)])
+    number = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    col = np.minimum(np.searchsorted(words, flat), len(words) - 1)
+    known = words[col] == flat
+    return number[known], col[known]
 
 
 def fit(
     sample: pd.DataFrame,
     screened: np.ndarray,
-    terms: tuple = IDENTITY_TERMS,
+    changes: pd.DataFrame | None = None,
     l1: float = 1e-5,
     fairness: float = 1.0,
     steps: int = 1500,
 ) -> ToxicityModel:
     """Accelerated proximal gradient on the logistic loss (classes weigh the
     same), ``fairness`` times the mean squared counterfactual score change and
-    ``l1`` times the weights' absolute sum.  A swap changes the score by the
-    difference of the two terms' features, the word and its beginnings."""
+    ``l1`` times the weights' absolute sum."""
     y = sample["label"].to_numpy(np.float64)
     if not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
         bias = np.log((share + 1e-9) / (1 - share + 1e-9))
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(bias))
-    rows = [np.frombuffer(b, np.uint64) for b in sample["words"]]
-    a, b = (np.frombuffer(b"".join(sample[c]), np.int32) for c in ("a", "b"))
-    named = np.unique(np.concatenate([a, b]))  # a swap names a term and the rest of its set
-    term, term_feature = _features([term_list(terms)[i] for i in named])
-    a, b = np.searchsorted(named, a), np.searchsorted(named, b)
-    flat = np.concatenate(rows)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    words = np.union1d(screened, term_feature)
+    words = screened
     if not len(words):
         return ToxicityModel(words, np.empty(0), float(np.log(y.mean() / (1 - y.mean()))))
-    col = np.searchsorted(words, flat)
-    own = (col < len(words)) & (words[np.minimum(col, len(words) - 1)] == flat)
-    doc, col = doc[own], col[own]
-    term_col = np.searchsorted(words, term_feature)
+    doc, col = _places(words, list(sample["words"]))
     weight = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    n_swaps = int(changes["n"].sum()) if changes is not None else 0
+    if n_swaps:
+        parts = [_places(words, list(changes[c])) for c in ("lost", "gained")]
+        swap, swap_col = (np.concatenate(x) for x in zip(*parts))
+        sign = np.repeat([-1.0, 1.0], [len(x) for x, _ in parts])
+        often = changes["n"].to_numpy(np.float64) / n_swaps
 
     def gradient(w: np.ndarray, bias: float):
         z = bias + np.bincount(doc, w[col], len(y))
         r = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y)
         g = np.bincount(col, r[doc], len(words))
-        if len(a):
-            score = np.bincount(term, w[term_col], len(named))
-            d = 2 * fairness * (score[a] - score[b]) / len(a)
-            d = np.bincount(a, d, len(named)) - np.bincount(b, d, len(named))
-            g += np.bincount(term_col, d[term], len(words))
+        if n_swaps:
+            change = np.bincount(swap, sign * w[swap_col], len(often))
+            g += 2 * fairness * np.bincount(swap_col, sign * (often * change)[swap], len(words))
         return g, r.sum()
 
     # Step size: the loss's curvature is at most a quarter of the largest
-    # eigenvalue of the weighted Gram matrix (power iteration), plus the pairs'.
+    # eigenvalue of the weighted Gram matrix (power iteration); the swaps' is at
+    # most the trace of theirs.
     v = np.ones(len(words))
     top = 1.0
     for _ in range(20):
@@ -241,7 +302,7 @@ def fit(
         v = np.bincount(col, u[doc], len(words))
         top = np.linalg.norm(v)
         v /= max(top, 1e-12)
-    step = 1 / (0.3 * top + 4 * fairness * (1 + len(PREFIXES)) * bool(len(a)) + 0.5)
+    step = 1 / (0.3 * top + (2 * fairness * often[swap].sum() if n_swaps else 0.0) + 0.5)
     w, x, bias, xb, t = np.zeros(len(words)), np.zeros(len(words)), 0.0, 0.0, 1.0
     for _ in range(steps):
         g, gb = gradient(x, xb)
@@ -252,7 +313,7 @@ def fit(
         x, xb = new + (t - 1) / t_new * (new - w), new_bias + (t - 1) / t_new * (new_bias - bias)
         w, bias, t = new, new_bias, t_new
     keep = w != 0
-    return ToxicityModel(words[keep], w[keep], float(bias))
+    return ToxicityModel(words[keep], w[keep], float(bias), n_swaps)
 
 
 def score_texts(model: ToxicityModel, texts: list[str | None]) -> np.ndarray:
@@ -272,7 +333,7 @@ def train_toxicity(
     terms: tuple = IDENTITY_TERMS,
     max_rows: int = MAX_ROWS,
 ) -> ToxicityModel:
-    return fit(*labelled_sample(docs, labels, id_col, text_col, label_col, terms, max_rows), terms)
+    return fit(*labelled_sample(docs, labels, id_col, text_col, label_col, terms, max_rows))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -5,7 +8,21 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from helpers import odd_rows, table
 from incidentlab.llm.queries import op2_toxicity
-from incidentlab.llm.toxicity import _features, fit, labelled_sample, score_texts, score_toxicity, swaps, train_toxicity
+from incidentlab.llm.textops import Words, mix64
+from incidentlab.llm.toxicity import (
+    PREFIXES,
+    SHARED,
+    _changes,
+    _features,
+    fit,
+    labelled_sample,
+    learned_terms,
+    score_texts,
+    score_toxicity,
+    substitutes,
+    swaps,
+    train_toxicity,
+)
 
 BAD, GOOD = ["idiot", "scum", "moron"], ["tea", "garden", "river", "music"]
 
@@ -27,9 +44,34 @@ def features(*args):
 
 
 def test_swaps():
-    terms = (("women", "men"), ("a", "b", "c"))
-    assert swaps("Women met. nothing here! a and b.", terms) == [("women", "men"), ("a", "c"), ("b", "c")]
-    assert swaps("", terms) == []
+    others = substitutes((("women", "men"), ("a", "b", "c")), {"met": ["saw"]})
+    assert swaps("Women met. nothing here! a, and b a.", others) == [
+        ("women met", "women saw"),
+        ("women met", "men met"),
+        (" a, and b a", " c, and b c"),
+        (" a, and b a", " a, and c a"),
+    ]
+    assert swaps("", others) == []
+
+
+def test_changes_are_those_of_the_whole_sentence():
+    """Shared beginnings count words of the sentence, not of the two terms."""
+    a, b = "immigrants immigration immigrate stole", "refugees immigration immigrate stole"
+    whole = [set(_features([t])[1].tolist()) for t in (a, b)]
+    ((lost, gained),) = _changes([(a, b), (a, a)], np.array(sorted(whole[0] | whole[1]), np.uint64))
+    lost, gained = (set(np.frombuffer(x, np.uint64).tolist()) for x in (lost, gained))
+    assert lost == whole[0] - whole[1] and gained == whole[1] - whole[0]
+    alone = set(_features(["immigrants"])[1].tolist())
+    assert lost - alone and alone - lost
+
+
+def test_learned_terms_are_neutral_and_share_neighbours(spark):
+    rows = [(int(i % 2), f"we saw the {w} near town {i}") for w, k in (("cat", 9), ("trashcan", 4)) for i in range(0, 2 * k, 2)]
+    rows += [(1, f"we saw the {w} near town {i}") for i in range(9) for w in ("trash", "trashcan")]
+    frame = spark.createDataFrame(rows, "label int, text string")
+    screened = np.unique(_features(["trash"])[1])
+    assert learned_terms(frame, screened) == {"trashcan": ["cat"]}
+    assert learned_terms(frame.filter("label = 1"), screened) == {}
 
 
 def test_counterfactual_penalty_removes_the_group_bias(spark):
@@ -66,6 +108,7 @@ def test_sample_keeps_its_bound(spark):
     assert 30 < len(found[0][0]) <= 60 and set(found[0][0]["label"]) == {0, 1}
     pd.testing.assert_frame_equal(found[0][0], found[1][0])
     assert (found[0][1] == found[1][1]).all()
+    pd.testing.assert_frame_equal(found[0][2], found[1][2])
 
 
 def test_degenerate_labels(spark):
@@ -95,7 +138,7 @@ def test_features_are_folded_presence_and_shared_beginnings():
 
 
 def test_no_labels_at_all():
-    assert score_texts(fit(pd.DataFrame({"label": [], "words": [], "a": [], "b": []}), np.empty(0, np.uint64)), ["a"])[0] < 1e-6
+    assert score_texts(fit(pd.DataFrame({"label": [], "words": []}), np.empty(0, np.uint64)), ["a"])[0] < 1e-6
 
 
 def test_held_out_accuracy(spark):
@@ -105,3 +148,45 @@ def test_held_out_accuracy(spark):
         F.avg(F.when(F.col("toxic") == 0, F.col("predicted"))).alias("false_alarms"),
     ).first()
     assert hit.recall > 0.85 and hit.false_alarms < 0.03
+
+
+def _plain_scores(model, texts):
+    """Scores from sets of words and beginnings of each text, one at a time."""
+    weight, known = dict(zip(model.words.tolist(), model.weights.tolist())), {}
+
+    def keys(word):
+        if word not in known:
+            w = Words([word], prefixes=PREFIXES)
+            n = len(word.encode())
+            known[word] = int(w.hash[0]), [(k, int(w.prefix[k][0])) for k in PREFIXES if n > k]
+        return known[word]
+
+    out = []
+    for text in texts:
+        folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = set(re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", folded))
+        z, sharing = model.bias, {}
+        for word in words:
+            own, beginnings = keys(word)
+            z += weight.get(own, 0.0)
+            for b in beginnings:
+                sharing[b] = sharing.get(b, 0) + 1
+        for (k, h), many in sharing.items():
+            start = mix64(np.array([h], np.uint64), 100 + k)
+            z += sum(weight.get(int(mix64(start, 200 + n)[0]), 0.0) for n in SHARED if many >= n)
+        out.append(1 / (1 + math.exp(-z)))
+    return out
+
+
+def test_query_has_swaps_and_scores_as_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    learn = labels.filter(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1)
+    sample = labelled_sample(docs, learn)
+    model, plain = fit(*sample), fit(*sample, fairness=0.0)
+    assert model.swaps > 0 and model.swaps == sample[2]["n"].sum()
+    rows = docs.select("doc_id", "text").collect()[::5]
+    got = {r.doc_id: r.score for r in op2_toxicity(spark, SF01).collect()}
+    want = _plain_scores(model, [r.text for r in rows])
+    assert max(abs(got[r.doc_id] - s) for r, s in zip(rows, want)) < 1e-9
+    moved = np.abs(score_texts(plain, [r.text for r in rows]) - np.array(want))
+    assert moved.max() > 0.01
