@@ -8,8 +8,11 @@ from incidentlab.llm.queries import op10_license_scan
 MIT = "\n".join(["The MIT License (MIT)", SENTENCES["mit-grant"], SENTENCES["mit-notice"]])
 
 
+RECOGNISER = Recogniser()
+
+
 def names(text):
-    return [n for n, _, _ in Recogniser().match(text)]
+    return [n for n, _, _ in RECOGNISER.match(text)]
 
 
 def test_every_rule_is_recognised():
@@ -32,7 +35,7 @@ def test_wrapped_and_behind_comment_marks():
     filler = "This sentence is not in the table and is long enough to be wrapped as well, at 70 columns. "
     for eol in ("\n", "\r\n"):
         for mark in ("", "    ", " * ", "# ", "// ", ";; "):
-            for name, ids in RULES:
+            for name, ids in (*RULES[:40], *RULES[40::9]):
                 for between in ("\n", "\n\n", f"\n{filler * GAP}\n"):
                     parts = [x for s in ("Intro.", *(SENTENCES[i] for i in ids), "End.") for x in (s, between)]
                     lines = [y for x in "".join(parts).split("\n") for y in textwrap.wrap(x, 70) or [""]]
@@ -46,6 +49,42 @@ def test_wrapped_and_behind_comment_marks():
     assert names("Released under\nthe BSD or\nthe MIT License.") == []
 
 
+def test_fields_take_names():
+    bsd = [SENTENCES[f"bsd-{x}"] for x in ("grant", "source", "binary", "endorse")]
+    for holder in ("the copyright holder", "Example Org., Inc.", "the University of Somewhere", "X"):
+        assert names("\n".join(bsd).replace("<holder>", holder)) == ["BSD-3-Clause"]
+    many = " ".join(f"w{i}" for i in range(20))
+    assert names("\n".join(bsd).replace("<holder>", many)) == ["BSD-2-Clause"]
+    advert = SENTENCES["bsd-advert"].replace("<holder>", "the Example Project and its contributors")
+    assert names("\n".join([*bsd[:3], advert, bsd[3].replace("<holder>", "Y")])) == ["BSD-4-Clause"]
+    both = SENTENCES["bsd-endorse-or"].replace("<holder>", "Y").replace("<contributors>", "other contributors")
+    assert names("\n".join([*bsd[:3], both])) == ["BSD-3-Clause"]
+
+
+def test_sentences_within_a_line():
+    assert names("This project is released under the MIT License.") == ["MIT"]
+    assert names("Copyright 2020 X, Licensed under CC BY 4.0.") == ["CC-BY-4.0"]
+    assert names("It is not released under the MIT License.") == []
+    assert names("Never licensed under the ISC License.\nlicensed under the ISC License") == ["ISC"]
+    text = "é. All of it is distributed under the GNU General Public License, version 2 or later. Tail"
+    ((name, a, b),) = RECOGNISER.match(text)
+    assert name == "GPL-2.0-or-later" and text[a:b].startswith("distributed under") and text[a:b].endswith("later.")
+
+
+def test_spdx_tags():
+    for tag, want in (
+        ("MIT", "MIT"), ("GPL-2.0-only", "GPL-2.0"), ("LGPL-2.1-or-later", "LGPL-2.1-or-later"), ("MPL-2.0", "MPL-2.0"),
+        ("Apache-2.0 OR MIT", "Apache-2.0"), ("GPL-2.0 WITH Classpath-exception-2.0", "GPL-2.0"), ("0BSD", "0BSD"),
+    ):
+        for mark, close in (("# ", ""), ("/* ", " */"), ("// ", "")):
+            assert names(f"x = 1\n{mark}SPDX-License-Identifier: {tag}{close}\nimport y") == [want]
+    assert names("SPDX-License-Identifier: Unknown-1.0") == []
+
+
+def test_table_covers_many_licences():
+    assert len({name for name, _ in RULES}) >= 30
+
+
 def test_spans():
     text = "é Intro. Released under the MIT License. Tail"
     ((name, a, b),) = Recogniser().match(text)
