@@ -144,14 +144,18 @@ def learned_terms(rows: DataFrame, screened: np.ndarray, min_docs: int = MIN_DOC
     """Word -> its substitute, from ``rows`` (label, text).  Mentions are counted
     by neighbours, equal neighbours once a text; ties go to the greater word."""
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    # Neighbours as one string (words hold no space), which a hash set makes distinct.
     inner = F.expr(
-        "array_distinct(transform(sequence(2, size(w) - 1), "
-        "i -> struct(w[i - 1] AS word, w[i - 2] AS before, w[i] AS after)))"
+        "array_distinct(transform(sequence(2, size(w) - 1), i -> concat_ws(' ', w[i - 2], w[i - 1], w[i])))"
     )
     seen = rows.select("label", words.alias("w")).filter(F.size("w") >= 3).select("label", F.explode(inner).alias("m"))
-    placed = seen.groupBy("m.word", "m.before", "m.after").agg(
+    placed = seen.groupBy("m").agg(
         F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")
     )
+    part = F.split("m", " ")
+    placed = placed.select(
+        part[1].alias("word"), part[0].alias("before"), part[2].alias("after"), "n0", "n1"
+    )
     placed = checkpoint(placed)
     total = placed.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
     if not total["n0"] or not total["n1"]:
