@@ -63,13 +63,20 @@ def read_parquet_table(
 
 
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``file, header``: the first line of every CSV file under ``path`` (one pass
-    over the lines; empty files have none)."""
+    """``file, header``: the first line of every CSV file under ``path`` (two passes
+    over the lines; empty files have none).
+
+    A text per group would make Spark sort all lines, so a task would hold its whole
+    split.  The first pass keeps numbers alone (the hash of each file's first line),
+    the second keeps only lines with such a hash, of which the first of a file is its
+    header, whatever else has the same hash."""
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
     )
-    lines = lines.filter("at = 0").withColumn("line", F.monotonically_increasing_id())
-    return lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    lines = lines.filter("at = 0").select("file", "value", F.xxhash64("value").alias("mark"), F.monotonically_increasing_id().alias("line"))
+    marks = lines.groupBy("file").agg(F.min_by("mark", "line").alias("mark")).select("mark").distinct()
+    found = lines.join(F.broadcast(marks), "mark", "left_semi").groupBy("file", "value").agg(F.min("line").alias("line"))
+    return found.groupBy("file").agg(F.min_by("value", "line").alias("header"))
 
 
 def _names(header: str) -> list[str]:

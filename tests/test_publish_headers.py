@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from incidentlab import sinks, sources
+from incidentlab.sources import feeds
 
 
 def _months(spark, n, tag):
@@ -76,3 +77,34 @@ def test_moved_and_missing_columns(spark, tmp_path):
     assert got == [("a", dt.date(2024, 1, 1), 5), ("b", dt.date(2024, 2, 1), 7), ("c", dt.date(2024, 3, 1), 8), ("d", dt.date(2024, 4, 1), None)]
     report = {r.file.rsplit("/", 1)[1]: (r.missing, r.extra, r.moved) for r in sources.header_report(spark, str(folder), schema).collect()}
     assert report == {"one.csv": ([], [], True), "two.csv": ([], [], True), "three.csv": (["n"], ["other"], False)}
+
+
+def test_headers_are_found_without_sorting_the_lines(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("key,n\na,1\n")
+    plan = feeds.file_headers(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    scans = [stage for stage in plan.split("Exchange") if "FileScan text" in stage]
+    assert scans and not any("Sort" in stage for stage in scans)  # a sort would hold each whole split
+
+
+@pytest.mark.parametrize("same_marks", [False, True])
+def test_headers_that_come_again_as_lines(spark, tmp_path, monkeypatch, same_marks):
+    if same_marks:  # every line has the same hash
+        monkeypatch.setattr(F, "xxhash64", lambda c: F.length(c) * F.lit(0).cast("bigint"))
+    texts = {
+        "a": "n,key\n" + "key,n\n" * 40,
+        "b": "key,n\n" + "n,key\n" * 40 + "key,n\n",
+        "c": "z\n" + "n,key\n" * 300 + "a\n" * 300,
+        "d": "a\nz\n",
+        "e": '"n","key"\r\nz\r\n',
+        "f": "",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    for size in ("128m", "512"):  # many files in a task; files in many tasks
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = {r.file.rsplit("/", 1)[1][0]: r.header for r in feeds.file_headers(spark, str(tmp_path)).collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert got == {"a": "n,key", "b": "key,n", "c": "z", "d": "a", "e": '"n","key"'}
